@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quantloom.llm import _kernels as K
-from quantloom.llm._spark import null_safe, row_hash
+from quantloom.llm._spark import row_hash
 
 #: Words of a window, and words of benchmark items in one automaton (about 200 bytes each on a worker).
 WINDOW, BLOCK_WORDS = 10, 400_000
@@ -294,5 +294,3 @@ def _cut(docs: DataFrame, matcher: Matcher, max_coverage: float) -> DataFrame:
 
 
 _SEPARATORS = _APART[K.UPPER]
-
-__all__ = ["Automaton", "contamination_report", "decontaminate", "find_overlaps", "normal_words", "null_safe"]

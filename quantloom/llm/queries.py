@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quantloom.llm import decontaminate, exact_dedup, packing, simhash, substring
+from quantloom.llm import decontaminate, exact_dedup, html_extract, line_dedup, packing, pii, quality, simhash, substring, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,19 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, max_bits=3)
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"), min_sites=8).select("doc_id", "text", "n_lines", "n_removed")
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.RULES)
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_documents(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), length=1024, end_id=2)
 
@@ -36,6 +49,14 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -44,8 +65,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash": op2_simhash,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_url_filter": op4_url_filter,
+    "op5_quality": op5_quality,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_decontamination": op7_decontamination,
+    "op8_html_extraction": op8_html_extraction,
+    "op9_pii": op9_pii,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
@@ -68,6 +94,20 @@ WITH w AS (
 )
 SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)""",
+    "op3_line_dedup": r"""
+WITH l AS (
+  SELECT doc_id, text, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL
+), t AS (
+  SELECT doc_id, source, i, line, regexp_replace(line, '^[ \t\n\x0B\f\r]+|[ \t\n\x0B\f\r]+$', '', 'g') AS k FROM l
+), bad AS (
+  SELECT k, min(doc_id) AS keeper FROM t WHERE k <> '' GROUP BY k HAVING count(DISTINCT source) >= 8
+), m AS (
+  SELECT doc_id, i, line, t.k, keeper IS NOT NULL AND doc_id <> keeper AS gone FROM t LEFT JOIN bad USING (k)
+), g AS (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone) AS text, count(*) FILTER (k <> '') AS n_lines, count(*) FILTER (gone) AS n_removed FROM m GROUP BY 1
+)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(g.text, '') END AS text, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed
+FROM documents d LEFT JOIN g USING (doc_id)""",
     "op7_decontamination": r"""
 WITH d AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM documents

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quantloom.llm import _kernels as K
-from quantloom.llm._spark import connected_components, materialise
+from quantloom.llm._spark import connected_components, materialise, row_hash
 
 SEED, SHINGLE, MAX_BITS, PIVOTS, SLICE_ROWS = 42, 3, 3, 24, 4096
 
@@ -71,12 +71,12 @@ def simhash_words(text: str | None) -> list[bytes]:
 
 
 def _fingerprints(size: int, seed: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("row_hash", pa.int64()), ("fp", pa.int64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.fromiter((fingerprint(simhash_words(t.as_py()), size, seed) for t in batch.column("text")), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(fps.view(np.int64))], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("row_hash"), pa.array(fps.view(np.int64))], schema=schema)
 
     return work
 
@@ -196,16 +196,33 @@ def fingerprint_links(reps: DataFrame, max_bits: int = MAX_BITS, n_pivots: int =
     return rows.mapInArrow(_links(n_pivots, max_bits), "u long, v long").distinct()
 
 
+def grouped(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS, seed: int = SEED, n_pivots: int = PIVOTS) -> DataFrame:
+    """Every row of ``docs(doc_id, text)`` as doc_id, row_hash, fp, root (a fingerprint that names the component) and component_id."""
+    source = docs.select("doc_id", "text", row_hash("text").alias("row_hash"))
+    found = materialise(source.mapInArrow(_fingerprints(size, seed), "doc_id long, row_hash long, fp long"), "fingerprints")
+    reps = materialise(found.groupBy("fp").agg(F.min("doc_id").alias("least")), "representatives")
+    roots = connected_components(fingerprint_links(reps.select("fp"), max_bits, n_pivots))
+    rooted = reps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = rooted.join(ids, "root").select("fp", "root", "component_id")
+    return found.join(named, "fp").select("doc_id", "row_hash", "fp", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS, seed: int = SEED, n_pivots: int = PIVOTS) -> DataFrame:
     """Components of near-equal texts in ``docs(doc_id, text)``.
 
     Returns doc_id, fingerprint (16 hexadecimal digits) and component_id (smallest
     ``doc_id`` of the component) for every row.
     """
-    found = materialise(docs.select("doc_id", "text").mapInArrow(_fingerprints(size, seed), "doc_id long, fp long"), "fingerprints")
-    reps = materialise(found.groupBy("fp").agg(F.min("doc_id").alias("least")), "representatives")
-    roots = connected_components(fingerprint_links(reps.select("fp"), max_bits, n_pivots))
-    rooted = reps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(ids, "root").select("fp", "component_id")
-    return found.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return grouped(docs, size, max_bits, seed, n_pivots).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS, seed: int = SEED, n_pivots: int = PIVOTS) -> DataFrame:
+    """One row of each component, that of the smallest ``doc_id`` (then of the smallest text hash), with its columns as they are."""
+    rows = materialise(grouped(docs, size, max_bits, seed, n_pivots), "grouped")
+    best = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row_hash")).alias("b"))
+    best = best.select(F.col("b.doc_id").alias("_doc"), F.col("b.row_hash").alias("_hash"))
+    kept = docs.withColumn("_own", row_hash("text")).join(best, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_hash")))
+    if not rows.groupBy("doc_id", "row_hash").count().where("count > 1").isEmpty():  # a row written twice: one of the copies stays
+        kept = kept.dropDuplicates(["_doc", "_own"])
+    return kept.select(*docs.columns)
