@@ -162,10 +162,11 @@ def posterior(votes: np.ndarray, prior: float, table: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
 
 
-def features(text: str, dimensions: int = DIMENSIONS) -> np.ndarray:
-    """Hashed features that a document has: binned shares, words and stems, each once."""
+def features(text: str, lexicon: Lexicon, dimensions: int = DIMENSIONS) -> np.ndarray:
+    """Hashed features that a document has: binned shares, votes, words and stems, each once."""
     votes, s = form_votes(text)
     words, stems = strings_of(text)
+    votes = [*votes, *lexicon.votes(words, stems)]
     names = [f"\0{i}:{min(20, int(x * 40))}" for i, x in enumerate(s)]
     names += [f"\1{i}:{v}" for i, v in enumerate(votes)]
     crc = zlib.crc32
@@ -177,19 +178,28 @@ def features(text: str, dimensions: int = DIMENSIONS) -> np.ndarray:
 
 
 def train(rows: list[np.ndarray], target: np.ndarray, dimensions: int = DIMENSIONS, rounds: int = 120, rate: float = 0.3, decay: float = 2e-4) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels by full-batch AdaGrad; both classes weigh the same."""
+    """Logistic regression on soft labels by full-batch AdaGrad; both classes weigh the same.
+
+    Only features that go with either class beyond chance (five standard deviations) have a weight;
+    the many rare ones would fit the sample by heart.
+    """
     w, b, grad2, gb = np.zeros(dimensions), 0.0, np.full(dimensions, 1e-6), 1e-6
     if not len(rows) or target.sum() < 1e-3:
         return w, -20.0
-    at = np.cumsum([0, *map(len, rows)])
+    size = np.array([len(r) for r in rows])
     flat = np.concatenate(rows)
-    size = np.diff(at)
+    share = float(np.clip(target.mean(), 1e-6, 1 - 1e-6))
+    seen = np.bincount(flat, minlength=dimensions)
+    z = (np.bincount(flat, np.repeat(target, size), dimensions) - seen * share) / np.sqrt(np.maximum(seen, 1) * share * (1 - share))
+    chosen = (np.abs(z) > 5)[flat]
+    owner = np.repeat(np.arange(len(rows)), size)[chosen]
+    flat = flat[chosen]
     weight = target / max(target.sum(), 1e-9) + (1 - target) / max((1 - target).sum(), 1e-9)
     weight /= weight.sum()
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(np.add.reduceat(w[flat], at[:-1]) + b, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(np.bincount(owner, w[flat], len(rows)) + b, -30, 30)))
         err = (p - target) * weight
-        g = np.bincount(flat, np.repeat(err, size), dimensions) + decay * w / len(rows)
+        g = np.bincount(flat, err[owner], dimensions) + decay * w / len(rows)
         grad2 += g * g
         gb += err.sum() ** 2
         w -= rate * g / np.sqrt(grad2)
@@ -206,7 +216,7 @@ class Model:
 
     def scores(self, text: str) -> tuple[float, float]:
         """P(low quality), P(toxic) by the linear scorers."""
-        x = features(text, len(self.quality[0]))
+        x = features(text, self.lexicon, len(self.quality[0]))
         return tuple(float(1 / (1 + np.exp(-np.clip(w[x].sum() + b, -30, 30)))) for w, b in (self.quality, self.toxic))
 
 
@@ -271,7 +281,7 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, sample_rows: int = SAM
         vt = [*lexicon.votes(words, stems), ABSTAIN if q is None else REJECT if int(t or 0) else ACCEPT]
         soft_q.append(posterior(np.array([vq]), *tables["q"])[0])
         soft_t.append(posterior(np.array([vt]), *tables["t"])[0])
-        rows.append(features(text, dimensions))
+        rows.append(features(text, lexicon, dimensions))
     quality = train(rows, np.array(soft_q), dimensions)
     toxic = train(rows, np.array(soft_t), dimensions) if any(lexicon.stems) or lexicon.words else (np.zeros(dimensions), -20.0)
     return Model(lexicon, accuracies, *((w.astype(np.float32), b) for w, b in (quality, toxic)))
