@@ -24,7 +24,7 @@ def _r(c, k=6):
 
 @query("d01_price_table", f"""WITH {PANEL}, f AS (SELECT p_partkey AS code, p_size / 10.0 AS adj FROM part), j AS (
   SELECT p.code, d, open, high, low, close, lag(close) OVER ({P}) AS pre_close, coalesce(adj, 1.0) AS adj, coalesce(vol, 0) AS vol, coalesce(amount, 0) * 1000 AS amount FROM panel p LEFT JOIN f USING (code)
-) SELECT code, d, round(close * adj, 6) AS close_hfq, round(CASE WHEN vol > 0 THEN amount / (vol * 100) END, 6) AS vwap,
+) SELECT code, d, round(close * adj, 8) AS close_hfq, round(CASE WHEN vol > 0 THEN amount / (vol * 100) END, 8) AS vwap,
   round(CASE WHEN vol <= 10 THEN 0 WHEN pre_close * adj > 0 THEN close * adj / (pre_close * adj) - 1 END, 8) AS return_1d, (vol > 10)::BIGINT AS is_trading FROM j""")
 def d01(spark, sf):
     adj = table(spark, sf, "part", "p_partkey", "p_size").select(F.col("p_partkey").alias("code"), (F.col("p_size") / 10.0).alias("adj"))
@@ -32,7 +32,7 @@ def d01(spark, sf):
     p = p.withColumn("amount", F.col("amount") * 1000).withColumn("pre", F.col("pre_close") * F.col("adj")).withColumn("hfq", F.col("close") * F.col("adj"))
     ret = F.when(F.col("vol") <= 10, 0.0).when(F.col("pre") > 0, F.try_divide("hfq", "pre") - 1)
     vwap = F.when(F.col("vol") > 0, F.try_divide(F.col("amount"), F.col("vol") * 100))
-    return p.select("code", "d", _r(F.col("hfq")).alias("close_hfq"), _r(vwap).alias("vwap"), _r(ret, 8).alias("return_1d"), (F.col("vol") > 10).cast("long").alias("is_trading"))
+    return p.select("code", "d", _r(F.col("hfq"), 8).alias("close_hfq"), _r(vwap, 8).alias("vwap"), _r(ret, 8).alias("return_1d"), (F.col("vol") > 10).cast("long").alias("is_trading"))
 
 
 @query("d01_price_features", f"""WITH {PANEL}, x AS (SELECT code, d, close, close / nullif(lag(close) OVER ({P}), 0) - 1 AS r FROM panel)

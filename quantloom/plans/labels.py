@@ -1 +1,206 @@
+"""Labels L01-L08, post-processing Z01-Z06, folds V01-V08 and evaluation M01-M07."""
 
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from quantloom import schema as S
+from quantloom.operators import evaluation as E
+from quantloom.operators import ts, xsec
+from quantloom.plans.base import PANEL, open_days, price_panel, query
+
+W = ts.per_code()
+P = "PARTITION BY code ORDER BY d"
+RET = f"{PANEL}, lab AS (SELECT code, d, close, vol, amount, CASE WHEN lead(close, 5) OVER ({P}) IS NOT NULL THEN round(least(greatest(lead(close, 5) OVER ({P}) / nullif(close, 0) - 1, -0.5), 0.5), 8) END AS r5 FROM panel)"
+
+
+def labelled(spark, sf):
+    r = xsec.clip(ts.forward_return(F.col("close"), W, 5), -0.5, 0.5)
+    return price_panel(spark, sf).select("code", "d", "close", "vol", "amount", F.round(r, 8).alias("r5"))
+
+
+@query("l01_forward_returns", f"WITH {PANEL} SELECT code, d, " + ", ".join(f"round(lead(close, {k}) OVER ({P}) / nullif(close, 0) - 1, 8) AS ret_{k}d" for k in (1, 5, 10, 20)) + " FROM panel")
+def l01(spark, sf):
+    return price_panel(spark, sf).select("code", "d", *[F.round(ts.forward_return(F.col("close"), W, k), 8).alias(f"ret_{k}d") for k in (1, 5, 10, 20)])
+
+
+@query("l02_clipped_returns", f"WITH {RET} SELECT code, d, r5 FROM lab")
+def l02(spark, sf):
+    return labelled(spark, sf).select("code", "d", "r5")
+
+
+@query("l03_invalid_samples", f"WITH {RET} SELECT code, d, CASE WHEN coalesce(sum((vol < 10)::INTEGER) OVER ({P} ROWS BETWEEN 1 FOLLOWING AND 5 FOLLOWING), 0) <= 2 THEN r5 END AS r5 FROM lab")
+def l03(spark, sf):
+    return labelled(spark, sf).select("code", "d", F.when(ts.future_sum((F.col("vol") < 10).cast("int"), W, 5) <= 2, F.col("r5")).alias("r5"))
+
+
+@query("l04_three_classes", f"WITH {RET} SELECT code, d, CASE WHEN r5 IS NULL THEN NULL WHEN r5 < -0.02 THEN 0 WHEN r5 > 0.02 THEN 2 ELSE 1 END::BIGINT AS cls FROM lab")
+def l04(spark, sf):
+    r = F.col("r5")
+    return labelled(spark, sf).select("code", "d", F.when(r.isNull(), None).when(r < -0.02, 0).when(r > 0.02, 2).otherwise(1).cast("long").alias("cls"))
+
+
+@query("l05_excess_return", f"WITH {RET}, b AS (SELECT d, round(avg(close), 8) AS m FROM panel GROUP BY 1), f AS (SELECT d, lead(m, 5) OVER (ORDER BY d) / nullif(m, 0) - 1 AS b5 FROM b) SELECT code, d, round(r5 - coalesce(b5, 0), 6) AS excess FROM lab LEFT JOIN f USING (d)")
+def l05(spark, sf):
+    b = price_panel(spark, sf).groupBy("d").agg(F.round(F.avg("close"), 8).alias("m"))
+    b = b.select("d", ts.forward_return(F.col("m"), Window.orderBy("d"), 5).alias("b5"))
+    return labelled(spark, sf).join(F.broadcast(b), "d", "left").select("code", "d", F.round(F.col("r5") - F.coalesce("b5", F.lit(0.0)), 6).alias("excess"))
+
+
+@query("l06_rank_label", f"WITH {RET} SELECT code, d, CASE WHEN r5 IS NOT NULL THEN round((rank() OVER (PARTITION BY d ORDER BY r5 NULLS LAST) + (count(*) OVER (PARTITION BY d, r5) - 1) / 2.0) / count(r5) OVER (PARTITION BY d), 8) END AS rank_r5 FROM lab")
+def l06(spark, sf):
+    return labelled(spark, sf).select("code", "d", F.round(xsec.pct_rank(F.col("r5"), "d"), 8).alias("rank_r5"))
+
+
+@query("l07_sharpe_label", f"WITH {RET}, v AS (SELECT code, d, r5, CASE WHEN count(r5) OVER f >= 2 THEN stddev_samp(r5) OVER f END AS v FROM lab WINDOW f AS ({P} ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)) SELECT code, d, CASE WHEN r5 IS NULL THEN NULL WHEN v > 1e-4 THEN round(least(greatest(r5 / v, -10), 10), 5) ELSE 0 END AS sharpe FROM v")
+def l07(spark, sf):
+    x = labelled(spark, sf).withColumn("v", ts.future_std(F.col("r5"), W, 5))
+    s = F.when(F.col("v") > 1e-4, F.round(xsec.clip(F.try_divide("r5", "v"), -10.0, 10.0), 5)).otherwise(0.0)
+    return x.select("code", "d", F.when(F.col("r5").isNotNull(), s).alias("sharpe"))
+
+
+@query("l08_tercile_label", f"WITH {RET} SELECT code, d, CASE WHEN r5 IS NULL THEN NULL WHEN r5 >= quantile_cont(r5, 0.7) OVER (PARTITION BY d) THEN 2 WHEN r5 <= quantile_cont(r5, 0.3) OVER (PARTITION BY d) THEN 0 ELSE 1 END::BIGINT AS bin FROM lab")
+def l08(spark, sf):
+    return labelled(spark, sf).select("code", "d", xsec.tercile_label(F.col("r5"), "d").cast("long").alias("bin"))
+
+
+@query("z01_common_clean", f"WITH {RET} SELECT code, d, close, vol, r5 FROM lab WHERE r5 IS NOT NULL")
+def z01(spark, sf):
+    x = labelled(spark, sf).drop("amount").withColumns({"zero": F.lit(0.0), "name": F.lit("x")})
+    x = S.inf_to_null(x.drop("name")).na.drop(subset=["r5"])
+    return x.drop(*S.constant_columns(x, exclude=["code", "r5"]))
+
+
+@query("z02_tree_set", f"WITH {RET} SELECT code, d, coalesce(CASE WHEN code % 5 > 0 THEN code % 5 END, -1)::BIGINT AS cat, r5 FROM lab WHERE NOT d BETWEEN DATE '1995-01-01' AND DATE '1995-06-30'")
+def z02(spark, sf):
+    x = labelled(spark, sf).withColumn("cat", F.coalesce(F.when(F.col("code") % 5 > 0, F.col("code") % 5), F.lit(-1)))
+    return x.where("not d between date'1995-01-01' and date'1995-06-30'").select("code", "d", F.col("cat").cast("long").alias("cat"), "r5")
+
+
+@query("z03_sequence_set", f"WITH {RET}, s AS (SELECT code, d, ln(1 + amount) AS a, coalesce(r5, 0) AS r5 FROM lab) SELECT code, d, round(least(greatest((a - avg(a) OVER w) / coalesce(nullif(stddev_samp(a) OVER w, 0), 1e-10), -3), 3), 5) AS a, r5 FROM s WINDOW w AS (PARTITION BY d)")
+def z03(spark, sf):
+    x = labelled(spark, sf).select("code", "d", F.log1p("amount").alias("a"), F.coalesce("r5", F.lit(0.0)).alias("r5"))
+    return x.select("code", "d", F.round(xsec.zscore(F.col("a"), "d", 3.0), 5).alias("a"), "r5")
+
+
+@query("z04_train_quantile_clip", f"WITH {PANEL}, b AS (SELECT quantile_cont(vol, 0.01) AS lo, quantile_cont(vol, 0.99) AS hi FROM panel WHERE d <= DATE '1998-12-31') SELECT code, d, round(least(greatest(vol, lo), hi), 4) AS vol FROM panel, b")
+def z04(spark, sf):
+    out = xsec.winsorize(price_panel(spark, sf), ["vol"], train=F.col("d") <= F.lit("1998-12-31").cast("date"))
+    return out.select("code", "d", F.round("vol", 4).alias("vol"))
+
+
+@query("z05_bounded_zscore", f"WITH {PANEL} SELECT code, d, round(least(greatest((vol - avg(vol) OVER w) / coalesce(nullif(stddev_samp(vol) OVER w, 0), 1e-10), -2), 2), 6) AS z FROM panel WINDOW w AS (PARTITION BY d)")
+def z05(spark, sf):
+    return price_panel(spark, sf).select("code", "d", F.round(xsec.zscore(F.col("vol"), "d", 2.0), 6).alias("z"))
+
+
+@query("z06_one_pass", f"WITH {RET}, c AS (SELECT code, d, vol, r5 FROM lab WHERE r5 IS NOT NULL AND d >= DATE '1995-07-01') SELECT code, d, round((vol - avg(vol) OVER w) / coalesce(nullif(stddev_samp(vol) OVER w, 0), 1e-10), 6) AS vol, r5 FROM c WINDOW w AS (PARTITION BY d)")
+def z06(spark, sf):
+    x = labelled(spark, sf).where("r5 is not null and d >= date'1995-07-01'")
+    return x.select("code", "d", F.round(xsec.zscore(F.col("vol"), "d"), 6).alias("vol"), "r5")
+
+
+@query("v01_walk_forward_folds")
+def v01(spark, sf):
+    days = [r.d for r in open_days(spark, sf).orderBy("d").collect()]  # the calendar: a row a day
+    return E.fold_frame(spark, E.walk_forward(days, 24, 6, gap=5, kind="expanding"))
+
+
+@query("v02_sequence_folds")
+def v02(spark, sf):
+    days = [r.d for r in open_days(spark, sf).orderBy("d").collect()]
+    return E.fold_frame(spark, E.walk_forward(days, 24, 6, gap=20, kind="rolling", warm_up=60))
+
+
+@query("v03_sequence_windows", f"WITH {PANEL}, s AS (SELECT code, d, list(vol) OVER ({P} ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS seq FROM panel) SELECT code, d, array_to_string(list_transform(seq, lambda x: x::BIGINT), ',') AS seq FROM s WHERE len(seq) = 10 AND d >= DATE '1999-01-01'")
+def v03(spark, sf):
+    s = price_panel(spark, sf).withColumn("seq", F.collect_list("vol").over(W.rowsBetween(-9, 0)))
+    return s.where((F.size("seq") == 10) & (F.col("d") >= F.lit("1999-01-01").cast("date"))).select("code", "d", F.array_join(F.transform("seq", lambda x: x.cast("long").cast("string")), ",").alias("seq"))
+
+
+@query("v04_target_zscore", f"WITH {RET} SELECT code, d, CASE WHEN r5 IS NOT NULL THEN round(least(greatest((r5 - avg(r5) OVER w) / (CASE WHEN stddev_samp(r5) OVER w > 0 THEN stddev_samp(r5) OVER w ELSE 1 END), -3), 3), 6) END AS y FROM lab WINDOW w AS (PARTITION BY d)")
+def v04(spark, sf):
+    return labelled(spark, sf).select("code", "d", F.round(xsec.zscore(F.col("r5"), "d", 3.0, floor=1.0), 6).alias("y"))
+
+
+@query("v05_negative_categories", "WITH c AS (SELECT c_custkey, CASE WHEN c_nationkey < 3 THEN -c_nationkey - 1 ELSE c_nationkey END AS k FROM customer), m AS (SELECT max(k) AS top FROM c) SELECT c_custkey, (CASE WHEN k < 0 THEN abs(k) + top ELSE k END)::BIGINT AS k FROM c, m")
+def v05(spark, sf):
+    from quantloom.plans.base import table
+
+    c = table(spark, sf, "customer").select("c_custkey", F.when(F.col("c_nationkey") < 3, -F.col("c_nationkey") - 1).otherwise(F.col("c_nationkey")).alias("k"))
+    return c.join(F.broadcast(c.agg(F.max("k").alias("top"))), how="cross").select("c_custkey", F.when(F.col("k") < 0, F.abs("k") + F.col("top")).otherwise(F.col("k")).cast("long").alias("k"))
+
+
+@query("v06_feature_selection", f"WITH {RET} SELECT code, d, close, vol FROM lab")
+def v06(spark, sf):
+    x = labelled(spark, sf)
+    return x.select(*[c for c in x.columns if not c.startswith(("r", "am"))])
+
+
+@query("v07_boosted_trees")
+def v07(spark, sf):
+    """Gradient-boosted regression of the label on three features, predictions for the days after 1999."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+
+    x = VectorAssembler(inputCols=["close", "vol", "amount"], outputCol="features").transform(labelled(spark, sf).na.drop())
+    model = GBTRegressor(labelCol="r5", maxIter=5, maxDepth=3, seed=7).fit(x.where("d < date'1999-01-01'"))
+    return model.transform(x.where("d >= date'1999-01-01'")).select("code", "d", F.col("r5").alias("y_true"), F.col("prediction").alias("y_pred"))
+
+
+@query("v08_ensemble", f"WITH {RET}, p AS (SELECT code, d, close AS a, vol AS b, amount AS c FROM lab) SELECT code, d, round((0.4 * (a + b) / 2 + 0.6 * c) / (0.4 + 0.6), 7) AS y FROM p")
+def v08(spark, sf):
+    return labelled(spark, sf).select("code", "d", F.round(E.ensemble([F.col("close"), F.col("vol")], F.col("amount"), 0.4, 0.6), 7).alias("y"))
+
+
+PAIRS = f"{RET}, pairs AS (SELECT d, code, r5 AS y, close AS p FROM lab WHERE r5 IS NOT NULL AND close IS NOT NULL)"
+IC = f"{PAIRS}, ic AS (SELECT d, corr(y, p) AS ic FROM pairs GROUP BY 1 HAVING count(*) >= 3 AND isfinite(corr(y, p)))"
+
+
+def _pairs(spark, sf):
+    return labelled(spark, sf).select("d", "code", F.col("r5").alias("y"), F.col("close").alias("p")).na.drop()
+
+
+@query("m01_daily_ic", f"WITH {IC} SELECT d, round(ic, 6) AS ic FROM ic")
+def m01(spark, sf):
+    return E.daily_ic(_pairs(spark, sf), "d", "y", "p").select("d", F.round("ic", 6).alias("ic"))
+
+
+@query("m02_daily_rank_ic", f"WITH {PAIRS}, r AS (SELECT d, rank() OVER (PARTITION BY d ORDER BY y) + (count(*) OVER (PARTITION BY d, y) - 1) / 2.0 AS a, rank() OVER (PARTITION BY d ORDER BY p) + (count(*) OVER (PARTITION BY d, p) - 1) / 2.0 AS b FROM pairs) SELECT d, round(corr(a, b), 6) AS rank_ic FROM r GROUP BY 1 HAVING count(*) >= 3 AND isfinite(corr(a, b))")
+def m02(spark, sf):
+    return E.daily_rank_ic(_pairs(spark, sf), "d", "y", "p").select("d", F.round("rank_ic", 6).alias("rank_ic"))
+
+
+@query("m03_ic_summary", f"WITH {IC} SELECT count(*) AS n, round(avg(ic), 6) AS mean, round(stddev_samp(ic), 6) AS std, round(avg(ic) / stddev_samp(ic), 6) AS icir, round(avg((ic > 0)::INTEGER), 6) AS positive, round(avg(ic) / (stddev_samp(ic) / sqrt(count(*))), 5) AS t FROM ic")
+def m03(spark, sf):
+    return E.ic_summary(E.daily_ic(_pairs(spark, sf), "d", "y", "p"), "ic")
+
+
+GROUPS = f"{PAIRS}, r AS (SELECT d, y, row_number() OVER (PARTITION BY d ORDER BY p, code) AS rn, count(*) OVER (PARTITION BY d) AS n FROM pairs), g AS (SELECT d, greatest(1, ceil((rn - 1) * 5.0 / (n - 1)))::BIGINT AS grp, avg(y) AS r FROM r WHERE n >= 5 GROUP BY 1, 2)"
+
+
+def _groups(spark, sf):
+    return E.group_returns(_pairs(spark, sf), "d", "y", "p", 5, F.col("code"))
+
+
+@query("m04_group_returns", f"WITH {GROUPS} SELECT d, grp, round(r, 12) AS r FROM g")
+def m04(spark, sf):
+    return _groups(spark, sf).select("d", "grp", F.round("r", 12).alias("r"))
+
+
+@query("m05_long_short", f"WITH {GROUPS} SELECT d, round(max(r) FILTER (grp = 5) - max(r) FILTER (grp = 1), 11) AS ls FROM g GROUP BY 1")
+def m05(spark, sf):
+    return E.long_short(_groups(spark, sf), "d", 5).select("d", F.round("ls", 11).alias("ls"))
+
+
+@query("m06_monotonicity", f"WITH {GROUPS}, m AS (SELECT grp, avg(r) AS r FROM g GROUP BY 1) SELECT round(corr(grp, k), 6) AS mono FROM (SELECT grp, rank() OVER (ORDER BY r) AS k FROM m)")
+def m06(spark, sf):
+    m = _groups(spark, sf).groupBy("grp").agg(F.avg("r").alias("r")).withColumn("k", F.rank().over(Window.orderBy("r")))
+    return m.agg(F.round(F.corr("grp", "k"), 6).alias("mono"))
+
+
+@query("m07_long_short_summary", f"WITH {GROUPS}, s AS (SELECT d, max(r) FILTER (grp = 5) - max(r) FILTER (grp = 1) AS ls FROM g GROUP BY 1) SELECT round(avg(ls), 9) AS mean, round(avg(ls) / stddev_samp(ls) * sqrt(252), 5) AS sharpe FROM s")
+def m07(spark, sf):
+    ls = E.long_short(_groups(spark, sf), "d", 5)
+    return ls.agg(F.round(F.avg("ls"), 9).alias("mean"), F.round(F.avg("ls") / F.stddev_samp("ls") * F.sqrt(F.lit(252.0)), 5).alias("sharpe"))

@@ -1 +1,169 @@
+"""Text plans T01-T25 over documents, pages and conversations."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quantloom.functions import text as X
+from quantloom.operators.joins import not_in
+from quantloom.plans.base import query, table
+
+WEIGHTS = {"the": 5, "and": 3, "ing": 2, "idiot": -40, "worthless": -40, "|": -10}
+SENT = "greatest(least(" + " + ".join(f"CASE WHEN contains(coalesce(text, ''), '{k}') THEN {w} ELSE 0 END" for k, w in WEIGHTS.items()) + ", 100), -100)"
+
+
+def _docs(spark, sf):
+    return table(spark, sf, "documents", "doc_id", "text", "lang", "source", "n_chars").withColumn("t", F.coalesce("text", F.lit("")))
+
+
+BLACK = "|".join(X.BLACKLIST)
+
+
+@query("t01_notice_filter", f"SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND NOT regexp_matches(left(coalesce(text, ''), 200), '{BLACK}')")
+def t01(spark, sf):
+    d = not_in(_docs(spark, sf), table(spark, sf, "labels", "doc_id"), "doc_id")
+    return d.where(~F.left("t", F.lit(200)).rlike(BLACK)).select("doc_id")
+
+
+@query("t02_filter_statistics", f"SELECT lang, source, count(*) AS n, count(*) FILTER (regexp_matches(coalesce(text, ''), '{BLACK}')) AS removed FROM documents GROUP BY 1, 2")
+def t02(spark, sf):
+    return _docs(spark, sf).groupBy("lang", "source").agg(F.count("*").alias("n"), F.count_if(F.col("t").rlike(BLACK)).alias("removed"))
+
+
+CASE = r"CASE WHEN regexp_matches(t, '(?i)\b(loss|lawsuit|fine|default)\b') THEN -60 WHEN regexp_matches(t, '(?i)\b(profit|growth|award|contract)\b') THEN 60 WHEN regexp_matches(t, '\|') THEN -30 WHEN regexp_matches(t, '(?i)\bthat\b') THEN -20 WHEN regexp_matches(t, '(?i)\b(the|der|la|le)\b') THEN 10 ELSE 0 END"
+SCORED = f"scored AS (SELECT doc_id, source, {CASE} AS score FROM (SELECT doc_id, source, coalesce(text, '') AS t FROM documents))"
+
+
+def _scored(spark, sf):
+    return _docs(spark, sf).select("doc_id", "source", X.score_by_rules(F.col("t")).alias("s")).select("doc_id", "source", "s.score", "s.category", "s.confidence")
+
+
+@query("t03_rule_scores", f"WITH {SCORED} SELECT doc_id, score::BIGINT AS score, CASE WHEN score = 0 THEN 0.5 ELSE 0.9 END::DOUBLE AS confidence FROM scored")
+def t03(spark, sf):
+    return _scored(spark, sf).select("doc_id", F.col("score").cast("long").alias("score"), "confidence")
+
+
+@query("t04_levels", f"WITH {SCORED} SELECT doc_id, CASE WHEN score >= 75 THEN 'very good' WHEN score >= 25 THEN 'good' WHEN score > 5 THEN 'rather good' WHEN score >= -5 THEN 'neutral' WHEN score > -25 THEN 'rather bad' WHEN score > -75 THEN 'bad' ELSE 'very bad' END AS lvl, score / 100.0 AS norm FROM scored")
+def t04(spark, sf):
+    return _scored(spark, sf).select("doc_id", X.level(F.col("score")).alias("lvl"), (F.col("score") / 100.0).alias("norm"))
+
+
+@query("t05_method_routing", f"WITH {SCORED} SELECT doc_id, CASE WHEN score <> 0 THEN 'rule' ELSE 'model' END AS method FROM scored")
+def t05(spark, sf):
+    return _scored(spark, sf).select("doc_id", F.when(F.col("confidence") >= 0.8, "rule").otherwise("model").alias("method"))
+
+
+@query("t06_scoring_summary", f"WITH {SCORED} SELECT source, count(*) FILTER (score > 5) AS good, count(*) FILTER (score < -5) AS bad, round(avg(score), 6) AS mean FROM scored GROUP BY 1")
+def t06(spark, sf):
+    return _scored(spark, sf).groupBy("source").agg(F.count_if(F.col("score") > 5).alias("good"), F.count_if(F.col("score") < -5).alias("bad"), F.round(F.avg("score"), 6).alias("mean"))
+
+
+@query("t07_keyword_sentiment", f"SELECT doc_id, ({SENT})::BIGINT AS sentiment, greatest(least(1 + ({SENT}) / 200.0, 1.5), 0.5)::DOUBLE AS beta FROM documents")
+def t07(spark, sf):
+    return _docs(spark, sf).select("doc_id", X.keyword_sentiment(F.col("t"), WEIGHTS).alias("s")).select("doc_id", F.col("s").cast("long").alias("sentiment"), X.beta_signal(F.col("s")).alias("beta"))
+
+
+@query("t08_daily_sentiment", f"SELECT source, round(avg({SENT}), 6) AS sentiment, count(*) AS n FROM documents GROUP BY 1")
+def t08(spark, sf):
+    return _docs(spark, sf).withColumn("s", X.keyword_sentiment(F.col("t"), WEIGHTS)).groupBy("source").agg(F.round(F.avg("s"), 6).alias("sentiment"), F.count("*").alias("n"))
+
+
+@query("t09_industry_scores", "SELECT doc_id, k.industry, greatest(least(k.base + CASE WHEN contains(coalesce(text, ''), 'and') THEN 0.2 * k.base ELSE 0 END, 100), -100)::DOUBLE AS score FROM documents, (VALUES ('energy', 80.0), ('steel', -50.0)) k(industry, base)")
+def t09(spark, sf):
+    base = F.from_json(F.lit('{"energy": 80, "steel": -50}'), "map<string,double>")
+    x = _docs(spark, sf).select("doc_id", "t", F.explode(base).alias("industry", "base"))
+    s = F.col("base") + F.when(F.contains("t", F.lit("and")), 0.2 * F.col("base")).otherwise(0.0)
+    return x.select("doc_id", "industry", F.greatest(F.least(s, F.lit(100.0)), F.lit(-100.0)).alias("score"))
+
+
+CLEAN = r"trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '\r\n?', chr(10), 'g'), '[\x00-\x08\x0B\x0C\x0E-\x1F]', '', 'g'), '[ \t]+', ' ', 'g'), '(?m)^ | $', '', 'g'), '(?m)^-? ?[0-9]+ ?-?$', '', 'g'), '\n{3,}', chr(10) || chr(10), 'g'))"
+
+
+@query("t10_clean_text", f"SELECT doc_id, md5({CLEAN}) AS clean FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)")
+def t10(spark, sf):
+    return _docs(spark, sf).select("doc_id", F.md5(X.clean_text(F.col("t"))).alias("clean"))
+
+
+@query("t11_source_cleaning", r"SELECT doc_id, md5(CASE WHEN source = 'src0' THEN regexp_replace(t, '[%&$#*]{3}', '', 'g') WHEN source = 'src1' THEN regexp_replace(t, '!!', '', 'g') ELSE t END) AS clean FROM (SELECT doc_id, source, coalesce(text, '') AS t FROM documents)")
+def t11(spark, sf):
+    c = F.when(F.col("source") == "src0", F.regexp_replace("t", r"[%&$#*]{3}", "")).when(F.col("source") == "src1", F.regexp_replace("t", "!!", "")).otherwise(F.col("t"))
+    return _docs(spark, sf).select("doc_id", F.md5(c).alias("clean"))
+
+
+@query("t12_drop_lines", r"SELECT doc_id, md5(array_to_string(list_filter(string_split(t, chr(10)), lambda x: NOT regexp_matches(x, '(?i)(?:licensed? under)|(?:rights reserved)|(?:^all )')), chr(10))) AS clean FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)")
+def t12(spark, sf):
+    return _docs(spark, sf).select("doc_id", F.md5(X.drop_lines(F.col("t"), ["licensed? under", "rights reserved", "^all "])).alias("clean"))
+
+
+@query("t13_chunks")
+def t13(spark, sf):
+    return _docs(spark, sf).select("doc_id", F.explode(X.paragraph_chunks(F.col("t"), 4000, 200)).alias("c")).select("doc_id", "c.index", "c.total", "c.content")
+
+
+@query("t14_smart_truncate", "SELECT doc_id, CASE WHEN length(t) > 500 THEN left(t, 350) || ' ... ' || right(t, 150) ELSE t END AS short FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)")
+def t14(spark, sf):
+    return _docs(spark, sf).select("doc_id", X.smart_truncate(F.col("t"), 500).alias("short"))
+
+
+@query("t15_key_sentences")
+def t15(spark, sf):
+    return _docs(spark, sf).select("doc_id", F.array_join(X.key_sentences(F.col("t"), "idiot|token", "the|that", 3), " ").alias("key"))
+
+
+@query("t16_key_sections")
+def t16(spark, sf):
+    return _docs(spark, sf).select("doc_id", X.key_sections(F.col("t"), r"^the ", r"^of").alias("sections"))
+
+
+@query("t17_tidy_summary")
+def t17(spark, sf):
+    return _docs(spark, sf).select("doc_id", X.tidy_summary(F.col("t")).alias("summary"))
+
+
+@query("t18_html_basic_text")
+def t18(spark, sf):
+    """Text of a page without eight kinds of elements, tags and surplus blanks."""
+    t = F.regexp_replace(F.coalesce("html", F.lit("")), r"(?is)<(script|style|nav|footer|head|noscript|iframe|aside)\b.*?</\1\s*>", " ")
+    t = F.regexp_replace(F.regexp_replace(t, r"(?s)<[^>]*>", " "), r"\s+", " ")
+    return table(spark, sf, "pages", "page_id", "html").select("page_id", F.trim(t).alias("t"))
+
+
+@query("t19_url_router", r"SELECT page_id, CASE WHEN regexp_matches(lower(url), '\.pdf(\?|#|$)') THEN 'pdf' WHEN contains(lower(url), '/de') THEN 'german' WHEN contains(lower(url), 'example.com') THEN 'news' WHEN regexp_matches(lower(url), '^https?://') THEN 'html' ELSE 'other' END AS kind FROM pages")
+def t19(spark, sf):
+    return table(spark, sf, "pages", "page_id", "url").select("page_id", X.source_type(F.col("url")).alias("kind"))
+
+
+@query("t20_category_inference", "SELECT doc_id, CASE WHEN contains(t, '|') THEN 'table' WHEN contains(t, 'token') THEN 'secret' WHEN contains(t, '!!') THEN 'shout' ELSE 'prose' END AS category FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)")
+def t20(spark, sf):
+    has = lambda s: F.contains(F.col("t"), F.lit(s))
+    return _docs(spark, sf).select("doc_id", F.when(has("|"), "table").when(has("token"), "secret").when(has("!!"), "shout").otherwise("prose").alias("category"))
+
+
+@query("t21_event_labels", r"SELECT doc_id, nullif(regexp_extract(t, '([0-9]+\.[0-9]+)', 1), '') AS amount, contains(lower(t), 'correct')::BIGINT AS correction FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)")
+def t21(spark, sf):
+    return _docs(spark, sf).select("doc_id", F.nullif(F.regexp_extract("t", r"([0-9]+\.[0-9]+)", 1), F.lit("")).alias("amount"), F.contains(F.lower("t"), F.lit("correct")).cast("long").alias("correction"))
+
+
+@query("t22_tags_and_numbers", r"SELECT doc_id, array_to_string(list_filter([CASE WHEN contains(t, 'License') THEN 'license' END, CASE WHEN regexp_matches(t, '@') THEN 'mail' END], lambda x: x IS NOT NULL), ',') AS tags, nullif(regexp_extract(t, 'ersion ([0-9.]+)', 1), '') AS num FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)")
+def t22(spark, sf):
+    tags = F.array_compact(F.array(F.when(F.contains("t", F.lit("License")), "license"), F.when(F.col("t").rlike("@"), "mail")))
+    return _docs(spark, sf).select("doc_id", F.array_join(tags, ",").alias("tags"), F.nullif(F.regexp_extract("t", "ersion ([0-9.]+)", 1), F.lit("")).alias("num"))
+
+
+@query("t23_parse_answers", "SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 3 THEN NULL ELSE (o_orderkey % 100)::INTEGER END AS score FROM orders")
+def t23(spark, sf):
+    n = (F.col("o_orderkey") % 100).cast("string")
+    k = F.col("o_orderkey") % 4
+    answer = F.when(k == 0, F.concat(F.lit('so: {"score": '), n, F.lit("}"))).when(k == 1, F.concat(F.lit("Score = "), n)).when(k == 2, F.concat(F.lit("about "), n)).otherwise("none")
+    return table(spark, sf, "orders", "o_orderkey").select("o_orderkey", X.parse_score(answer).alias("score"))
+
+
+@query("t24_extractive_summary")
+def t24(spark, sf):
+    """The stub that stands for a summarising model: leading and key sentences, tidied."""
+    return _docs(spark, sf).select("doc_id", X.tidy_summary(F.array_join(X.key_sentences(F.col("t"), "the", "of", 2), " ")).alias("summary"))
+
+
+@query("t25_role_summary", "SELECT role, count(*) AS n, round(avg(length(text)), 6) AS mean, count(*) FILTER (turn = 0) AS first FROM conversations GROUP BY 1")
+def t25(spark, sf):
+    return table(spark, sf, "conversations", "role", "turn", "text").groupBy("role").agg(F.count("*").alias("n"), F.round(F.avg(F.length("text")), 6).alias("mean"), F.count_if(F.col("turn") == 0).alias("first"))
