@@ -21,10 +21,10 @@ class Rule:
 
 #: Neutral defaults; a deployment passes its own table.
 RULES: tuple[Rule, ...] = (
-    Rule(r"\b(loss|lawsuit|fine|default)\b", -60, "risk", 9),
-    Rule(r"\b(profit|growth|award|contract)\b", 60, "gain", 9),
-    Rule(r"\bthat\b", -20, "that", 5),
-    Rule(r"\b(the|der|la|le)\b", 10, "article", 3),
+    Rule(r"(?:^|[^A-Za-z])(loss|lawsuit|fine|default)(?:[^A-Za-z]|$)", -60, "risk", 9),
+    Rule(r"(?:^|[^A-Za-z])(profit|growth|award|contract)(?:[^A-Za-z]|$)", 60, "gain", 9),
+    Rule(r"(?:^|[^A-Za-z])that(?:[^A-Za-z]|$)", -20, "that", 5),
+    Rule(r"(?:^|[^A-Za-z])(the|der|la|le)(?:[^A-Za-z]|$)", 10, "article", 3),
     Rule(r"\|", -30, "table", 7),
 )
 

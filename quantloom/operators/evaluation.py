@@ -6,10 +6,11 @@ import math
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quantloom.operators import xsec
+from quantloom.operators.stats import safe_corr
 
 
 def _months_later(day: date, n: int) -> date:
@@ -47,7 +48,7 @@ def fold_frame(spark: SparkSession, folds: list[dict]) -> DataFrame:
 
 def daily_ic(pairs: DataFrame, by: str, y: str, p: str) -> DataFrame:
     """Pearson correlation per day of at least three pairs; days without one are left out."""
-    g = pairs.groupBy(by).agg(F.corr(y, p).alias("ic"), F.count("*").alias("_n")).where("_n >= 3").drop("_n")
+    g = pairs.groupBy(by).agg(safe_corr(y, p).alias("ic"), F.count("*").alias("_n")).where("_n >= 3").drop("_n")
     return g.where(F.col("ic").isNotNull() & ~F.isnan("ic"))
 
 
@@ -77,8 +78,6 @@ def student_p_value(t: float, n: int) -> float:
 def group_returns(pairs: DataFrame, by: str, y: str, p: str, q: int, tie: Column) -> DataFrame:
     """Mean return of each quantile bucket of the prediction per day; days of fewer rows than buckets are skipped."""
     g = pairs.withColumn("grp", xsec.quantile_bucket(F.col(p), by, q, tie))
-    from pyspark.sql import Window
-
     g = g.withColumn("_n", F.count("*").over(Window.partitionBy(by))).where(F.col("_n") >= q)
     return g.groupBy(by, "grp").agg(F.avg(y).alias("r"))
 

@@ -9,10 +9,15 @@ from pyspark.sql import functions as F
 def sample_skewness(c: str) -> Column:
     """Bias-corrected skewness; null below three values."""
     n = F.count(c).cast("double")
-    return F.when(n > 2, F.skewness(c) * F.sqrt(n * (n - 1)) / (n - 2))
+    return F.when((n > 2) & (F.stddev_pop(c) > 0), F.skewness(c) * F.sqrt(n * (n - 1)) / (n - 2))
 
 
 def sample_kurtosis(c: str) -> Column:
     """Bias-corrected excess kurtosis; null below four values."""
     n = F.count(c).cast("double")
-    return F.when(n > 3, ((n + 1) * F.kurtosis(c) + 6) * (n - 1) / ((n - 2) * (n - 3)))
+    return F.when((n > 3) & (F.stddev_pop(c) > 0), ((n + 1) * F.kurtosis(c) + 6) * (n - 1) / ((n - 2) * (n - 3)))
+
+
+def safe_corr(x: str, y: str) -> Column:
+    """Pearson correlation; null, not an error, where a side does not vary."""
+    return F.when((F.stddev_pop(x) > 0) & (F.stddev_pop(y) > 0), F.corr(x, y))

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quantloom.operators import xsec
-from quantloom.operators.stats import sample_kurtosis, sample_skewness
+from quantloom.operators.stats import safe_corr, sample_kurtosis, sample_skewness
 from quantloom.plans.base import DAILY, PANEL, REPORTS, daily, price_panel, query, reports, table
 
 LINE = ("l_orderkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate")
@@ -75,7 +75,7 @@ def a12(spark, sf):
 
 @query("a13_correlation", f"WITH {PANEL} SELECT code, round(corr(vol, amount), 6) AS r FROM panel GROUP BY 1")
 def a13(spark, sf):
-    return price_panel(spark, sf).groupBy("code").agg(F.round(F.corr("vol", "amount"), 6).alias("r"))
+    return price_panel(spark, sf).groupBy("code").agg(F.round(safe_corr("vol", "amount"), 6).alias("r"))
 
 
 @query("a14_mean_of_means", f"WITH {REPORTS} SELECT kind, round(avg(m), 4) AS m FROM (SELECT kind, code, avg(value) AS m FROM reports GROUP BY 1, 2) GROUP BY 1")

@@ -1 +1,135 @@
+"""Data-quality plans C01-C18 over the proxies."""
 
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from quantloom.operators import ts
+from quantloom.operators.checks import Check, profile, run_checks, same_rows
+from quantloom.operators.stats import safe_corr, sample_skewness
+from quantloom.plans.base import CALENDAR, DAILY, PANEL, REPORTS, calendar, daily, flows, price_panel, query, reports, table
+from quantloom.plans.detail import FLOWS
+from quantloom.plans.labels import RET, labelled
+
+W = ts.per_code
+P = "PARTITION BY code ORDER BY d"
+
+
+def checks_sql(ctes: str, source: str, rules: list[tuple[str, str, float, str, str]]) -> str:
+    """The twin of ``run_checks``: (name, broken, limit, severity, among)."""
+    parts = [f"SELECT '{n}' AS name, '{s}' AS sev, count(*) FILTER (coalesce({b}, false) AND coalesce({a}, false)) AS n, count(*) FILTER (coalesce({a}, false)) AS total, {lim}::DOUBLE AS lim FROM {source}" for n, b, lim, s, a in rules]
+    return f"WITH {ctes}, u AS ({' UNION ALL '.join(parts)}), v AS (SELECT *, coalesce(n::DOUBLE / nullif(total, 0), 0) AS value FROM u) SELECT name, CASE WHEN value <= lim THEN 'PASS' ELSE sev END AS severity, (value <= lim)::BIGINT AS passed, n, round(value, 8) AS value FROM v"
+
+
+def register(name, ctes, source, frame, rules):
+    """A plan and its twin from rules in the SQL that both engines read."""
+
+    @query(name, checks_sql(ctes, source, rules))
+    def plan(spark, sf):
+        return run_checks(frame(spark, sf), [Check(n, F.expr(b), lim, s, F.expr(a)) for n, b, lim, s, a in rules])
+
+    return plan
+
+
+def _returns(spark, sf):
+    return price_panel(spark, sf).withColumn("r", F.try_divide(F.col("close"), F.lag("close").over(W())) - 1)
+
+
+R = f"{PANEL}, x AS (SELECT *, close / nullif(lag(close) OVER ({P}), 0) - 1 AS r FROM panel)"
+register("c01_generic_rules", "l AS (SELECT * FROM lineitem)", "l", lambda s, d: table(s, d, "lineitem"), [
+    ("null rate", "l_quantity IS NULL", 0, "ERROR", "true"), ("range", "NOT l_discount BETWEEN 0 AND 0.08", 0.1, "WARNING", "true"), ("positive", "l_extendedprice <= 0", 0, "CRITICAL", "true"), ("domain", "l_returnflag NOT IN ('A', 'N', 'R')", 0, "ERROR", "true")])
+
+
+@query("c02_keys_and_dates", "SELECT 'duplicates' AS name, (SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1))::BIGINT AS value UNION ALL SELECT 'weekend', count(*) FILTER (dayofweek(l_shipdate) IN (0, 6)) FROM lineitem UNION ALL SELECT 'days', count(DISTINCT CAST(l_shipdate AS DATE)) FROM lineitem")
+def c02(spark, sf):
+    line = table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_shipdate")
+    dup = line.groupBy("l_orderkey", "l_linenumber").count().where("count > 1").agg(F.coalesce(F.sum("count"), F.lit(0)).alias("value")).select(F.lit("duplicates").alias("name"), "value")
+    day = F.col("l_shipdate").cast("date")
+    both = line.agg(F.count_if(F.dayofweek(day).isin(1, 7)).alias("w"), F.count_distinct(day).alias("d"))
+    return dup.union(both.select(F.explode(F.array(F.struct(F.lit("weekend").alias("name"), F.col("w").alias("value")), F.struct(F.lit("days").alias("name"), F.col("d").alias("value")))).alias("x")).select("x.*"))
+
+
+def _profile_sql(cols, extended=False):
+    more = ", count(*) FILTER ({c}::DOUBLE = 0) AS zeros, round(skewness({c}), 4) AS skew, round(kurtosis({c}), 4) AS kurt" if extended else ""
+    one = "SELECT '{c}' AS \"column\", count({c}) AS n, count(*) FILTER ({c} IS NULL) AS nulls, count(DISTINCT {c}) AS kinds, min({c})::DOUBLE AS lo, max({c})::DOUBLE AS hi, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, round(quantile_cont({c}::DOUBLE, 0.5), 4) AS median" + more + " FROM lineitem"
+    return " UNION ALL ".join(one.format(c=c) for c in cols)
+
+
+@query("c03_profile", _profile_sql(["l_quantity", "l_extendedprice", "l_discount"]))
+def c03(spark, sf):
+    return profile(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])
+
+
+@query("c04_extended_profile", _profile_sql(["l_quantity", "l_tax"], True))
+def c04(spark, sf):
+    return profile(table(spark, sf, "lineitem"), ["l_quantity", "l_tax"], extended=True)
+
+
+register("c05_price_rules", R, "x", _returns, [
+    ("high is highest", "high < greatest(low, open, close)", 0, "CRITICAL", "true"), ("low is lowest", "low > least(high, open, close)", 0, "CRITICAL", "true"), ("positive", "close <= 0", 0, "CRITICAL", "true"), ("jump", "abs(r) > 1", 0.2, "ERROR", "r IS NOT NULL"), ("implied price", "abs(amount / vol / close - 1) > 0.2", 0.01, "WARNING", "vol > 0")])
+register("c06_fundamental_rules", REPORTS, "reports", reports, [
+    ("extreme", "value > 1000000", 0.001, "WARNING", "true"), ("negative", "value < 0", 0, "ERROR", "true"), ("cold start", "value IS NULL", 0, "INFO", "ann < DATE '1996-01-01'")])
+register("c07_status_rules", "s AS (SELECT *, CASE o_orderstatus WHEN 'F' THEN 0.1 WHEN 'O' THEN 0.2 ELSE 0.15 END AS ratio FROM orders)", "s", lambda s, d: table(s, d, "orders").withColumn("ratio", F.expr("CASE o_orderstatus WHEN 'F' THEN 0.1 WHEN 'O' THEN 0.2 ELSE 0.15 END")), [
+    ("limit ratio", "ratio NOT IN (0.05, 0.1, 0.2, 0.3, 1.0)", 0.01, "ERROR", "true"), ("boards", "o_orderpriority IS NULL", 0, "ERROR", "true")])
+register("c08_flow_rules", FLOWS, "flows", flows, [
+    ("non-negative", "purchase < 0 OR click < 0", 0, "ERROR", "true"), ("nonzero", "purchase = 0", 0.5, "WARNING", "true")])
+register("c09_report_lag_rules", REPORTS, "reports", reports, [
+    ("leak", "period_end > ann", 0, "CRITICAL", "true"), ("strict lag", "period_end >= ann", 0, "CRITICAL", "true"), ("whole", "o_orderkey <> floor(o_orderkey)", 0, "ERROR", "true")])
+register("c10_event_rules", FLOWS, "flows", flows, [
+    ("range", "error < 0 OR error > 1000", 0, "ERROR", "true"), ("sparsity", "signup > 0", 0.9, "INFO", "true")])
+
+
+def _series(spark, sf):
+    w = Window.orderBy("d")
+    return daily(spark, sf).withColumn("gap", F.datediff("d", F.lag("d").over(w))).withColumn("jump", F.abs(ts.pct_change(F.col("total"), w)))
+
+
+register("c11_macro_rules", f"{DAILY}, x AS (SELECT *, date_diff('day', lag(d) OVER (ORDER BY d), d) AS gap, abs((total - lag(total) OVER (ORDER BY d)) / nullif(lag(total) OVER (ORDER BY d), 0)) AS jump FROM daily)", "x", _series, [
+    ("nulls", "total IS NULL OR mean IS NULL", 0, "ERROR", "true"), ("gap", "gap > 7", 0, "WARNING", "gap IS NOT NULL"), ("jump", "jump > 0.5", 0.01, "WARNING", "jump IS NOT NULL"), ("magnitude", "total < 100000", 0.05, "WARNING", "true")])
+register("c12_category_rules", "c AS (SELECT * FROM customer)", "c", lambda s, d: table(s, d, "customer"), [
+    ("unknown", "c_nationkey IS NULL OR c_nationkey = -1", 0.01, "ERROR", "true"), ("range", "NOT c_nationkey BETWEEN 0 AND 31", 0, "ERROR", "true")])
+
+
+@query("c13_cross_table", f"WITH {PANEL}, {DAILY} SELECT (SELECT count(*) FROM (SELECT DISTINCT d FROM panel EXCEPT SELECT d FROM daily)) AS days_missing, (SELECT count(*) FROM (SELECT code FROM panel GROUP BY code HAVING count(*) >= 100 AND corr(vol, amount) > 0)) AS positive, (SELECT count(*) FROM panel JOIN daily USING (d)) AS covered")
+def c13(spark, sf):
+    p, m = price_panel(spark, sf), daily(spark, sf)
+    days = p.select("d").subtract(m.select("d")).agg(F.count("*").alias("days_missing"))
+    pos = p.groupBy("code").agg(F.count("*").alias("k"), safe_corr("vol", "amount").alias("r")).where("k >= 100 and r > 0").agg(F.count("*").alias("positive"))
+    return days.join(pos, how="cross").join(p.join(F.broadcast(m), "d").agg(F.count("*").alias("covered")), how="cross")  # one row each
+
+
+register("c14_merged_rules", R, "x", _returns, [
+    ("return range", "NOT r BETWEEN -0.9 AND 10", 0.01, "WARNING", "r IS NOT NULL"), ("core fields", "close IS NULL OR vol IS NULL", 0, "CRITICAL", "true"), ("vwap near close", "abs(amount / vol / close - 1) > 0.5", 0.01, "INFO", "vol > 0")])
+
+
+@query("c15_label_rules", f"WITH {RET}, x AS (SELECT code, r5, vol, row_number() OVER (PARTITION BY code ORDER BY d DESC) AS k FROM lab) SELECT count(*) FILTER (r5 IS NULL AND k > 5) AS early_nulls, count(*) FILTER (r5 IS NULL AND k <= 5) AS tail_nulls, round(abs(corr(vol, r5)), 6) AS leak FROM x")
+def c15(spark, sf):
+    k = F.row_number().over(Window.partitionBy("code").orderBy(F.desc("d")))
+    x = labelled(spark, sf).withColumn("k", k)
+    none = F.col("r5").isNull()
+    return x.agg(F.count_if(none & (F.col("k") > 5)).alias("early_nulls"), F.count_if(none & (F.col("k") <= 5)).alias("tail_nulls"), F.round(F.abs(safe_corr("vol", "r5")), 6).alias("leak"))
+
+
+@query("c16_sequence_rules", f"WITH {PANEL}, z AS (SELECT (vol - avg(vol) OVER (PARTITION BY d)) / coalesce(nullif(stddev_samp(vol) OVER (PARTITION BY d), 0), 1e-10) AS z, date_diff('day', lag(d) OVER ({P}), d) AS gap FROM panel) SELECT round(max(abs(z)), 5) AS top, round(abs(avg(z)), 4) AS mean, round(stddev_samp(z), 5) AS std, max(gap)::BIGINT AS gap FROM z")
+def c16(spark, sf):
+    from quantloom.operators.xsec import zscore
+
+    z = price_panel(spark, sf).select(zscore(F.col("vol"), "d").alias("z"), F.datediff("d", F.lag("d").over(W())).alias("gap"))
+    return z.agg(F.round(F.max(F.abs("z")), 5).alias("top"), F.round(F.abs(F.avg("z")), 4).alias("mean"), F.round(F.stddev_samp("z"), 5).alias("std"), F.max("gap").cast("long").alias("gap"))
+
+
+@query("c17_tree_rules", f"WITH {RET} SELECT count(*) AS n, count(r5) AS labelled, round(skewness(amount), 4) AS skew, (abs(avg(vol)) > 1)::BIGINT AS raw_scale FROM lab")
+def c17(spark, sf):
+    return labelled(spark, sf).agg(F.count("*").alias("n"), F.count("r5").alias("labelled"), F.round(sample_skewness("amount"), 4).alias("skew"), (F.abs(F.avg("vol")) > 1).cast("long").alias("raw_scale"))
+
+
+@query("c18_same_rows", "SELECT 'left' AS side, (SELECT count(*) FROM (SELECT * FROM orders EXCEPT ALL SELECT * FROM orders WHERE o_orderkey % 10 > 0)) AS n UNION ALL SELECT 'right', 0")
+def c18(spark, sf):
+    o = table(spark, sf, "orders")
+    return same_rows(o, o.where("o_orderkey % 10 > 0"))
+
+
+@query("c19_calendar_coverage", f"WITH {CALENDAR}, {PANEL} SELECT count(*) AS missing FROM calendar WHERE is_open = 1 AND cal_date NOT IN (SELECT d FROM panel)")
+def c19(spark, sf):
+    return calendar(spark, sf).where("is_open = 1").join(price_panel(spark, sf).select("d").distinct(), F.col("cal_date") == F.col("d"), "left_anti").agg(F.count("*").alias("missing"))

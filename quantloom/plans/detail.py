@@ -10,7 +10,7 @@ from quantloom.operators import joins as J
 from quantloom.operators import ts, xsec
 from quantloom.plans.base import CALENDAR, DAILY, INTERVALS, OPEN_DAYS, PANEL, REPORTS, calendar, daily, flows, intervals, open_days, price_panel, query, reports, table
 
-W = ts.per_code()
+W = ts.per_code
 P = "PARTITION BY code ORDER BY d"
 
 
@@ -28,7 +28,7 @@ def _r(c, k=6):
   round(CASE WHEN vol <= 10 THEN 0 WHEN pre_close * adj > 0 THEN close * adj / (pre_close * adj) - 1 END, 8) AS return_1d, (vol > 10)::BIGINT AS is_trading FROM j""")
 def d01(spark, sf):
     adj = table(spark, sf, "part", "p_partkey", "p_size").select(F.col("p_partkey").alias("code"), (F.col("p_size") / 10.0).alias("adj"))
-    p = price_panel(spark, sf).withColumn("pre_close", F.lag("close").over(W)).join(adj, "code", "left").na.fill({"adj": 1.0, "vol": 0, "amount": 0})
+    p = price_panel(spark, sf).withColumn("pre_close", F.lag("close").over(W())).join(adj, "code", "left").na.fill({"adj": 1.0, "vol": 0, "amount": 0})
     p = p.withColumn("amount", F.col("amount") * 1000).withColumn("pre", F.col("pre_close") * F.col("adj")).withColumn("hfq", F.col("close") * F.col("adj"))
     ret = F.when(F.col("vol") <= 10, 0.0).when(F.col("pre") > 0, F.try_divide("hfq", "pre") - 1)
     vwap = F.when(F.col("vol") > 0, F.try_divide(F.col("amount"), F.col("vol") * 100))
@@ -40,15 +40,15 @@ SELECT code, d, close, CASE WHEN count(close) {_frame(5)} = 5 THEN round(avg(clo
   CASE WHEN count(r) {_frame(5)} = 5 THEN round(stddev_samp(r) {_frame(5)}, 6) END AS volatility_5, round(lead(close, 5) OVER ({P}) / nullif(close, 0) - 1, 8) AS ret_5d FROM x""")
 def d01_features(spark, sf):
     c, r = F.col("close"), F.col("r")
-    p = price_panel(spark, sf).withColumn("r", ts.pct_change(c, W))
-    return p.select("code", "d", "close", _r(ts.rolling_mean(c, W, 5)).alias("ma_5"), _r(F.try_divide(c, F.lag("close", 5).over(W)) - 1, 8).alias("roc_5"), _r(ts.rolling_std(r, W, 5)).alias("volatility_5"), _r(ts.forward_return(c, W, 5), 8).alias("ret_5d"))
+    p = price_panel(spark, sf).withColumn("r", ts.pct_change(c, W()))
+    return p.select("code", "d", "close", _r(ts.rolling_mean(c, W(), 5)).alias("ma_5"), _r(F.try_divide(c, F.lag("close", 5).over(W())) - 1, 8).alias("roc_5"), _r(ts.rolling_std(r, W(), 5)).alias("volatility_5"), _r(ts.forward_return(c, W(), 5), 8).alias("ret_5d"))
 
 
 def _status(spark, sf):
     p = price_panel(spark, sf).where("code <= 20")
     listed = p.groupBy("code").agg(F.min("d").alias("list_date"))
     s = J.skeleton(open_days(spark, sf), p.select("code")).join(p.select("code", "d", "close"), ["code", "d"], "left").join(listed, "code")
-    s = s.withColumn("last", ts.ffill("close", W)).withColumn("pre", F.lag("last").over(W)).withColumn("age", F.datediff("d", "list_date"))
+    s = s.withColumn("last", ts.ffill("close", W())).withColumn("pre", F.lag("last").over(W())).withColumn("age", F.datediff("d", "list_date"))
     ratio = F.when(F.col("age") < 5, 1.0).when(F.col("code") % 3 == 0, 0.2).when(F.col("code") % 3 == 1, 0.1).otherwise(0.05)
     return s.withColumn("limit_ratio", ratio)
 
@@ -103,7 +103,7 @@ def _pit(spark, sf):
 
 @query("d05_point_in_time", f"WITH {PIT} SELECT code, d, last_value(value IGNORE NULLS) OVER ({P} ROWS UNBOUNDED PRECEDING) AS value, last_value(period_end IGNORE NULLS) OVER ({P} ROWS UNBOUNDED PRECEDING) AS report_date FROM g")
 def d05(spark, sf):
-    return _pit(spark, sf).select("code", "d", ts.ffill("value", W).alias("value"), ts.ffill("period_end", W).alias("report_date"))
+    return _pit(spark, sf).select("code", "d", ts.ffill("value", W()).alias("value"), ts.ffill("period_end", W()).alias("report_date"))
 
 
 @query("d06_holder_change", f"WITH {REPORTS}, l AS (SELECT * FROM reports QUALIFY row_number() OVER (PARTITION BY code, ann ORDER BY period_end DESC, o_orderkey DESC) = 1) SELECT code, ann, round(value - lag(value) OVER w, 2) AS chg, round((value - lag(value) OVER w) / nullif(lag(value) OVER w, 0), 8) AS chg_pct FROM l WINDOW w AS (PARTITION BY code ORDER BY ann)")
@@ -115,7 +115,7 @@ def d06(spark, sf):
 
 @query("d07_report_lag", f"WITH {PIT}, f AS (SELECT code, d, last_value(period_end IGNORE NULLS) OVER ({P} ROWS UNBOUNDED PRECEDING) AS e FROM g) SELECT code, d, date_diff('day', e, d)::BIGINT AS lag_days FROM f")
 def d07(spark, sf):
-    return _pit(spark, sf).select("code", "d", F.datediff("d", ts.ffill("period_end", W)).cast("long").alias("lag_days"))
+    return _pit(spark, sf).select("code", "d", F.datediff("d", ts.ffill("period_end", W())).cast("long").alias("lag_days"))
 
 
 @query("d08_concentration", f"WITH {REPORTS}, r AS (SELECT code, value, row_number() OVER (PARTITION BY code ORDER BY value DESC, o_orderkey) AS rn, sum(value) OVER (PARTITION BY code) AS t FROM reports) SELECT code, round(sum(value) FILTER (rn <= 3) / nullif(max(t), 0), 8) AS top3, round(max(value) / nullif(max(t), 0), 8) AS top1 FROM r GROUP BY 1")
@@ -138,7 +138,7 @@ def d09(spark, sf):
 @query("d10_flow_assembly", f"WITH {FLOWS}, {PANEL} SELECT code, d, coalesce(purchase, 0) AS purchase, coalesce(n, 0)::BIGINT AS n, coalesce(last_value(f.view IGNORE NULLS) OVER ({P} ROWS UNBOUNDED PRECEDING), 0) AS balance FROM (SELECT code, d + INTERVAL 8760 DAY AS d FROM (SELECT DISTINCT code, d FROM panel)) x LEFT JOIN (SELECT code, d::TIMESTAMP AS d, purchase, n, view FROM flows) f USING (code, d)".replace("SELECT code, d, coalesce(purchase", "SELECT code, CAST(d AS DATE) AS d, coalesce(purchase"))
 def d10(spark, sf):
     days = price_panel(spark, sf).select("code", F.date_add("d", 8760).alias("d"))
-    j = days.join(flows(spark, sf), ["code", "d"], "left").withColumn("balance", ts.ffill("view", W))
+    j = days.join(flows(spark, sf), ["code", "d"], "left").withColumn("balance", ts.ffill("view", W()))
     return j.na.fill(0.0, ["purchase", "balance"]).na.fill(0, ["n"]).select("code", "d", "purchase", "n", "balance")
 
 
@@ -149,7 +149,7 @@ def d11(spark, sf):
     c = calendar(spark, sf)
     e = cal.map_on_or_after(reports(spark, sf).where("code < 60"), c, "ann", "d").groupBy("code", "d").agg(F.lit(1).alias("flag"), F.sum("value").alias("amount"))
     g = J.skeleton(c.where("is_open = 1").select(F.col("cal_date").alias("d")), e.select("code")).join(e, ["code", "d"], "left").na.fill(0, ["flag"]).na.fill(0.0, ["amount"])
-    return g.select("code", "d", F.col("flag").cast("long").alias("is_ann"), F.round("amount", 2).alias("amount"), ts.trailing_any(F.col("flag"), W, 30).cast("long").alias("in_window"))
+    return g.select("code", "d", F.col("flag").cast("long").alias("is_ann"), F.round("amount", 2).alias("amount"), ts.trailing_any(F.col("flag"), W(), 30).cast("long").alias("in_window"))
 
 
 @query("d12_category_history", f"WITH {INTERVALS}, k AS (SELECT kind, row_number() OVER (ORDER BY kind) - 1 AS idx FROM (SELECT DISTINCT kind FROM reports)) SELECT code, start, idx::BIGINT AS idx, coalesce(lag(i.kind) OVER w <> i.kind, false)::BIGINT AS changed FROM intervals i JOIN k USING (kind) WINDOW w AS (PARTITION BY code ORDER BY start, o_orderkey)")
@@ -166,7 +166,7 @@ def ordinal_codes(df, c, out):
 
 @query("d13_benchmark", f"WITH {PANEL} SELECT code, d, round((high - low) / nullif(lag(close) OVER ({P}), 0) * 100, 6) AS amplitude, round(amount / avg(amount) OVER (PARTITION BY code), 6) AS turnover FROM panel")
 def d13(spark, sf):
-    return price_panel(spark, sf).select("code", "d", _r(F.try_divide(F.col("high") - F.col("low"), F.lag("close").over(W)) * 100).alias("amplitude"), _r(F.try_divide(F.col("amount"), F.avg("amount").over(Window.partitionBy("code")))).alias("turnover"))
+    return price_panel(spark, sf).select("code", "d", _r(F.try_divide(F.col("high") - F.col("low"), F.lag("close").over(W())) * 100).alias("amplitude"), _r(F.try_divide(F.col("amount"), F.avg("amount").over(Window.partitionBy("code")))).alias("turnover"))
 
 
 @query("d14_basis", f"WITH {PANEL}, a AS (SELECT d, max({{'v': vol, 'c': -code}}).c * -1 AS lead_code, sum(vol) AS oi FROM panel GROUP BY 1) SELECT a.d, lead_code, oi, round((p.close - m.mean) / nullif(m.mean, 0), 6) AS basis FROM a JOIN panel p ON p.code = lead_code AND p.d = a.d LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS d, round(avg(o_totalprice), 6) AS mean FROM orders GROUP BY 1) m ON m.d = a.d")
@@ -200,24 +200,24 @@ def d17(spark, sf):
 
 @query("e01_moving_averages", f"WITH {PANEL} SELECT code, d, " + ", ".join(f"CASE WHEN count(close) {_frame(n)} = {n} THEN round(avg(close) {_frame(n)}, 6) END AS ma_{n}" for n in (5, 10, 20, 60, 120, 250)) + " FROM panel")
 def e01(spark, sf):
-    return price_panel(spark, sf).select("code", "d", *[_r(ts.rolling_mean(F.col("close"), W, n)).alias(f"ma_{n}") for n in (5, 10, 20, 60, 120, 250)])
+    return price_panel(spark, sf).select("code", "d", *[_r(ts.rolling_mean(F.col("close"), W(), n)).alias(f"ma_{n}") for n in (5, 10, 20, 60, 120, 250)])
 
 
 @query("e02_bias", f"WITH {PANEL}, m AS (SELECT code, d, close, CASE WHEN count(close) {_frame(20)} = 20 THEN avg(close) {_frame(20)} END AS ma FROM panel) SELECT code, d, round((close - ma) / nullif(ma, 0), 7) AS bias_20 FROM m")
 def e02(spark, sf):
-    m = price_panel(spark, sf).withColumn("ma", ts.rolling_mean(F.col("close"), W, 20))
+    m = price_panel(spark, sf).withColumn("ma", ts.rolling_mean(F.col("close"), W(), 20))
     return m.select("code", "d", _r(F.try_divide(F.col("close") - F.col("ma"), F.col("ma")), 7).alias("bias_20"))
 
 
 @query("e03_rate_of_change", f"WITH {PANEL} SELECT code, d, " + ", ".join(f"round(close / nullif(lag(close, {n}) OVER ({P}), 0) - 1, 8) AS roc_{n}" for n in (5, 10, 20)) + " FROM panel")
 def e03(spark, sf):
-    return price_panel(spark, sf).select("code", "d", *[_r(F.try_divide(F.col("close"), F.lag("close", n).over(W)) - 1, 8).alias(f"roc_{n}") for n in (5, 10, 20)])
+    return price_panel(spark, sf).select("code", "d", *[_r(F.try_divide(F.col("close"), F.lag("close", n).over(W())) - 1, 8).alias(f"roc_{n}") for n in (5, 10, 20)])
 
 
 @query("e04_rsi", f"""WITH {PANEL}, m AS (SELECT code, d, close - lag(close) OVER ({P}) AS v FROM panel), g AS (SELECT code, d, CASE WHEN v IS NOT NULL THEN greatest(v, 0) END AS g, CASE WHEN v IS NOT NULL THEN greatest(-v, 0) END AS l FROM m),
 a AS (SELECT code, d, CASE WHEN count(g) {_frame(6)} = 6 THEN avg(g) {_frame(6)} END AS g, CASE WHEN count(l) {_frame(6)} = 6 THEN avg(l) {_frame(6)} END AS l FROM g) SELECT code, d, round(100 - 100 / (1 + g / (l + 1e-10)), 4) AS rsi_6 FROM a""")
 def e04(spark, sf):
-    out = price_panel(spark, sf).transform(ts.rsi(F.col("close"), W, 6))
+    out = price_panel(spark, sf).transform(ts.rsi(F.col("close"), W(), 6))
     return out.select("code", "d", F.round("rsi_6", 4).alias("rsi_6"))
 
 
@@ -231,18 +231,18 @@ def e05(spark, sf):
 
 @query("e06_volatility", f"WITH {PANEL}, x AS (SELECT code, d, close / nullif(lag(close) OVER ({P}), 0) - 1 AS r FROM panel) SELECT code, d, CASE WHEN count(r) {_frame(20)} = 20 THEN round(stddev_samp(r) {_frame(20)}, 6) END AS vol_20 FROM x")
 def e06(spark, sf):
-    return price_panel(spark, sf).withColumn("r", F.try_divide(F.col("close"), F.lag("close").over(W)) - 1).select("code", "d", _r(ts.rolling_std(F.col("r"), W, 20)).alias("vol_20"))
+    return price_panel(spark, sf).withColumn("r", F.try_divide(F.col("close"), F.lag("close").over(W())) - 1).select("code", "d", _r(ts.rolling_std(F.col("r"), W(), 20)).alias("vol_20"))
 
 
 @query("e07_amplitude", f"WITH {PANEL}, x AS (SELECT code, d, (high - low) / nullif(lag(close) OVER ({P}), 0) AS a FROM panel) SELECT code, d, round(a, 7) AS amplitude, CASE WHEN count(a) {_frame(10)} = 10 THEN round(avg(a) {_frame(10)}, 7) END AS amplitude_10 FROM x")
 def e07(spark, sf):
-    x = price_panel(spark, sf).withColumn("a", F.try_divide(F.col("high") - F.col("low"), F.lag("close").over(W)))
-    return x.select("code", "d", _r(F.col("a"), 7).alias("amplitude"), _r(ts.rolling_mean(F.col("a"), W, 10), 7).alias("amplitude_10"))
+    x = price_panel(spark, sf).withColumn("a", F.try_divide(F.col("high") - F.col("low"), F.lag("close").over(W())))
+    return x.select("code", "d", _r(F.col("a"), 7).alias("amplitude"), _r(ts.rolling_mean(F.col("a"), W(), 10), 7).alias("amplitude_10"))
 
 
 @query("e08_volume_ratio", f"WITH {PANEL} SELECT code, d, CASE WHEN count(vol) {_frame(5)} = 5 THEN round(vol / nullif(avg(vol) {_frame(5)}, 0), 7) END AS volume_ratio FROM panel")
 def e08(spark, sf):
-    return price_panel(spark, sf).select("code", "d", _r(F.try_divide(F.col("vol"), ts.rolling_mean(F.col("vol"), W, 5)), 7).alias("volume_ratio"))
+    return price_panel(spark, sf).select("code", "d", _r(F.try_divide(F.col("vol"), ts.rolling_mean(F.col("vol"), W(), 5)), 7).alias("volume_ratio"))
 
 
 @query("e09_logs", f"WITH {PANEL} SELECT code, d, round(ln(1 + greatest(amount, 0)), 8) AS log_amount, round(ln(1 + greatest(vol, 0)), 8) AS log_vol FROM panel")
@@ -269,7 +269,7 @@ def e12(spark, sf):
 
 def relative_strength(panel, benchmark, bench_scale: float = 0.01):
     """Return less the benchmark's; ``bench_scale`` turns its percent into a fraction (1.0: as they come)."""
-    ret = F.try_divide(F.col("close"), F.lag("close").over(W)) - 1
+    ret = F.try_divide(F.col("close"), F.lag("close").over(W())) - 1
     return panel.withColumn("ret", ret).join(F.broadcast(benchmark), "d", "left").withColumn("alpha", F.col("ret") - F.coalesce("pct", F.lit(0.0)) * F.lit(bench_scale))
 
 
@@ -290,13 +290,13 @@ def e14(spark, sf):
 
 @query("e15_rolling_beta", f"WITH {PANEL} SELECT code, d, CASE WHEN count(vol) {_frame(60)} = 60 THEN round(regr_slope(amount, vol) {_frame(60)}, 4) END AS beta FROM panel")
 def e15(spark, sf):
-    f = W.rowsBetween(-59, 0)
-    return price_panel(spark, sf).select("code", "d", F.when(F.count("vol").over(f) == 60, F.round(F.regr_slope("amount", "vol").over(f), 4)).alias("beta"))
+    f = W().rowsBetween(-59, 0)
+    return price_panel(spark, sf).select("code", "d", F.when((F.count("vol").over(f) == 60) & (F.stddev_pop("vol").over(f) > 0), F.round(F.regr_slope("amount", "vol").over(f), 4)).alias("beta"))
 
 
 @query("q01_price_clean", f"WITH {PANEL}, x AS (SELECT code, d, vol, close / nullif(lag(close) OVER ({P}), 0) - 1 AS r FROM panel) SELECT code, d, CASE WHEN r IS NOT NULL THEN round(least(greatest(r, -0.3), 1.0), 8) END AS r, (vol > 0)::BIGINT AS is_trading FROM x")
 def q01(spark, sf):
-    r = F.try_divide(F.col("close"), F.lag("close").over(W)) - 1
+    r = F.try_divide(F.col("close"), F.lag("close").over(W())) - 1
     return price_panel(spark, sf).withColumn("r", r).select("code", "d", _r(xsec.clip(F.col("r"), -0.3, 1.0), 8).alias("r"), (F.col("vol") > 0).cast("long").alias("is_trading"))
 
 
@@ -348,8 +348,8 @@ def q08(spark, sf):
 SELECT code, d, round(m, 6) AS ma20, CASE WHEN n = 20 THEN round(m + 2 * s, 5) END AS boll_up, CASE WHEN n = 20 THEN round(m - 2 * s, 5) END AS boll_low, round((close - lo) / nullif(hi - lo, 0) * 100, 6) AS rsv FROM x""")
 def k01(spark, sf):
     c = F.col("close")
-    m, s = ts.rolling_mean(c, W, 20, 1), ts.rolling_std(c, W, 20)
-    lo, hi = ts.rolling(F.min, F.col("low"), W, 9, 1), ts.rolling(F.max, F.col("high"), W, 9, 1)
+    m, s = ts.rolling_mean(c, W(), 20, 1), ts.rolling_std(c, W(), 20)
+    lo, hi = ts.rolling(F.min, F.col("low"), W(), 9, 1), ts.rolling(F.max, F.col("high"), W(), 9, 1)
     return price_panel(spark, sf).select("code", "d", _r(m).alias("ma20"), F.round(m + 2 * s, 5).alias("boll_up"), F.round(m - 2 * s, 5).alias("boll_low"), _r(F.try_divide(c - lo, hi - lo) * 100).alias("rsv"))
 
 

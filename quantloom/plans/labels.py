@@ -8,21 +8,22 @@ from pyspark.sql import functions as F
 from quantloom import schema as S
 from quantloom.operators import evaluation as E
 from quantloom.operators import ts, xsec
+from quantloom.operators.stats import safe_corr
 from quantloom.plans.base import PANEL, open_days, price_panel, query
 
-W = ts.per_code()
+W = ts.per_code
 P = "PARTITION BY code ORDER BY d"
 RET = f"{PANEL}, lab AS (SELECT code, d, close, vol, amount, CASE WHEN lead(close, 5) OVER ({P}) IS NOT NULL THEN round(least(greatest(lead(close, 5) OVER ({P}) / nullif(close, 0) - 1, -0.5), 0.5), 8) END AS r5 FROM panel)"
 
 
 def labelled(spark, sf):
-    r = xsec.clip(ts.forward_return(F.col("close"), W, 5), -0.5, 0.5)
+    r = xsec.clip(ts.forward_return(F.col("close"), W(), 5), -0.5, 0.5)
     return price_panel(spark, sf).select("code", "d", "close", "vol", "amount", F.round(r, 8).alias("r5"))
 
 
 @query("l01_forward_returns", f"WITH {PANEL} SELECT code, d, " + ", ".join(f"round(lead(close, {k}) OVER ({P}) / nullif(close, 0) - 1, 8) AS ret_{k}d" for k in (1, 5, 10, 20)) + " FROM panel")
 def l01(spark, sf):
-    return price_panel(spark, sf).select("code", "d", *[F.round(ts.forward_return(F.col("close"), W, k), 8).alias(f"ret_{k}d") for k in (1, 5, 10, 20)])
+    return price_panel(spark, sf).select("code", "d", *[F.round(ts.forward_return(F.col("close"), W(), k), 8).alias(f"ret_{k}d") for k in (1, 5, 10, 20)])
 
 
 @query("l02_clipped_returns", f"WITH {RET} SELECT code, d, r5 FROM lab")
@@ -32,7 +33,7 @@ def l02(spark, sf):
 
 @query("l03_invalid_samples", f"WITH {RET} SELECT code, d, CASE WHEN coalesce(sum((vol < 10)::INTEGER) OVER ({P} ROWS BETWEEN 1 FOLLOWING AND 5 FOLLOWING), 0) <= 2 THEN r5 END AS r5 FROM lab")
 def l03(spark, sf):
-    return labelled(spark, sf).select("code", "d", F.when(ts.future_sum((F.col("vol") < 10).cast("int"), W, 5) <= 2, F.col("r5")).alias("r5"))
+    return labelled(spark, sf).select("code", "d", F.when(ts.future_sum((F.col("vol") < 10).cast("int"), W(), 5) <= 2, F.col("r5")).alias("r5"))
 
 
 @query("l04_three_classes", f"WITH {RET} SELECT code, d, CASE WHEN r5 IS NULL THEN NULL WHEN r5 < -0.02 THEN 0 WHEN r5 > 0.02 THEN 2 ELSE 1 END::BIGINT AS cls FROM lab")
@@ -55,7 +56,7 @@ def l06(spark, sf):
 
 @query("l07_sharpe_label", f"WITH {RET}, v AS (SELECT code, d, r5, CASE WHEN count(r5) OVER f >= 2 THEN stddev_samp(r5) OVER f END AS v FROM lab WINDOW f AS ({P} ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)) SELECT code, d, CASE WHEN r5 IS NULL THEN NULL WHEN v > 1e-4 THEN round(least(greatest(r5 / v, -10), 10), 5) ELSE 0 END AS sharpe FROM v")
 def l07(spark, sf):
-    x = labelled(spark, sf).withColumn("v", ts.future_std(F.col("r5"), W, 5))
+    x = labelled(spark, sf).withColumn("v", ts.future_std(F.col("r5"), W(), 5))
     s = F.when(F.col("v") > 1e-4, F.round(xsec.clip(F.try_divide("r5", "v"), -10.0, 10.0), 5)).otherwise(0.0)
     return x.select("code", "d", F.when(F.col("r5").isNotNull(), s).alias("sharpe"))
 
@@ -115,7 +116,7 @@ def v02(spark, sf):
 
 @query("v03_sequence_windows", f"WITH {PANEL}, s AS (SELECT code, d, list(vol) OVER ({P} ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS seq FROM panel) SELECT code, d, array_to_string(list_transform(seq, lambda x: x::BIGINT), ',') AS seq FROM s WHERE len(seq) = 10 AND d >= DATE '1999-01-01'")
 def v03(spark, sf):
-    s = price_panel(spark, sf).withColumn("seq", F.collect_list("vol").over(W.rowsBetween(-9, 0)))
+    s = price_panel(spark, sf).withColumn("seq", F.collect_list("vol").over(W().rowsBetween(-9, 0)))
     return s.where((F.size("seq") == 10) & (F.col("d") >= F.lit("1999-01-01").cast("date"))).select("code", "d", F.array_join(F.transform("seq", lambda x: x.cast("long").cast("string")), ",").alias("seq"))
 
 
@@ -197,7 +198,7 @@ def m05(spark, sf):
 @query("m06_monotonicity", f"WITH {GROUPS}, m AS (SELECT grp, avg(r) AS r FROM g GROUP BY 1) SELECT round(corr(grp, k), 6) AS mono FROM (SELECT grp, rank() OVER (ORDER BY r) AS k FROM m)")
 def m06(spark, sf):
     m = _groups(spark, sf).groupBy("grp").agg(F.avg("r").alias("r")).withColumn("k", F.rank().over(Window.orderBy("r")))
-    return m.agg(F.round(F.corr("grp", "k"), 6).alias("mono"))
+    return m.agg(F.round(safe_corr("grp", "k"), 6).alias("mono"))
 
 
 @query("m07_long_short_summary", f"WITH {GROUPS}, s AS (SELECT d, max(r) FILTER (grp = 5) - max(r) FILTER (grp = 1) AS ls FROM g GROUP BY 1) SELECT round(avg(ls), 9) AS mean, round(avg(ls) / stddev_samp(ls) * sqrt(252), 5) AS sharpe FROM s")

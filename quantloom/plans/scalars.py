@@ -7,11 +7,8 @@ from pyspark.sql import functions as F
 from quantloom.functions import scalar as fn
 from quantloom.plans.base import PANEL, REPORTS, price_panel, query, reports, table
 
-ORDER_DAY = F.col("o_orderdate").cast("date")
-
-
 def _orders(spark, sf):
-    return table(spark, sf, "orders", "o_orderkey", "o_orderdate", "o_totalprice", "o_orderpriority", "o_custkey").withColumn("day", ORDER_DAY)
+    return table(spark, sf, "orders", "o_orderkey", "o_orderdate", "o_totalprice", "o_orderpriority", "o_custkey").withColumn("day", F.col("o_orderdate").cast("date"))
 
 
 @query("f01_normalise_date", "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders")

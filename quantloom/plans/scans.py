@@ -1 +1,64 @@
+"""Scans and sinks S01-S14."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quantloom import sources as S
+from quantloom.plans.base import query, table
+
+
+@query("s01_projected_scan", "SELECT l_orderkey, l_quantity FROM lineitem WHERE l_quantity > 45")
+def s01(spark, sf):
+    return S.read_table(spark, f"{sf}/lineitem.parquet", ["l_orderkey", "l_quantity"]).where("l_quantity > 45")
+
+
+@query("s01_missing_path", "SELECT l_orderkey FROM lineitem WHERE false")
+def s01b(spark, sf):
+    return S.read_table(spark, f"{sf}/no_such.parquet", schema="l_orderkey long")
+
+
+@query("s02_directory_union", "SELECT s_suppkey AS id, s_acctbal AS bal, NULL::VARCHAR AS c_mktsegment FROM supplier UNION ALL SELECT n_nationkey, NULL, n_name FROM nation")
+def s02(spark, sf):
+    got = S.read_directory(spark, [f"{sf}/supplier.parquet", f"{sf}/nation.parquet"])
+    return got.select(F.coalesce(F.col("s_suppkey"), F.col("n_nationkey").cast("long")).alias("id"), F.col("s_acctbal").alias("bal"), F.col("n_name").alias("c_mktsegment"))
+
+
+@query("s03_available_columns", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'P'")
+def s03(spark, sf):
+    return S.read_table(spark, f"{sf}/orders.parquet", ["o_orderkey", "absent", "o_orderstatus"]).where("o_orderstatus = 'P'")
+
+
+@query("s04_footer_metadata", "SELECT count(*) AS n, 11::BIGINT AS columns FROM lineitem")
+def s04(spark, sf):
+    line = table(spark, sf, "lineitem")
+    return line.agg(F.count("*").alias("n")).withColumn("columns", F.lit(len(line.columns)).cast("long"))
+
+
+@query("s06_append_distinct", "SELECT DISTINCT n_nationkey, n_name FROM nation")
+def s06(spark, sf):
+    n = table(spark, sf, "nation", "n_nationkey", "n_name")
+    return n.unionByName(n.where("n_nationkey < 5")).dropDuplicates()
+
+
+@query("s08_small_file_union", "SELECT r_regionkey AS k, r_name AS name FROM region UNION ALL SELECT n_nationkey, n_name FROM nation")
+def s08(spark, sf):
+    got = S.read_directory(spark, [f"{sf}/region.parquet", f"{sf}/nation.parquet"])
+    return got.select(F.coalesce("r_regionkey", "n_nationkey").alias("k"), F.coalesce("r_name", "n_name").alias("name"))
+
+
+@query("s09_month_partitions", "SELECT o_orderkey, year(o_orderdate)::BIGINT AS year, month(o_orderdate)::BIGINT AS month FROM orders WHERE year(o_orderdate) = 1997")
+def s09(spark, sf):
+    o = S.by_month(table(spark, sf, "orders", "o_orderkey", "o_orderdate"), "o_orderdate").where("year = 1997")
+    return o.select("o_orderkey", F.col("year").cast("long").alias("year"), F.col("month").cast("long").alias("month"))
+
+
+@query("s10_reference_loader", "SELECT o_custkey AS code, CAST(o_orderdate AS DATE) + 1 AS usable, o_totalprice AS weight FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '5-LOW')")
+def s10(spark, sf):
+    o = table(spark, sf, "orders").where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "5-LOW"))
+    return o.select(F.col("o_custkey").alias("code"), F.date_add(F.col("o_orderdate").cast("date"), 1).alias("usable"), F.col("o_totalprice").alias("weight"))
+
+
+@query("s11_resume", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def s11(spark, sf):
+    return S.pending(table(spark, sf, "documents", "doc_id"), table(spark, sf, "labels"), "doc_id")

@@ -30,7 +30,7 @@ def t02(spark, sf):
     return _docs(spark, sf).groupBy("lang", "source").agg(F.count("*").alias("n"), F.count_if(F.col("t").rlike(BLACK)).alias("removed"))
 
 
-CASE = r"CASE WHEN regexp_matches(t, '(?i)\b(loss|lawsuit|fine|default)\b') THEN -60 WHEN regexp_matches(t, '(?i)\b(profit|growth|award|contract)\b') THEN 60 WHEN regexp_matches(t, '\|') THEN -30 WHEN regexp_matches(t, '(?i)\bthat\b') THEN -20 WHEN regexp_matches(t, '(?i)\b(the|der|la|le)\b') THEN 10 ELSE 0 END"
+CASE = r"CASE WHEN regexp_matches(t, '(?i)(?:^|[^A-Za-z])(loss|lawsuit|fine|default)(?:[^A-Za-z]|$)') THEN -60 WHEN regexp_matches(t, '(?i)(?:^|[^A-Za-z])(profit|growth|award|contract)(?:[^A-Za-z]|$)') THEN 60 WHEN regexp_matches(t, '\|') THEN -30 WHEN regexp_matches(t, '(?i)(?:^|[^A-Za-z])that(?:[^A-Za-z]|$)') THEN -20 WHEN regexp_matches(t, '(?i)(?:^|[^A-Za-z])(the|der|la|le)(?:[^A-Za-z]|$)') THEN 10 ELSE 0 END"
 SCORED = f"scored AS (SELECT doc_id, source, {CASE} AS score FROM (SELECT doc_id, source, coalesce(text, '') AS t FROM documents))"
 
 

@@ -9,7 +9,7 @@ from quantloom.operators import ts, xsec
 from quantloom.operators.joins import keep_latest
 from quantloom.plans.base import CALENDAR, DAILY, OPEN_DAYS, PANEL, REPORTS, calendar, daily, open_days, price_panel, query, reports, table
 
-W = ts.per_code()
+W = ts.per_code
 OVER = "OVER (PARTITION BY code ORDER BY d)"
 
 
@@ -32,7 +32,7 @@ DENSE = f"""{PANEL}, {OPEN_DAYS}, dense AS (
 
 @query("w01_forward_fill", f"WITH {DENSE} SELECT code, d, last_value(close IGNORE NULLS) OVER (PARTITION BY code ORDER BY d ROWS UNBOUNDED PRECEDING) AS close_ff FROM dense")
 def w01(spark, sf):
-    return _dense(spark, sf).select("code", "d", ts.ffill("close", W).alias("close_ff"))
+    return _dense(spark, sf).select("code", "d", ts.ffill("close", W()).alias("close_ff"))
 
 
 @query("w02_calendar_fill", f"WITH {CALENDAR}, {DAILY} SELECT cal_date, last_value(total IGNORE NULLS) OVER (ORDER BY cal_date ROWS UNBOUNDED PRECEDING) AS total_ff FROM calendar LEFT JOIN daily ON daily.d = cal_date")
@@ -44,12 +44,12 @@ def w02(spark, sf):
 @query("w03_lag", f"WITH {PANEL} SELECT code, d, lag(close, 2) {OVER} AS lag2, lag(close) OVER (PARTITION BY code, year(d) ORDER BY d) AS lag_in_year FROM panel")
 def w03(spark, sf):
     y = Window.partitionBy("code", F.year("d")).orderBy("d")
-    return price_panel(spark, sf).select("code", "d", F.lag("close", 2).over(W).alias("lag2"), F.lag("close").over(y).alias("lag_in_year"))
+    return price_panel(spark, sf).select("code", "d", F.lag("close", 2).over(W()).alias("lag2"), F.lag("close").over(y).alias("lag_in_year"))
 
 
 @query("w04_lead", f"WITH {PANEL} SELECT code, d, round(lead(close, 5) {OVER} / nullif(close, 0) - 1, 8) AS ret_5 FROM panel")
 def w04(spark, sf):
-    return price_panel(spark, sf).select("code", "d", F.round(ts.forward_return(F.col("close"), W, 5), 8).alias("ret_5"))
+    return price_panel(spark, sf).select("code", "d", F.round(ts.forward_return(F.col("close"), W(), 5), 8).alias("ret_5"))
 
 
 @query("w05_calendar_shift", f"WITH {DAILY} SELECT d, lag(total) OVER (ORDER BY d) AS total, lag(mean) OVER (ORDER BY d) AS mean, lag(n) OVER (ORDER BY d) AS n FROM daily")
@@ -60,44 +60,44 @@ def w05(spark, sf):
 
 @query("w06_difference", f"WITH {PANEL} SELECT code, d, round(close - lag(close) {OVER}, 7) AS chg FROM panel")
 def w06(spark, sf):
-    return price_panel(spark, sf).select("code", "d", F.round(ts.difference(F.col("close"), W), 7).alias("chg"))
+    return price_panel(spark, sf).select("code", "d", F.round(ts.difference(F.col("close"), W()), 7).alias("chg"))
 
 
 @query("w07_pct_change", f"WITH {PANEL} SELECT code, d, round((close - lag(close, 5) {OVER}) / nullif(lag(close, 5) {OVER}, 0), 8) AS roc_5 FROM panel")
 def w07(spark, sf):
-    return price_panel(spark, sf).select("code", "d", F.round(ts.pct_change(F.col("close"), W, 5), 8).alias("roc_5"))
+    return price_panel(spark, sf).select("code", "d", F.round(ts.pct_change(F.col("close"), W(), 5), 8).alias("roc_5"))
 
 
 @query("w08_rolling_mean", f"WITH {PANEL} SELECT code, d, CASE WHEN count(close) {_frame(20)} = 20 THEN round(avg(close) {_frame(20)}, 6) END AS ma_20 FROM panel")
 def w08(spark, sf):
-    return price_panel(spark, sf).select("code", "d", F.round(ts.rolling_mean(F.col("close"), W, 20), 6).alias("ma_20"))
+    return price_panel(spark, sf).select("code", "d", F.round(ts.rolling_mean(F.col("close"), W(), 20), 6).alias("ma_20"))
 
 
 @query("w09_rolling_std", f"WITH {PANEL} SELECT code, d, CASE WHEN count(close) {_frame(20)} = 20 THEN round(stddev_samp(close) {_frame(20)}, 6) END AS std_20 FROM panel")
 def w09(spark, sf):
-    return price_panel(spark, sf).select("code", "d", F.round(ts.rolling_std(F.col("close"), W, 20), 6).alias("std_20"))
+    return price_panel(spark, sf).select("code", "d", F.round(ts.rolling_std(F.col("close"), W(), 20), 6).alias("std_20"))
 
 
 @query("w10_rolling_min_periods", f"WITH {PANEL} SELECT code, d, round(avg(close) {_frame(60)}, 6) AS ma60, CASE WHEN count(close) {_frame(250)} >= 30 THEN round(stddev_samp(close) {_frame(250)}, 6) END AS std250 FROM panel")
 def w10(spark, sf):
     c = F.col("close")
-    return price_panel(spark, sf).select("code", "d", F.round(ts.rolling_mean(c, W, 60, 1), 6).alias("ma60"), F.round(ts.rolling_std(c, W, 250, 30), 6).alias("std250"))
+    return price_panel(spark, sf).select("code", "d", F.round(ts.rolling_mean(c, W(), 60, 1), 6).alias("ma60"), F.round(ts.rolling_std(c, W(), 250, 30), 6).alias("std250"))
 
 
 @query("w11_future_std", f"WITH {PANEL} SELECT code, d, CASE WHEN count(close) OVER f >= 5 THEN round(stddev_samp(close) OVER f, 6) END AS fstd FROM panel WINDOW f AS (PARTITION BY code ORDER BY d ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING)")
 def w11(spark, sf):
-    return price_panel(spark, sf).select("code", "d", F.round(ts.future_std(F.col("close"), W, 10), 6).alias("fstd"))
+    return price_panel(spark, sf).select("code", "d", F.round(ts.future_std(F.col("close"), W(), 10), 6).alias("fstd"))
 
 
 @query("w12_future_sum", f"WITH {PANEL} SELECT code, d, coalesce(sum((vol < 10)::INTEGER) OVER (PARTITION BY code ORDER BY d ROWS BETWEEN 1 FOLLOWING AND 5 FOLLOWING), 0)::BIGINT AS thin_days FROM panel")
 def w12(spark, sf):
     thin = (F.col("vol") < 10).cast("int")
-    return price_panel(spark, sf).select("code", "d", ts.future_sum(thin, W, 5).cast("long").alias("thin_days"))
+    return price_panel(spark, sf).select("code", "d", ts.future_sum(thin, W(), 5).cast("long").alias("thin_days"))
 
 
 @query("w13_trailing_any", f"WITH {PANEL} SELECT code, d, (sum((vol > 90)::INTEGER) {_frame(30)} > 0)::BIGINT AS in_window FROM panel")
 def w13(spark, sf):
-    return price_panel(spark, sf).select("code", "d", ts.trailing_any((F.col("vol") > 90).cast("int"), W, 30).cast("long").alias("in_window"))
+    return price_panel(spark, sf).select("code", "d", ts.trailing_any((F.col("vol") > 90).cast("int"), W(), 30).cast("long").alias("in_window"))
 
 
 @query("w14_sum_over_k", f"WITH {DAILY} SELECT d, round(sum(total) OVER (ORDER BY d ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) / 20, 4) AS ma20 FROM daily")
@@ -149,7 +149,7 @@ def w19b(spark, sf):
 
 @query("w20_rolling_extremes", f"WITH {PANEL} SELECT code, d, min(low) {_frame(9)} AS low_9, max(high) {_frame(9)} AS high_9 FROM panel")
 def w20(spark, sf):
-    return price_panel(spark, sf).select("code", "d", ts.rolling(F.min, F.col("low"), W, 9, 1).alias("low_9"), ts.rolling(F.max, F.col("high"), W, 9, 1).alias("high_9"))
+    return price_panel(spark, sf).select("code", "d", ts.rolling(F.min, F.col("low"), W(), 9, 1).alias("low_9"), ts.rolling(F.max, F.col("high"), W(), 9, 1).alias("high_9"))
 
 
 @query("w21_date_series_zscore", f"""WITH {PANEL}, s AS (SELECT d, round(avg(close), 6) AS m FROM panel GROUP BY 1),
@@ -173,7 +173,7 @@ def w22(spark, sf):
 
 @query("w23_largest_gap", f"WITH {PANEL} SELECT code, max(gap)::BIGINT AS gap FROM (SELECT code, date_diff('day', lag(d) {OVER}, d) AS gap FROM panel) GROUP BY 1")
 def w23(spark, sf):
-    return price_panel(spark, sf).withColumn("gap", F.datediff("d", F.lag("d").over(W))).groupBy("code").agg(F.max("gap").cast("long").alias("gap"))
+    return price_panel(spark, sf).withColumn("gap", F.datediff("d", F.lag("d").over(W()))).groupBy("code").agg(F.max("gap").cast("long").alias("gap"))
 
 
 @query("w24_cumulative_return", f"WITH {DAILY}, r AS (SELECT d, (mean - lag(mean) OVER (ORDER BY d)) / nullif(lag(mean) OVER (ORDER BY d), 0) / 100 AS r FROM daily) SELECT year(d)::BIGINT AS y, round(product(1 + r) - 1, 6) AS cum FROM r GROUP BY 1")

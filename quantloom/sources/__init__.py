@@ -1 +1,74 @@
+"""Table sources and sinks."""
 
+from __future__ import annotations
+
+import functools
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quantloom.schema import existing
+
+
+def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None, schema: str | None = None) -> DataFrame:
+    """Parquet with the declared columns that exist; a missing path gives an empty frame of ``schema``."""
+    try:
+        df = spark.read.parquet(path)
+    except AnalysisException as e:
+        if schema is None or "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
+    return df if columns is None else df.select(*existing(df, columns))
+
+
+def read_directory(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Union by name of files whose columns or types disagree: to double among numbers, else to string."""
+    parts = [spark.read.parquet(p) for p in paths]
+    kinds: dict[str, set[str]] = {}
+    for p in parts:
+        for c, t in p.dtypes:
+            kinds.setdefault(c, set()).add(t)
+    numbers = {"tinyint", "smallint", "int", "bigint", "float", "double"}
+    target = {c: next(iter(t)) if len(t) == 1 else ("double" if t <= numbers else "string") for c, t in kinds.items()}
+    parts = [p.select(*[F.col(c).cast(target[c]).alias(c) for c in p.columns]) for p in parts]
+    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def write_table(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "overwrite") -> None:
+    writer = df.write.mode(mode).option("compression", "snappy")
+    (writer.partitionBy(*by) if by else writer).parquet(path)
+
+
+def append_distinct(spark: SparkSession, path: str, new: DataFrame, staged: str) -> DataFrame:
+    """Existing rows and new ones without full duplicates, written beside the old table."""
+    out = spark.read.parquet(path).unionByName(new, allowMissingColumns=True).dropDuplicates()
+    write_table(out, staged)
+    return spark.read.parquet(staged)
+
+
+def compact(spark: SparkSession, paths: Sequence[str], out: str, rows_per_file: int = 5_000_000) -> DataFrame:
+    """Small files into few; the sources stay."""
+    read_directory(spark, paths).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(out)
+    return spark.read.parquet(out)
+
+
+def by_month(df: DataFrame, day: str) -> DataFrame:
+    """Adds year and month, for a sink partitioned by them and scans pruned by them."""
+    return df.withColumns({"year": F.year(day), "month": F.month(day)})
+
+
+def pending(df: DataFrame, processed: DataFrame, on: str) -> DataFrame:
+    """Rows whose id is not in the table of processed ids: a batch that can be resumed."""
+    return df.join(processed.select(on).distinct(), on, "left_anti")
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").option("header", True).csv(path)
+
+
+def render_report(checks: DataFrame) -> str:
+    """Markdown of a check table (some rows by nature)."""
+    rows = checks.collect()
+    return "\n".join(["| " + " | ".join(checks.columns) + " |", "|" + " - |" * len(checks.columns), *("| " + " | ".join(map(str, r)) + " |" for r in rows)])
