@@ -50,15 +50,14 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, log_k: int =
     ``n_chars``, if there, follows the new text.  Adds ``n_lines`` (not blank) and ``n_removed``.
     """
     rows, bad = line_spread(docs, min_sites, log_k)
-    gone = rows.join(bad, ["a", "b"]).where("keeper is null or doc_id is null or doc_id <> keeper")
-    gone = gone.where("keeper is not null").groupBy("doc_id", "row_hash").agg(F.collect_set("at").alias("gone"))
-    source = docs.withColumn("_row_hash", row_hash("text"))
-    both = source.join(gone, source["doc_id"].eqNullSafe(gone["doc_id"]) & (source["_row_hash"] == gone["row_hash"]), "left").drop(gone["doc_id"]).drop("row_hash", "_row_hash")
+    gone = rows.join(bad, ["a", "b"]).where("keeper is not null and (doc_id is null or doc_id <> keeper)")
+    gone = gone.groupBy(F.col("doc_id").alias("_gone_doc"), F.col("row_hash").alias("_gone_hash")).agg(F.collect_set("at").alias("_gone"))
+    both = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone_doc")) & (row_hash("text") == F.col("_gone_hash")), "left")
     parts = F.split("text", "\n", -1)
-    dead = F.coalesce("gone", F.array().cast("array<int>"))
+    dead = F.coalesce("_gone", F.array().cast("array<int>"))
     both = both.withColumn("n_lines", F.coalesce(F.size(F.filter(parts, lambda x: x.rlike(r"\S"))), F.lit(0)).cast("long")).withColumn("n_removed", F.size(dead).cast("long"))
     kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(dead, i)), "\n")
-    both = both.withColumn("text", F.when(F.col("n_removed") > 0, kept).otherwise(F.col("text"))).drop("gone")
+    both = both.withColumn("text", F.when(F.col("n_removed") > 0, kept).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         both = both.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return both.select(*docs.columns, "n_lines", "n_removed")
