@@ -37,8 +37,10 @@ from pyspark.sql import functions as F
 #: Most labelled rows to fit on, dimensions of the scorer, letters of a stem.
 SAMPLE_ROWS, DIMENSIONS, STEMS = 6000, 1 << 18, (3, 4, 5, 7)
 
+#: Words whose hashes or lexicon marks a worker remembers.
+CACHE_WORDS = 200_000
+
 _WORDS = re.compile(r"[^\W\d_]+")
-_SHAPES = 6
 
 ABSTAIN, ACCEPT, REJECT = 0, 1, 2
 
@@ -76,9 +78,14 @@ def form_votes(text: str) -> tuple[list[int], list[float]]:
 FORM = ("marks", "capitals", "bars", "runs", "few words", "plain", "sentences")
 
 
+def words_of(text: str) -> set[str]:
+    """Different words, lower-cased."""
+    return set(_WORDS.findall(text.lower()))
+
+
 def strings_of(text: str) -> tuple[set[str], list[set[str]]]:
-    """Different words, lower-cased, and their stems of each length (only of longer words)."""
-    words = set(_WORDS.findall(text.lower()))
+    """Different words, and their stems of each length (only of longer words)."""
+    words = words_of(text)
     return words, [{w[:k] for w in words if len(w) > k} for k in STEMS]
 
 
@@ -88,12 +95,23 @@ class Lexicon:
 
     words: frozenset[str] = frozenset()
     stems: tuple[frozenset[str], ...] = field(default_factory=lambda: tuple(frozenset() for _ in STEMS))
+    _marks: dict[str, tuple[tuple[int, str], ...]] = field(default_factory=dict, repr=False, compare=False)
 
-    def votes(self, words: set[str], stems: list[set[str]]) -> list[int]:
+    def votes(self, words: set[str]) -> list[int]:
+        """A vote by the different words and by the different stems of each length that are known."""
         if not self.words and not any(self.stems):
             return [ABSTAIN] * (1 + len(STEMS))
-        hits = [len(words & self.words), *(len(a & b) for a, b in zip(stems, self.stems, strict=True))]
-        return [REJECT if h >= 2 else ABSTAIN if h else ACCEPT for h in hits]
+        found: list[set[str]] = [set() for _ in STEMS]
+        marks = self._marks
+        for w in words:
+            m = marks.get(w)
+            if m is None:
+                if len(marks) >= CACHE_WORDS:
+                    marks.clear()
+                m = marks[w] = tuple((i, w[:k]) for i, k in enumerate(STEMS) if len(w) > k and w[:k] in self.stems[i])
+            for i, stem in m:
+                found[i].add(stem)
+        return [REJECT if h >= 2 else ABSTAIN if h else ACCEPT for h in (len(words & self.words), *map(len, found))]
 
 
 def induce(rows: list[tuple[str, int]], least: int = 8, share: float = 0.9) -> Lexicon:
@@ -165,18 +183,25 @@ def posterior(votes: np.ndarray, prior: float, table: np.ndarray) -> np.ndarray:
 def features(text: str, lexicon: Lexicon, dimensions: int = DIMENSIONS) -> np.ndarray:
     """Hashed features that a document has: binned shares, votes, words and stems, each once."""
     votes, s = form_votes(text)
-    words, stems = strings_of(text)
-    votes = [*votes, *lexicon.votes(words, stems)]
+    words = words_of(text)
+    votes = [*votes, *lexicon.votes(words)]
     names = [f"\0{i}:{min(20, int(x * 40))}" for i, x in enumerate(s)]
     names += [f"\1{i}:{v}" for i, v in enumerate(votes)]
-    crc = zlib.crc32
-    h = [crc(w.encode()) for w in names]
-    h += [crc(w.encode()) for w in words]
-    for k, found in zip(STEMS, stems, strict=True):
-        h += [crc(w.encode(), k) for w in found]
+    h = [zlib.crc32(w.encode()) for w in names]
+    known = _HASHES
+    for w in words:
+        got = known.get(w)
+        if got is None:
+            if len(known) >= CACHE_WORDS:
+                known.clear()
+            got = known[w] = (zlib.crc32(w.encode()), *(zlib.crc32(w[:k].encode(), k) for k in STEMS if len(w) > k))
+        h += got
     return np.unique(np.array(h, np.int64) % dimensions)
 
 
+_HASHES: dict[str, tuple[int, ...]] = {}
+
+
 def train(rows: list[np.ndarray], target: np.ndarray, dimensions: int = DIMENSIONS, rounds: int = 120, rate: float = 0.3, decay: float = 2e-4) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels by full-batch AdaGrad; both classes weigh the same.
 
@@ -239,7 +264,7 @@ def _voter(lexicon: Lexicon):
             for text in batch.column("text"):
                 text = text.as_py() or ""
                 found["q" + "".join(map(str, form_votes(text)[0]))] += 1
-                found["t" + "".join(map(str, lexicon.votes(*strings_of(text))))] += 1
+                found["t" + "".join(map(str, lexicon.votes(words_of(text))))] += 1
         yield pa.RecordBatch.from_pydict({"votes": pa.array(list(found), pa.string()), "n": pa.array(list(found.values()), pa.int64())})
 
     return work
@@ -265,7 +290,7 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, sample_rows: int = SAM
         # Given labels join as one more labeller, silent on the rest of the corpus.
         patterns = {(*v, ABSTAIN): n for v, n in patterns.items()}
         for text, q, t in sample:
-            own = form_votes(text)[0] if sign == "q" else lexicon.votes(*strings_of(text))
+            own = form_votes(text)[0] if sign == "q" else lexicon.votes(words_of(text))
             given = None if q is None else (1 - int(q) if sign == "q" else int(t or 0))
             if given is not None and patterns.get(key := (*own, ABSTAIN), 0) > 0:
                 patterns[key] -= 1
@@ -276,14 +301,15 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, sample_rows: int = SAM
         accuracies |= {f"{'quality' if sign == 'q' else 'toxicity'}: {x}": (float(table[j, 0, ACCEPT] + table[j, 0, ABSTAIN]), float(table[j, 1, REJECT])) for j, x in enumerate((*names, "given"))}
     soft_q, soft_t, rows = [], [], []
     for text, q, t in sample:
-        words, stems = strings_of(text)
         vq = [*form_votes(text)[0], ABSTAIN if q is None else ACCEPT if int(q) else REJECT]
-        vt = [*lexicon.votes(words, stems), ABSTAIN if q is None else REJECT if int(t or 0) else ACCEPT]
+        vt = [*lexicon.votes(words_of(text)), ABSTAIN if q is None else REJECT if int(t or 0) else ACCEPT]
         soft_q.append(posterior(np.array([vq]), *tables["q"])[0])
         soft_t.append(posterior(np.array([vt]), *tables["t"])[0])
         rows.append(features(text, lexicon, dimensions))
     quality = train(rows, np.array(soft_q), dimensions)
     toxic = train(rows, np.array(soft_t), dimensions) if any(lexicon.stems) or lexicon.words else (np.zeros(dimensions), -20.0)
+    _HASHES.clear()  # what is remembered here must not travel with the functions that are sent to the workers
+    lexicon._marks.clear()
     return Model(lexicon, accuracies, *((w.astype(np.float32), b) for w, b in (quality, toxic)))
 
 

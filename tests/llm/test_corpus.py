@@ -336,7 +336,7 @@ def test_base_spans_against_brute_force(spark):
     r = random.Random(6)
     pieces = ["a.b@c.d", "x@y.z_w@v.u", "q..r@s..t", "@", ".", "-", " ", "+", "1.2.3.4", "256.1.1.1", "001.2.3.0004", "1.2.3.4.5.6.7.8", "4111 1111 1111 1111", "4111111111111111", "378282246310005", "+1 (743) 555-3824", "+49 30 1234567", "é", "", "𝔘 ", "\n", "12", "5-5", "word", "%", "(0)"]
     cases = ["".join(r.choice(pieces) for _ in range(r.randint(0, 14))) for _ in range(400)]
-    cases += [None, "", "a." * 9000 + "b@" + "c." * 9000 + "d", "1 " * 30000, "7" * 50000, "+" + "(" * 20000 + "1", "x" * 100_000 + "@"]
+    cases += [None, "", "a." * 2000 + "b@" + "c." * 9000 + "d", "1 " * 30000, "7" * 50000, "+" + "(" * 20000 + "1", "x" * 4000 + "@"]
     got = pii.find_personal_data(spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string"), min_seeds=10**9).collect()
     assert len(got) == len(cases)
     for row in got:
