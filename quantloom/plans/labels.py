@@ -163,14 +163,14 @@ def _pairs(spark, sf):
     return labelled(spark, sf).select("d", "code", F.col("r5").alias("y"), F.col("close").alias("p")).na.drop()
 
 
-@query("m01_daily_ic", f"WITH {IC} SELECT d, round(ic, 6) AS ic FROM ic")
+@query("m01_daily_ic", f"WITH {IC} SELECT d, round(ic, 6) + 0.0 AS ic FROM ic")
 def m01(spark, sf):
-    return E.daily_ic(_pairs(spark, sf), "d", "y", "p").select("d", F.round("ic", 6).alias("ic"))
+    return E.daily_ic(_pairs(spark, sf), "d", "y", "p").select("d", (F.round("ic", 6) + F.lit(0.0)).alias("ic"))
 
 
-@query("m02_daily_rank_ic", f"WITH {PAIRS}, r AS (SELECT d, rank() OVER (PARTITION BY d ORDER BY y) + (count(*) OVER (PARTITION BY d, y) - 1) / 2.0 AS a, rank() OVER (PARTITION BY d ORDER BY p) + (count(*) OVER (PARTITION BY d, p) - 1) / 2.0 AS b FROM pairs) SELECT d, round(corr(a, b), 6) AS rank_ic FROM r GROUP BY 1 HAVING count(*) >= 3 AND isfinite(corr(a, b))")
+@query("m02_daily_rank_ic", f"WITH {PAIRS}, r AS (SELECT d, rank() OVER (PARTITION BY d ORDER BY y) + (count(*) OVER (PARTITION BY d, y) - 1) / 2.0 AS a, rank() OVER (PARTITION BY d ORDER BY p) + (count(*) OVER (PARTITION BY d, p) - 1) / 2.0 AS b FROM pairs) SELECT d, round(corr(a, b), 6) + 0.0 AS rank_ic FROM r GROUP BY 1 HAVING count(*) >= 3 AND isfinite(corr(a, b))")
 def m02(spark, sf):
-    return E.daily_rank_ic(_pairs(spark, sf), "d", "y", "p").select("d", F.round("rank_ic", 6).alias("rank_ic"))
+    return E.daily_rank_ic(_pairs(spark, sf), "d", "y", "p").select("d", (F.round("rank_ic", 6) + F.lit(0.0)).alias("rank_ic"))
 
 
 @query("m03_ic_summary", f"WITH {IC} SELECT count(*) AS n, round(avg(ic), 6) AS mean, round(stddev_samp(ic), 6) AS std, round(avg(ic) / stddev_samp(ic), 6) AS icir, round(avg((ic > 0)::INTEGER), 6) AS positive, round(avg(ic) / (stddev_samp(ic) / sqrt(count(*))), 5) AS t FROM ic")
