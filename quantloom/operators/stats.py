@@ -19,5 +19,10 @@ def sample_kurtosis(c: str) -> Column:
 
 
 def safe_corr(x: str, y: str) -> Column:
-    """Pearson correlation; null, not an error, where a side does not vary."""
-    return F.when((F.stddev_pop(x) > 0) & (F.stddev_pop(y) > 0), F.corr(x, y))
+    """Pearson correlation over the rows that have both; null, not an error, where a side does not vary.
+
+    ``corr`` itself divides before any condition around it is looked at, so it is composed here.
+    """
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    spread = F.stddev_pop(F.when(both, F.col(x))) * F.stddev_pop(F.when(both, F.col(y)))
+    return F.try_divide(F.covar_pop(x, y), spread)
