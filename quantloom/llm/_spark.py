@@ -47,6 +47,19 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return cond
 
 
+def join_counted(rows: DataFrame, keyed: DataFrame, keys: list[str], weight: str, total: int, share: int = 1000) -> DataFrame:
+    """Inner join of ``rows`` with ``keyed`` (one row a key, no null keys), even where one key holds most rows.
+
+    ``weight`` is how many of ``total`` rows hold the key.  Fewer than ``share`` keys can
+    hold more than 1/``share`` of them: that many at most are broadcast, so that their
+    rows stay where they are; the rows of the other keys are shuffled.
+    """
+    heavy = F.col(weight) * share > total
+    hot, rest = keyed.where(heavy).drop(weight), keyed.where(~heavy).drop(weight)
+    others = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(rest, keys)
+    return rows.join(F.broadcast(hot), keys).unionByName(others)
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Label every node of ``edges(u, v)`` with the smallest node it reaches.
 

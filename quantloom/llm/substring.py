@@ -20,6 +20,10 @@ Adjacent factors are joined into duplicate spans.  Step 3 is the only one that r
 texts again, and it takes each different phrase once, however many copies it has.
 
 All is judged on the input texts; every occurrence is reported, the first too.
+Anchors, phrases and windows that hold over a thousandth of the rows are joined by
+broadcast (there are fewer than a thousand), so a passage that a third of the
+documents share lands in no single task.
+
 Hashes: 64 bits for the anchor plus 64 for the phrase or window under it.
 
 Defined cases: a null text has no words; fewer words than a window never repeat;
@@ -38,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quantloom.llm import _kernels as K
-from quantloom.llm._spark import materialise, null_safe, row_hash
+from quantloom.llm._spark import join_counted, materialise, null_safe, row_hash
 
 WINDOW, GRAM = 35, 8
 
@@ -123,19 +127,20 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     source = docs.select("doc_id", "text", row_hash("text").alias("row_hash"))
     filed = materialise(source.mapInArrow(_phrases(window, gram), "doc_id long, row_hash long, anchor long, phrase long, pos int, n int"), "phrases")
     blocks = filed.groupBy("anchor").agg(F.count("*").alias("k"), F.min("phrase").alias("a"), F.max("phrase").alias("b")).where("k > 1")
-    blocks = blocks.select("anchor", (F.col("a") != F.col("b")).alias("differ"))
-    met = materialise(filed.join(blocks, "anchor"), "met")
+    blocks = blocks.select("anchor", "k", (F.col("a") != F.col("b")).alias("differ"))
+    n_filed = filed.count()
+    met = materialise(join_counted(filed, blocks, ["anchor"], "k", n_filed), "met")
     whole = met.where("not differ").select("doc_id", "row_hash", "pos", "n")
 
     edge = met.where("differ")
     kinds = edge.groupBy("anchor", "phrase").agg(F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("doc_id", "row_hash", "pos", "n")])
-    copied = kinds.where("copies > 1").select("anchor", "phrase")
-    equal = edge.join(copied, ["anchor", "phrase"]).select("doc_id", "row_hash", "pos", "n")
+    copied = kinds.where("copies > 1").select("anchor", "phrase", "copies")
+    equal = join_counted(edge, copied, ["anchor", "phrase"], "copies", n_filed).select("doc_id", "row_hash", "pos", "n")
     wanted = kinds.groupBy("doc_id", "row_hash").agg(F.collect_list(F.struct("anchor", "pos", "n", "copies")).alias("phrases"))
     read = source.join(wanted, null_safe(source, wanted, ["doc_id", "row_hash"])).select(source["doc_id"], source["row_hash"], "text", "phrases")
     wins = materialise(read.mapInArrow(_windows(window), "anchor long, win long, copies long, doc_id long, row_hash long, pos int").distinct(), "windows")
-    again = wins.groupBy("anchor", "win").agg(F.sum("copies").alias("total")).where("total > 1").select("anchor", "win")
-    single = wins.where("copies = 1").join(again, ["anchor", "win"]).select("doc_id", "row_hash", "pos", F.lit(1).alias("n"))
+    again = wins.groupBy("anchor", "win").agg(F.sum("copies").alias("total"), F.count("*").alias("k")).where("total > 1").select("anchor", "win", "k")
+    single = join_counted(wins.where("copies = 1"), again, ["anchor", "win"], "k", wins.count()).select("doc_id", "row_hash", "pos", F.lit(1).alias("n"))
     return whole.unionByName(equal).unionByName(single)
 
 

@@ -9,10 +9,11 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from quantloom.llm import _kernels as K
 from quantloom.llm import decontaminate, exact_dedup, html_extract, line_dedup, packing, pii, quality, simhash, substring, url_filter
-from quantloom.llm._spark import connected_components
+from quantloom.llm._spark import connected_components, join_counted
 from quantloom.llm.queries import tokenizer_path
 
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
@@ -405,3 +406,13 @@ def test_pipeline_stages_and_columns(spark, tmp_path):
     assert 0 < docs.count() <= len(rows)
     last = P.STAGES[-1][1](spark, docs, str(tmp_path))
     assert Counter(map(str, last.select("doc_id", "piece", "length", "ids_crc32").collect())) == Counter(map(str, P.run(spark, str(tmp_path)).select("doc_id", "piece", "length", "ids_crc32").collect()))
+
+
+@pytest.mark.parametrize("share", [1, 3, 1000])
+def test_counted_join_equals_plain_join(spark, share):
+    rows = [(k, i) for i, k in enumerate([7] * 40 + [5] * 9 + list(range(30)))]
+    left = spark.createDataFrame(rows, "k long, i long")
+    keyed = left.where("k % 2 = 1").groupBy("k").agg(F.count("*").alias("n"), F.max("i").alias("top"))
+    got = join_counted(left, keyed, ["k"], "n", len(rows), share)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, left.join(keyed.drop("n"), "k").collect()))
+    assert join_counted(left.limit(0), keyed.limit(0), ["k"], "n", 0, share).count() == 0
