@@ -24,10 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quantloom.llm import _kernels as K
-from quantloom.llm._spark import materialise
+from quantloom.llm._spark import join_counted, materialise
 
 #: Bytes that the rolling hash sees, bits that a cut has at zero (chunks of about 2 KB beyond the least), least and largest chunk.
 WINDOW, CUT_BITS, LEAST, LARGEST = 48, 11, 512, 16384
+#: Recipes of at most so many identifiers join by broadcast where a thousandth of the rows hold them.
+LISTED = 1000
 
 
 def cut_points(data: np.ndarray) -> list[int]:
@@ -98,10 +100,10 @@ def exact_dedup(docs: DataFrame, lower: bool = True) -> DataFrame:
     named = named.select("doc_id", "text_sha256", F.size("hashes").cast("long").alias("n_chunks"), F.xxhash64("recipe").alias("bucket"), "recipe")
     key = ["bucket", "recipe"]
     groups = named.groupBy(*key).agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    n, g = named.alias("n"), groups.alias("g")
-    return n.join(g, (F.col("n.bucket") == F.col("g.bucket")) & (F.col("n.recipe") == F.col("g.recipe"))).select(
-        "n.doc_id", "g.keep_id", "g.group_size", F.col("n.doc_id").eqNullSafe(F.col("g.keep_id")).alias("kept"), "n.text_sha256", "n.n_chunks"
-    )
+    # Only short recipes are broadcast for their many rows, which bounds what is: a thousand recipes of LISTED identifiers.
+    weight = F.when(F.size("recipe") <= LISTED, F.col("group_size")).otherwise(0)
+    both = join_counted(named, groups.withColumn("rows", weight), key, "rows", found.count())
+    return both.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256", "n_chunks")
 
 
 def _with_clashes(found: DataFrame, clash: DataFrame) -> DataFrame:
