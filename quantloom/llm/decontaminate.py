@@ -17,6 +17,7 @@ item shorter than the window is a window as a whole; repeated items or repeated
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -212,19 +213,21 @@ def _finder(matcher: Matcher):
 def find_overlaps(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Benchmark windows in ``docs(doc_id, text)``: doc_id, row_hash, n_words, spans (word ranges), items.
 
-    One row per document.  With more than one block of items the blocks' findings
-    are merged by (doc_id, row_hash); repeated rows then become one.
+    One row per row of ``docs``, repeated ones too.  With more than one block of items
+    the blocks' findings are merged by (doc_id, row_hash): rows alike there have the
+    same findings in each block, so one of them is merged and written as often as it came.
     """
     source = docs.select("doc_id", "text", row_hash("text").alias("row_hash"))
-    parts = [source.mapInArrow(_finder(Matcher(rows, window)), _SQL) for rows in _blocks(bench, block_words)]
+    key = ["doc_id", "row_hash"]
+    parts = [source.mapInArrow(_finder(Matcher(rows, window)), _SQL).withColumn("block", F.lit(k)) for k, rows in enumerate(_blocks(bench, block_words))]
     if len(parts) == 1:
-        return parts[0]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.groupBy("doc_id", "row_hash").agg(
-        F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")
+        return parts[0].drop("block")
+    out = functools.reduce(DataFrame.unionByName, parts)
+    out = out.groupBy(*key, "block").agg(*[F.first(c).alias(c) for c in ("n_words", "spans", "items")], F.count("*").alias("times"))
+    out = out.groupBy(*key).agg(
+        F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), F.max("times").alias("times")
     )
+    return out.withColumn("_", F.explode(F.sequence(F.lit(1), "times"))).drop("_", "times")
 
 
 def contamination_report(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
