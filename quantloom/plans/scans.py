@@ -1,4 +1,4 @@
-"""Scans and sinks S01-S14."""
+"""Scans and sinks S01-S15."""
 
 from __future__ import annotations
 
@@ -62,3 +62,44 @@ def s10(spark, sf):
 @query("s11_resume", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def s11(spark, sf):
     return S.pending(table(spark, sf, "documents", "doc_id"), table(spark, sf, "labels"), "doc_id")
+
+
+@query("s05_parquet_sink", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'P'")
+def s05(spark, sf):
+    path = S.scratch_path(spark, "sink")
+    S.write_table(table(spark, sf, "orders").where("o_orderstatus = 'P'").select("o_orderkey", "o_totalprice"), path)
+    return spark.read.parquet(path)
+
+
+@query("s07_split_sink", "SELECT o_orderstatus AS status, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1")
+def s07(spark, sf):
+    path = S.scratch_path(spark, "split")
+    S.split_table(table(spark, sf, "orders", "o_orderstatus", "o_totalprice"), path, "o_orderstatus")
+    return spark.read.parquet(path).groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+@query("s12_report_lines")
+def s12(spark, sf):
+    counts = table(spark, sf, "orders", "o_orderstatus").groupBy("o_orderstatus").agg(F.count("*").alias("n")).orderBy("o_orderstatus")
+    return spark.createDataFrame([(i, line) for i, line in enumerate(S.render_report(counts).splitlines())], "line int, content string")
+
+
+@query("s14_csv_sink", "SELECT c_custkey, c_name, c_acctbal FROM customer")
+def s14(spark, sf):
+    path, c = S.scratch_path(spark, "csv"), table(spark, sf, "customer", "c_custkey", "c_name", "c_acctbal")
+    S.write_csv(c, path)
+    return spark.read.schema(c.schema).option("header", True).csv(path)
+
+
+@query("s15_model_artifact", "SELECT count(*) AS n, 0::BIGINT AS differ FROM part")
+def s15(spark, sf):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression, LinearRegressionModel
+
+    part = table(spark, sf, "part", "p_size", "p_retailprice")
+    rows = VectorAssembler(inputCols=["p_size"], outputCol="x").transform(part)
+    model, path = LinearRegression(featuresCol="x", labelCol="p_retailprice", predictionCol="before").fit(rows), S.scratch_path(spark, "model")
+    S.save_model(model, path)
+    again = LinearRegressionModel.load(path).setPredictionCol("after")
+    both = again.transform(model.transform(rows))
+    return both.agg(F.count("*").alias("n"), F.count_if(F.col("before") != F.col("after")).alias("differ"))

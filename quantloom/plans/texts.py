@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quantloom.functions import text as X
 from quantloom.operators.joins import not_in
 from quantloom.plans.base import query, table
+from quantloom.sources import score_with
 
 WEIGHTS = {"the": 5, "and": 3, "ing": 2, "idiot": -40, "worthless": -40, "|": -10}
 SENT = "greatest(least(" + " + ".join(f"CASE WHEN contains(coalesce(text, ''), '{k}') THEN {w} ELSE 0 END" for k, w in WEIGHTS.items()) + ", 100), -100)"
@@ -167,3 +168,29 @@ def t24(spark, sf):
 @query("t25_role_summary", "SELECT role, count(*) AS n, round(avg(length(text)), 6) AS mean, count(*) FILTER (turn = 0) AS first FROM conversations GROUP BY 1")
 def t25(spark, sf):
     return table(spark, sf, "conversations", "role", "turn", "text").groupBy("role").agg(F.count("*").alias("n"), F.round(F.avg(F.length("text")), 6).alias("mean"), F.count_if(F.col("turn") == 0).alias("first"))
+
+
+OWN_RULES = (*X.RULES, X.Rule("license", -80, "licence", 20), X.Rule("@", 40, "contact", 12))
+OWN_CASE = f"CASE WHEN regexp_matches(coalesce(text, ''), '(?i)license') THEN -80 WHEN contains(coalesce(text, ''), '@') THEN 40 ELSE score END"
+
+
+@query("x05_added_rules", f"WITH {SCORED} SELECT doc_id, ({OWN_CASE})::BIGINT AS score FROM scored JOIN documents USING (doc_id)")
+def x05(spark, sf):
+    return _docs(spark, sf).select("doc_id", X.score_by_rules(F.col("t"), OWN_RULES)["score"].cast("long").alias("score"))
+
+
+@query("x06_routed_extraction", r"SELECT page_id, CASE WHEN contains(lower(url), '/de') THEN 'german' WHEN contains(lower(url), 'example.com') THEN 'news' ELSE 'rest' END AS route, CASE WHEN contains(lower(url), '/de') THEN length(html) WHEN contains(lower(url), 'example.com') THEN length(regexp_replace(html, '<[^>]*>', '', 'g')) ELSE 0 END::BIGINT AS n FROM pages WHERE url NOT LIKE '%.pdf%'")
+def x06(spark, sf):
+    pages = table(spark, sf, "pages").where("url not like '%.pdf%'").withColumn("kind", X.source_type(F.col("url")))
+    routes = {"german": F.length("html"), "news": F.length(F.regexp_replace("html", "<[^>]*>", ""))}
+    n = F.lit(0)
+    for kind, extract in routes.items():
+        n = F.when(F.col("kind") == kind, extract).otherwise(n)
+    return pages.select("page_id", F.when(F.col("kind").isin(*routes), F.col("kind")).otherwise("rest").alias("route"), n.cast("long").alias("n"))
+
+
+@query("x08_injected_scorer", "SELECT doc_id, length(text) - length(replace(text, ' ', '')) AS blanks, length(coalesce(text, '')) AS plain FROM documents")
+def x08(spark, sf):
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    scored = score_with(score_with(docs, "text", lambda t: t.str.count(" ").astype("float64"), "blanks"), "text", None, "plain")
+    return scored.select("doc_id", F.col("blanks").cast("long").alias("blanks"), F.col("plain").cast("long").alias("plain"))

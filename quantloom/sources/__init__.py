@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import functools
-from collections.abc import Sequence
+import tempfile
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +14,15 @@ from pyspark.sql import functions as F
 from quantloom.schema import existing
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below ``spark.checkpoint.dir``, which driver and executors share; a temporary folder only where it is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="quantloom-"))
+        root = spark.sparkContext.getCheckpointDir()
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None, schema: str | None = None) -> DataFrame:
     """Parquet with the declared columns that exist; a missing path gives an empty frame of ``schema``."""
     try:
@@ -41,6 +52,11 @@ def write_table(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "o
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
+def split_table(df: DataFrame, path: str, by: str) -> None:
+    """One folder per value of ``by``; rows of a value are spread over as many files as it has tasks, so no value is one task."""
+    write_table(df, path, [by])
+
+
 def append_distinct(spark: SparkSession, path: str, new: DataFrame, staged: str) -> DataFrame:
     """Existing rows and new ones without full duplicates, written beside the old table."""
     out = spark.read.parquet(path).unionByName(new, allowMissingColumns=True).dropDuplicates()
@@ -68,6 +84,28 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def save_model(model, path: str) -> None:
+    """A fitted ``pyspark.ml`` model as its own files; its class reads them with ``load``."""
+    model.write().overwrite().save(path)
+
+
+def score_with(df: DataFrame, text: str, scorer: Callable | None = None, name: str = "score") -> DataFrame:
+    """Adds what ``scorer`` (a function from a series of texts to a series of numbers) says of each text.
+
+    The place of a language model: it is called once per Arrow batch on the workers.
+    Without one, the score is the number of characters, by column functions.
+    """
+    if scorer is None:
+        return df.withColumn(name, F.coalesce(F.length(text), F.lit(0)).cast("double"))
+
+    def work(batches):
+        for batch in batches:
+            yield batch.assign(**{name: scorer(batch[text])})
+
+    schema = ", ".join(f"`{c}` {t}" for c, t in [*df.dtypes, (name, "double")])
+    return df.mapInPandas(work, schema)
+
+
 def render_report(checks: DataFrame) -> str:
     """Markdown of a check table (some rows by nature)."""
     rows = checks.collect()
