@@ -4,8 +4,9 @@ Bounded-space online best-fit: at most ``open_bins`` sequences are open in a
 partition.  They sit in buckets by free space, and a bitset has a bit for every
 free space that some open sequence has; the best fit is the lowest bit at or above
 the piece's length.  When a new sequence is needed and all are open, the fullest
-one closes.  Pieces arrive longest first within a partition, which makes the
-online rule fill sequences almost wholly.
+one closes.  Pieces arrive in hashed order, in runs of ``RUN_PIECES`` that are
+longest first: a run opens no more sequences than can stay open, and each run brings
+short pieces for the gaps of the long ones, however many pieces a partition has.
 
 Defined cases: a null text is empty and gives the end token alone; a text longer
 than a sequence is cut into full pieces after a first, shorter one; repeated rows
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LENGTH, END_ID, OPEN_BINS = 1024, 2, 256
+LENGTH, END_ID, OPEN_BINS, RUN_PIECES = 1024, 2, 256, 512
 
 #: Entries of a worker's cache of encoded words.
 CACHE_WORDS = 400_000
@@ -198,6 +199,20 @@ class OpenBins:
         return seq, self.length - room
 
 
+def _runs(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of ``n``, the last one shorter."""
+    held, rows = [], 0
+    for batch in batches:
+        while batch.num_rows:
+            held.append(batch.slice(0, n - rows))
+            batch, rows = batch.slice(n - rows), rows + held[-1].num_rows
+            if rows == n:
+                yield pa.concat_batches(held)
+                held, rows = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def pack(pieces: DataFrame, length: int = LENGTH, open_bins: int = OPEN_BINS, partitions: int | None = None) -> DataFrame:
     """Place ``pieces(length, ...)`` of at most ``length`` tokens; adds sequence_id and offset.
 
@@ -207,16 +222,18 @@ def pack(pieces: DataFrame, length: int = LENGTH, open_bins: int = OPEN_BINS, pa
     """
     n = partitions or int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fixed = [c for c in pieces.columns if c != "ids"]
-    dealt = pieces.repartition(n, F.xxhash64(*fixed)).sortWithinPartitions(F.desc("length"), *[c for c in fixed if c != "length"])
+    dealt = pieces.repartition(n, F.xxhash64(*fixed)).sortWithinPartitions(F.xxhash64(*fixed), *fixed)
     schema = dealt.withColumn("sequence_id", F.lit(0).cast("long")).withColumn("offset", F.lit(0).cast("long")).schema
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         base, bins = TaskContext.get().partitionId() << 40, OpenBins(length, open_bins)
-        for batch in batches:
-            placed = [bins.put(x) for x in batch.column("length").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([base + s for s, _ in placed], pa.int64()), pa.array([o for _, o in placed], pa.int64())], names=[*batch.schema.names, "sequence_id", "offset"])
+        for run in _runs(batches, RUN_PIECES):
+            sizes, placed = run.column("length").to_pylist(), [(0, 0)] * run.num_rows
+            for k in sorted(range(run.num_rows), key=sizes.__getitem__, reverse=True):
+                placed[k] = bins.put(sizes[k])
+            yield pa.RecordBatch.from_arrays([*run.columns, pa.array([base + s for s, _ in placed], pa.int64()), pa.array([o for _, o in placed], pa.int64())], names=[*run.schema.names, "sequence_id", "offset"])
 
     return dealt.mapInArrow(work, schema)
 

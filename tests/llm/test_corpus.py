@@ -218,6 +218,21 @@ def test_quality_on_held_out_rows(spark):
     assert quality.score_documents(docs.limit(0), plain).collect() == []
 
 
+def test_packing_fills_sequences_with_many_pieces_over_half(spark):
+    r = random.Random(11)
+    sizes = [r.choice((1024, r.randint(513, 1023), r.randint(20, 512))) for _ in range(6000)]
+    rows = packing.pack(spark.createDataFrame(list(enumerate(sizes)), "doc_id long, length long"), partitions=1).collect()
+    assert sorted(x["length"] for x in rows) == sorted(sizes)
+    held = {}
+    for x in rows:
+        held.setdefault(x["sequence_id"], []).append((x["offset"], x["length"]))
+    for parts in held.values():
+        parts.sort()
+        assert parts[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(parts, parts[1:], strict=False)) and sum(parts[-1]) <= 1024
+    assert sum(n > 512 for n in sizes) > 10 * packing.OPEN_BINS
+    assert len(held) <= 1.02 * max(sum(sizes) / 1024, sum(n > 512 for n in sizes))
+
+
 def test_packing_ids_and_bounds(spark, docs, corpus):
     from tokenizers import Tokenizer
 
