@@ -250,24 +250,31 @@ def contamination_report(docs: DataFrame, bench: DataFrame, window: int = WINDOW
 def decontaminate(docs: DataFrame, bench: DataFrame, window: int = WINDOW, max_coverage: float = 0.5, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` with the hit words cut out of ``text`` (characters from the first to the last word of a span).
 
-    A document that lost more than ``max_coverage`` of its words goes as a whole.
+    A document that lost more than ``max_coverage`` of its words goes as a whole.  The
+    spans of all blocks of items count together, so ``block_words`` changes no result.
     ``n_chars``, if there, follows the new text; other columns stay as they are.
     """
     blocks = list(_blocks(bench, block_words))
-    for rows in blocks:
-        docs = _cut(docs, Matcher(rows, window), max_coverage)
-    return docs
+    if len(blocks) == 1:
+        return docs.mapInArrow(_cutter(docs.columns, Matcher(blocks[0], window), max_coverage), docs.schema)
+    # Several blocks: the spans of all of them, found in the unchanged text, are cut at once.
+    found = find_overlaps(docs, bench, window, block_words).where(F.size("spans") > 0).dropDuplicates(["doc_id", "row_hash"])
+    found = found.select(F.col("doc_id").alias("_doc"), F.col("row_hash").alias("_hash"), F.col("spans").alias("_spans"))
+    own = docs.withColumn("_own", row_hash("text"))
+    spanned = own.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_hash")), "left")
+    return spanned.select(*docs.columns, "_spans").mapInArrow(_cutter(docs.columns, None, max_coverage), docs.schema)
 
 
-def _cut(docs: DataFrame, matcher: Matcher, max_coverage: float) -> DataFrame:
-    schema = docs.schema
+def _cutter(names: list[str], matcher: Matcher | None, max_coverage: float):
+    """Worker that cuts the spans that ``matcher`` finds, or those of the column ``_spans``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, keep = batch.column("text").to_pylist(), np.ones(batch.num_rows, bool)
-            changed = False
+            given = None if matcher else batch.column("_spans").to_pylist()
+            cut = np.zeros(batch.num_rows, bool)
             for r, text in enumerate(texts):
-                spans, _ = matcher(normal_words(text))
+                spans = matcher(normal_words(text))[0] if matcher else given[r]
                 if not spans:
                     continue
                 raw = text.encode()
@@ -284,16 +291,16 @@ def _cut(docs: DataFrame, matcher: Matcher, max_coverage: float) -> DataFrame:
                     out.append(raw[last : starts[lo]])
                     last = int(ends[hi - 1])
                 texts[r] = b"".join([*out, raw[last:]]).decode()
-                changed = True
-            columns = {name: batch.column(name) for name in batch.schema.names}
-            if changed:
+                cut[r] = True
+            columns = {name: batch.column(name) for name in names}
+            if cut.any():
                 columns["text"] = pa.array(texts, batch.schema.field("text").type)
                 if "n_chars" in columns:
                     n = pa.compute.utf8_length(columns["text"]).cast(columns["n_chars"].type)
-                    columns["n_chars"] = n
+                    columns["n_chars"] = pa.compute.if_else(pa.array(cut), n, columns["n_chars"])
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns)).filter(pa.array(keep))
 
-    return docs.mapInArrow(work, schema)
+    return work
 
 
 _SEPARATORS = _APART[K.UPPER]

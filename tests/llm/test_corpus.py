@@ -301,6 +301,22 @@ def test_decontamination_against_brute_force(spark, corpus, block_words):
     assert decontaminate.contamination_report(frame(spark, plain), b.limit(0)).where("contaminated").count() == 0
 
 
+def test_decontamination_does_not_depend_on_the_blocks(spark):
+    w = [f"w{i}" for i in range(200)]
+    bench = [(1, " ".join(w[:12])), (2, " ".join(w[12:24])), (3, " ".join(w[60:75])), (4, " ".join(w[68:83])), (5, " ".join([*w[100:105], *w[117:122]]))]
+    plain = [
+        (1, " ".join(w[:40])),  # two items of 12 words each: 24 of 40, over half only together
+        (2, " ".join(w[50:130])),  # spans of two items overlap
+        (3, " ".join([*w[100:105], *w[60:75], *w[117:122], *w[150:190]])),  # the words beside a cut are no window
+        (4, None), (2, " ".join(w[50:130])), (None, " ".join(w[50:130])),
+    ]
+    b = spark.createDataFrame(bench, "item_id long, text string")
+    one, many = (Counter(map(tuple, decontaminate.decontaminate(frame(spark, plain), b, block_words=n).collect())) for n in (400_000, 15))
+    assert many == one
+    left = {r[0]: r[1] for r in one}
+    assert 1 not in left and left[2] == " ".join([*w[50:60], "", *w[83:130]]) and left[3] == " ".join([*w[100:105], "", *w[117:122], *w[150:190]])
+
+
 def test_automaton_matches_longest_suffix():
     r = random.Random(4)
     a = decontaminate.Automaton(3)
