@@ -39,17 +39,36 @@ _TOKEN = re.compile(
 )
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PARTS = re.compile(r"[a-z]+")
-_HIDDEN = re.compile(r"""(?<![\w-])hidden(?![\w-])|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+#: What any hidden element has in its tag; the attributes decide.
+_HIDDEN = re.compile(r"hidden|display", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s>/=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!\s*important\s*)?(?:;|$)", re.I)
 _SPACE = re.compile(r"\s+")
 
 #: Elements that hold no text to read, those that close at once, and those within a line of text.
-SILENT = frozenset("script style template noscript head title svg math iframe object select option textarea button canvas audio video".split())
+SILENT = frozenset("script style template noscript head title svg iframe object select option textarea button canvas audio video".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var "
+    "math merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
+)
 #: An opening tag of these ends an open paragraph.
 _RAW = {t: re.compile(rf"</{t}\b", re.I) for t in ("script", "style", "textarea", "title", "noscript", "iframe", "template")}
 
 
+def is_hidden(attributes: str) -> bool:
+    """Whether a tag with these attributes has ``hidden``, ``aria-hidden=true`` or a style with ``display: none``."""
+    seen = set()
+    for name, double, single, bare in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), double or single or bare
+        if name in seen:  # the first one of a name counts
+            continue
+        seen.add(name)
+        if name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" or name == "style" and _NO_DISPLAY.search(value):
+            return True
+    return False
+
+
 class Block:
     __slots__ = ("linked", "path", "text")
 
@@ -142,7 +161,7 @@ def blocks_of(page: str | None) -> list[Block]:
             continue
         if rest.endswith("/") and tag not in INLINE and tag in ("svg", "object", "iframe"):
             continue
-        hidden = bool(rest) and bool(_HIDDEN.search(rest))
+        hidden = bool(rest) and bool(_HIDDEN.search(rest)) and is_hidden(rest)
         names = ""
         if rest and "=" in rest:
             names = " ".join(sorted({w for g in _NAMES.findall(rest) for w in _PARTS.findall("".join(g).lower())}))

@@ -218,6 +218,21 @@ def test_quality_on_held_out_rows(spark):
     assert quality.score_documents(docs.limit(0), plain).collect() == []
 
 
+@pytest.mark.parametrize(
+    ("attributes", "hidden"),
+    [(' style="overflow:hidden"', False), (' href="/hidden/x"', False), (" href=/hidden", False), (' title="The hidden cost"', False), (' class="hidden"', False), (' data-hidden="1"', False), (' title="aria-hidden=true"', False), (' data-x="display:none"', False), (' style="--display:none"', False), (' aria-hidden="false"', False), (' title="a > hidden b"', False)]
+    + [(" hidden", True), (' id="a"hidden', True), (" HIDDEN=''", True), (' hidden="until-found"/', True), (" aria-hidden=true", True), (' style="color:red; Display : none"', True), (" style=display:none", True), (' style="display:none !important;"', True)],
+)
+def test_only_hidden_elements_are_dropped(attributes, hidden):
+    page = f"<body><article><p>One.</p><div{attributes}><p>Two.</p></div><p>Three.</p></article></body>"
+    assert [b.text for b in html_extract.blocks_of(page)] == (["One.", "Three."] if hidden else ["One.", "Two.", "Three."])
+
+
+def test_formulas_are_part_of_their_line():
+    page = "<p>Let <math><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow></math> be given.</p>"
+    assert [b.text for b in html_extract.blocks_of(page)] == ["Let x=2 be given."]
+
+
 def test_packing_fills_sequences_with_many_pieces_over_half(spark):
     r = random.Random(11)
     sizes = [r.choice((1024, r.randint(513, 1023), r.randint(20, 512))) for _ in range(6000)]
