@@ -77,3 +77,14 @@ def test_whole_table(spark, tmp_path, name):
     got, want = f"SELECT {columns} FROM got", f"SELECT {columns} FROM want"
     assert con.sql("SELECT count(*) FROM want").fetchall()[0][0] == con.sql("SELECT count(*) FROM got").fetchall()[0][0] > kept
     assert con.sql(f"SELECT count(*) FROM (({want}) EXCEPT ALL ({got}))").fetchall()[0][0] == 0
+
+
+def test_notice_filter_reads_whole_texts(spark, duck):
+    from quantloom.functions import text as X
+
+    labelled = {r[0] for r in duck.sql("SELECT doc_id FROM labels").fetchall()}
+    black = re.compile("|".join(X.BLACKLIST))
+    docs = [(i, t or "") for i, t in duck.sql("SELECT doc_id, text FROM documents").fetchall() if i not in labelled]
+    want = sorted(i for i, t in docs if not black.search(t))
+    assert sorted(r[0] for r in plans.queries()["t01_notice_filter_all"](spark, SF).collect()) == want
+    assert len(want) < sum(not black.search(t[:200]) for _, t in docs)
