@@ -17,8 +17,10 @@ alike; empty tables give no rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from urllib.parse import urljoin
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,15 +66,27 @@ def rule_of(rules: Sequence[Rule]) -> tuple[Column, Column]:
     return name, verdict
 
 
+def _resolve(url: str, href: str) -> str | None:
+    base = "http://" + url.partition("://")[2]  # the scheme does not count, and urljoin knows only some
+    try:
+        return urljoin(base, href)
+    except ValueError:
+        return href
+
+
+def _resolved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        urls, hrefs = batch.column("url").to_pylist(), batch.column("href").to_pylist()
+        yield pa.RecordBatch.from_pydict({"url": pa.array(urls, pa.string()), "target": pa.array(map(_resolve, urls, hrefs), pa.string())})
+
+
 def page_links(pages: DataFrame) -> DataFrame:
-    """Canonical and refresh targets of ``pages(url, html)`` as (url, target); relative ones are resolved by host."""
+    """Canonical and refresh targets of ``pages(url, html)`` as (url, target); relative ones are resolved against the page."""
     tag = r"""(?is)<(?:link\s[^>]*rel\s*=\s*["']?canonical\b[^>]*|meta\s[^>]*http-equiv\s*=\s*["']?refresh\b[^>]*)>"""
     found = pages.where(F.col("url").contains("://")).select("url", F.explode(F.regexp_extract_all("html", F.lit(tag), F.lit(0))).alias("tag"))
     href = F.regexp_extract("tag", r"""(?i)(?:href\s*=\s*|url\s*=\s*)["']?([^"'\s>]+)""", 1)
     found = found.withColumn("href", F.replace(href, F.lit("&amp;"), F.lit("&")))
-    origin = F.regexp_extract("url", r"^(.*?://[^/?#]*)", 1)
-    target = F.when(F.col("href").startswith("//"), F.concat(F.lit("http:"), "href")).when(F.col("href").startswith("/"), F.concat(origin, "href")).otherwise(F.col("href"))
-    return found.select("url", target.alias("target")).where(F.col("target").contains("://"))
+    return found.select("url", "href").mapInArrow(_resolved, "url string, target string").where(F.col("target").contains("://"))
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, redirects: DataFrame | None = None) -> DataFrame:

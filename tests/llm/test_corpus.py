@@ -218,6 +218,13 @@ def test_quality_on_held_out_rows(spark):
     assert quality.score_documents(docs.limit(0), plain).collect() == []
 
 
+def test_relative_links_are_resolved_against_the_page(spark):
+    hrefs = {"index.html": "a.b/x/index.html", "./q": "a.b/x/q", "../r": "a.b/r", "?id=3": "a.b/x/y?id=3", "/s": "a.b/s", "//c.d/t": "c.d/t", "http://e.f/u": "e.f/u", "mailto:x": None}
+    pages = [("https://a.b/x/y", f'<link rel="canonical" href="{h}">') for h in hrefs]
+    got = url_filter.page_links(spark.createDataFrame(pages, "url string, html string")).collect()
+    assert sorted(r["target"].partition("://")[2] for r in got) == sorted(t for t in hrefs.values() if t)
+
+
 @pytest.mark.parametrize(
     ("attributes", "hidden"),
     [(' style="overflow:hidden"', False), (' href="/hidden/x"', False), (" href=/hidden", False), (' title="The hidden cost"', False), (' class="hidden"', False), (' data-hidden="1"', False), (' title="aria-hidden=true"', False), (' data-x="display:none"', False), (' style="--display:none"', False), (' aria-hidden="false"', False), (' title="a > hidden b"', False)]
