@@ -9,15 +9,20 @@ the scorer judges every document.
 
 Labellers of low quality look at the text's form (marks, capitals, tables, repeated
 words, few different words).  Labellers of toxicity look for words and word stems that
-are induced from labelled documents: strings that hardly occur in clean ones.
+are induced from labelled documents: strings that hardly occur in clean ones, and stems
+of which clean documents hardly have two different words.
 
-Bounds: lexicon and scorer are fitted on at most ``sample_rows`` labelled documents
-(taken by a hash of ``doc_id``; near copies among them count once).  Vote patterns are
-counted over all documents; there are at most 3 to the power of the labellers.
+Bounds: lexicon and scorer are fitted on at most ``sample_rows`` labelled documents of at
+most ``SAMPLE_BYTES`` bytes each (taken by a hash of ``doc_id``; near copies among them
+count once).  Vote patterns are counted over all documents; there are at most 3 to the
+power of the labellers.
 
 Defined cases: a null or empty text gets no reject vote from its form and is scored
 like any other; documents without labels are scored; with no labels at all toxicity is
-never found; repeated label rows take the largest values; an empty table gives no rows.
+never found; repeated label rows take the largest values; of several texts under one
+``doc_id`` the fit takes the smallest; very long texts are scored whole; other columns,
+whatever their names, are kept by ``keep_good`` and ignored by ``score_documents``; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,8 +39,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Most labelled rows to fit on, dimensions of the scorer, letters of a stem.
-SAMPLE_ROWS, DIMENSIONS, STEMS = 6000, 1 << 18, (3, 4, 5, 7)
+#: Most labelled rows to fit on, most bytes of one of their texts, dimensions of the scorer, letters of a stem.
+SAMPLE_ROWS, SAMPLE_BYTES, DIMENSIONS, STEMS = 6000, 1 << 17, 1 << 18, (3, 4, 5, 7)
 
 _WORDS = re.compile(r"[^\W\d_]+")
 _SHAPES = 6
@@ -73,6 +78,8 @@ def form_votes(text: str) -> tuple[list[int], list[float]]:
     return votes, s
 
 
+#: Labellers of toxicity.  One a family: lists that fall silent together would outvote the one that speaks.
+LEXICAL = ("words", "stems", "stems twice")
 FORM = ("marks", "capitals", "bars", "runs", "few words", "plain", "sentences")
 
 
@@ -82,34 +89,47 @@ def strings_of(text: str) -> tuple[set[str], list[set[str]]]:
     return words, [{w[:k] for w in words if len(w) > k} for k in STEMS]
 
 
+def repeats(words: set[str]) -> int:
+    """Different words of one stem that are more than chance: two, and one more for every 200 different words."""
+    return 2 + len(words) // 200
+
+
 @dataclass
 class Lexicon:
-    """Words and stems that mark toxic documents."""
+    """Words and stems that mark toxic documents, and stems that do so by two different words."""
 
     words: frozenset[str] = frozenset()
     stems: tuple[frozenset[str], ...] = field(default_factory=lambda: tuple(frozenset() for _ in STEMS))
+    twice: tuple[frozenset[str], ...] = field(default_factory=lambda: tuple(frozenset() for _ in STEMS))
+
+    def found_twice(self, words: set[str], stems: list[set[str]]) -> list[str]:
+        """The stems of ``twice`` that ``repeats`` different words have."""
+        out, least = [], repeats(words)
+        for k, own, known in zip(STEMS, stems, self.twice, strict=True):
+            out += [s for s in sorted(own & known) if sum(len(w) > k and w.startswith(s) for w in words) >= least]
+        return out
 
     def votes(self, words: set[str], stems: list[set[str]]) -> list[int]:
-        if not self.words and not any(self.stems):
-            return [ABSTAIN] * (1 + len(STEMS))
-        hits = [len(words & self.words), *(len(a & b) for a, b in zip(stems, self.stems, strict=True))]
-        return [REJECT if h >= 2 else ABSTAIN if h else ACCEPT for h in hits]
+        if not self.words and not any(self.stems) and not any(self.twice):
+            return [ABSTAIN] * len(LEXICAL)
+        hits = [len(words & self.words), max(len(a & b) for a, b in zip(stems, self.stems, strict=True))]
+        return [*(REJECT if h >= 2 else ABSTAIN if h else ACCEPT for h in hits), REJECT if self.found_twice(words, stems) else ACCEPT]
 
 
 def induce(rows: list[tuple[str, int]], least: int = 8, share: float = 0.9) -> Lexicon:
-    """Strings of at least ``least`` toxic documents (and a hundredth of them) that occur in few others."""
+    """Strings of at least ``least`` toxic documents (and a hundredth of them) that occur in few others; stems alike by their documents with two different words."""
     toxic = sum(t for _, t in rows)
     need = max(least, toxic // 100)
-    counts = [Counter() for _ in range(1 + len(STEMS))]
-    bad = [Counter() for _ in range(1 + len(STEMS))]
+    counts, bad = [[Counter() for _ in range(1 + 2 * len(STEMS))] for _ in range(2)]
     for text, t in rows:
         words, stems = strings_of(text)
-        for i, found in enumerate((words, *stems)):
+        pairs = [[s for s, n in Counter(w[:k] for w in words if len(w) > k).items() if n >= repeats(words)] for k in STEMS]
+        for i, found in enumerate((words, *stems, *pairs)):
             counts[i].update(found)
             if t:
                 bad[i].update(found)
     kept = [frozenset(w for w, n in b.items() if n >= need and n >= share * c[w]) for b, c in zip(bad, counts, strict=True)]
-    return Lexicon(kept[0], tuple(kept[1:]))
+    return Lexicon(kept[0], tuple(kept[1 : 1 + len(STEMS)]), tuple(kept[1 + len(STEMS) :]))
 
 
 def one_of_copies(rows: list[tuple]) -> list[tuple]:
@@ -169,6 +189,7 @@ def features(text: str, lexicon: Lexicon, dimensions: int = DIMENSIONS) -> np.nd
     votes = [*votes, *lexicon.votes(words, stems)]
     names = [f"\0{i}:{min(20, int(x * 40))}" for i, x in enumerate(s)]
     names += [f"\1{i}:{v}" for i, v in enumerate(votes)]
+    names += [f"\2{s}" for s in lexicon.found_twice(words, stems)]
     crc = zlib.crc32
     h = [crc(w.encode()) for w in names]
     h += [crc(w.encode()) for w in words]
@@ -224,8 +245,12 @@ def _labelled(docs: DataFrame, labels: DataFrame, rows: int) -> list[tuple[str,
     """At most ``rows`` labelled documents, those of the smallest hashes of their ``doc_id``; the label side is broadcast, it has that bound."""
     one = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
     one = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    got = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(one), "doc_id")
-    out = {d: (text, q, t) for d, text, q, t in got.toLocalIterator()}
+    own = docs.where(F.octet_length("text") <= SAMPLE_BYTES)
+    got = own.select("doc_id", "text").join(F.broadcast(one), "doc_id")
+    out: dict[int, tuple[str, int, int]] = {}
+    for d, text, q, t in got.toLocalIterator():
+        if d not in out or text < out[d][0]:
+            out[d] = text, q, t
     return [out[d] for d in sorted(out)]
 
 
@@ -252,15 +277,15 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, sample_rows: int = SAM
     """
     if labels is None or labels.isEmpty():
         n = max(1, docs.count())
-        part = docs.where("text is not null").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, sample_rows / n)) + 1)
-        sample = [(t, None, 0) for (t,) in part.select("text").limit(sample_rows).toLocalIterator()]
+        part = docs.where(F.octet_length("text") <= SAMPLE_BYTES).where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, sample_rows / n)) + 1)
+        sample = [(t, None, 0) for (t,) in part.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample_rows).select("text").collect()]
     else:
         sample = _labelled(docs, labels, sample_rows)
     sample = one_of_copies(sample)
     lexicon = induce([(text, int(t or 0)) for text, _, t in sample])
     counts = docs.select("text").mapInArrow(_voter(lexicon), "votes string, n long").groupBy("votes").agg(F.sum("n").alias("n")).collect()
     tables, accuracies = {}, {}
-    for sign, names, start in (("q", FORM, 0.9), ("t", ("words", *(f"stems of {k}" for k in STEMS)), 0.9)):
+    for sign, names, start in (("q", FORM, 0.9), ("t", LEXICAL, 0.6)):
         patterns = {tuple(map(int, r["votes"][1:])): r["n"] for r in counts if r["votes"][0] == sign}
         # Given labels join as one more labeller, silent on the rest of the corpus.
         patterns = {(*v, ABSTAIN): n for v, n in patterns.items()}
@@ -283,7 +308,7 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, sample_rows: int = SAM
         soft_t.append(posterior(np.array([vt]), *tables["t"])[0])
         rows.append(features(text, lexicon, dimensions))
     quality = train(rows, np.array(soft_q), dimensions)
-    toxic = train(rows, np.array(soft_t), dimensions) if any(lexicon.stems) or lexicon.words else (np.zeros(dimensions), -20.0)
+    toxic = train(rows, np.array(soft_t), dimensions) if any(lexicon.stems) or any(lexicon.twice) or lexicon.words else (np.zeros(dimensions), -20.0)
     return Model(lexicon, accuracies, *((w.astype(np.float32), b) for w, b in (quality, toxic)))
 
 
