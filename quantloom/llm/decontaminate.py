@@ -7,18 +7,25 @@ words of the window are hit.
 
 Normalisation: A-Z are lower-cased, words are runs of digits, letters a-z and
 non-ASCII bytes.  Items are handled in blocks of at most ``block_words`` words, so
-what is sent to the workers is bounded whatever the benchmark's size; each block
-is one pass over the documents.
+what is sent to the workers and held by the driver is bounded whatever the benchmark's
+size; each block is one pass over the documents, whose findings are written down.  A
+worker builds the automaton of a block once.
 
 Defined cases: a null text has no words; an item without words never occurs; an
 item shorter than the window is a window as a whole; repeated items or repeated
-``item_id`` count once by ``item_id``; an empty table on either side is no error.
+``item_id`` count once by ``item_id``; a very long text is streamed whole; repeated rows
+stay repeated; other columns, whatever their names, stay as they are; an empty table on
+either side is no error.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
+import sys
+import types
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quantloom.llm import _kernels as K
-from quantloom.llm._spark import row_hash
+from quantloom.llm._spark import fresh, materialise, row_hash
 
 #: Words of a window, and words of benchmark items in one automaton (about 200 bytes each on a worker).
 WINDOW, BLOCK_WORDS = 10, 400_000
@@ -125,15 +132,18 @@ class Matcher:
 
     rows: list[tuple[str, str]]
     window: int = WINDOW
-    _made: tuple | None = field(default=None, repr=False)
+    key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def _make(self) -> tuple:
-        if self._made is None:
+        """The automaton, kept for the next tasks of the worker process."""
+        held = sys.modules.setdefault("_quantloom_worker", types.ModuleType("_quantloom_worker")).__dict__.setdefault("automata", {})
+        if self.key not in held:
             auto = Automaton(self.window)
             for item, text in self.rows:
                 auto.add(item, normal_words(text))
-            self._made = auto, np.array(sorted(auto.pairs), np.int64), min(auto.sizes, default=0)
-        return self._made
+            held.clear()
+            held[self.key] = auto, np.array(sorted(auto.pairs), np.int64), min(auto.sizes, default=0)
+        return held[self.key]
 
     def __call__(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Hit word ranges (each a window) and the items whose windows occur."""
@@ -219,10 +229,16 @@ def find_overlaps(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block
     """
     source = docs.select("doc_id", "text", row_hash("text").alias("row_hash"))
     key = ["doc_id", "row_hash"]
-    parts = [source.mapInArrow(_finder(Matcher(rows, window)), _SQL).withColumn("block", F.lit(k)) for k, rows in enumerate(_blocks(bench, block_words))]
-    if len(parts) == 1:
-        return parts[0].drop("block")
-    out = functools.reduce(DataFrame.unionByName, parts)
+    blocks = _blocks(bench, block_words)
+    head = list(itertools.islice(blocks, 2))
+    first = source.mapInArrow(_finder(Matcher(head[0], window)), _SQL)
+    if len(head) == 1:
+        return first
+    parts, rest = [materialise(first, "block")], itertools.chain(head[1:], blocks)
+    del head
+    for rows in rest:  # beyond the first block, only rows with findings are written
+        parts.append(materialise(source.mapInArrow(_finder(Matcher(rows, window)), _SQL).where(F.size("spans") > 0), "block"))
+    out = functools.reduce(DataFrame.unionByName, [p.withColumn("block", F.lit(k)) for k, p in enumerate(parts)])
     out = out.groupBy(*key, "block").agg(*[F.first(c).alias(c) for c in ("n_words", "spans", "items")], F.count("*").alias("times"))
     out = out.groupBy(*key).agg(
         F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), F.max("times").alias("times")
@@ -254,24 +270,26 @@ def decontaminate(docs: DataFrame, bench: DataFrame, window: int = WINDOW, max_c
     spans of all blocks of items count together, so ``block_words`` changes no result.
     ``n_chars``, if there, follows the new text; other columns stay as they are.
     """
-    blocks = list(_blocks(bench, block_words))
-    if len(blocks) == 1:
-        return docs.mapInArrow(_cutter(docs.columns, Matcher(blocks[0], window), max_coverage), docs.schema)
+    head = list(itertools.islice(_blocks(bench, block_words), 2))
+    if len(head) == 1:
+        return docs.mapInArrow(_cutter(docs.columns, Matcher(head[0], window), max_coverage), docs.schema)
+    del head
     # Several blocks: the spans of all of them, found in the unchanged text, are cut at once.
     found = find_overlaps(docs, bench, window, block_words).where(F.size("spans") > 0).dropDuplicates(["doc_id", "row_hash"])
-    found = found.select(F.col("doc_id").alias("_doc"), F.col("row_hash").alias("_hash"), F.col("spans").alias("_spans"))
-    own = docs.withColumn("_own", row_hash("text"))
-    spanned = own.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_hash")), "left")
-    return spanned.select(*docs.columns, "_spans").mapInArrow(_cutter(docs.columns, None, max_coverage), docs.schema)
+    doc, hashed, own, spans = (fresh(docs, x) for x in ("found_doc", "found_hash", "own_hash", "found_spans"))
+    found = found.select(F.col("doc_id").alias(doc), F.col("row_hash").alias(hashed), F.col("spans").alias(spans))
+    spanned = docs.withColumn(own, row_hash("text")).join(found, F.col("doc_id").cast("long").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(hashed)), "left")
+    return spanned.select(*docs.columns, spans).mapInArrow(_cutter(docs.columns, spans, max_coverage), docs.schema)
 
 
-def _cutter(names: list[str], matcher: Matcher | None, max_coverage: float):
-    """Worker that cuts the spans that ``matcher`` finds, or those of the column ``_spans``."""
+def _cutter(names: list[str], source: Matcher | str, max_coverage: float):
+    """Worker that cuts the spans that a matcher finds, or those of a column."""
+    matcher = source if isinstance(source, Matcher) else None
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, keep = batch.column("text").to_pylist(), np.ones(batch.num_rows, bool)
-            given = None if matcher else batch.column("_spans").to_pylist()
+            given = None if matcher else batch.column(source).to_pylist()
             cut = np.zeros(batch.num_rows, bool)
             for r, text in enumerate(texts):
                 spans = matcher(normal_words(text))[0] if matcher else given[r]
