@@ -8,11 +8,14 @@ stands for its own URL and takes precedence for its aliases.
 
 Edges come from the pages themselves (``<link rel=canonical>``, ``<meta
 http-equiv=refresh>``) and from an optional table of redirects.  Two URLs are the same
-node when host, path and query agree; scheme and fragment do not count.
+node when host, path and query agree; scheme and fragment do not count.  References are
+resolved against the page's ``<base>``, else its URL; tags in comments and scripts are text.
 
 Defined cases: a null URL, or one without ``://``, has empty host and path, no aliases
-and no rule, so it is allowed; a null page has no links; repeated rows are judged
-alike; empty tables give no rows.
+and no rule, so it is allowed; a null page has no links; a very long page is searched
+whole; of rules of one length that of the longer host counts, then the allowing one;
+repeated rows are judged alike; other columns, whatever their names, are ignored; empty
+tables give no rows.
 """
 
 from __future__ import annotations
@@ -66,27 +69,43 @@ def rule_of(rules: Sequence[Rule]) -> tuple[Column, Column]:
     return name, verdict
 
 
-def _resolve(url: str, href: str) -> str | None:
-    base = "http://" + url.partition("://")[2]  # the scheme does not count, and urljoin knows only some
+def _resolve(url: str, base: str, href: str) -> str | None:
+    page = "http://" + url.partition("://")[2]  # the scheme does not count, and urljoin knows only some
     try:
-        return urljoin(base, href)
+        return urljoin(urljoin(page, base), href)
     except ValueError:
         return href
 
 
 def _resolved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        urls, hrefs = batch.column("url").to_pylist(), batch.column("href").to_pylist()
-        yield pa.RecordBatch.from_pydict({"url": pa.array(urls, pa.string()), "target": pa.array(map(_resolve, urls, hrefs), pa.string())})
+        urls, bases, hrefs = (batch.column(c).to_pylist() for c in ("url", "base", "href"))
+        yield pa.RecordBatch.from_pydict({"url": pa.array(urls, pa.string()), "target": pa.array(map(_resolve, urls, bases, hrefs), pa.string())})
+
+
+#: Markup in which a tag is only text, and the tags that hold links.
+_UNREAD = r"(?is)<!--.*?(?:-->|\z)|<(script|style|textarea|title|template|noscript)\b.*?(?:</\1|\z)"
+_TAGS = r"(?i)<(?:link|meta|base)\s[^<>]*+>"
+_CANONICAL = r"""(?i)^<link\s.*\brel\s*=\s*(?:canonical\b|"[^"]*\bcanonical\b|'[^']*\bcanonical\b)"""
+_REFRESH = r"""(?i)^<meta\s.*\bhttp-equiv\s*=\s*["']?\s*refresh\b"""
+
+
+def _value(tag: Column, name: str) -> Column:
+    """The value after ``name =``, quoted or bare; empty if there is none."""
+    pattern = rf"""(?i)\b{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    return F.replace(F.trim(F.concat(*[F.regexp_extract(tag, pattern, k) for k in (1, 2, 3)])), F.lit("&amp;"), F.lit("&"))
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """Canonical and refresh targets of ``pages(url, html)`` as (url, target); relative ones are resolved against the page."""
-    tag = r"""(?is)<(?:link\s[^>]*rel\s*=\s*["']?canonical\b[^>]*|meta\s[^>]*http-equiv\s*=\s*["']?refresh\b[^>]*)>"""
-    found = pages.where(F.col("url").contains("://")).select("url", F.explode(F.regexp_extract_all("html", F.lit(tag), F.lit(0))).alias("tag"))
-    href = F.regexp_extract("tag", r"""(?i)(?:href\s*=\s*|url\s*=\s*)["']?([^"'\s>]+)""", 1)
-    found = found.withColumn("href", F.replace(href, F.lit("&amp;"), F.lit("&")))
-    return found.select("url", "href").mapInArrow(_resolved, "url string, target string").where(F.col("target").contains("://"))
+    """Canonical and refresh targets of ``pages(url, html)`` as (url, target); relative ones are resolved against the page's base."""
+    read = pages.where(F.col("url").contains("://") & F.col("html").rlike(r"(?i)\b(?:canonical|refresh)\b"))
+    found = read.select("url", F.regexp_extract_all(F.regexp_replace("html", _UNREAD, ""), F.lit(_TAGS), F.lit(0)).alias("tags"))
+    base = F.get(F.filter("tags", lambda t: t.rlike(r"(?i)^<base\s") & t.rlike(r"(?i)\bhref\s*=")), F.lit(0))
+    wanted = F.filter("tags", lambda t: t.rlike(_CANONICAL) | t.rlike(_REFRESH))
+    found = found.select("url", F.coalesce(_value(base, "href"), F.lit("")).alias("base"), F.explode(wanted).alias("tag"))
+    moved = F.regexp_extract(_value(F.col("tag"), "content"), r"""(?i)\burl\s*=\s*["']?([^"']+)""", 1)
+    found = found.withColumn("href", F.trim(F.when(F.col("tag").rlike(_CANONICAL), _value(F.col("tag"), "href")).otherwise(moved))).where("href <> ''")
+    return found.select("url", "base", "href").mapInArrow(_resolved, "url string, target string").where(F.col("target").contains("://"))
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, redirects: DataFrame | None = None) -> DataFrame:
