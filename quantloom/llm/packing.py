@@ -1,20 +1,22 @@
 """Best-fit packing of tokenised documents into sequences of fixed length.
 
 Bounded-space online best-fit: at most ``open_bins`` sequences are open in a
-partition.  They sit in buckets by free space, and a bitset has a bit for every
+partition, and there are no more partitions than every ``SEQUENCES`` full sequences need.  They sit in buckets by free space, and a bitset has a bit for every
 free space that some open sequence has; the best fit is the lowest bit at or above
 the piece's length.  When a new sequence is needed and all are open, the fullest
 one closes.  Pieces arrive in hashed order, in runs of ``RUN_PIECES`` that are
 longest first: a run opens no more sequences than can stay open, and each run brings
 short pieces for the gaps of the long ones, however many pieces a partition has.
 
-Defined cases: a null text is empty and gives the end token alone; a text longer
-than a sequence is cut into full pieces after a first, shorter one; repeated rows
-are packed each; no rows give no rows.
+Defined cases: a null text is empty and gives the end token alone; a null ``doc_id`` is
+packed like another; a text longer than a sequence, however long, is cut into full pieces
+after a first, shorter one; repeated rows are packed each; other columns, whatever their
+names, are ignored; no rows give no rows.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 import types
@@ -27,7 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LENGTH, END_ID, OPEN_BINS, RUN_PIECES = 1024, 2, 256, 512
+from quantloom.llm._spark import materialise, partitions_of
+
+LENGTH, END_ID, OPEN_BINS, RUN_PIECES, SEQUENCES = 1024, 2, 256, 512, 8000
 
 #: Entries of a worker's cache of encoded words.
 CACHE_WORDS = 400_000
@@ -51,9 +55,16 @@ class Encoder:
         self.opens = np.zeros(max(vocab.values()) + 1, bool)
         for token, i in vocab.items():
             self.opens[i] = token.startswith("Ġ")  # how the file writes a space
-        self.fast = self._ranks(vocab)
+        self.fast = self._ranks(vocab) if self._known() else None
         self.cache: dict[str, bytes] = {}
 
+    def _known(self) -> bool:
+        """Whether the file states the pre-tokeniser that the faster library is given here, and nothing besides it."""
+        file = json.loads(self.plain.to_str())
+        before, model = file.get("pre_tokenizer") or {}, file.get("model") or {}
+        plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space", True)
+        return bool(plain and not file.get("normalizer") and model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")))
+
     def _ranks(self, vocab: dict[str, int]):
         """The same vocabulary for the faster of the two libraries; ids are the same."""
         import tiktoken
@@ -83,6 +94,8 @@ class Encoder:
             self.cache[p] = raw[lo:hi]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
+        if self.fast is None:
+            return [array("I", self.plain.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
         out: list = [None] * len(texts)
         split, new = [], {}
         get = self.cache.get
@@ -216,11 +229,15 @@ def _runs(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]
 def pack(pieces: DataFrame, length: int = LENGTH, open_bins: int = OPEN_BINS, partitions: int | None = None) -> DataFrame:
     """Place ``pieces(length, ...)`` of at most ``length`` tokens; adds sequence_id and offset.
 
-    Rows are dealt evenly over ``partitions`` (the session's shuffle partitions) by a
-    hash of all columns; each partition packs alone and leaves at most ``open_bins``
-    sequences part-filled.
+    Rows are dealt evenly over ``partitions`` by a hash of all columns; each partition
+    packs alone and leaves at most ``open_bins`` sequences part-filled.  By default there
+    is a partition for every ``SEQUENCES`` full sequences, and no more than the session's
+    shuffle partitions; ``pieces`` is read once more to count its tokens.
     """
-    n = partitions or int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if partitions is None:
+        total = pieces.agg(F.sum("length")).first()[0] or 0
+        partitions = min(partitions_of(pieces), 1 + total // (length * SEQUENCES))
+    n = partitions
     fixed = [c for c in pieces.columns if c != "ids"]
     dealt = pieces.repartition(n, F.xxhash64(*fixed)).sortWithinPartitions(F.xxhash64(*fixed), *fixed)
     schema = dealt.withColumn("sequence_id", F.lit(0).cast("long")).withColumn("offset", F.lit(0).cast("long")).schema
@@ -240,4 +257,4 @@ def pack(pieces: DataFrame, length: int = LENGTH, open_bins: int = OPEN_BINS, pa
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, end_id: int = END_ID, open_bins: int = OPEN_BINS, with_ids: bool = False) -> DataFrame:
     """Tokenise, cut and pack ``docs(doc_id, text)``; one row per piece."""
-    return pack(token_pieces(docs, tokenizer_path, length, end_id, with_ids), length, open_bins)
+    return pack(materialise(token_pieces(docs, tokenizer_path, length, end_id, with_ids), "pieces"), length, open_bins)
