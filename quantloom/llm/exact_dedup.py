@@ -9,7 +9,8 @@ long document never moves.  Equal recipes are equal texts.
 Defined cases: a null text counts as empty; an empty text has the empty recipe
 and equals other empty texts; a null ``doc_id`` never wins over a real one; rows
 that repeat the winning ``doc_id`` with the same text are one row written twice
-and all carry ``kept``; an empty table gives no rows; other columns are ignored.
+and all carry ``kept``; a very long text is one recipe of many chunks; an empty table
+gives no rows; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -28,8 +29,6 @@ from quantloom.llm._spark import join_counted, materialise
 
 #: Bytes that the rolling hash sees, bits that a cut has at zero (chunks of about 2 KB beyond the least), least and largest chunk.
 WINDOW, CUT_BITS, LEAST, LARGEST = 48, 11, 512, 16384
-#: Recipes of at most so many identifiers join by broadcast where a thousandth of the rows hold them.
-LISTED = 1000
 
 
 def cut_points(data: np.ndarray) -> list[int]:
@@ -98,11 +97,10 @@ def exact_dedup(docs: DataFrame, lower: bool = True) -> DataFrame:
     else:
         named = _with_clashes(found, clash)
     named = named.select("doc_id", "text_sha256", F.size("hashes").cast("long").alias("n_chunks"), F.xxhash64("recipe").alias("bucket"), "recipe")
-    key = ["bucket", "recipe"]
-    groups = named.groupBy(*key).agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    # Only short recipes are broadcast for their many rows, which bounds what is: a thousand recipes of LISTED identifiers.
-    weight = F.when(F.size("recipe") <= LISTED, F.col("group_size")).otherwise(0)
-    both = join_counted(named, groups.withColumn("rows", weight), key, "rows", found.count())
+    groups = named.groupBy("bucket", "recipe").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"), F.first("text_sha256").alias("text_sha256"))
+    # Equal recipes are one text, so its digest names the group: what goes back to the rows is short however long the recipe.
+    groups = groups.select("text_sha256", "keep_id", "group_size", F.col("group_size").alias("rows"))
+    both = join_counted(named.drop("bucket", "recipe"), groups, ["text_sha256"], "rows", found.count())
     return both.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256", "n_chunks")
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quantloom.llm import _kernels as K
-from quantloom.llm._spark import connected_components, materialise, row_hash
+from quantloom.llm._spark import connected_components, fresh, join_counted, materialise, partitions_of, row_hash
 
 SEED, SHINGLE, MAX_BITS, PIVOTS, SLICE_ROWS = 42, 3, 3, 24, 4096
 
@@ -191,8 +191,7 @@ def fingerprint_links(reps: DataFrame, max_bits: int = MAX_BITS, n_pivots: int =
     rows = keyed.join(many, "key").withColumn("mine", mine)
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rows = rows.select("fp", "key", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"))
-    n = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(n, "key", "a", "b").sortWithinPartitions("key", "a", "b")
+    rows = rows.repartition(partitions_of(reps), "key", "a", "b").sortWithinPartitions("key", "a", "b")
     return rows.mapInArrow(_links(n_pivots, max_bits), "u long, v long").distinct()
 
 
@@ -200,12 +199,12 @@ def grouped(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS, seed
     """Every row of ``docs(doc_id, text)`` as doc_id, row_hash, fp, root (a fingerprint that names the component) and component_id."""
     source = docs.select("doc_id", "text", row_hash("text").alias("row_hash"))
     found = materialise(source.mapInArrow(_fingerprints(size, seed), "doc_id long, row_hash long, fp long"), "fingerprints")
-    reps = materialise(found.groupBy("fp").agg(F.min("doc_id").alias("least")), "representatives")
+    reps = materialise(found.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")), "representatives")
     roots = connected_components(fingerprint_links(reps.select("fp"), max_bits, n_pivots))
     rooted = reps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(ids, "root").select("fp", "root", "component_id")
-    return found.join(named, "fp").select("doc_id", "row_hash", "fp", "root", "component_id")
+    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
+    named = materialise(join_counted(rooted, ids, ["root"], "n", reps.count()).select("fp", "root", "component_id", "rows"), "named")
+    return join_counted(found, named, ["fp"], "rows", found.count()).select("doc_id", "row_hash", "fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS, seed: int = SEED, n_pivots: int = PIVOTS) -> DataFrame:
@@ -221,8 +220,9 @@ def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, max_bits: int = M
     """One row of each component, that of the smallest ``doc_id`` (then of the smallest text hash), with its columns as they are."""
     rows = materialise(grouped(docs, size, max_bits, seed, n_pivots), "grouped")
     best = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row_hash")).alias("b"))
-    best = best.select(F.col("b.doc_id").alias("_doc"), F.col("b.row_hash").alias("_hash"))
-    kept = docs.withColumn("_own", row_hash("text")).join(best, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_hash")))
+    doc, hashed, own = (fresh(docs, x) for x in ("best_doc", "best_hash", "own_hash"))
+    best = best.select(F.col("b.doc_id").alias(doc), F.col("b.row_hash").alias(hashed))
+    kept = docs.withColumn(own, row_hash("text")).join(best, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(hashed)))
     if not rows.groupBy("doc_id", "row_hash").count().where("count > 1").isEmpty():  # a row written twice: one of the copies stays
-        kept = kept.dropDuplicates(["_doc", "_own"])
+        kept = kept.dropDuplicates([doc, own])
     return kept.select(*docs.columns)
