@@ -15,9 +15,11 @@ from quantloom.schema import existing
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below ``spark.checkpoint.dir``, which driver and executors share; a temporary folder only where it is unset."""
+    """A new path below ``spark.checkpoint.dir``, which driver and executors share; a temporary folder only where it is unset and all runs in one machine."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="quantloom-"))
         root = spark.sparkContext.getCheckpointDir()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
