@@ -54,6 +54,16 @@ def words(data: np.ndarray, at: np.ndarray, separators: np.ndarray = SPACES) ->
     return starts, ends, np.searchsorted(starts, at)
 
 
+def spaced(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """All words with one space behind each, and where each word (and the end) lies there."""
+    sizes = ends - starts
+    at = np.concatenate(([0], np.cumsum(sizes + 1)))
+    out = np.full(at[-1], 0x20, np.uint8)
+    step = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    out[np.repeat(at[:-1], sizes) + step] = data[np.repeat(starts, sizes) + step]
+    return out.tobytes(), at
+
+
 def _inverse(base: int) -> int:
     return pow(base, -1, 1 << 64)
 

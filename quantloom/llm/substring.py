@@ -1,34 +1,34 @@
 """Substring dedup by a relative Lempel-Ziv parse against the corpus itself.
 
-A passage repeats if its ``window`` words start anywhere else too.  To compare all
-texts with all texts without moving them, the corpus is indexed in *reference
-blocks*: every window has an anchor, the smallest hash among its word 8-grams, and
-the windows of one anchor form one phrase of the text (about 14 windows).  Phrases
-are filed in the block of their anchor's hash, so equal windows of any two
-documents meet in the same block.
-
-The parse of a document is greedy, phrase by phrase, against the blocks that hold
-its anchors - all blocks, over the document:
-
-1. The anchor occurs once in the corpus: nothing there repeats.
-2. All phrases filed under the anchor are equal: the whole phrase is a factor.
-3. They differ: the phrase lies at a factor's boundary.  Equal phrases are again
-   factors as a whole; of the others, each window is looked up among the windows of
-   the anchor's different phrases.
-
-Adjacent factors are joined into duplicate spans.  Step 3 is the only one that reads
-texts again, and it takes each different phrase once, however many copies it has.
-
-All is judged on the input texts; every occurrence is reported, the first too.
-Anchors, phrases and windows that hold over a thousandth of the rows are joined by
-broadcast (there are fewer than a thousand), so a passage that a third of the
-documents share lands in no single task.
-
-Hashes: 64 bits for the anchor plus 64 for the phrase or window under it.
-
-Defined cases: a null text has no words; fewer words than a window never repeat;
-repeated rows repeat each other; an empty table gives no rows; only ``doc_id`` and
-``text`` are read.
+A passage repeats if its ``window`` words start anywhere else too.  To parse all texts
+against all texts without matching every document with every block, the reference text
+is dealt to *blocks* by content: every window has an anchor, the smallest hash among its
+word 8-grams, and the windows of one anchor form a *phrase* of the text (about 14
+windows).  A factor of ``window`` words has its anchor in both places, so a block can
+hold a factor of a document only if it holds one of its anchors.
+
+1. An anchor that occurs once in the corpus has no factor.
+2. Phrases are named by a 128-bit BLAKE2 digest of their words.  If all phrases of an
+   anchor are equal, each is a factor as a whole; so are equal ones among others.
+3. The words of the *different* phrases of an anchor, one copy of each, are the reference
+   text of its block.  The block is indexed by a suffix array over word numbers (made by
+   prefix doubling), and each phrase is parsed against it: at each word the longest match
+   with any other place of the block is grown, word by word compared.  Matches of
+   ``window`` words or more are factors: the greedy ones, and at their boundaries those
+   that begin inside one factor and run past its end.
+
+Factors are joined into duplicate spans.  No hash decides alone: anchors only propose.
+
+All is judged on the input texts; every occurrence is reported, the first too.  Anchors
+and phrases that hold many rows are joined by broadcast (``join_counted``).  An anchor of
+more than ``CROWD`` phrases, as around a line that a third of the documents share, would
+make a block without bound; its phrases are compared window by window instead, by digests
+that Spark groups, so a passage however common lands in no single task.
+
+Defined cases: a null text has no words; fewer words than a window never repeat; a null
+``doc_id`` is a document like another; very long texts are parsed whole, in slices where
+they lie; repeated rows repeat each other; an empty table gives no rows; only ``doc_id``
+and ``text`` are read, other columns are ignored whatever their names.
 """
 
 from __future__ import annotations
@@ -42,10 +42,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quantloom.llm import _kernels as K
-from quantloom.llm._spark import join_counted, materialise, null_safe, row_hash
+from quantloom.llm._spark import discard, join_counted, materialise, null_safe, partitions_of, row_hash
 
-WINDOW, GRAM = 35, 8
+#: Words of a window and of an anchor, phrases of an anchor beyond which it makes no block, words of a block (and one anchor's more).
+WINDOW, GRAM, CROWD, BLOCK_WORDS = 35, 8, 4096, 1 << 18
 
+_SPACED = bytes(0x20 if K.SPACES[i] else i for i in range(256))
 _LOW = np.uint64((1 << 28) - 1)
 
 
@@ -69,8 +71,16 @@ def anchors(hashes: np.ndarray, first: np.ndarray, window: int, gram: int) -> tu
     return at[inside], least[inside], grams
 
 
+def digest(words: bytes) -> bytes:
+    return hashlib.blake2b(words, digest_size=16).digest()
+
+
+def split_words(text: str | None) -> list[bytes]:
+    return [w for w in (text or "").encode().translate(_SPACED).split(b" ") if w]
+
+
 def _phrases(window: int, gram: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("row_hash", pa.int64()), ("anchor", pa.int64()), ("phrase", pa.int64()), ("pos", pa.int32()), ("n", pa.int32())])
+    schema = pa.schema([("doc_id", pa.int64()), ("row_hash", pa.int64()), ("anchor", pa.int64()), ("phrase", pa.binary()), ("pos", pa.int32()), ("n", pa.int32())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -86,62 +96,159 @@ def _phrases(window: int, gram: int):
                 cut = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
                 a, p = win[cut], anchor[cut]
                 n = np.diff(np.concatenate((cut, [len(win)])))
-                sums, down = K.word_prefix(hashes)
-                phrase = K.mix(K.spans_hash(sums, down, a, a + n + window - 1) + (p - a).astype(np.uint64) * np.uint64(0x8EBC6AF09C88C6E3))
+                plain, at_word = K.spaced(part, starts, ends)
+                phrase = [digest(plain[i:j]) for i, j in zip(at_word[a].tolist(), (at_word[a + n + window - 1] - 1).tolist(), strict=True)]
                 r = np.searchsorted(first, a, "right") - 1
                 take = pa.array(r + lo)
-                yield pa.RecordBatch.from_arrays([doc.take(take), row.take(take), pa.array(grams[p].view(np.int64)), pa.array(phrase.view(np.int64)), pa.array((a - first[r]).astype(np.int32)), pa.array(n.astype(np.int32))], schema=schema)
+                yield pa.RecordBatch.from_arrays([doc.take(take), row.take(take), pa.array(grams[p].view(np.int64)), pa.array(phrase, pa.binary()), pa.array((a - first[r]).astype(np.int32)), pa.array(n.astype(np.int32))], schema=schema)
+
+    return work
+
+
+def _segments(window: int):
+    """Worker: the words of the listed phrases."""
+    schema = pa.schema([("anchor", pa.int64()), ("crowded", pa.bool_()), ("copies", pa.int64()), ("doc_id", pa.int64()), ("row_hash", pa.int64()), ("pos", pa.int32()), ("n", pa.int32()), ("words", pa.binary())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple] = []
+            held = 0
+            for doc, row, text, listed in zip(batch.column("doc_id").to_pylist(), batch.column("row_hash").to_pylist(), batch.column("text"), batch.column("phrases").to_pylist(), strict=True):
+                words = split_words(text.as_py())
+                for x in listed:
+                    raw = b" ".join(words[x["pos"] : x["pos"] + x["n"] + window - 1])
+                    rows.append((x["anchor"], x["crowded"], x["copies"], doc, row, x["pos"], x["n"], raw))
+                    held += len(raw)
+                if held > K.SLICE * 8:
+                    yield _batch(rows, schema)
+                    rows, held = [], 0
+            yield _batch(rows, schema)
+
+    return work
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def longest_matches(words: np.ndarray, longest: int) -> np.ndarray:
+    """For each place of a word sequence, the length of its longest match with another place, up to ``longest`` and at least that far exact.
+
+    Prefix doubling: two places have the same rank at width k if and only if the same k
+    words follow them.  In the order of the widest ranks, the longest match of a place is
+    with one of its neighbours, and ranks of falling widths add up to its length.
+    """
+    n = len(words)
+    _, rank = np.unique(words, return_inverse=True)
+    ranks, width = [(1, rank.astype(np.int64) + 1)], 1
+    while width < longest:
+        rank = ranks[-1][1]
+        ahead = np.zeros(n, np.int64)
+        ahead[: max(0, n - width)] = rank[width:]
+        _, nxt = np.unique(rank * (n + 2) + ahead, return_inverse=True)
+        width *= 2
+        ranks.append((width, nxt.astype(np.int64) + 1))
+    order = np.argsort(ranks[-1][1], kind="stable")
+    a, b = order[:-1], order[1:]
+    common = np.zeros(max(0, n - 1), np.int64)
+    for width, rank in reversed(ranks):
+        padded = np.append(rank, 0)
+        i, j = padded[np.minimum(a + common, n)], padded[np.minimum(b + common, n)]
+        common += np.where((i == j) & (i > 0), width, 0)
+    out = np.zeros(n, np.int64)
+    out[a] = common
+    out[b] = np.maximum(out[b], common)
+    return out
+
+
+def block_factors(phrases: list[list[bytes]], window: int) -> list[list[tuple[int, int]]]:
+    """For each phrase of a block, its runs (first window, number) of windows that begin a match of ``window`` words elsewhere in the block."""
+    vocab: dict[bytes, int] = {}
+    flat: list[int] = []
+    starts = []
+    for k, words in enumerate(phrases):
+        starts.append(len(flat))
+        flat += [vocab.setdefault(w, len(vocab)) for w in words]
+        flat.append(-1 - k)  # a sign of its own ends each phrase: no match runs past it
+    match = longest_matches(np.array(flat, np.int64), window)
+    out = []
+    for start, words in zip(starts, phrases, strict=True):
+        hit = match[start : start + max(0, len(words) - window + 1)] >= window
+        edge = np.flatnonzero(np.diff(np.concatenate(([0], hit.view(np.int8), [0]))))
+        out.append([(int(lo), int(hi - lo)) for lo, hi in zip(edge[::2], edge[1::2], strict=True)])
+    return out
+
+
+def _factors(window: int):
+    """Worker over rows sorted by anchor: blocks of whole anchors are indexed, and the phrases without a copy are parsed."""
+    schema = pa.schema([("doc_id", pa.int64()), ("row_hash", pa.int64()), ("pos", pa.int32()), ("n", pa.int32())])
+
+    def parse(rows: list[dict]) -> pa.RecordBatch:
+        found = block_factors([r["words"].split(b" ") for r in rows], window)
+        return _batch([(r["doc_id"], r["row_hash"], r["pos"] + lo, n) for r, runs in zip(rows, found, strict=True) if r["copies"] == 1 for lo, n in runs], schema)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[dict] = []
+        size = 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                if size > BLOCK_WORDS and row["anchor"] != rows[-1]["anchor"]:
+                    yield parse(rows)
+                    rows, size = [], 0
+                rows.append(row)
+                size += row["n"] + window
+        if rows:
+            yield parse(rows)
 
     return work
 
 
 def _windows(window: int):
-    """Worker: the hash of every window of the listed phrases."""
-    schema = pa.schema([("anchor", pa.int64()), ("win", pa.int64()), ("copies", pa.int64()), ("doc_id", pa.int64()), ("row_hash", pa.int64()), ("pos", pa.int32())])
+    """Worker: the digest of every window of the given phrases."""
+    schema = pa.schema([("anchor", pa.int64()), ("win", pa.binary()), ("copies", pa.int64()), ("doc_id", pa.int64()), ("row_hash", pa.int64()), ("pos", pa.int32())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, at = K.texts(batch.column("text"))
-            doc, row, listed = batch.column("doc_id").cast(pa.int64()), batch.column("row_hash"), batch.column("phrases")
-            for lo, hi in K.slices(at):
-                part, off = data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo]
-                starts, ends, first = K.words(part, off)
-                sums, down = K.word_prefix(K.word_hashes(part, starts, ends))
-                own = listed.slice(lo, hi - lo)
-                flat, sizes = own.flatten(), pa.compute.list_value_length(own).to_numpy(zero_copy_only=False)
-                get = lambda c: flat.field(c).to_numpy(zero_copy_only=False)
-                n = get("n").astype(np.int64)
-                r = np.repeat(np.repeat(np.arange(hi - lo), sizes), n)
-                pos = np.repeat(get("pos"), n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                w = first[r] + pos
-                take = pa.array(r + lo)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(get("anchor"), n)), pa.array(K.spans_hash(sums, down, w, w + window).view(np.int64)), pa.array(np.repeat(get("copies"), n)), doc.take(take), row.take(take), pa.array(pos.astype(np.int32))], schema=schema)
+            rows = []
+            for x in batch.to_pylist():
+                words = x["words"].split(b" ")
+                for k in range(x["n"]):
+                    rows.append((x["anchor"], digest(b" ".join(words[k : k + window])), x["copies"], x["doc_id"], x["row_hash"], x["pos"] + k))
+            yield _batch(rows, schema)
 
     return work
 
 
-def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
     """Factors of the parse: runs of ``n`` repeated windows from word ``pos`` of a row (doc_id, row_hash)."""
     if not 0 < gram < window:
         raise ValueError("an anchor must be shorter than a window")
     source = docs.select("doc_id", "text", row_hash("text").alias("row_hash"))
-    filed = materialise(source.mapInArrow(_phrases(window, gram), "doc_id long, row_hash long, anchor long, phrase long, pos int, n int"), "phrases")
+    filed = materialise(source.mapInArrow(_phrases(window, gram), "doc_id long, row_hash long, anchor long, phrase binary, pos int, n int"), "phrases")
     blocks = filed.groupBy("anchor").agg(F.count("*").alias("k"), F.min("phrase").alias("a"), F.max("phrase").alias("b")).where("k > 1")
-    blocks = blocks.select("anchor", "k", (F.col("a") != F.col("b")).alias("differ"))
+    blocks = blocks.select("anchor", "k", (F.col("a") != F.col("b")).alias("differ"), (F.col("k") > crowd).alias("crowded"))
     n_filed = filed.count()
     met = materialise(join_counted(filed, blocks, ["anchor"], "k", n_filed), "met")
+    discard(filed)
     whole = met.where("not differ").select("doc_id", "row_hash", "pos", "n")
 
     edge = met.where("differ")
-    kinds = edge.groupBy("anchor", "phrase").agg(F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("doc_id", "row_hash", "pos", "n")])
+    kinds = edge.groupBy("anchor", "phrase").agg(F.count("*").alias("copies"), F.first("crowded").alias("crowded"), F.min(F.struct("doc_id", "row_hash", "pos", "n")).alias("one"))
+    kinds = materialise(kinds.select("anchor", "phrase", "crowded", "copies", "one.*"), "kinds")
     copied = kinds.where("copies > 1").select("anchor", "phrase", "copies")
     equal = join_counted(edge, copied, ["anchor", "phrase"], "copies", n_filed).select("doc_id", "row_hash", "pos", "n")
-    wanted = kinds.groupBy("doc_id", "row_hash").agg(F.collect_list(F.struct("anchor", "pos", "n", "copies")).alias("phrases"))
-    read = source.join(wanted, null_safe(source, wanted, ["doc_id", "row_hash"])).select(source["doc_id"], source["row_hash"], "text", "phrases")
-    wins = materialise(read.mapInArrow(_windows(window), "anchor long, win long, copies long, doc_id long, row_hash long, pos int").distinct(), "windows")
+    wanted = kinds.groupBy("doc_id", "row_hash").agg(F.collect_list(F.struct("anchor", "crowded", "pos", "n", "copies")).alias("phrases"))
+    read = source.join(wanted, null_safe(source, wanted, ["doc_id", "row_hash"]))
+    read = read.select(source["doc_id"], source["row_hash"], "text", "phrases")
+    parts = materialise(read.mapInArrow(_segments(window), "anchor long, crowded boolean, copies long, doc_id long, row_hash long, pos int, n int, words binary").distinct(), "segments")
+    dealt = parts.where("not crowded").drop("crowded").repartition(partitions_of(docs), "anchor").sortWithinPartitions("anchor")
+    grown = dealt.mapInArrow(_factors(window), "doc_id long, row_hash long, pos int, n int")
+    wins = parts.where("crowded").mapInArrow(_windows(window), "anchor long, win binary, copies long, doc_id long, row_hash long, pos int")
+    wins = materialise(wins, "windows")
     again = wins.groupBy("anchor", "win").agg(F.sum("copies").alias("total"), F.count("*").alias("k")).where("total > 1").select("anchor", "win", "k")
     single = join_counted(wins.where("copies = 1"), again, ["anchor", "win"], "k", wins.count()).select("doc_id", "row_hash", "pos", F.lit(1).alias("n"))
-    return whole.unionByName(equal).unionByName(single)
+    return whole.unionByName(equal).unionByName(materialise(grown, "factors")).unionByName(single)
 
 
 def _remover(window: int):
@@ -174,9 +281,6 @@ def _remover(window: int):
     return work
 
 
-_SPACED = bytes(0x20 if K.SPACES[i] else i for i in range(256))
-
-
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """``docs(doc_id, text)`` without the words of repeated passages.
 

@@ -79,9 +79,38 @@ def test_substring_against_brute_force(spark, docs, corpus):
         want.append((i, len(w), len(hit), hashlib.sha256(" ".join(kept).encode()).hexdigest()))
     got = [tuple(r)[:4] for r in substring.remove_repeats(docs).collect()]
     assert Counter(got) == Counter(want)
+    crowded = substring.repeated_windows(docs, crowd=1).selectExpr("doc_id", "row_hash", "explode(sequence(pos, pos + n - 1)) AS p").distinct().collect()
+    assert set(map(tuple, crowded)) == set(map(tuple, substring.repeated_windows(docs).selectExpr("doc_id", "row_hash", "explode(sequence(pos, pos + n - 1)) AS p").distinct().collect()))
     assert substring.remove_repeats(docs.limit(0)).collect() == []
 
 
+def test_words_of_equal_hash_are_told_apart(spark):
+    """Two words of 1,024 letters whose polynomial hashes modulo 2**64 agree whatever the base (Thue-Morse)."""
+    bits = [bin(i).count("1") & 1 for i in range(1024)]
+    one, two = ("".join("ab"[b ^ f] for b in bits) for f in (0, 1))
+    w = [f"w{i}" for i in range(20)]
+    docs = [(1, " ".join([*w, one, *w])), (2, " ".join([*w, two, *w]))]
+    data = np.frombuffer(f"{one} {two}".encode(), np.uint8)
+    starts, ends, _ = K.words(data, np.array([0, len(data)]))
+    assert len(set(K.word_hashes(data, starts, ends).tolist())) == 1
+    got = substring.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert [r.n_removed for r in got] == [0, 0]
+
+
+def test_longest_matches_against_brute_force():
+    r = random.Random(7)
+    x = [r.choice((1, 2)) for _ in range(120)] + [-1] + [r.choice((1, 2, 3)) for _ in range(60)] + [-2]
+
+    def common(i, j):
+        n = 0
+        while max(i, j) + n < len(x) and x[i + n] == x[j + n] and n < 16:
+            n += 1
+        return n
+
+    want = [max(common(i, j) for j in range(len(x)) if j != i) for i in range(len(x))]
+    assert np.minimum(substring.longest_matches(np.array(x), 9), 16).tolist() == want
+
+
 def brute_fingerprint(t):
     w = [x for x in SPACE.split((t or "").translate({c: c + 32 for c in range(65, 91)})) if x]
     if not w:
