@@ -45,7 +45,7 @@ from quantloom.llm import _kernels as K
 from quantloom.llm._spark import discard, join_counted, materialise, null_safe, partitions_of, row_hash
 
 #: Words of a window and of an anchor, phrases of an anchor beyond which it makes no block, words of a block (and one anchor's more).
-WINDOW, GRAM, CROWD, BLOCK_WORDS = 35, 8, 4096, 1 << 18
+WINDOW, GRAM, CROWD, BLOCK_WORDS = 35, 8, 512, 1 << 18
 
 _SPACED = bytes(0x20 if K.SPACES[i] else i for i in range(256))
 _LOW = np.uint64((1 << 28) - 1)
