@@ -15,25 +15,40 @@ the survivors are verified.  A key with more than ``slice_rows`` fingerprints is
 dealt out as pairs of slices, so that a task holds two slices at most; of its links
 each task gives back a spanning forest, never all pairs.
 
+For a corpus three bits are too few: texts of a five-word Jaccard similarity of 0.8 differ
+in about ten.  ``near_copies`` and ``drop_near_duplicates`` therefore take proposals from
+bands of shingle minima too, let the pivot tables discard the far ones, and verify the
+similarity itself.
+
 Defined cases: a null or empty text has fingerprint 0, linked like any other; rows
 repeated or tied share a component; a null ``doc_id`` takes part but names no
-component unless all of its members are null; an empty table gives no rows.
+component unless all of its members are null; very long texts are fingerprinted whole;
+an empty table gives no rows; other columns, whatever their names, are ignored or kept.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quantloom.llm import _kernels as K
-from quantloom.llm._spark import connected_components, fresh, join_counted, materialise, partitions_of, row_hash
+from quantloom.llm._spark import connected_components, fresh, join_counted, materialise, null_safe, partitions_of, row_hash
 
 SEED, SHINGLE, MAX_BITS, PIVOTS, SLICE_ROWS = 42, 3, 3, 24, 4096
+#: Near copies of a corpus: words of a shingle, least Jaccard similarity, bits that their fingerprints may differ in.
+STAGE_SHINGLE, SIMILARITY, FAR_BITS = 5, 0.8, 26
+#: Bands of shingle minima and minima in each: a pair of similarity 0.8 shares one of 16 bands of 6 with probability 0.99.
+BANDS, ROWS = 16, 6
+#: Members of a centre that are verified in one part.
+MEMBERS = 512
+
+_FACTORS = np.random.default_rng(20240301).integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 
 _LANES = np.uint64(0x0101010101010101)
 
@@ -216,13 +231,132 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BI
     return grouped(docs, size, max_bits, seed, n_pivots).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS, seed: int = SEED, n_pivots: int = PIVOTS) -> DataFrame:
-    """One row of each component, that of the smallest ``doc_id`` (then of the smallest text hash), with its columns as they are."""
-    rows = materialise(grouped(docs, size, max_bits, seed, n_pivots), "grouped")
-    best = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row_hash")).alias("b"))
+def minima(shingles: np.ndarray) -> np.ndarray:
+    """Band keys of a set of shingle hashes: equal in a band with probability J ** ROWS for sets of Jaccard similarity J."""
+    least = np.array([(shingles * a).min() for a in _FACTORS], np.uint64)
+    return np.array([xxhash.xxh64_intdigest(band.tobytes(), k) for k, band in enumerate(least.reshape(BANDS, ROWS))], np.uint64)
+
+
+def shingle_set(words: list[bytes], size: int) -> np.ndarray:
+    """The different hashes of the word shingles, in order; fewer words: that of the whole sequence; none: none."""
+    if not words:
+        return np.zeros(0, np.uint64)
+    grams = {b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in grams), np.uint64, len(grams)))
+
+
+_SKETCH = "doc_id long, row_hash long, class binary, fp long, bands array<long>"
+
+
+def _sketches(size: int):
+    """Worker: the class of equal word sequences, the fingerprint and the band keys of each text."""
+    schema = pa.schema([("doc_id", pa.int64()), ("row_hash", pa.int64()), ("class", pa.binary()), ("fp", pa.int64()), ("bands", pa.list_(pa.int64()))])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                classes, fps, bands = [], [], []
+                for t in part.column("text"):
+                    words = simhash_words(t.as_py())
+                    own = shingle_set(words, size)
+                    classes.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest())
+                    fps.append(bit_majority(own) if len(own) else 0)
+                    bands.append(minima(own).view(np.int64) if len(own) else np.zeros(0, np.int64))
+                fp = np.array(fps, np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), part.column("row_hash"), pa.array(classes, pa.binary()), pa.array(fp), pa.array(bands, pa.list_(pa.int64()))], schema=schema)
+
+    return work
+
+
+def _verify(size: int, similarity: float):
+    """Worker over rows sorted by (centre, part, role): pairs of at least ``similarity``, one centre and one member held at a time."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centre, held = None, np.zeros(0, np.uint64)
+        for batch in batches:
+            us, vs = [], []
+            for v, u, text in zip(batch.column("v").to_pylist(), batch.column("u").to_pylist(), batch.column("text"), strict=True):
+                own = shingle_set(simhash_words(text.as_py()), size)
+                if u is None:
+                    centre, held = v, own
+                    continue
+                if v != centre:
+                    raise RuntimeError("a member without its centre")
+                both = len(np.intersect1d(held, own, assume_unique=True))
+                if both >= similarity * (len(held) + len(own) - both) and both:
+                    us.append(u)
+                    vs.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.binary()), pa.array(vs, pa.binary())], names=["u", "v"])
+
+    return work
+
+
+def within_pivots(max_bits: int, refs: np.ndarray) -> Column:
+    """Whether the pivot tables of the fingerprints ``fu`` and ``fv`` allow ``max_bits`` differing bits, and the fingerprints have no more."""
+    ok = F.bit_count(F.col("fu").bitwiseXOR(F.col("fv"))) <= max_bits
+    for p in refs.view(np.int64).tolist():
+        ok = ok & (F.abs(F.bit_count(F.col("fu").bitwiseXOR(F.lit(p))) - F.bit_count(F.col("fv").bitwiseXOR(F.lit(p)))) <= max_bits)
+    return ok
+
+
+def _class_groups(docs: DataFrame, size: int, similarity: float, far_bits: int, n_pivots: int) -> tuple[DataFrame, DataFrame]:
+    """The class of every row (doc_id, row_hash, class), and of every class its first row, its rows and its group (class, no, doc_id, row_hash, rows, root)."""
+    source = docs.select("doc_id", "text", row_hash("text").alias("row_hash"))
+    found = materialise(source.mapInArrow(_sketches(size), _SKETCH), "sketches")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row_hash")).alias("one")
+    classes = found.groupBy("class").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.count("*").alias("rows"), first)
+    classes = materialise(classes.select("class", "fp", "bands", "rows", "one.*"), "classes")
+    keyed = materialise(classes.select("class", "fp", F.explode("bands").alias("key")), "bands")
+    tops = keyed.groupBy("key").agg(F.min(F.struct("class", "fp")).alias("low"), F.max(F.struct("class", "fp")).alias("high"), F.count("*").alias("n")).where("n > 1")
+    starred = join_counted(keyed, tops, ["key"], "n", keyed.count())
+    stars = starred.select(F.col("class").alias("u"), F.col("fp").alias("fu"), F.explode(F.array("low", "high")).alias("c")).select("u", "fu", F.col("c.class").alias("v"), F.col("c.fp").alias("fv"))
+    # Equal fingerprints share a centre, and linked ones join their centres.
+    equal = materialise(classes.groupBy("fp").agg(F.min("class").alias("v"), F.count("*").alias("n")), "centres")
+    same = join_counted(classes.select(F.col("class").alias("u"), "fp"), equal.where("n > 1"), ["fp"], "n", classes.count()).select("u", F.col("fp").alias("fu"), "v", F.col("fp").alias("fv"))
+    near = fingerprint_links(equal.select("fp"), MAX_BITS, n_pivots).select(F.col("u").alias("fu"), F.col("v").alias("fv"))
+    near = near.join(equal.select(F.col("fp").alias("fu"), F.col("v").alias("u")), "fu").join(equal.select(F.col("fp").alias("fv"), "v"), "fv").select("u", "fu", "v", "fv")
+    pairs = stars.unionByName(same).unionByName(near).where("u <> v").where(within_pivots(far_bits, pivots(n_pivots)))
+    pairs = materialise(pairs.select("u", "v").distinct(), "pairs")
+
+    wanted = pairs.select(F.explode(F.array("u", "v")).alias("class")).distinct().join(classes, "class").select("class", "doc_id", "row_hash")
+    texts = source.join(wanted, null_safe(source, wanted, ["doc_id", "row_hash"])).select("class", "text").dropDuplicates(["class"])
+    texts = materialise(texts, "texts")
+    parts = materialise(pairs.groupBy("v").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts"), F.count("*").alias("n")), "parts")
+    dealt = join_counted(pairs, parts, ["v"], "n", pairs.count()).withColumn("part", F.pmod(F.xxhash64("u"), F.col("parts")).cast("int"))
+    members = dealt.join(texts.withColumnRenamed("class", "u"), "u").select("v", "part", "u", "text")
+    centres = parts.join(texts.withColumnRenamed("class", "v"), "v").select("v", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("binary").alias("u"), "text")
+    rows = members.unionByName(centres).repartition(partitions_of(docs), "v", "part").sortWithinPartitions("v", "part", F.col("u").asc_nulls_first())
+    roots = connected_components(rows.mapInArrow(_verify(size, similarity), "u binary, v binary"))
+    groups = classes.drop("fp", "bands").join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    return found.select("doc_id", "row_hash", "class"), groups
+
+
+def near_copies(docs: DataFrame, size: int = STAGE_SHINGLE, similarity: float = SIMILARITY, far_bits: int = FAR_BITS, n_pivots: int = PIVOTS) -> DataFrame:
+    """Groups of texts linked by a Jaccard similarity of their ``size``-word shingles of at least ``similarity``: doc_id, row_hash, root for every row.
+
+    Fingerprints within three bits, and texts with an equal band of shingle minima, propose
+    pairs of different classes of equal word sequences; each member is paired with the least
+    and the greatest class of its band, so proposals grow with the rows, not with the square
+    of a group.  Pairs whose pivot distances, or fingerprints, differ by more than
+    ``far_bits`` are discarded; the others are verified on their whole sets of shingles.
+    """
+    found, groups = _class_groups(docs, size, similarity, far_bits, n_pivots)
+    groups = materialise(groups.select("class", "rows", "root"), "groups")
+    return join_counted(found, groups, ["class"], "rows", found.count()).select("doc_id", "row_hash", "root")
+
+
+def drop_near_duplicates(docs: DataFrame, size: int = STAGE_SHINGLE, similarity: float = SIMILARITY, far_bits: int = FAR_BITS, n_pivots: int = PIVOTS) -> DataFrame:
+    """One row of each group of ``near_copies``, that of the smallest ``doc_id`` (then of the smallest text hash), with its columns as they are.
+
+    Null, empty and equal texts are copies of one another; a null ``doc_id`` stays only where
+    a group has no other; of a row written twice one stays.
+    """
+    found, groups = _class_groups(docs, size, similarity, far_bits, n_pivots)
+    best = groups.groupBy("root").agg(F.min(F.struct("no", "doc_id", "row_hash")).alias("b"))
     doc, hashed, own = (fresh(docs, x) for x in ("best_doc", "best_hash", "own_hash"))
     best = best.select(F.col("b.doc_id").alias(doc), F.col("b.row_hash").alias(hashed))
     kept = docs.withColumn(own, row_hash("text")).join(best, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(hashed)))
-    if not rows.groupBy("doc_id", "row_hash").count().where("count > 1").isEmpty():  # a row written twice: one of the copies stays
+    if not found.groupBy("doc_id", "row_hash").count().where("count > 1").isEmpty():  # a row written twice: one of the copies stays
         kept = kept.dropDuplicates([doc, own])
     return kept.select(*docs.columns)

@@ -140,9 +140,59 @@ def test_simhash_against_brute_force(spark, docs, corpus):
     want = Counter((i, f"{fp[k]:016x}", least[find(k)]) for k, (i, _) in enumerate(corpus))
     assert Counter(map(tuple, simhash.near_duplicates(docs).collect())) == want
     assert simhash.near_duplicates(docs.limit(0)).collect() == []
-    kept = simhash.drop_near_duplicates(docs)
-    assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(least.values()))
+
+
+def shingles_of(t):
+    w = [x for x in SPACE.split((t or "").translate({c: c + 32 for c in range(65, 91)})) if x]
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def brute_groups(rows, least=0.8):
+    """Components of (doc_id, text) rows by Jaccard similarity, texts without words being equal: index of a representative for each row."""
+    sets = [shingles_of(t) for _, t in rows]
+    comp = list(range(len(rows)))
+
+    def find(x):
+        while comp[x] != x:
+            x = comp[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] == sets[b] or len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]):
+                comp[find(a)] = find(b)
+    return [find(k) for k in range(len(rows))]
+
+
+def near_texts():
+    r = random.Random(21)
+    vocab = ["".join(r.choice("abcdefgh") for _ in range(r.randint(2, 6))) for _ in range(500)]
+    out = [None, "", " ", "a b c", "a b c", "A  b\nc", "a b d"]
+    for _ in range(25):
+        base = [r.choice(vocab) for _ in range(r.randint(60, 400))]
+        out.append(" ".join(base))
+        for _ in range(r.randint(1, 6)):
+            w = list(base)
+            for _ in range(r.randint(1, max(1, len(w) // 60))):
+                w[r.randrange(len(w))] = r.choice(vocab)
+            out.append(" ".join(w))
+    return out
+
+
+def test_near_copies_against_brute_force(spark):
+    rows = [*enumerate(near_texts()), (None, "a b c"), (9, near_texts()[9]), (None, "by itself")]
+    clash = spark.createDataFrame([(i, t, 1, 2, 3) for i, t in rows], "doc_id long, text string, class int, best_doc int, own_hash int")
+    groups = brute_groups(rows)
+    want = {}
+    for k, (i, _) in enumerate(rows):
+        want.setdefault(groups[k], []).append(i)
+    kept = simhash.drop_near_duplicates(clash)
+    assert kept.columns == clash.columns
+    best = lambda ids: min((i is None, i or 0) for i in ids)
+    assert Counter((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == Counter(best(ids) for ids in want.values())
+    roots = Counter(bytes(r.root) for r in simhash.near_copies(clash).collect())
+    assert sorted(roots.values()) == sorted(map(len, want.values()))
+    assert simhash.drop_near_duplicates(clash.limit(0)).collect() == []
 
 
 def test_links_of_near_fingerprints_in_slices(spark):
