@@ -34,7 +34,7 @@ from quantloom.llm._spark import materialise, partitions_of
 LENGTH, END_ID, OPEN_BINS, RUN_PIECES, SEQUENCES = 1024, 2, 256, 512, 8000
 
 #: Entries of a worker's cache of encoded words.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 80_000
 
 
 class Encoder:
@@ -162,6 +162,7 @@ def _cutter(path: str, length: int, end_id: int, with_ids: bool):
                     yield _rows(rows, schema)
                     rows, held = [], 0
             yield _rows(rows, schema)
+            pa.default_memory_pool().release_unused()
 
     return work
 

@@ -323,6 +323,7 @@ def _scorer(model, limit: float, filtering: bool):
             else:
                 low, toxic = (pa.array([x[i] for x in got], pa.float64()) for i in range(2))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), low, toxic, keep], names=["doc_id", "p_low", "p_toxic", "kept"])
+            pa.default_memory_pool().release_unused()
 
     return work
 

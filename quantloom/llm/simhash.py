@@ -265,6 +265,7 @@ def _sketches(size: int):
                     bands.append(minima(own).view(np.int64) if len(own) else np.zeros(0, np.int64))
                 fp = np.array(fps, np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), part.column("row_hash"), pa.array(classes, pa.binary()), pa.array(fp), pa.array(bands, pa.list_(pa.int64()))], schema=schema)
+            pa.default_memory_pool().release_unused()
 
     return work
 
@@ -288,6 +289,7 @@ def _verify(size: int, similarity: float):
                     us.append(u)
                     vs.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(us, pa.binary()), pa.array(vs, pa.binary())], names=["u", "v"])
+            pa.default_memory_pool().release_unused()
 
     return work
 
