@@ -319,6 +319,40 @@ def test_formulas_are_part_of_their_line():
     assert [b.text for b in html_extract.blocks_of(page)] == ["Let x=2 be given."]
 
 
+def test_lines_go_on_behind_scripts_and_fields():
+    page = "<p>One <script>x('</p>')</script>two <select><option>no</option></select>three <textarea>no</textarea>four.</p><p>Five.</p>"
+    assert [b.text for b in html_extract.blocks_of(page)] == ["One two three four.", "Five."]
+
+
+def test_open_quotes_and_deep_pages_take_linear_time():
+    import time
+
+    began = time.time()
+    assert html_extract.blocks_of("<a '<a \"" * 120_000 + "<p>End.</p>")[-1].text == "End."
+    assert html_extract.blocks_of('<p>Start.</p>' + '<a "' * 250_000)[0].text == "Start."
+    assert len(html_extract.blocks_of("<div>x" * 60_000)) == 60_000
+    assert len(html_extract.blocks_of("<b>" * 60_000 + "<p>x</p></span>" * 20_000)) == 20_000
+    assert time.time() - began < 20
+
+
+#: Pages in the manner of common publishing tools, and their article.
+PAGES = [
+    ("""<!doctype html><html><head><title>Tides</title></head><body class="single post"><div id="page"><header id="masthead" class="site-header"><a href="/">The Coast</a><nav id="site-navigation" class="main-navigation"><ul id="menu"><li><a href="/a">Home</a></li><li><a href="/b">About</a></li></ul></nav></header>
+<div id="content" class="site-content"><main id="main"><article id="post-7" class="post"><h1 class="entry-title">Why tides come twice</h1><div class="entry-content"><p>The moon pulls the near side of the sea more strongly than the far side.</p><p>So there are <em>two</em> bulges,&nbsp;and the earth turns beneath both.</p><blockquote><p>Time and tide wait for no man.</p></blockquote></div></article></main>
+<aside id="secondary" class="widget-area"><h2>Recent posts</h2><ul><li><a href="/x">Sand</a></li><li><a href="/y">Salt</a></li></ul></aside></div><footer id="colophon" class="site-footer">&copy; The Coast</footer></div></body></html>""",
+     ["Why tides come twice", "The moon pulls the near side of the sea more strongly than the far side.", "So there are two bulges, and the earth turns beneath both.", "Time and tide wait for no man."]),
+    ("""<html><body><div class="cookie-banner"><p>We use cookies to improve this site.</p><button>Accept</button></div><div class="topbar"><a href="/">News</a> <a href="/sport">Sport</a></div><div class="story"><h1>Bridge opens after nine years</h1><p>The bridge over the river opened on Monday, nine years after work began.</p><div class="advert"><p>Buy our umbrellas today!</p></div><p>Traffic was light in the morning, the mayor said.</p></div>
+<div class="comments"><h3>Comments</h3><p>About time too!</p></div><div class="footer"><a href="/imprint">Imprint</a></div></body></html>""",
+     ["Bridge opens after nine years", "The bridge over the river opened on Monday, nine years after work began.", "Traffic was light in the morning, the mayor said."]),
+]
+
+
+@pytest.mark.parametrize("k", range(len(PAGES)))
+def test_pages_of_other_makers(k):
+    page, want = PAGES[k]
+    assert html_extract.main_text(html_extract.default_model(), page) == "\n\n".join(want)
+
+
 def test_packing_fills_sequences_with_many_pieces_over_half(spark):
     r = random.Random(11)
     sizes = [r.choice((1024, r.randint(513, 1023), r.randint(20, 512))) for _ in range(6000)]
