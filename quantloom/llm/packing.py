@@ -34,7 +34,7 @@ from quantloom.llm._spark import materialise, partitions_of
 LENGTH, END_ID, OPEN_BINS, RUN_PIECES, SEQUENCES = 1024, 2, 256, 512, 8000
 
 #: Entries of a worker's cache of encoded words.
-CACHE_WORDS = 80_000
+CACHE_WORDS = 50_000
 
 
 class Encoder:
@@ -55,7 +55,9 @@ class Encoder:
         self.opens = np.zeros(max(vocab.values()) + 1, bool)
         for token, i in vocab.items():
             self.opens[i] = token.startswith("Ġ")  # how the file writes a space
-        self.fast = self._ranks(vocab) if self._known() else None
+        self.path, self.fast = path, self._ranks(vocab) if self._known() else None
+        if self.fast is not None:
+            self.plain = None  # read again by the first text with a special token
         self.cache: dict[str, bytes] = {}
 
     def _known(self) -> bool:
@@ -94,6 +96,8 @@ class Encoder:
             self.cache[p] = raw[lo:hi]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
+        from tokenizers import Tokenizer
+
         if self.fast is None:
             return [array("I", self.plain.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
         out: list = [None] * len(texts)
@@ -101,6 +105,8 @@ class Encoder:
         get = self.cache.get
         for r, text in enumerate(texts):
             if any(s in text for s in self.specials):
+                if self.plain is None:
+                    self.plain = Tokenizer.from_file(self.path)
                 out[r] = array("I", self.plain.encode(text, add_special_tokens=False).ids).tobytes()
                 split.append(None)
                 continue

@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quantloom.llm import decontaminate, exact_dedup, html_extract, line_dedup, packing, pii, quality, simhash, substring, url_filter
+from quantloom.llm._spark import bound_batches
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
