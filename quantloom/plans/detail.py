@@ -44,8 +44,8 @@ def d01_features(spark, sf):
     return p.select("code", "d", "close", _r(ts.rolling_mean(c, W(), 5)).alias("ma_5"), _r(F.try_divide(c, F.lag("close", 5).over(W())) - 1, 8).alias("roc_5"), _r(ts.rolling_std(r, W(), 5)).alias("volatility_5"), _r(ts.forward_return(c, W(), 5), 8).alias("ret_5d"))
 
 
-def _status(spark, sf, some):
-    p = price_panel(spark, sf).where(some)
+def _status(spark, sf):
+    p = price_panel(spark, sf)
     listed = p.groupBy("code").agg(F.min("d").alias("list_date"))
     s = J.skeleton(open_days(spark, sf), p.select("code")).join(p.select("code", "d", "close"), ["code", "d"], "left").join(listed, "code")
     s = s.withColumn("last", ts.ffill("close", W())).withColumn("pre", F.lag("last").over(W())).withColumn("age", F.datediff("d", "list_date"))
@@ -53,24 +53,19 @@ def _status(spark, sf, some):
     return s.withColumn("limit_ratio", ratio)
 
 
-@query("d02_status", f"""WITH {PANEL}, {OPEN_DAYS}, k AS (SELECT code, min(d) AS list_date FROM panel WHERE code <= 20 GROUP BY 1), s AS (
+@query("d02_status", f"""WITH {PANEL}, {OPEN_DAYS}, k AS (SELECT code, min(d) AS list_date FROM panel GROUP BY 1), s AS (
   SELECT k.code, o.d, p.close, list_date FROM k CROSS JOIN open_days o LEFT JOIN panel p ON p.code = k.code AND p.d = o.d
 ), f AS (SELECT *, last_value(close IGNORE NULLS) OVER ({P} ROWS UNBOUNDED PRECEDING) AS last FROM s), g AS (SELECT *, lag(last) OVER ({P}) AS pre, date_diff('day', list_date, d) AS age FROM f),
 h AS (SELECT *, CASE WHEN age < 5 THEN 1.0 WHEN code % 3 = 0 THEN 0.2 WHEN code % 3 = 1 THEN 0.1 ELSE 0.05 END AS ratio FROM g)
 SELECT code, d, (age < 60)::BIGINT AS is_new, ratio::DOUBLE AS limit_ratio, coalesce(ratio < 1 AND last >= round(pre * (1 + ratio), 2) * 0.999, false)::BIGINT AS is_limit_up, coalesce(ratio < 1 AND last <= round(pre * (1 - ratio), 2) * 1.001, false)::BIGINT AS is_limit_down FROM h""")
-def d02(spark, sf, some="code <= 20"):
-    s, q = _status(spark, sf, some), F.col("limit_ratio")
+def d02(spark, sf):
+    s, q = _status(spark, sf), F.col("limit_ratio")
     up = (q < 1) & (F.col("last") >= F.round(F.col("pre") * (1 + q), 2) * 0.999)
     down = (q < 1) & (F.col("last") <= F.round(F.col("pre") * (1 - q), 2) * 1.001)
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("long")
     return s.select("code", "d", flag(F.col("age") < 60).alias("is_new"), q.alias("limit_ratio"), flag(up).alias("is_limit_up"), flag(down).alias("is_limit_down"))
 
 
-@query("d02_status_all")
-def d02_all(spark, sf):
-    return d02(spark, sf, "true")
-
-
 QUARTERS = REPORTS + """, q AS (
   SELECT code, year(period_end) AS y, quarter(period_end) AS qt, period_end, round(sum(sum(value)) OVER (PARTITION BY code, year(period_end) ORDER BY period_end), 2) AS cum FROM reports GROUP BY 1, 2, 3, 4
 ), sq AS (SELECT code, y, qt, period_end, cum, round(cum - coalesce(lag(cum) OVER (PARTITION BY code, y ORDER BY qt), 0), 2) AS sq FROM q)"""
@@ -95,25 +90,20 @@ def d04(spark, sf):
     return _quarters(spark, sf).select("code", "period_end", F.round(ttm, 2).alias("ttm"))
 
 
-PIT = f"""{OPEN_DAYS}, {REPORTS}, m AS (SELECT r.code, r.period_end, r.value, r.ann, r.o_orderkey, min(o.d) AS d FROM reports r JOIN open_days o ON o.d > r.ann WHERE r.code < 60 GROUP BY ALL),
+PIT = f"""{OPEN_DAYS}, {REPORTS}, m AS (SELECT r.code, r.period_end, r.value, r.ann, r.o_orderkey, min(o.d) AS d FROM reports r JOIN open_days o ON o.d > r.ann GROUP BY ALL),
 l AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY code, d ORDER BY period_end DESC, ann DESC, o_orderkey DESC) = 1),
 g AS (SELECT k.code, o.d, l.value, l.period_end FROM (SELECT DISTINCT code FROM m) k CROSS JOIN open_days o LEFT JOIN l ON l.code = k.code AND l.d = o.d)"""
 
 
-def _pit(spark, sf, some):
-    r = cal.map_strictly_after(reports(spark, sf).where(some), calendar(spark, sf), "ann", "d")
+def _pit(spark, sf):
+    r = cal.map_strictly_after(reports(spark, sf), calendar(spark, sf), "ann", "d")
     r = J.keep_latest(r, ["code", "d"], [F.desc("period_end"), F.desc("ann"), F.desc("o_orderkey")])
     return J.skeleton(open_days(spark, sf), r.select("code")).join(r.select("code", "d", "value", "period_end"), ["code", "d"], "left")
 
 
 @query("d05_point_in_time", f"WITH {PIT} SELECT code, d, last_value(value IGNORE NULLS) OVER ({P} ROWS UNBOUNDED PRECEDING) AS value, last_value(period_end IGNORE NULLS) OVER ({P} ROWS UNBOUNDED PRECEDING) AS report_date FROM g")
-def d05(spark, sf, some="code < 60"):
-    return _pit(spark, sf, some).select("code", "d", ts.ffill("value", W()).alias("value"), ts.ffill("period_end", W()).alias("report_date"))
-
-
-@query("d05_point_in_time_all")
-def d05_all(spark, sf):
-    return d05(spark, sf, "true")
+def d05(spark, sf):
+    return _pit(spark, sf).select("code", "d", ts.ffill("value", W()).alias("value"), ts.ffill("period_end", W()).alias("report_date"))
 
 
 @query("d06_holder_change", f"WITH {REPORTS}, l AS (SELECT * FROM reports QUALIFY row_number() OVER (PARTITION BY code, ann ORDER BY period_end DESC, o_orderkey DESC) = 1) SELECT code, ann, round(value - lag(value) OVER w, 2) AS chg, round((value - lag(value) OVER w) / nullif(lag(value) OVER w, 0), 8) AS chg_pct FROM l WINDOW w AS (PARTITION BY code ORDER BY ann)")
@@ -124,13 +114,8 @@ def d06(spark, sf):
 
 
 @query("d07_report_lag", f"WITH {PIT}, f AS (SELECT code, d, last_value(period_end IGNORE NULLS) OVER ({P} ROWS UNBOUNDED PRECEDING) AS e FROM g) SELECT code, d, date_diff('day', e, d)::BIGINT AS lag_days FROM f")
-def d07(spark, sf, some="code < 60"):
-    return _pit(spark, sf, some).select("code", "d", F.datediff("d", ts.ffill("period_end", W())).cast("long").alias("lag_days"))
-
-
-@query("d07_report_lag_all")
-def d07_all(spark, sf):
-    return d07(spark, sf, "true")
+def d07(spark, sf):
+    return _pit(spark, sf).select("code", "d", F.datediff("d", ts.ffill("period_end", W())).cast("long").alias("lag_days"))
 
 
 @query("d08_concentration", f"WITH {REPORTS}, r AS (SELECT code, value, row_number() OVER (PARTITION BY code ORDER BY value DESC, o_orderkey) AS rn, sum(value) OVER (PARTITION BY code) AS t FROM reports) SELECT code, round(sum(value) FILTER (rn <= 3) / nullif(max(t), 0), 8) AS top3, round(max(value) / nullif(max(t), 0), 8) AS top1 FROM r GROUP BY 1")
@@ -157,21 +142,16 @@ def d10(spark, sf):
     return j.na.fill(0.0, ["purchase", "balance"]).na.fill(0, ["n"]).select("code", "d", "purchase", "n", "balance")
 
 
-@query("d11_event_windows", f"""WITH {CALENDAR}, {REPORTS}, e AS (SELECT code, coalesce(next_on_or_after, ann) AS d, 1 AS flag, sum(value) AS amount FROM reports LEFT JOIN calendar ON cal_date = ann WHERE code < 60 GROUP BY 1, 2),
+@query("d11_event_windows", f"""WITH {CALENDAR}, {REPORTS}, e AS (SELECT code, coalesce(next_on_or_after, ann) AS d, 1 AS flag, sum(value) AS amount FROM reports LEFT JOIN calendar ON cal_date = ann GROUP BY 1, 2),
 g AS (SELECT k.code, c.cal_date AS d, coalesce(flag, 0) AS flag, round(coalesce(amount, 0), 2) AS amount FROM (SELECT DISTINCT code FROM e) k CROSS JOIN (SELECT cal_date FROM calendar WHERE is_open = 1) c LEFT JOIN e ON e.code = k.code AND e.d = c.cal_date)
 SELECT code, d, flag::BIGINT AS is_ann, amount, (sum(flag) OVER ({P} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) > 0)::BIGINT AS in_window FROM g""")
-def d11(spark, sf, some="code < 60"):
+def d11(spark, sf):
     c = calendar(spark, sf)
-    e = cal.map_on_or_after(reports(spark, sf).where(some), c, "ann", "d").groupBy("code", "d").agg(F.lit(1).alias("flag"), F.sum("value").alias("amount"))
+    e = cal.map_on_or_after(reports(spark, sf), c, "ann", "d").groupBy("code", "d").agg(F.lit(1).alias("flag"), F.sum("value").alias("amount"))
     g = J.skeleton(c.where("is_open = 1").select(F.col("cal_date").alias("d")), e.select("code")).join(e, ["code", "d"], "left").na.fill(0, ["flag"]).na.fill(0.0, ["amount"])
     return g.select("code", "d", F.col("flag").cast("long").alias("is_ann"), F.round("amount", 2).alias("amount"), ts.trailing_any(F.col("flag"), W(), 30).cast("long").alias("in_window"))
 
 
-@query("d11_event_windows_all")
-def d11_all(spark, sf):
-    return d11(spark, sf, "true")
-
-
 @query("d12_category_history", f"WITH {INTERVALS}, k AS (SELECT kind, row_number() OVER (ORDER BY kind) - 1 AS idx FROM (SELECT DISTINCT kind FROM reports)) SELECT code, start, idx::BIGINT AS idx, coalesce(lag(i.kind) OVER w <> i.kind, false)::BIGINT AS changed FROM intervals i JOIN k USING (kind) WINDOW w AS (PARTITION BY code ORDER BY start, o_orderkey)")
 def d12(spark, sf):
     i = intervals(spark, sf)

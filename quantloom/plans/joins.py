@@ -25,14 +25,9 @@ def j02(spark, sf):
     return price_panel(spark, sf).join(F.broadcast(daily(spark, sf)), "d", "left").select("code", "d", "close", "total")  # a row a day
 
 
-@query("j03_skeleton", f"WITH {OPEN_DAYS} SELECT DISTINCT s_suppkey AS code, d FROM supplier CROSS JOIN open_days WHERE s_suppkey <= 40")
-def j03(spark, sf, some="s_suppkey <= 40"):
-    return J.skeleton(open_days(spark, sf), table(spark, sf, "supplier").where(some).select(F.col("s_suppkey").alias("code")))
-
-
-@query("j03_skeleton_all")
-def j03_all(spark, sf):
-    return j03(spark, sf, "true")
+@query("j03_skeleton", f"WITH {OPEN_DAYS} SELECT DISTINCT s_suppkey AS code, d FROM supplier CROSS JOIN open_days")
+def j03(spark, sf):
+    return J.skeleton(open_days(spark, sf), table(spark, sf, "supplier").select(F.col("s_suppkey").alias("code")))
 
 
 @query("j04_interval_closed", f"""WITH {INTERVALS},
@@ -91,12 +86,12 @@ def j11(spark, sf):
 
 
 @query("j12_nearest_visible", f"""WITH {CALENDAR}, e AS (
-  SELECT l_suppkey AS code, a.pos AS seen, s.pos AS due FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN calendar a ON a.cal_date = CAST(o_orderdate AS DATE) JOIN calendar s ON s.cal_date = CAST(l_shipdate AS DATE) WHERE l_suppkey <= 20
-), k AS (SELECT DISTINCT l_suppkey AS code, c.pos FROM lineitem JOIN calendar c ON c.cal_date = CAST(l_shipdate AS DATE) WHERE l_suppkey <= 20)
+  SELECT l_suppkey AS code, a.pos AS seen, s.pos AS due FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN calendar a ON a.cal_date = CAST(o_orderdate AS DATE) JOIN calendar s ON s.cal_date = CAST(l_shipdate AS DATE)
+), k AS (SELECT DISTINCT l_suppkey AS code, c.pos FROM lineitem JOIN calendar c ON c.cal_date = CAST(l_shipdate AS DATE))
 SELECT k.code, k.pos::BIGINT AS pos, coalesce(min(due - k.pos), -1)::BIGINT AS days_to FROM k LEFT JOIN e ON e.code = k.code AND seen <= k.pos AND k.pos <= due GROUP BY 1, 2""")
-def j12(spark, sf, some="l_suppkey <= 20"):
+def j12(spark, sf):
     c = F.broadcast(calendar(spark, sf).select("cal_date", "pos"))  # a row a day
-    line = table(spark, sf, "lineitem", "l_orderkey", "l_suppkey", "l_shipdate").where(some)
+    line = table(spark, sf, "lineitem", "l_orderkey", "l_suppkey", "l_shipdate")
     orders = table(spark, sf, "orders", "o_orderkey", "o_orderdate")
     seen, at = c.select(F.col("cal_date").alias("a"), F.col("pos").alias("seen")), c.select(F.col("cal_date").alias("s"), F.col("pos").alias("at"))
     e = line.join(orders, F.col("o_orderkey") == F.col("l_orderkey")).join(F.broadcast(seen), F.col("a") == F.col("o_orderdate").cast("date")).join(F.broadcast(at), F.col("s") == F.col("l_shipdate").cast("date"))
@@ -105,11 +100,6 @@ def j12(spark, sf, some="l_suppkey <= 20"):
     return J.nearest_visible_event(rows, e, "code", "pos", "seen", "at", "days_to").select("code", F.col("pos").cast("long").alias("pos"), F.col("days_to").cast("long").alias("days_to"))
 
 
-@query("j12_nearest_visible_all")
-def j12_all(spark, sf):
-    return j12(spark, sf, "true")
-
-
 @query("j13_anti_by_event", "SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_orderpriority = '1-URGENT')")
 def j13(spark, sf):
     urgent = table(spark, sf, "orders", "o_custkey", "o_orderpriority").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))

@@ -20,15 +20,10 @@ def _docs(spark, sf):
 BLACK = "|".join(X.BLACKLIST)
 
 
-@query("t01_notice_filter", f"SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND NOT regexp_matches(left(coalesce(text, ''), 200), '{BLACK}')")
-def t01(spark, sf, whole=False):
+@query("t01_notice_filter", f"SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND NOT regexp_matches(coalesce(text, ''), '{BLACK}')")
+def t01(spark, sf):
     d = not_in(_docs(spark, sf), table(spark, sf, "labels", "doc_id"), "doc_id")
-    return d.where(~(F.col("t") if whole else F.left("t", F.lit(200))).rlike(BLACK)).select("doc_id")
-
-
-@query("t01_notice_filter_all")
-def t01_all(spark, sf):
-    return t01(spark, sf, whole=True)
+    return d.where(~F.col("t").rlike(BLACK)).select("doc_id")
 
 
 @query("t02_filter_statistics", f"SELECT lang, source, count(*) AS n, count(*) FILTER (regexp_matches(coalesce(text, ''), '{BLACK}')) AS removed FROM documents GROUP BY 1, 2")

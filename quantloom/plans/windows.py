@@ -17,27 +17,22 @@ def _frame(n: int) -> str:
     return f"OVER (PARTITION BY code ORDER BY d ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
 
 
-def _dense(spark, sf, some):
-    """The codes of ``some`` on every open day, prices where there are any."""
+def _dense(spark, sf):
+    """All codes on every open day, prices where there are any."""
     from quantloom.operators.joins import skeleton
 
-    p = price_panel(spark, sf).where(some)
+    p = price_panel(spark, sf)
     return skeleton(open_days(spark, sf), p.select("code")).join(p, ["code", "d"], "left")
 
 
 DENSE = f"""{PANEL}, {OPEN_DAYS}, dense AS (
-  SELECT k.code, o.d, close, vol, amount FROM (SELECT DISTINCT code FROM panel WHERE code <= 20) k CROSS JOIN open_days o LEFT JOIN panel p ON p.code = k.code AND p.d = o.d
+  SELECT k.code, o.d, close, vol, amount FROM (SELECT DISTINCT code FROM panel) k CROSS JOIN open_days o LEFT JOIN panel p ON p.code = k.code AND p.d = o.d
 )"""
 
 
 @query("w01_forward_fill", f"WITH {DENSE} SELECT code, d, last_value(close IGNORE NULLS) OVER (PARTITION BY code ORDER BY d ROWS UNBOUNDED PRECEDING) AS close_ff FROM dense")
-def w01(spark, sf, some="code <= 20"):
-    return _dense(spark, sf, some).select("code", "d", ts.ffill("close", W()).alias("close_ff"))
-
-
-@query("w01_forward_fill_all")
-def w01_all(spark, sf):
-    return w01(spark, sf, "true")
+def w01(spark, sf):
+    return _dense(spark, sf).select("code", "d", ts.ffill("close", W()).alias("close_ff"))
 
 
 @query("w02_calendar_fill", f"WITH {CALENDAR}, {DAILY} SELECT cal_date, last_value(total IGNORE NULLS) OVER (ORDER BY cal_date ROWS UNBOUNDED PRECEDING) AS total_ff FROM calendar LEFT JOIN daily ON daily.d = cal_date")
@@ -133,7 +128,7 @@ def w18(spark, sf):
 
 
 EWM = f"""WITH RECURSIVE {PANEL}, s AS (
-  SELECT code, d, close, row_number() OVER (PARTITION BY code ORDER BY d) AS i FROM panel WHERE code <= 5
+  SELECT code, d, close, row_number() OVER (PARTITION BY code ORDER BY d) AS i FROM panel
 ), r AS (
   SELECT code, d, i, close AS e FROM s WHERE i = 1 UNION ALL
   SELECT s.code, s.d, s.i, r.e + 2.0 / 13 * (s.close - r.e) FROM r JOIN s ON s.code = r.code AND s.i = r.i + 1
@@ -141,27 +136,17 @@ EWM = f"""WITH RECURSIVE {PANEL}, s AS (
 
 
 @query("w19_exponential_mean", EWM)
-def w19(spark, sf, some="code <= 5"):
-    p = price_panel(spark, sf).where(some)
+def w19(spark, sf):
+    p = price_panel(spark, sf)
     return ts.ewm(p, "code", "d", "close", 2 / 13, "e").select("code", "d", F.round("e", 6).alias("ema12"))
 
 
-@query("w19_exponential_mean_all")
-def w19_all(spark, sf):
-    return w19(spark, sf, "true")
-
-
 @query("w19_exponential_mean_grouped", EWM)
-def w19b(spark, sf, some="code <= 5"):
-    p = price_panel(spark, sf).where(some)
+def w19b(spark, sf):
+    p = price_panel(spark, sf)
     return ts.ewm_grouped(p, "code", "d", "close", {"e": 2 / 13}).select("code", "d", F.round("e", 6).alias("ema12"))
 
 
-@query("w19_exponential_mean_grouped_all")
-def w19b_all(spark, sf):
-    return w19b(spark, sf, "true")
-
-
 @query("w20_rolling_extremes", f"WITH {PANEL} SELECT code, d, min(low) {_frame(9)} AS low_9, max(high) {_frame(9)} AS high_9 FROM panel")
 def w20(spark, sf):
     return price_panel(spark, sf).select("code", "d", ts.rolling(F.min, F.col("low"), W(), 9, 1).alias("low_9"), ts.rolling(F.max, F.col("high"), W(), 9, 1).alias("high_9"))
