@@ -96,7 +96,34 @@ def t12(spark, sf):
     return _docs(spark, sf).select("doc_id", F.md5(X.drop_lines(F.col("t"), ["licensed? under", "rights reserved", "^all "])).alias("clean"))
 
 
-@query("t13_chunks")
+#: SQL: documents with a row number, as ids may repeat; blanks are what a Java pattern's \\s takes.
+NUMBERED = "d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents)"
+BLANK = r"[\t-\r ]"
+
+
+def _key_sql(strong, weak, k):
+    """SQL: the k best sentences of each document as keyed(doc_id, key); U+E000 stands for a cut."""
+    score = f"CASE WHEN regexp_matches(s, '(?i){strong}') THEN 3 ELSE 0 END + CASE WHEN regexp_matches(s, '[0-9]') THEN 2 ELSE 0 END + CASE WHEN regexp_matches(s, '(?i){weak}') THEN 1 ELSE 0 END"
+    return rf"""{NUMBERED}, p AS (SELECT rid, doc_id, list_filter(string_split(regexp_replace(t, '([.!?]){BLANK}+', '\1' || chr(57344), 'g'), chr(57344)), lambda x: length(x) > 0) AS parts FROM d),
+        one AS (SELECT rid, unnest(parts) AS s, generate_subscripts(parts, 1) AS i FROM p), best AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY {score} DESC, i) AS k FROM one),
+        keyed AS (SELECT p.doc_id, coalesce(string_agg(s, ' ' ORDER BY i), '') AS key FROM p LEFT JOIN best ON p.rid = best.rid AND k <= {k} GROUP BY p.rid, p.doc_id)"""
+
+
+def _tidy_sql(text, source):
+    """SQL: doc_id and the tidied summary of a column."""
+    return rf"""SELECT doc_id, CASE WHEN length(u) <= 150 THEN u WHEN regexp_extract(left(u, 150), '(?s)^.*[.!?]', 0) <> '' THEN regexp_extract(left(u, 150), '(?s)^.*[.!?]', 0) ELSE left(u, 150) END AS summary
+        FROM (SELECT doc_id, trim(regexp_replace({text}, '(?i)^{BLANK}*(summary|abstract|in short){BLANK}*:{BLANK}*', ''), ' ') AS u FROM {source})"""
+
+
+CHUNKS = rf"""WITH RECURSIVE {NUMBERED}, p AS (SELECT rid, doc_id, list_filter(string_split_regex(t, '\n+'), lambda x: length(trim(x, ' ')) > 0) AS parts FROM d),
+    st AS (SELECT rid, doc_id, 0 AS i, '' AS cur, NULL::VARCHAR AS done FROM p UNION ALL
+        SELECT st.rid, st.doc_id, i + 1, CASE WHEN cur = '' THEN parts[i + 1] WHEN length(cur) + 1 + length(parts[i + 1]) <= 4000 THEN cur || chr(10) || parts[i + 1] ELSE right(cur, 200) || chr(10) || parts[i + 1] END,
+            CASE WHEN cur <> '' AND length(cur) + 1 + length(parts[i + 1]) > 4000 THEN cur END FROM st JOIN p ON st.rid = p.rid WHERE i < len(parts)),
+    c AS (SELECT rid, doc_id, i, done AS content FROM st WHERE done IS NOT NULL UNION ALL SELECT st.rid, st.doc_id, i + 1, cur FROM st JOIN p ON st.rid = p.rid WHERE i = len(parts) AND cur <> '')
+    SELECT doc_id, (row_number() OVER (PARTITION BY rid ORDER BY i) - 1)::INTEGER AS index, (count(*) OVER (PARTITION BY rid))::INTEGER AS total, content FROM c"""
+
+
+@query("t13_chunks", CHUNKS)
 def t13(spark, sf):
     return _docs(spark, sf).select("doc_id", F.explode(X.paragraph_chunks(F.col("t"), 4000, 200)).alias("c")).select("doc_id", "c.index", "c.total", "c.content")
 
@@ -106,22 +133,30 @@ def t14(spark, sf):
     return _docs(spark, sf).select("doc_id", X.smart_truncate(F.col("t"), 500).alias("short"))
 
 
-@query("t15_key_sentences")
+@query("t15_key_sentences", f"WITH {_key_sql('idiot|token', 'the|that', 3)} SELECT doc_id, key FROM keyed")
 def t15(spark, sf):
     return _docs(spark, sf).select("doc_id", F.array_join(X.key_sentences(F.col("t"), "idiot|token", "the|that", 3), " ").alias("key"))
 
 
-@query("t16_key_sections")
+SECTIONS = f"""WITH {NUMBERED}, l AS (SELECT rid, doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM d),
+    m AS (SELECT *, last_value(CASE WHEN regexp_matches(line, '(?i)^the ') THEN true WHEN regexp_matches(line, '(?i)^of') THEN false END IGNORE NULLS) OVER (PARTITION BY rid ORDER BY i ROWS UNBOUNDED PRECEDING) AS inside FROM l)
+    SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (inside), '') AS sections FROM m GROUP BY rid, doc_id"""
+
+
+@query("t16_key_sections", SECTIONS)
 def t16(spark, sf):
     return _docs(spark, sf).select("doc_id", X.key_sections(F.col("t"), r"^the ", r"^of").alias("sections"))
 
 
-@query("t17_tidy_summary")
+@query("t17_tidy_summary", _tidy_sql("coalesce(text, '')", "documents"))
 def t17(spark, sf):
     return _docs(spark, sf).select("doc_id", X.tidy_summary(F.col("t")).alias("summary"))
 
 
-@query("t18_html_basic_text")
+DROPPED = "|".join(rf"<{x}\b.*?</{x}{BLANK}*>" for x in ("script", "style", "nav", "footer", "head", "noscript", "iframe", "aside"))
+
+
+@query("t18_html_basic_text", f"SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?is){DROPPED}', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '{BLANK}+', ' ', 'g'), ' ') AS t FROM pages")
 def t18(spark, sf):
     """Text of a page without eight kinds of elements, tags and surplus blanks."""
     t = F.regexp_replace(F.coalesce("html", F.lit("")), r"(?is)<(script|style|nav|footer|head|noscript|iframe|aside)\b.*?</\1\s*>", " ")
@@ -159,7 +194,7 @@ def t23(spark, sf):
     return table(spark, sf, "orders", "o_orderkey").select("o_orderkey", X.parse_score(answer).alias("score"))
 
 
-@query("t24_extractive_summary")
+@query("t24_extractive_summary", f"WITH {_key_sql('the', 'of', 2)} {_tidy_sql('key', 'keyed')}")
 def t24(spark, sf):
     """The stub that stands for a summarising model: leading and key sentences, tidied."""
     return _docs(spark, sf).select("doc_id", X.tidy_summary(F.array_join(X.key_sentences(F.col("t"), "the", "of", 2), " ")).alias("summary"))

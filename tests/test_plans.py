@@ -85,3 +85,28 @@ def test_notice_filter_reads_whole_texts(spark, duck):
     want = sorted(i for i, t in docs if not black.search(t))
     assert sorted(r[0] for r in plans.queries()["t01_notice_filter"](spark, SF).collect()) == want
     assert len(want) < sum(not black.search(t[:200]) for _, t in docs)
+
+
+#: Text plans whose twins are written another way than the plans: folds as recursion, sentence ranks as windows.
+TEXTS = ("t13_chunks", "t15_key_sentences", "t16_key_sections", "t17_tidy_summary", "t18_html_basic_text", "t24_extractive_summary")
+
+
+@pytest.mark.parametrize("name", TEXTS)
+def test_text_twin(spark, duck, name):
+    test_twin(spark, duck, name)
+
+
+def test_text_twins_on_edges(spark, tmp_path):
+    """Null and empty texts, ties, blanks of all kinds, a paragraph of over a chunk, a repeated id."""
+    long = "\n\n".join(["The one. " * 300, "of two! the three? 4" * 400, "x" * 9000, "  ", "end"])
+    texts = [None, "", " ", "Summary : the the. of? 1!", "a.\x0b\tthe b. token 7. the c. the d.", long, long, "the head\nline\nOF stop\nline\nthe next\n", "é." * 90]
+    docs = [(min(i, 7), t, "en", "s", len(t or "")) for i, t in enumerate(texts)]
+    pages = [(i, t) for i, t in enumerate([None, "", "<SCRIPT a>x</Script\n> b <p>c</p>\x0b<nav>n</nav ><navy>d</navy>", "<style>open <b>e</b>"])]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(pages, "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    for t in ("documents", "pages"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    for name in TEXTS:
+        df, rel = plans.queries()[name](spark, str(tmp_path)), con.sql(plans.oracles()[name])
+        assert rows(df.columns, df.collect()) == rows(rel.columns, rel.fetchall()), name
