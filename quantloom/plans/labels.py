@@ -9,7 +9,7 @@ from quantloom import schema as S
 from quantloom.operators import evaluation as E
 from quantloom.operators import ts, xsec
 from quantloom.operators.stats import safe_corr
-from quantloom.plans.base import PANEL, open_days, price_panel, query
+from quantloom.plans.base import PANEL, OPEN_DAYS, open_days, price_panel, query
 
 W = ts.per_code
 P = "PARTITION BY code ORDER BY d"
@@ -102,13 +102,24 @@ def z06(spark, sf):
     return x.select("code", "d", F.round(xsec.zscore(F.col("vol"), "d"), 6).alias("vol"), "r5")
 
 
-@query("v01_walk_forward_folds")
+def _folds_sql(train: int, valid: int, gap: int, warm: int, start: str) -> str:
+    """SQL: all folds that the calendar could begin, up to the first that is too short."""
+    return f"""WITH {OPEN_DAYS}, o AS (SELECT d, row_number() OVER (ORDER BY d) - 1 AS i FROM open_days), b AS (SELECT min(d) AS a, max(d) AS z FROM o),
+        k AS (SELECT a, z, unnest(range(0, date_diff('month', a, z) // {valid} + 2)) AS fold FROM b),
+        e AS (SELECT fold, z, ({start})::DATE AS train_start, (a + to_months(({train} + fold * {valid})::INTEGER) - INTERVAL 1 DAY)::DATE AS train_end FROM k),
+        f AS (SELECT e.*, o.d AS valid_start, least((train_end + INTERVAL {valid} MONTH)::DATE, z) AS valid_end FROM e LEFT JOIN o ON o.i = (SELECT count(*) FROM o x WHERE x.d <= e.train_end) + {gap}),
+        g AS (SELECT *, bool_and(valid_start IS NOT NULL AND valid_end - valid_start >= {15 * valid}) OVER (ORDER BY fold) AS whole FROM f),
+        w AS (SELECT *, greatest(0, (SELECT count(*) FROM o WHERE d < train_start) - {warm}) AS ti, greatest(0, (SELECT count(*) FROM o WHERE d < valid_start) - {warm}) AS vi FROM g WHERE whole)
+        SELECT fold, train_start, train_end, valid_start, valid_end, t.d AS train_warm, v.d AS valid_warm FROM w JOIN o t ON t.i = ti JOIN o v ON v.i = vi"""
+
+
+@query("v01_walk_forward_folds", _folds_sql(24, 6, 5, 0, "a"))
 def v01(spark, sf):
     days = [r.d for r in open_days(spark, sf).orderBy("d").collect()]  # the calendar: a row a day
     return E.fold_frame(spark, E.walk_forward(days, 24, 6, gap=5, kind="expanding"))
 
 
-@query("v02_sequence_folds")
+@query("v02_sequence_folds", _folds_sql(24, 6, 20, 60, "a + to_months((fold * 6)::INTEGER)"))
 def v02(spark, sf):
     days = [r.d for r in open_days(spark, sf).orderBy("d").collect()]
     return E.fold_frame(spark, E.walk_forward(days, 24, 6, gap=20, kind="rolling", warm_up=60))

@@ -91,8 +91,8 @@ def test_notice_filter_reads_whole_texts(spark, duck):
 TEXTS = ("t13_chunks", "t15_key_sentences", "t16_key_sections", "t17_tidy_summary", "t18_html_basic_text", "t24_extractive_summary")
 
 
-@pytest.mark.parametrize("name", TEXTS)
-def test_text_twin(spark, duck, name):
+@pytest.mark.parametrize("name", (*TEXTS, "v01_walk_forward_folds", "v02_sequence_folds"))
+def test_other_twin(spark, duck, name):
     test_twin(spark, duck, name)
 
 
