@@ -1 +1,10 @@
+"""Operators on panels, series, intervals, texts and checks, as functions from DataFrame to DataFrame.
 
+Worker functions are pickled by value, so a cluster needs no copy of the package on its executors.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

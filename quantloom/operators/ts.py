@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from quantloom.operators.scan import exponential_means
+
 
 def per_code(code: str = "code", day: str = "d") -> WindowSpec:
     return Window.partitionBy(code).orderBy(day)
@@ -61,29 +62,21 @@ def trailing_any(flag: Column, w: WindowSpec, k: int) -> Column:
 
 
 def ewm(df: DataFrame, code: str, day: str, value: str, alpha: float, out: str) -> DataFrame:
-    """Recursive exponential mean (no bias adjustment) by an array fold; for series of some thousand rows."""
-    pairs = F.sort_array(F.collect_list(F.struct(day, F.col(value).alias("v"))))
-    a = F.lit(alpha)
-    fold = F.aggregate(
-        F.slice("xs", F.lit(2), F.greatest(F.size("xs") - 1, F.lit(0))),
-        F.array(F.element_at("xs", 1)["v"]),
-        lambda acc, x: F.array_append(acc, F.element_at(acc, -1) + a * (x["v"] - F.element_at(acc, -1))),
-    )
-    lists = df.where(F.col(value).isNotNull()).groupBy(code).agg(pairs.alias("xs")).withColumn("ys", fold)
-    rows = lists.select(code, F.explode(F.arrays_zip("xs", "ys")).alias("z"))
-    return rows.select(code, F.col(f"z.xs.{day}").alias(day), F.col("z.xs.v").alias(value), F.col("z.ys").alias(out))
+    """Recursive exponential mean (no bias adjustment) of the values that are there: code, day, value, ``out``."""
+    return ewm_grouped(df, code, day, value, {out: alpha})
 
 
 def ewm_grouped(df: DataFrame, code: str, day: str, value: str, alphas: dict[str, float]) -> DataFrame:
-    """The same by ``applyInPandas``, linear in the length of a series: for long series and several means at once."""
+    """Several means of one column in one pass (see ``scan.exponential_means``)."""
+    rows = df.where(F.col(value).isNotNull()).select(code, day, value)
+    return exponential_means(rows, code, day, [(out, value, a) for out, a in alphas.items()])
 
-    def work(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(day)
-        return part.assign(**{k: part[value].ewm(alpha=a, adjust=False).mean() for k, a in alphas.items()})
 
-    types = dict(df.dtypes)
-    schema = ", ".join([f"{c} {types[c]}" for c in (code, day, value)] + [f"{k} double" for k in alphas])
-    return df.where(F.col(value).isNotNull()).select(code, day, value).groupBy(code).applyInPandas(work, schema)
+def macd(df: DataFrame, code: str, day: str, value: str, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
+    """Adds ``fast``, ``slow``, ``dif`` and ``signal``: means of spans, their difference and its mean, in one pass."""
+    span = lambda n: 2 / (n + 1)
+    steps = [("fast", value, span(fast)), ("slow", value, span(slow)), ("signal", ("fast", "slow"), span(signal))]
+    return exponential_means(df, code, day, steps).withColumn("dif", F.col("fast") - F.col("slow"))
 
 
 def rsi(c: Column, w: WindowSpec, n: int) -> Callable[[DataFrame], DataFrame]:

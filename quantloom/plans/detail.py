@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from quantloom.operators import calendar as cal
 from quantloom.operators import joins as J
 from quantloom.operators import ts, xsec
+from quantloom.operators.scan import exponential_means
+from quantloom.operators.sliding import sliding
 from quantloom.plans.base import CALENDAR, DAILY, INTERVALS, OPEN_DAYS, PANEL, REPORTS, calendar, daily, flows, intervals, open_days, price_panel, query, reports, table
 
 W = ts.per_code
@@ -200,7 +202,9 @@ def d17(spark, sf):
 
 @query("e01_moving_averages", f"WITH {PANEL} SELECT code, d, " + ", ".join(f"CASE WHEN count(close) {_frame(n)} = {n} THEN round(avg(close) {_frame(n)}, 6) END AS ma_{n}" for n in (5, 10, 20, 60, 120, 250)) + " FROM panel")
 def e01(spark, sf):
-    return price_panel(spark, sf).select("code", "d", *[_r(ts.rolling_mean(F.col("close"), W(), n)).alias(f"ma_{n}") for n in (5, 10, 20, 60, 120, 250)])
+    p = sliding(price_panel(spark, sf), "code", "d", [(f"ma_{n}", "close", "mean", n, n) for n in (60, 120, 250)])
+    short = {f"ma_{n}": ts.rolling_mean(F.col("close"), W(), n) for n in (5, 10, 20)}
+    return p.withColumns(short).select("code", "d", *[_r(F.col(f"ma_{n}")).alias(f"ma_{n}") for n in (5, 10, 20, 60, 120, 250)])
 
 
 @query("e02_bias", f"WITH {PANEL}, m AS (SELECT code, d, close, CASE WHEN count(close) {_frame(20)} = 20 THEN avg(close) {_frame(20)} END AS ma FROM panel) SELECT code, d, round((close - ma) / nullif(ma, 0), 7) AS bias_20 FROM m")
@@ -214,19 +218,23 @@ def e03(spark, sf):
     return price_panel(spark, sf).select("code", "d", *[_r(F.try_divide(F.col("close"), F.lag("close", n).over(W())) - 1, 8).alias(f"roc_{n}") for n in (5, 10, 20)])
 
 
-@query("e04_rsi", f"""WITH {PANEL}, m AS (SELECT code, d, close - lag(close) OVER ({P}) AS v FROM panel), g AS (SELECT code, d, CASE WHEN v IS NOT NULL THEN greatest(v, 0) END AS g, CASE WHEN v IS NOT NULL THEN greatest(-v, 0) END AS l FROM m),
-a AS (SELECT code, d, CASE WHEN count(g) {_frame(6)} = 6 THEN avg(g) {_frame(6)} END AS g, CASE WHEN count(l) {_frame(6)} = 6 THEN avg(l) {_frame(6)} END AS l FROM g) SELECT code, d, round(100 - 100 / (1 + g / (l + 1e-10)), 4) AS rsi_6 FROM a""")
+@query("e04_rsi", f"""WITH {PANEL}, m AS (SELECT code, d, close - lag(close) OVER ({P}) AS v FROM panel), g AS (SELECT code, d, CASE WHEN v IS NOT NULL THEN greatest(v, 0) END AS g, CASE WHEN v IS NOT NULL THEN greatest(-v, 0) END AS l FROM m)
+SELECT code, d, """ + ", ".join(f"CASE WHEN count(g) {_frame(n)} = {n} THEN round(100 - 100 / (1 + avg(g) {_frame(n)} / (avg(l) {_frame(n)} + 1e-10)), 4) END AS rsi_{n}" for n in (6, 12, 24)) + " FROM g")
 def e04(spark, sf):
-    out = price_panel(spark, sf).transform(ts.rsi(F.col("close"), W(), 6))
-    return out.select("code", "d", F.round("rsi_6", 4).alias("rsi_6"))
+    out = price_panel(spark, sf)
+    for n in (6, 12, 24):
+        out = out.transform(ts.rsi(F.col("close"), W(), n))
+    return out.select("code", "d", *[F.round(f"rsi_{n}", 4).alias(f"rsi_{n}") for n in (6, 12, 24)])
 
 
-@query("e05_macd")
+@query("e05_macd", f"""WITH RECURSIVE {PANEL}, s AS (SELECT code, d, close, row_number() OVER ({P}) AS i FROM panel), r AS (
+  SELECT code, d, i, close AS f, close AS s, 0.0::DOUBLE AS g FROM s WHERE i = 1 UNION ALL
+  SELECT code, d, i, f, s, g + 0.2::DOUBLE * (f - s - g) FROM (
+    SELECT s.code, s.d, s.i, r.f + 2::DOUBLE / 13 * (s.close - r.f) AS f, r.s + 2::DOUBLE / 27 * (s.close - r.s) AS s, r.g FROM r JOIN s ON s.code = r.code AND s.i = r.i + 1)
+) SELECT code, d, round(f - s, 6) AS dif, round(g, 6) AS signal, round(f - s - g, 6) AS hist FROM r""")
 def e05(spark, sf):
-    p = price_panel(spark, sf)
-    e = ts.ewm_grouped(p, "code", "d", "close", {"fast": 2 / 13, "slow": 2 / 27}).withColumn("dif", F.col("fast") - F.col("slow"))
-    s = ts.ewm_grouped(e.select("code", "d", "dif"), "code", "d", "dif", {"signal": 2 / 10})
-    return s.select("code", "d", "dif", "signal", (F.col("dif") - F.col("signal")).alias("hist"))
+    m = ts.macd(price_panel(spark, sf).select("code", "d", "close"), "code", "d", "close")
+    return m.select("code", "d", _r(F.col("dif")).alias("dif"), _r(F.col("signal")).alias("signal"), _r(F.col("dif") - F.col("signal")).alias("hist"))
 
 
 @query("e06_volatility", f"WITH {PANEL}, x AS (SELECT code, d, close / nullif(lag(close) OVER ({P}), 0) - 1 AS r FROM panel) SELECT code, d, CASE WHEN count(r) {_frame(20)} = 20 THEN round(stddev_samp(r) {_frame(20)}, 6) END AS vol_20 FROM x")
@@ -344,13 +352,45 @@ def q08(spark, sf):
     return flows(spark, sf).select("code", "d", xsec.clip(F.coalesce("error", F.lit(0.0)), 0.0, 100.0).alias("pledge"), (F.col("signup") > 0).cast("long").alias("flag"))
 
 
-@query("k01_indicators", f"""WITH {PANEL}, x AS (SELECT code, d, close, avg(close) {_frame(20)} AS m, stddev_samp(close) {_frame(20)} AS s, count(*) {_frame(20)} AS n, min(low) {_frame(9)} AS lo, max(high) {_frame(9)} AS hi FROM panel)
-SELECT code, d, round(m, 6) AS ma20, CASE WHEN n = 20 THEN round(m + 2 * s, 5) END AS boll_up, CASE WHEN n = 20 THEN round(m - 2 * s, 5) END AS boll_low, round((close - lo) / nullif(hi - lo, 0) * 100, 6) AS rsv FROM x""")
+_MA = (5, 10, 20, 60, 120, 250)
+
+
+@query("k01_indicators", f"""WITH RECURSIVE {PANEL}, v AS (SELECT *, close - lag(close) OVER ({P}) AS v FROM panel), x AS (
+  SELECT code, d, close, row_number() OVER ({P}) AS i, (close - min(low) {_frame(9)}) / nullif(max(high) {_frame(9)} - min(low) {_frame(9)}, 0) * 100 AS rsv, stddev_samp(close) {_frame(20)} AS sd, """
+  + ", ".join(f"avg(close) {_frame(n)} AS ma{n}" for n in _MA) + ", "
+  + ", ".join(f"avg(CASE WHEN v > 0 THEN v ELSE 0 END) {_frame(n)} AS g{n}, avg(CASE WHEN v < 0 THEN -v ELSE 0 END) {_frame(n)} AS l{n}" for n in (6, 12, 24)) + """ FROM v
+), r AS (
+  SELECT code, i, close AS f, close AS s, 0.0::DOUBLE AS g, rsv AS k, 1.0::DOUBLE AS w, rsv AS dd FROM x WHERE i = 1 UNION ALL
+  SELECT code, i, f, s, g + 0.2::DOUBLE * (f - s - g), k, w, CASE WHEN dd IS NULL THEN k ELSE dd + (k - dd) / 3 END FROM (
+    SELECT x.code, x.i, r.f + 2::DOUBLE / 13 * (x.close - r.f) AS f, r.s + 2::DOUBLE / 27 * (x.close - r.s) AS s, r.g, r.dd,
+      CASE WHEN rsv IS NULL THEN r.k WHEN r.k IS NULL THEN rsv ELSE (r.w * 2 / 3 * r.k + rsv / 3) / (r.w * 2 / 3 + 1::DOUBLE / 3) END AS k,
+      CASE WHEN rsv IS NULL AND r.k IS NOT NULL THEN r.w * 2 / 3 ELSE 1 END AS w
+    FROM r JOIN x ON x.code = r.code AND x.i = r.i + 1)
+) SELECT code, d, """ + ", ".join(f"round(ma{n}, 6) AS ma{n}" for n in _MA) + ", round(f, 6) AS ema12, round(s, 6) AS ema26, round(f - s, 6) AS macd_dif, round(g, 6) AS macd_dea, round(2 * (f - s - g), 6) AS macd, "
+  + ", ".join(f"round(100 - 100 / (1 + g{n} / nullif(l{n}, 0)), 5) AS rsi{n}" for n in (6, 12, 24)) + ", round(ma20, 6) AS boll_mid, round(ma20 + 2 * sd, 5) AS boll_upper, round(ma20 - 2 * sd, 5) AS boll_lower, round(k, 5) AS kdj_k, round(dd, 5) AS kdj_d, round(3 * k - 2 * dd, 5) AS kdj_j FROM x JOIN r USING (code, i)")
 def k01(spark, sf):
-    c = F.col("close")
-    m, s = ts.rolling_mean(c, W(), 20, 1), ts.rolling_std(c, W(), 20)
-    lo, hi = ts.rolling(F.min, F.col("low"), W(), 9, 1), ts.rolling(F.max, F.col("high"), W(), 9, 1)
-    return price_panel(spark, sf).select("code", "d", _r(m).alias("ma20"), F.round(m + 2 * s, 5).alias("boll_up"), F.round(m - 2 * s, 5).alias("boll_low"), _r(F.try_divide(c - lo, hi - lo) * 100).alias("rsv"))
+    out = indicators(price_panel(spark, sf))
+    digits = lambda c: 5 if c[:3] in ("rsi", "kdj") or c in ("boll_upper", "boll_lower") else 6
+    return out.select("code", "d", *[_r(F.col(c), digits(c)).alias(c) for c in out.columns if c not in ("code", "d")])
+
+
+def indicators(panel):
+    """Moving and exponential means, MACD, RSI, Bollinger bands and KDJ of (code, d, high, low, close), frames filling up from one row."""
+    c, w = F.col("close"), W()
+    move = ts.difference(c, w)
+    p = panel.select("code", "d", "high", "low", "close", F.when(move > 0, move).otherwise(0.0).alias("gain"), F.when(move < 0, -move).otherwise(0.0).alias("loss"))
+    p = sliding(p, "code", "d", [(f"ma{n}", "close", "mean", n, 1) for n in _MA if n > 20])
+    p = p.withColumns({f"ma{n}": ts.rolling_mean(c, w, n, 1) for n in _MA if n <= 20})
+    lo, hi = ts.rolling(F.min, F.col("low"), w, 9, 1), ts.rolling(F.max, F.col("high"), w, 9, 1)
+    rs = lambda n: F.try_divide(ts.rolling_mean(F.col("gain"), w, n, 1), ts.rolling_mean(F.col("loss"), w, n, 1))
+    p = p.withColumns({"rsv": F.try_divide(c - lo, hi - lo) * 100, "sd": ts.rolling_std(c, w, 20, 2), **{f"rsi{n}": 100 - F.try_divide(F.lit(100.0), 1 + rs(n)) for n in (6, 12, 24)}})
+    third = 1 / 3
+    p = exponential_means(p, "code", "d", [("ema12", "close", 2 / 13), ("ema26", "close", 2 / 27), ("macd_dea", ("ema12", "ema26"), 0.2), ("kdj_k", "rsv", third), ("kdj_d", "kdj_k", third)])
+    dif = F.col("ema12") - F.col("ema26")
+    return p.select(
+        "code", "d", *[f"ma{n}" for n in _MA], "ema12", "ema26", dif.alias("macd_dif"), "macd_dea", (2 * (dif - F.col("macd_dea"))).alias("macd"), "rsi6", "rsi12", "rsi24",
+        F.col("ma20").alias("boll_mid"), (F.col("ma20") + 2 * F.col("sd")).alias("boll_upper"), (F.col("ma20") - 2 * F.col("sd")).alias("boll_lower"), "kdj_k", "kdj_d", (3 * F.col("kdj_k") - 2 * F.col("kdj_d")).alias("kdj_j"),
+    )
 
 
 @query("k02_consensus", f"WITH {REPORTS} SELECT code, year(ann)::BIGINT AS y, round(avg(value), 6) AS mean, count(DISTINCT kind) AS sources, max(ann) AS latest FROM reports GROUP BY 1, 2")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quantloom.operators import ts, xsec
 from quantloom.operators.joins import keep_latest
+from quantloom.operators.sliding import sliding
 from quantloom.plans.base import CALENDAR, DAILY, OPEN_DAYS, PANEL, REPORTS, calendar, daily, open_days, price_panel, query, reports, table
 
 W = ts.per_code
@@ -80,8 +81,8 @@ def w09(spark, sf):
 
 @query("w10_rolling_min_periods", f"WITH {PANEL} SELECT code, d, round(avg(close) {_frame(60)}, 6) AS ma60, CASE WHEN count(close) {_frame(250)} >= 30 THEN round(stddev_samp(close) {_frame(250)}, 6) END AS std250 FROM panel")
 def w10(spark, sf):
-    c = F.col("close")
-    return price_panel(spark, sf).select("code", "d", F.round(ts.rolling_mean(c, W(), 60, 1), 6).alias("ma60"), F.round(ts.rolling_std(c, W(), 250, 30), 6).alias("std250"))
+    out = sliding(price_panel(spark, sf), "code", "d", [("ma60", "close", "mean", 60, 1), ("std250", "close", "std", 250, 30)])
+    return out.select("code", "d", F.round("ma60", 6).alias("ma60"), F.round("std250", 6).alias("std250"))
 
 
 @query("w11_future_std", f"WITH {PANEL} SELECT code, d, CASE WHEN count(close) OVER f >= 5 THEN round(stddev_samp(close) OVER f, 6) END AS fstd FROM panel WINDOW f AS (PARTITION BY code ORDER BY d ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING)")
