@@ -3,40 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-@dataclass(frozen=True)
-class Rule:
-    """A scoring rule: pattern (case-insensitive), score, category, priority."""
-
-    pattern: str
-    score: int
-    category: str
-    priority: int = 0
-
-
-#: Neutral defaults; a deployment passes its own table.
-RULES: tuple[Rule, ...] = (
-    Rule(r"(?:^|[^A-Za-z])(loss|lawsuit|fine|default)(?:[^A-Za-z]|$)", -60, "risk", 9),
-    Rule(r"(?:^|[^A-Za-z])(profit|growth|award|contract)(?:[^A-Za-z]|$)", 60, "gain", 9),
-    Rule(r"(?:^|[^A-Za-z])that(?:[^A-Za-z]|$)", -20, "that", 5),
-    Rule(r"(?:^|[^A-Za-z])(the|der|la|le)(?:[^A-Za-z]|$)", 10, "article", 3),
-    Rule(r"\|", -30, "table", 7),
-)
+from quantloom.functions.rules import RULES, Rule, in_order
 
 BLACKLIST: tuple[str, ...] = (r"^Reouha", "rights reserved", "License.*?version", r"\|")
 
 
 def score_by_rules(text: Column, rules: Sequence[Rule] = RULES) -> Column:
     """Struct of score, category and confidence of the first rule that fits, by priority, then losses first, then order."""
-    order = sorted(enumerate(rules), key=lambda x: (-x[1].priority, x[1].score > 0, x[0]))
     out = F.struct(F.lit(0).alias("score"), F.lit(None).cast("string").alias("category"), F.lit(0.5).alias("confidence"))
-    for _, r in reversed(order):
-        out = F.when(text.rlike("(?i)" + r.pattern), F.struct(F.lit(r.score).alias("score"), F.lit(r.category).alias("category"), F.lit(0.9).alias("confidence"))).otherwise(out)
+    for r in reversed(in_order(rules)):
+        out = F.when(text.rlike("(?i)" + r.pattern), F.struct(F.lit(r.score).alias("score"), F.lit(r.category).alias("category"), F.lit(r.confidence).alias("confidence"))).otherwise(out)
     return out
 
 

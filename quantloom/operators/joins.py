@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quantloom.operators.timeline import coverage, timeline
+
 
 def skeleton(days: DataFrame, codes: DataFrame) -> DataFrame:
     """Dense table of days and codes.  The calendar side, of bounded length, is broadcast."""
@@ -15,20 +17,18 @@ def skeleton(days: DataFrame, codes: DataFrame) -> DataFrame:
 
 
 def covered_by_interval(rows: DataFrame, intervals: DataFrame, key: str, day: str, start: str, end: str, flag: str) -> DataFrame:
-    """1 where a closed interval [start, end] of the key covers the day, else 0; a null end is open."""
-    keys = rows.select(key, day).distinct().alias("l")
-    spans = intervals.select(F.col(key).alias("_key"), F.col(start).alias("_start"), F.col(end).alias("_end"))
-    hits = keys.join(spans, (F.col(f"l.{key}") == F.col("_key")) & (F.col(day) >= F.col("_start")) & (F.col("_end").isNull() | (F.col(day) <= F.col("_end"))), "left_semi")
-    return rows.join(hits.withColumn(flag, F.lit(1)), [key, day], "left").na.fill(0, [flag])
+    """1 where a closed interval [start, end] of the key covers the day, else 0; a null end is open.
+
+    The number of open intervals is a running sum over their ends, met by an as-of join.
+    """
+    found = asof_backward(rows, coverage(intervals, key, start, end, day, "_open"), key, day, ["_open"])
+    return found.withColumn(flag, (F.coalesce("_open", F.lit(0)) > 0).cast("int")).drop("_open")
 
 
 def latest_interval(rows: DataFrame, intervals: DataFrame, key: str, day: str, start: str, end: str, values: Sequence[str], tie: Sequence[str] = ()) -> DataFrame:
-    """Values of the latest half-open interval [start, end) of the key that covers the day; null if none does."""
-    spans = intervals.select(F.col(key).alias("_key"), F.col(start).alias("_start"), F.col(end).alias("_end"), *[F.col(v).alias(f"_{v}") for v in dict.fromkeys([*values, *tie])])
-    joined = rows.join(spans, (F.col(key) == F.col("_key")) & (F.col(day) >= F.col("_start")) & (F.col("_end").isNull() | (F.col(day) < F.col("_end"))), "left")
-    last = F.max(F.struct("_start", *[f"_{c}" for c in (*tie, *values)])).alias("_last")
-    best = joined.groupBy(*rows.columns).agg(last)
-    return best.select(*rows.columns, *[F.col(f"_last._{v}").alias(v) for v in values])
+    """Values of the latest half-open interval [start, end) of the key that covers the day (of equal starts, the greatest ``tie``); null if none does."""
+    order = [F.col(start).desc(), *[F.col(t).desc_nulls_last() for t in tie]]
+    return asof_backward(rows, timeline(intervals, key, start, end, order, values, day), key, day, values)
 
 
 def asof_backward(left: DataFrame, right: DataFrame, key: str, ts: str, values: Sequence[str]) -> DataFrame:
@@ -46,11 +46,13 @@ def asof_backward(left: DataFrame, right: DataFrame, key: str, ts: str, values:
 
 
 def nearest_visible_event(rows: DataFrame, events: DataFrame, key: str, pos: str, seen: str, at: str, out: str) -> DataFrame:
-    """Days to the nearest event at or after the row's position that is announced by then; -1 if there is none."""
-    e = events.select(F.col(key).alias("_key"), F.col(seen).alias("_seen"), F.col(at).alias("_at"))
-    keys = rows.select(key, pos).distinct()
-    near = keys.join(e, (F.col(key) == F.col("_key")) & (F.col("_seen") <= F.col(pos)) & (F.col(pos) <= F.col("_at"))).groupBy(key, pos).agg(F.min(F.col("_at") - F.col(pos)).alias(out))
-    return rows.join(near, [key, pos], "left").withColumn(out, F.coalesce(out, F.lit(-1)))
+    """Positions to the nearest event at or after the row's that is announced by then; -1 if there is none.
+
+    An event is visible from ``seen`` to ``at``; of the visible ones the next counts.
+    """
+    spans = events.select(F.col(key).alias(key), F.col(seen).alias("_seen"), F.col(at).alias("_at"), (F.col(at) + 1).alias("_past")).distinct()
+    found = asof_backward(rows, timeline(spans, key, "_seen", "_past", [F.col("_at").asc()], ["_at"], pos), key, pos, ["_at"])
+    return found.withColumn(out, F.coalesce(F.col("_at") - F.col(pos), F.lit(-1))).drop("_at")
 
 
 def left_keep(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:

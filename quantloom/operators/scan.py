@@ -67,7 +67,7 @@ class Mean:
         return y
 
 
-def _starts(codes: pa.Array, last: list) -> np.ndarray:
+def series_starts(codes: pa.Array, last: list) -> np.ndarray:
     """Rows whose code is not the one before; ``last`` holds the code that the batch before ended with."""
     keys = codes.dictionary_encode()
     index = keys.indices.fill_null(-1).to_numpy(zero_copy_only=False)
@@ -94,7 +94,7 @@ def exponential_means(df: DataFrame, code: str, day: str, steps: Sequence[tuple[
         for batch in batches:
             if not batch.num_rows:
                 continue
-            first, found = _starts(batch.column(code), last), {}
+            first, found = series_starts(batch.column(code), last), {}
 
             def values(c: str, found: dict = found, batch: pa.RecordBatch = batch) -> np.ndarray:
                 return found[c] if c in found else batch.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False)

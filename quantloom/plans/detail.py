@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from quantloom.operators import calendar as cal
 from quantloom.operators import joins as J
 from quantloom.operators import ts, xsec
+from quantloom.operators.numbering import ordinal_codes, sorted_codes
+from quantloom.operators.pointintime import stretch
 from quantloom.operators.scan import exponential_means
 from quantloom.operators.sliding import sliding
 from quantloom.plans.base import CALENDAR, DAILY, INTERVALS, OPEN_DAYS, PANEL, REPORTS, calendar, daily, flows, intervals, open_days, price_panel, query, reports, table
@@ -46,26 +48,54 @@ def d01_features(spark, sf):
     return p.select("code", "d", "close", _r(ts.rolling_mean(c, W(), 5)).alias("ma_5"), _r(F.try_divide(c, F.lag("close", 5).over(W())) - 1, 8).alias("roc_5"), _r(ts.rolling_std(r, W(), 5)).alias("volatility_5"), _r(ts.forward_return(c, W(), 5), 8).alias("ret_5d"))
 
 
-def _status(spark, sf):
-    p = price_panel(spark, sf)
-    listed = p.groupBy("code").agg(F.min("d").alias("list_date"))
-    s = J.skeleton(open_days(spark, sf), p.select("code")).join(p.select("code", "d", "close"), ["code", "d"], "left").join(listed, "code")
-    s = s.withColumn("last", ts.ffill("close", W())).withColumn("pre", F.lag("last").over(W())).withColumn("age", F.datediff("d", "list_date"))
-    ratio = F.when(F.col("age") < 5, 1.0).when(F.col("code") % 3 == 0, 0.2).when(F.col("code") % 3 == 1, 0.1).otherwise(0.05)
-    return s.withColumn("limit_ratio", ratio)
+#: Boards by nation: their price limit, the limit under special treatment, and days after listing without one.
+BOARDS = {0: ("main", 0.1, 0.05, 5), 1: ("growth", 0.2, 0.2, 5), 2: ("science", 0.2, 0.2, 5), 3: ("small", 0.3, 0.3, 1)}
 
 
-@query("d02_status", f"""WITH {PANEL}, {OPEN_DAYS}, k AS (SELECT code, min(d) AS list_date FROM panel GROUP BY 1), s AS (
-  SELECT k.code, o.d, p.close, list_date FROM k CROSS JOIN open_days o LEFT JOIN panel p ON p.code = k.code AND p.d = o.d
+def special_periods(spark, sf):
+    """Large returned lines as periods of special treatment: code, start and end, both days included."""
+    line = table(spark, sf, "lineitem", "l_suppkey", "l_shipdate", "l_returnflag", "l_quantity", "l_linenumber").where("l_returnflag = 'R' and l_quantity >= 48")
+    day = F.col("l_shipdate").cast("date")
+    return line.select(F.col("l_suppkey").alias("code"), day.alias("start"), F.date_add(day, F.col("l_linenumber") * 10).alias("end"))
+
+
+SPECIAL = "special AS (SELECT l_suppkey AS code, CAST(l_shipdate AS DATE) AS start, CAST(l_shipdate AS DATE) + l_linenumber * 10 AS \"end\" FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 48)"
+
+
+def boards(spark, sf):
+    kind = F.col("s_nationkey") % 4
+    pick = lambda i: F.element_at(F.array(*[F.lit(v[i]) for v in BOARDS.values()]), kind + 1)
+    return table(spark, sf, "supplier", "s_suppkey", "s_nationkey").select(F.col("s_suppkey").alias("code"), pick(0).alias("market"), pick(1).alias("plain"), pick(2).alias("treated"), pick(3).alias("free_days"))
+
+
+@query("d02_status", f"""WITH {PANEL}, {OPEN_DAYS}, {SPECIAL}, k AS (SELECT code, min(d) AS list_date FROM panel GROUP BY 1), b(m, market, plain, treated, free_days) AS (VALUES """
+  + ", ".join(f"({m}, '{v[0]}', {v[1]}::DOUBLE, {v[2]}::DOUBLE, {v[3]})" for m, v in BOARDS.items()) + f"""), s AS (
+  SELECT k.code, o.d, p.close, coalesce(p.vol, 0) AS vol, list_date FROM k CROSS JOIN open_days o LEFT JOIN panel p ON p.code = k.code AND p.d = o.d
 ), f AS (SELECT *, last_value(close IGNORE NULLS) OVER ({P} ROWS UNBOUNDED PRECEDING) AS last FROM s), g AS (SELECT *, lag(last) OVER ({P}) AS pre, date_diff('day', list_date, d) AS age FROM f),
-h AS (SELECT *, CASE WHEN age < 5 THEN 1.0 WHEN code % 3 = 0 THEN 0.2 WHEN code % 3 = 1 THEN 0.1 ELSE 0.05 END AS ratio FROM g)
-SELECT code, d, (age < 60)::BIGINT AS is_new, ratio::DOUBLE AS limit_ratio, coalesce(ratio < 1 AND last >= round(pre * (1 + ratio), 2) * 0.999, false)::BIGINT AS is_limit_up, coalesce(ratio < 1 AND last <= round(pre * (1 - ratio), 2) * 1.001, false)::BIGINT AS is_limit_down FROM h""")
+h AS (SELECT *, EXISTS (SELECT 1 FROM special x WHERE x.code = g.code AND d BETWEEN x.start AND x."end") AS st FROM g WHERE last IS NOT NULL AND pre IS NOT NULL),
+r AS (SELECT h.*, market, age < coalesce(free_days, 5) AS free, CASE WHEN age < coalesce(free_days, 5) THEN 1.0 WHEN st THEN coalesce(treated, 0.1) ELSE coalesce(plain, 0.1) END::DOUBLE AS ratio FROM h LEFT JOIN supplier ON s_suppkey = code LEFT JOIN b ON m = s_nationkey % 4)
+SELECT code, d, st::BIGINT AS is_st, (age < 60)::BIGINT AS is_new, free::BIGINT AS is_new_no_limit, (vol > 0)::BIGINT AS is_trading, list_date, market, ratio AS limit_ratio,
+  coalesce(ratio < 1 AND last >= round(pre * (1 + ratio), 2) * 0.999, false)::BIGINT AS is_limit_up, coalesce(ratio < 1 AND last <= round(pre * (1 - ratio), 2) * 1.001, false)::BIGINT AS is_limit_down FROM r""")
 def d02(spark, sf):
-    s, q = _status(spark, sf), F.col("limit_ratio")
+    return daily_status(price_panel(spark, sf), open_days(spark, sf), special_periods(spark, sf), boards(spark, sf))
+
+
+def daily_status(prices, days, special, market):
+    """Every code on every open day from its second price on: special treatment, listing age, price limits, trading."""
+    listed = prices.groupBy("code").agg(F.min("d").alias("list_date"))
+    s = J.skeleton(days, prices.select("code")).join(prices.select("code", "d", "close", "vol"), ["code", "d"], "left")
+    s = s.withColumn("last", ts.ffill("close", W())).withColumn("pre", F.lag("last").over(W())).where("last is not null and pre is not null")
+    s = J.covered_by_interval(s, special, "code", "d", "start", "end", "is_st").join(listed, "code").join(market, "code", "left")
+    s = s.withColumn("age", F.datediff("d", "list_date")).withColumn("free", F.col("age") < F.coalesce("free_days", F.lit(5)))
+    q = F.col("limit_ratio")
+    s = s.withColumn("limit_ratio", F.when(F.col("free"), 1.0).when(F.col("is_st") == 1, F.coalesce("treated", F.lit(0.1))).otherwise(F.coalesce("plain", F.lit(0.1))))
     up = (q < 1) & (F.col("last") >= F.round(F.col("pre") * (1 + q), 2) * 0.999)
     down = (q < 1) & (F.col("last") <= F.round(F.col("pre") * (1 - q), 2) * 1.001)
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("long")
-    return s.select("code", "d", flag(F.col("age") < 60).alias("is_new"), q.alias("limit_ratio"), flag(up).alias("is_limit_up"), flag(down).alias("is_limit_down"))
+    return s.select(
+        "code", "d", F.col("is_st").cast("long").alias("is_st"), flag(F.col("age") < 60).alias("is_new"), flag(F.col("free")).alias("is_new_no_limit"), flag(F.col("vol") > 0).alias("is_trading"),
+        "list_date", "market", q.alias("limit_ratio"), flag(up).alias("is_limit_up"), flag(down).alias("is_limit_down"),
+    )
 
 
 QUARTERS = REPORTS + """, q AS (
@@ -98,14 +128,25 @@ g AS (SELECT k.code, o.d, l.value, l.period_end FROM (SELECT DISTINCT code FROM
 
 
 def _pit(spark, sf):
+    """Reports on the open day after their announcement, the latest period first; one row a code and day."""
     r = cal.map_strictly_after(reports(spark, sf), calendar(spark, sf), "ann", "d")
-    r = J.keep_latest(r, ["code", "d"], [F.desc("period_end"), F.desc("ann"), F.desc("o_orderkey")])
-    return J.skeleton(open_days(spark, sf), r.select("code")).join(r.select("code", "d", "value", "period_end"), ["code", "d"], "left")
+    return J.keep_latest(r, ["code", "d"], [F.desc("period_end"), F.desc("ann"), F.desc("o_orderkey")]).select("code", "d", "value", "period_end")
+
+
+def valuations(spark, sf):
+    """Orders of a customer and open day as its daily valuation."""
+    o = table(spark, sf, "orders", "o_custkey", "o_orderdate", "o_totalprice")
+    v = o.groupBy(F.col("o_custkey").alias("code"), F.col("o_orderdate").cast("date").alias("d")).agg(F.round(F.sum("o_totalprice"), 2).alias("total_mv"), F.count("*").alias("trades"))
+    return v.join(F.broadcast(open_days(spark, sf)), "d", "left_semi")
 
 
-@query("d05_point_in_time", f"WITH {PIT} SELECT code, d, last_value(value IGNORE NULLS) OVER ({P} ROWS UNBOUNDED PRECEDING) AS value, last_value(period_end IGNORE NULLS) OVER ({P} ROWS UNBOUNDED PRECEDING) AS report_date FROM g")
+@query("d05_point_in_time", f"""WITH {PIT}, v AS (SELECT o_custkey AS code, CAST(o_orderdate AS DATE) AS d, round(sum(o_totalprice), 2) AS total_mv, count(*) AS trades FROM orders GROUP BY 1, 2)
+SELECT g.code, g.d, last_value(value IGNORE NULLS) OVER w AS value, last_value(period_end IGNORE NULLS) OVER w AS report_date, total_mv, trades FROM g LEFT JOIN v ON v.code = g.code AND v.d = g.d WINDOW w AS (PARTITION BY g.code ORDER BY g.d ROWS UNBOUNDED PRECEDING)""")
 def d05(spark, sf):
-    return _pit(spark, sf).select("code", "d", ts.ffill("value", W()).alias("value"), ts.ffill("period_end", W()).alias("report_date"))
+    r = _pit(spark, sf)
+    both = r.join(valuations(spark, sf), ["code", "d"], "full_outer").join(r.select("code").distinct(), "code", "left_semi")
+    out = stretch(both.withColumnRenamed("period_end", "report_date"), open_days(spark, sf), "code", "d", ["value", "report_date"], ["total_mv", "trades"])
+    return out.select("code", "d", "value", "report_date", "total_mv", "trades")
 
 
 @query("d06_holder_change", f"WITH {REPORTS}, l AS (SELECT * FROM reports QUALIFY row_number() OVER (PARTITION BY code, ann ORDER BY period_end DESC, o_orderkey DESC) = 1) SELECT code, ann, round(value - lag(value) OVER w, 2) AS chg, round((value - lag(value) OVER w) / nullif(lag(value) OVER w, 0), 8) AS chg_pct FROM l WINDOW w AS (PARTITION BY code ORDER BY ann)")
@@ -117,7 +158,8 @@ def d06(spark, sf):
 
 @query("d07_report_lag", f"WITH {PIT}, f AS (SELECT code, d, last_value(period_end IGNORE NULLS) OVER ({P} ROWS UNBOUNDED PRECEDING) AS e FROM g) SELECT code, d, date_diff('day', e, d)::BIGINT AS lag_days FROM f")
 def d07(spark, sf):
-    return _pit(spark, sf).select("code", "d", F.datediff("d", ts.ffill("period_end", W())).cast("long").alias("lag_days"))
+    dense = stretch(_pit(spark, sf), open_days(spark, sf), "code", "d", ["period_end"])
+    return dense.select("code", "d", F.datediff("d", "period_end").cast("long").alias("lag_days"))
 
 
 @query("d08_concentration", f"WITH {REPORTS}, r AS (SELECT code, value, row_number() OVER (PARTITION BY code ORDER BY value DESC, o_orderkey) AS rn, sum(value) OVER (PARTITION BY code) AS t FROM reports) SELECT code, round(sum(value) FILTER (rn <= 3) / nullif(max(t), 0), 8) AS top3, round(max(value) / nullif(max(t), 0), 8) AS top1 FROM r GROUP BY 1")
@@ -154,16 +196,117 @@ def d11(spark, sf):
     return g.select("code", "d", F.col("flag").cast("long").alias("is_ann"), F.round("amount", 2).alias("amount"), ts.trailing_any(F.col("flag"), W(), 30).cast("long").alias("in_window"))
 
 
+UNLOCKS = """u AS (
+  SELECT l_suppkey AS code, coalesce(f.next_on_or_after, CAST(l_shipdate AS DATE)) AS d, coalesce(a.next_on_or_after, CAST(o_orderdate AS DATE)) AS seen, l_quantity AS share, l_discount AS ratio
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey LEFT JOIN calendar f ON f.cal_date = CAST(l_shipdate AS DATE) LEFT JOIN calendar a ON a.cal_date = CAST(o_orderdate AS DATE) WHERE l_returnflag = 'A' AND l_quantity >= 40
+), pl AS (
+  SELECT l_suppkey AS code, coalesce(c.next_on_or_after, CAST(l_shipdate AS DATE) + 5) AS d, l_quantity * 2 AS ratio, row_number() OVER (PARTITION BY l_suppkey, coalesce(c.next_on_or_after, CAST(l_shipdate AS DATE) + 5) ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) AS rn
+  FROM lineitem LEFT JOIN calendar c ON c.cal_date = CAST(l_shipdate AS DATE) + 5 WHERE l_returnflag = 'N' AND l_linenumber = 1
+), o AS (SELECT cal_date AS d, pos FROM calendar WHERE is_open = 1), skel AS (SELECT k.code, o.d, o.pos FROM (SELECT DISTINCT l_suppkey AS code FROM lineitem) k CROSS JOIN o)"""
+
+
+def unlocks(spark, sf):
+    """Large accepted lines as share unlocks: code, float day, announcement day, share, ratio."""
+    line = table(spark, sf, "lineitem", "l_orderkey", "l_suppkey", "l_shipdate", "l_quantity", "l_discount", "l_returnflag").where("l_returnflag = 'A' and l_quantity >= 40")
+    o = table(spark, sf, "orders", "o_orderkey", "o_orderdate")
+    return line.join(o, F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("l_suppkey").alias("code"), F.col("l_shipdate").cast("date").alias("float_date"), F.col("o_orderdate").cast("date").alias("ann_date"), F.col("l_quantity").alias("share"), F.col("l_discount").alias("ratio"))
+
+
+def pledges(spark, sf):
+    """First lines that were not returned as pledge statistics: code, end day, ratio, and an order of arrival."""
+    line = table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_quantity", "l_returnflag").where("l_returnflag = 'N' and l_linenumber = 1")
+    return line.select(F.col("l_suppkey").alias("code"), F.col("l_shipdate").cast("date").alias("end_date"), (F.col("l_quantity") * 2).alias("pledge_ratio"), F.struct("l_shipdate", "l_orderkey", "l_linenumber").alias("came"))
+
+
+def unlock_signals(skeleton, events, calendar_):
+    """Unlock days with their shares, days to the next announced one (-1: none), and the window of 15 days before and after."""
+    e = cal.map_on_or_after(cal.map_on_or_after(events, calendar_, "float_date", "d"), calendar_, "ann_date", "seen_day")
+    own = e.groupBy("code", "d").agg(F.sum("share").alias("unlock_share"), F.sum("ratio").alias("unlock_ratio"), F.lit(1).alias("is_unlock_day"))
+    pos = F.broadcast(calendar_.where("is_open = 1").select(F.col("cal_date").alias("_c"), F.col("pos").alias("_p")))  # a row a day
+    at = e.join(pos, F.col("d") == F.col("_c")).withColumnsRenamed({"_p": "at"}).drop("_c")
+    at = at.join(pos, F.col("seen_day") == F.col("_c"), "left").select("code", F.coalesce("_p", F.lit(-1)).alias("seen"), "at")
+    s = skeleton.join(pos, F.col("d") == F.col("_c")).select("code", "d", F.col("_p").alias("pos")).join(own, ["code", "d"], "left")
+    s = J.nearest_visible_event(s.na.fill(0, ["is_unlock_day"]).na.fill(0.0, ["unlock_share", "unlock_ratio"]), at, "code", "pos", "seen", "at", "days_to_unlock")
+    near = F.col("days_to_unlock").between(0, 15) | (ts.trailing_any(F.col("is_unlock_day"), W(), 15) == 1)
+    return s.withColumn("in_unlock_window", near.cast("long")).drop("pos")
+
+
+def pledge_signals(skeleton, stats, calendar_, lag_days: int = 5):
+    """The last published pledge ratio of every day, and whether it is over 50; statistics are known ``lag_days`` after their day."""
+    known = cal.map_on_or_after(stats.withColumn("known", F.date_add("end_date", lag_days)), calendar_, "known", "d")
+    known = J.keep_latest(known, ["code", "d"], [F.desc("came")]).select("code", "d", "pledge_ratio")
+    s = skeleton.join(known, ["code", "d"], "left").withColumn("pledge_ratio", F.coalesce(ts.ffill("pledge_ratio", W()), F.lit(0.0)))
+    return s.withColumn("pledge_ratio_high", (F.col("pledge_ratio") > 50).cast("long"))
+
+
+@query("d11_unlocks_and_pledges", f"""WITH {CALENDAR}, {UNLOCKS}, own AS (SELECT code, d, sum(share) AS share, sum(ratio) AS ratio FROM u GROUP BY 1, 2),
+ev AS (SELECT DISTINCT u.code, coalesce(b.pos, -1) AS seen, o.pos AS due FROM u JOIN o ON o.d = u.d LEFT JOIN o b ON b.d = u.seen),
+near AS (SELECT skel.code, skel.d, min(due - pos) AS days FROM skel JOIN ev ON ev.code = skel.code AND seen <= pos AND pos <= due GROUP BY 1, 2),
+j AS (SELECT skel.code, skel.d, coalesce(share, 0) AS share, coalesce(own.ratio, 0) AS ratio, (own.d IS NOT NULL)::BIGINT AS day, coalesce(days, -1) AS days, pl.ratio AS pledge
+  FROM skel LEFT JOIN own ON own.code = skel.code AND own.d = skel.d LEFT JOIN near ON near.code = skel.code AND near.d = skel.d LEFT JOIN pl ON pl.code = skel.code AND pl.d = skel.d AND rn = 1),
+z AS (SELECT *, (days BETWEEN 0 AND 15 OR sum(day) OVER ({P} ROWS BETWEEN 14 PRECEDING AND CURRENT ROW) > 0)::BIGINT AS win, coalesce(last_value(pledge IGNORE NULLS) OVER ({P} ROWS UNBOUNDED PRECEDING), 0) AS pr FROM j)
+SELECT code, d, day AS is_unlock_day, share AS unlock_share, round(ratio, 6) AS unlock_ratio, days::BIGINT AS days_to_unlock, win AS in_unlock_window, pr AS pledge_ratio, (pr > 50)::BIGINT AS pledge_ratio_high, (win = 1)::BIGINT AS has_event, (pr > 50 OR win = 1)::BIGINT AS has_risk_event FROM z""")
+def d11_legs(spark, sf):
+    c = calendar(spark, sf)
+    skel = J.skeleton(open_days(spark, sf), table(spark, sf, "lineitem", "l_suppkey").select(F.col("l_suppkey").alias("code")))
+    s = pledge_signals(unlock_signals(skel, unlocks(spark, sf), c), pledges(spark, sf), c)
+    long = {k: F.col(k).cast("long") for k in ("is_unlock_day", "days_to_unlock")}
+    s = s.withColumns(long).withColumn("unlock_ratio", _r(F.col("unlock_ratio"))).withColumn("has_event", F.col("in_unlock_window"))
+    return s.withColumn("has_risk_event", ((F.col("pledge_ratio_high") == 1) | (F.col("in_unlock_window") == 1)).cast("long"))
+
+
 @query("d12_category_history", f"WITH {INTERVALS}, k AS (SELECT kind, row_number() OVER (ORDER BY kind) - 1 AS idx FROM (SELECT DISTINCT kind FROM reports)) SELECT code, start, idx::BIGINT AS idx, coalesce(lag(i.kind) OVER w <> i.kind, false)::BIGINT AS changed FROM intervals i JOIN k USING (kind) WINDOW w AS (PARTITION BY code ORDER BY start, o_orderkey)")
 def d12(spark, sf):
     i = intervals(spark, sf)
     return ordinal_codes(i, "kind", "idx").select("code", "start", "idx", F.coalesce(F.lag("kind").over(Window.partitionBy("code").orderBy("start", "o_orderkey")) != F.col("kind"), F.lit(False)).cast("long").alias("changed"))
 
 
-def ordinal_codes(df, c, out):
-    """Codes 0, 1, ... of the sorted values; -1 for null.  Joined by value, whatever their number."""
-    codes = df.select(c).where(F.col(c).isNotNull()).distinct().withColumn(out, F.row_number().over(Window.orderBy(c)).cast("long") - 1)
-    return df.join(codes, c, "left").na.fill(-1, [out])
+NO_CLASS = "unclassified"
+#: The first-level class that stands in for a base industry (here: a region's suppliers) where no membership names one.
+CLASS_OF = {"AFRICA": "A1", "AMERICA": "B1", "ASIA": "A1"}
+CLASS_CODE = {"A1": "c-01", "B1": "c-02", "NF": "c-03", "RF": "c-04"}
+
+
+def memberships(spark, sf):
+    """Large lines as memberships of a class from their day to 200 days later, end excluded; they overlap, and some name no class."""
+    line = table(spark, sf, "lineitem", "l_suppkey", "l_shipdate", "l_quantity", "l_returnflag", "l_linestatus", "l_orderkey", "l_linenumber").where("l_quantity >= 46")
+    day = F.col("l_shipdate").cast("date")
+    name = F.when(F.col("l_linenumber") != 2, F.concat("l_returnflag", "l_linestatus"))
+    code = F.when(name == "NF", F.lit(CLASS_CODE["NF"]))
+    return line.select(F.col("l_suppkey").alias("code"), day.alias("in_date"), F.date_add(day, 200).alias("out_date"), name.alias("l1_name"), code.alias("l1_code"), "l_orderkey", "l_linenumber")
+
+
+def industry_history(skeleton, base, members, class_of: dict[str, str], class_code: dict[str, str]):
+    """A class for every code and day: the latest membership that covers the day, else the base industry's; with codes, changes and indexes (-1: none)."""
+    named = lambda m, c: F.try_element_at(F.create_map(*[F.lit(x) for kv in m.items() for x in kv]), c)
+    s = J.latest_interval(skeleton, members, "code", "d", "in_date", "out_date", ["l1_name", "l1_code"], tie=["l_orderkey", "l_linenumber"])
+    s = s.join(base, "code", "left").withColumn("industry", F.coalesce("industry", F.lit(NO_CLASS)))
+    known = F.when(F.col("l1_name") != NO_CLASS, F.col("l1_name"))
+    s = s.withColumn("l1_name", F.coalesce(known, named(class_of, F.col("industry")), F.lit(NO_CLASS)))
+    s = s.withColumn("l1_code", F.coalesce("l1_code", named(class_code, F.col("l1_name"))))
+    before = F.lag("l1_name").over(W())
+    s = s.withColumn("changed", F.coalesce((F.col("l1_name") != before) & (F.col("l1_name") != NO_CLASS) & (before != NO_CLASS), F.lit(False)).cast("long"))
+    for c, out in (("industry", "industry_idx"), ("l1_name", "l1_idx")):
+        codes = sorted_codes(s.where(F.col(c) != NO_CLASS), c, out)
+        s = s.join(codes, c, "left").na.fill(-1, [out])
+    return s
+
+
+@query("d12_industry", f"""WITH {OPEN_DAYS}, m AS (
+  SELECT l_suppkey AS code, CAST(l_shipdate AS DATE) AS a, CAST(l_shipdate AS DATE) + 200 AS b, CASE WHEN l_linenumber <> 2 THEN l_returnflag || l_linestatus END AS n, l_orderkey AS o, l_linenumber AS l FROM lineitem WHERE l_quantity >= 46
+), s AS (SELECT k.code, d FROM (SELECT DISTINCT l_suppkey AS code FROM lineitem) k CROSS JOIN open_days),
+x AS (SELECT s.code, s.d, arg_max(coalesce(n, '?'), {{'a': a, 'o': o, 'l': l}}) AS n FROM s LEFT JOIN m ON m.code = s.code AND s.d >= a AND s.d < b GROUP BY 1, 2),
+y AS (SELECT x.code, x.d, nullif(n, '?') AS n, coalesce(r_name, '{NO_CLASS}') AS industry FROM x LEFT JOIN supplier ON s_suppkey = code LEFT JOIN nation ON n_nationkey = s_nationkey LEFT JOIN region ON r_regionkey = n_regionkey),
+z AS (SELECT code, d, industry, n AS given, coalesce(n, """ + "CASE industry " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CLASS_OF.items()) + f""" END, '{NO_CLASS}') AS l1_name FROM y),
+i AS (SELECT industry, row_number() OVER (ORDER BY industry) - 1 AS i FROM (SELECT DISTINCT industry FROM z WHERE industry <> '{NO_CLASS}')), c AS (SELECT l1_name, row_number() OVER (ORDER BY l1_name) - 1 AS i FROM (SELECT DISTINCT l1_name FROM z WHERE l1_name <> '{NO_CLASS}'))
+SELECT code, d, z.industry, z.l1_name, CASE z.l1_name """ + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CLASS_CODE.items()) + f""" END AS l1_code, coalesce(i.i, -1)::BIGINT AS industry_idx, coalesce(c.i, -1)::BIGINT AS l1_idx,
+  coalesce(z.l1_name <> lag(z.l1_name) OVER ({P}) AND z.l1_name <> '{NO_CLASS}' AND lag(z.l1_name) OVER ({P}) <> '{NO_CLASS}', false)::BIGINT AS changed
+FROM z LEFT JOIN i USING (industry) LEFT JOIN c ON c.l1_name = z.l1_name""")
+def d12_industry(spark, sf):
+    base = table(spark, sf, "supplier", "s_suppkey", "s_nationkey").join(table(spark, sf, "nation"), F.col("n_nationkey") == F.col("s_nationkey")).join(table(spark, sf, "region"), F.col("r_regionkey") == F.col("n_regionkey"))
+    skel = J.skeleton(open_days(spark, sf), table(spark, sf, "lineitem", "l_suppkey").select(F.col("l_suppkey").alias("code")))
+    out = industry_history(skel, base.select(F.col("s_suppkey").alias("code"), F.col("r_name").alias("industry")), memberships(spark, sf), CLASS_OF, CLASS_CODE)
+    return out.select("code", "d", "industry", "l1_name", "l1_code", "industry_idx", "l1_idx", "changed")
 
 
 @query("d13_benchmark", f"WITH {PANEL} SELECT code, d, round((high - low) / nullif(lag(close) OVER ({P}), 0) * 100, 6) AS amplitude, round(amount / avg(amount) OVER (PARTITION BY code), 6) AS turnover FROM panel")

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quantloom.functions import text as X
+from quantloom.functions.rules import Topic, all_topics, first_topic, in_order, keywords_found, score_texts
 from quantloom.operators.joins import not_in
 from quantloom.plans.base import query, table
-from quantloom.sources import score_with
+from quantloom.sources import score_with, spread
 
 WEIGHTS = {"the": 5, "and": 3, "ing": 2, "idiot": -40, "worthless": -40, "|": -10}
 SENT = "greatest(least(" + " + ".join(f"CASE WHEN contains(coalesce(text, ''), '{k}') THEN {w} ELSE 0 END" for k, w in WEIGHTS.items()) + ", 100), -100)"
@@ -31,17 +32,26 @@ def t02(spark, sf):
     return _docs(spark, sf).groupBy("lang", "source").agg(F.count("*").alias("n"), F.count_if(F.col("t").rlike(BLACK)).alias("removed"))
 
 
-CASE = r"CASE WHEN regexp_matches(t, '(?i)(?:^|[^A-Za-z])(loss|lawsuit|fine|default)(?:[^A-Za-z]|$)') THEN -60 WHEN regexp_matches(t, '(?i)(?:^|[^A-Za-z])(profit|growth|award|contract)(?:[^A-Za-z]|$)') THEN 60 WHEN regexp_matches(t, '\|') THEN -30 WHEN regexp_matches(t, '(?i)(?:^|[^A-Za-z])that(?:[^A-Za-z]|$)') THEN -20 WHEN regexp_matches(t, '(?i)(?:^|[^A-Za-z])(the|der|la|le)(?:[^A-Za-z]|$)') THEN 10 ELSE 0 END"
-SCORED = f"scored AS (SELECT doc_id, source, {CASE} AS score FROM (SELECT doc_id, source, coalesce(text, '') AS t FROM documents))"
+def _rules_sql(rules) -> str:
+    """SQL: number of the first rule that fits t, in order of priority."""
+    return "CASE " + " ".join(f"WHEN regexp_matches(t, '(?i){r.pattern}') THEN {i}" for i, r in enumerate(in_order(rules))) + " END"
+
+
+def _rule_table(rules) -> str:
+    return "rules(i, score, category, confidence) AS (VALUES " + ", ".join(f"({i}, {r.score}, '{r.category}', {r.confidence}::DOUBLE)" for i, r in enumerate(in_order(rules))) + ")"
+
+
+SCORED = f"{_rule_table(X.RULES)}, scored AS (SELECT doc_id, source, coalesce(score, 0) AS score, category, coalesce(confidence, 0.5) AS confidence FROM (SELECT doc_id, source, {_rules_sql(X.RULES)} AS i FROM (SELECT doc_id, source, coalesce(text, '') AS t FROM documents)) LEFT JOIN rules USING (i))"
 
 
 def _scored(spark, sf):
-    return _docs(spark, sf).select("doc_id", "source", X.score_by_rules(F.col("t")).alias("s")).select("doc_id", "source", "s.score", "s.category", "s.confidence")
+    s = spread(_docs(spark, sf).select("doc_id", "source", "t")).select("doc_id", "source", score_texts("t").alias("s"))
+    return s.select("doc_id", "source", "s.score", "s.category", "s.confidence")
 
 
-@query("t03_rule_scores", f"WITH {SCORED} SELECT doc_id, score::BIGINT AS score, CASE WHEN score = 0 THEN 0.5 ELSE 0.9 END::DOUBLE AS confidence FROM scored")
+@query("t03_rule_scores", f"WITH {SCORED} SELECT doc_id, score::BIGINT AS score, category, confidence FROM scored")
 def t03(spark, sf):
-    return _scored(spark, sf).select("doc_id", F.col("score").cast("long").alias("score"), "confidence")
+    return _scored(spark, sf).select("doc_id", F.col("score").cast("long").alias("score"), "category", "confidence")
 
 
 @query("t04_levels", f"WITH {SCORED} SELECT doc_id, CASE WHEN score >= 75 THEN 'very good' WHEN score >= 25 THEN 'good' WHEN score > 5 THEN 'rather good' WHEN score >= -5 THEN 'neutral' WHEN score > -25 THEN 'rather bad' WHEN score > -75 THEN 'bad' ELSE 'very bad' END AS lvl, score / 100.0 AS norm FROM scored")
@@ -49,7 +59,7 @@ def t04(spark, sf):
     return _scored(spark, sf).select("doc_id", X.level(F.col("score")).alias("lvl"), (F.col("score") / 100.0).alias("norm"))
 
 
-@query("t05_method_routing", f"WITH {SCORED} SELECT doc_id, CASE WHEN score <> 0 THEN 'rule' ELSE 'model' END AS method FROM scored")
+@query("t05_method_routing", f"WITH {SCORED} SELECT doc_id, CASE WHEN confidence >= 0.8 THEN 'rule' ELSE 'model' END AS method FROM scored")
 def t05(spark, sf):
     return _scored(spark, sf).select("doc_id", F.when(F.col("confidence") >= 0.8, "rule").otherwise("model").alias("method"))
 
@@ -169,21 +179,121 @@ def t19(spark, sf):
     return table(spark, sf, "pages", "page_id", "url").select("page_id", X.source_type(F.col("url")).alias("kind"))
 
 
-@query("t20_category_inference", "SELECT doc_id, CASE WHEN contains(t, '|') THEN 'table' WHEN contains(t, 'token') THEN 'secret' WHEN contains(t, '!!') THEN 'shout' ELSE 'prose' END AS category FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)")
+#: Classes of notices in the order in which they are tried, of the words that the given documents have.
+CATEGORIES = (
+    Topic("secret", ("token = ", "password")),
+    Topic("correction", ("correct", "erratum")),
+    Topic("supplement", ("addition", "Annex"), also=("report", "Licen")),
+    Topic("licence", ("License",), unless=("Version", "version")),
+    Topic("licence version", ("License", "Licensed", "NC 4.0")),
+    Topic("rights", ("rights reserved", "Released under")),
+    Topic("abuse in a table", ("worthless", "idiot"), also=(" | ",)),
+    Topic("abuse", ("worthless", "idiot")),
+    Topic("table", (" | ",)),
+    Topic("shout", ("!!",), unless=("the", "und")),
+    Topic("mixed shout", ("!!",)),
+    Topic("noise", ("%%", "$$", "##", "&&", "**")),
+    Topic("contact", ("@",)),
+    Topic("number", ("+",), unless=("=",)),
+    Topic("french", (" que ", " une ", " des "), unless=(" the ",)),
+    Topic("german", (" und ", " der ", " die "), unless=(" the ",)),
+    Topic("spanish", (" los ", " para ", " por "), unless=(" the ",)),
+    Topic("relative", (" that ", " which "), also=(" was ", " are ")),
+    Topic("purpose", (" for ", " with ")),
+    Topic("english", (" the ", " and ", " of ")),
+)
+#: Event types with their subtypes by word.
+EVENTS = (
+    Topic("licensing", ("License", "Licensed", "Released")),
+    Topic("leak", ("token", "password")),
+    Topic("insult", ("worthless", "idiot")),
+    Topic("contact", ("@", "+")),
+    Topic("listing", (" | ",)),
+    Topic("shout", ("!!",)),
+    Topic("statement", (" was ", " are ")),
+    Topic("order", (" und ", " por ", " pour ")),
+)
+SUBTYPES = {"licensing": {"MIT": "permissive", "Apache": "patent", "NC 4.0": "creative", "GPL": "copyleft"}, "insult": {"worthless": "thing", "idiot": "person"}, "leak": {"token": "token"}}
+UNITS = {"%": 0.01, "k": 1e3, "m": 1e6, "b": 1e9}
+POLICIES = (
+    Topic("licence", ("License", "Released under", "rights reserved")),
+    Topic("safety", ("worthless", "idiot", "!!")),
+    Topic("privacy", ("@", "token", "+")),
+    Topic("tables", (" | ",)),
+    Topic("languages", (" und ", " que ", " los ")),
+    Topic("prose", (" the ", " and ")),
+)
+TAGS = (
+    Topic("free", ("MIT", "Apache", "GPL", "NC 4.0")),
+    Topic("versioned", ("Version ", "version ")),
+    Topic("abuse", ("worthless", "idiot")),
+    Topic("mail", ("@",)),
+    Topic("quoted", ("(", ")", "\"")),
+)
+#: Document numbers, tried in this order; blanks within them go.
+NUMBERS = (r"([A-Z]+-[A-Z]+ [0-9.]+[0-9])", r"[Vv]ersion ([0-9]+(?:[.][0-9]+)*)", r"([0-9]{3} *[.-] *[0-9]{4})", r"([0-9]{12,19})")
+
+
+def _topic_sql(t) -> str:
+    some = lambda words: "(" + " OR ".join(f"contains(t, '{w}')" for w in words) + ")"
+    return " AND ".join([some(t.any), *([some(t.also)] if t.also else []), *([f"NOT {some(t.unless)}"] if t.unless else [])])
+
+
+def _first_sql(topics) -> str:
+    return "CASE " + " ".join(f"WHEN {_topic_sql(t)} THEN '{t.name}'" for t in topics) + " ELSE 'other' END"
+
+
+def _words(topics) -> list[str]:
+    return [w for t in topics for w in t.words]
+
+
+RAW = "(SELECT doc_id, coalesce(text, '') AS t FROM documents)"
+
+
+@query("t20_category_inference", f"SELECT doc_id, {_first_sql(CATEGORIES)} AS category FROM {RAW}")
 def t20(spark, sf):
-    has = lambda s: F.contains(F.col("t"), F.lit(s))
-    return _docs(spark, sf).select("doc_id", F.when(has("|"), "table").when(has("token"), "secret").when(has("!!"), "shout").otherwise("prose").alias("category"))
+    d = spread(_docs(spark, sf).select("doc_id", "t")).select("doc_id", keywords_found("t", _words(CATEGORIES)).alias("w"))
+    return d.select("doc_id", first_topic(F.col("w"), CATEGORIES).alias("category"))
 
 
-@query("t21_event_labels", r"SELECT doc_id, nullif(regexp_extract(t, '([0-9]+\.[0-9]+)', 1), '') AS amount, contains(lower(t), 'correct')::BIGINT AS correction FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)")
-def t21(spark, sf):
-    return _docs(spark, sf).select("doc_id", F.nullif(F.regexp_extract("t", r"([0-9]+\.[0-9]+)", 1), F.lit("")).alias("amount"), F.contains(F.lower("t"), F.lit("correct")).cast("long").alias("correction"))
+def event_labels(text):
+    """Amount (with its unit) and ratio of a text: the first number with a unit behind it, the first percentage."""
+    number = F.nullif(F.regexp_extract(text, r"([0-9]+(?:[.][0-9]+)?) *[kmb]", 1), F.lit(""))
+    unit = F.regexp_extract(text, r"[0-9]+(?:[.][0-9]+)? *([kmb])", 1)
+    times = F.when(unit == "k", UNITS["k"]).when(unit == "m", UNITS["m"]).otherwise(UNITS["b"])
+    ratio = F.nullif(F.regexp_extract(text, r"([0-9]+(?:[.][0-9]+)?) *%", 1), F.lit(""))
+    return number.cast("double") * times, ratio.cast("double")
 
 
-@query("t22_tags_and_numbers", r"SELECT doc_id, array_to_string(list_filter([CASE WHEN contains(t, 'License') THEN 'license' END, CASE WHEN regexp_matches(t, '@') THEN 'mail' END], lambda x: x IS NOT NULL), ',') AS tags, nullif(regexp_extract(t, 'ersion ([0-9.]+)', 1), '') AS num FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)")
+@query("t21_event_labels", f"""SELECT doc_id, e AS event_type, CASE """
+  + " ".join(f"WHEN e = '{e}' AND contains(t, '{w}') THEN '{n}'" for e, names in SUBTYPES.items() for w, n in names.items())
+  + f""" END AS subtype, try_cast(nullif(regexp_extract(t, '([0-9]+(?:[.][0-9]+)?) *[kmb]', 1), '') AS DOUBLE) * CASE regexp_extract(t, '[0-9]+(?:[.][0-9]+)? *([kmb])', 1) WHEN 'k' THEN 1e3 WHEN 'm' THEN 1e6 ELSE 1e9 END AS amount,
+  try_cast(nullif(regexp_extract(t, '([0-9]+(?:[.][0-9]+)?) *%', 1), '') AS DOUBLE) AS ratio, (contains(t, 'correct') OR contains(t, 'erratum'))::BIGINT AS correction FROM (SELECT *, {_first_sql(EVENTS)} AS e FROM {RAW})""")
+def t21(spark, sf):
+    words = [*_words(EVENTS), *[w for names in SUBTYPES.values() for w in names], "correct", "erratum"]
+    d = spread(_docs(spark, sf).select("doc_id", "t")).select("doc_id", "t", keywords_found("t", words).alias("w"))
+    d = d.withColumn("event_type", first_topic(F.col("w"), EVENTS))
+    sub = F.lit(None).cast("string")
+    for e, names in reversed(SUBTYPES.items()):
+        for w, n in reversed(names.items()):
+            sub = F.when((F.col("event_type") == e) & F.array_contains("w", w), n).otherwise(sub)
+    amount, ratio = event_labels(F.col("t"))
+    correction = F.arrays_overlap("w", F.array(F.lit("correct"), F.lit("erratum")))
+    return d.select("doc_id", "event_type", sub.alias("subtype"), amount.alias("amount"), ratio.alias("ratio"), correction.cast("long").alias("correction"))
+
+
+def document_number(text):
+    """The first number that one of the patterns finds, without blanks; null if none does."""
+    found = [F.nullif(F.regexp_replace(F.regexp_extract(text, p, 1), r"[ \t\n\x0B\f\r]+", ""), F.lit("")) for p in NUMBERS]
+    return F.coalesce(*found)
+
+
+@query("t22_tags_and_numbers", f"SELECT doc_id, {_first_sql(POLICIES)} AS category, array_to_string(list_filter([" + ", ".join(f"CASE WHEN {_topic_sql(t)} THEN '{t.name}' END" for t in TAGS) + "], lambda x: x IS NOT NULL), ',') AS tags, coalesce("
+  + ", ".join(f"nullif(regexp_replace(regexp_extract(t, '{p}', 1), '{BLANK}+', '', 'g'), '')" for p in NUMBERS) + f") AS num, md5(coalesce(" + ", ".join(f"nullif(regexp_replace(regexp_extract(t, '{p}', 1), '{BLANK}+', '', 'g'), '')" for p in NUMBERS) + f", left(t, 40) || '_' || doc_id)) AS id FROM {RAW}")
 def t22(spark, sf):
-    tags = F.array_compact(F.array(F.when(F.contains("t", F.lit("License")), "license"), F.when(F.col("t").rlike("@"), "mail")))
-    return _docs(spark, sf).select("doc_id", F.array_join(tags, ",").alias("tags"), F.nullif(F.regexp_extract("t", "ersion ([0-9.]+)", 1), F.lit("")).alias("num"))
+    d = spread(_docs(spark, sf).select("doc_id", "t")).select("doc_id", "t", keywords_found("t", [*_words(POLICIES), *_words(TAGS)]).alias("w")).withColumn("num", document_number(F.col("t")))
+    key = F.coalesce("num", F.concat(F.left("t", F.lit(40)), F.lit("_"), F.col("doc_id").cast("string")))
+    return d.select("doc_id", first_topic(F.col("w"), POLICIES).alias("category"), F.array_join(all_topics(F.col("w"), TAGS), ",").alias("tags"), "num", F.md5(key).alias("id"))
 
 
 @query("t23_parse_answers", "SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 3 THEN NULL ELSE (o_orderkey % 100)::INTEGER END AS score FROM orders")
@@ -205,13 +315,12 @@ def t25(spark, sf):
     return table(spark, sf, "conversations", "role", "turn", "text").groupBy("role").agg(F.count("*").alias("n"), F.round(F.avg(F.length("text")), 6).alias("mean"), F.count_if(F.col("turn") == 0).alias("first"))
 
 
-OWN_RULES = (*X.RULES, X.Rule("license", -80, "licence", 20), X.Rule("@", 40, "contact", 12))
-OWN_CASE = f"CASE WHEN regexp_matches(coalesce(text, ''), '(?i)license') THEN -80 WHEN contains(coalesce(text, ''), '@') THEN 40 ELSE score END"
+OWN_RULES = (*X.RULES, X.Rule("license", -80, "licence", 120), X.Rule("@", 40, "contact", 99))
 
 
-@query("x05_added_rules", f"WITH {SCORED} SELECT doc_id, ({OWN_CASE})::BIGINT AS score FROM scored JOIN documents USING (doc_id)")
+@query("x05_added_rules", f"WITH {_rule_table(OWN_RULES)} SELECT doc_id, coalesce(score, 0)::BIGINT AS score FROM (SELECT doc_id, {_rules_sql(OWN_RULES)} AS i FROM {RAW}) LEFT JOIN rules USING (i)")
 def x05(spark, sf):
-    return _docs(spark, sf).select("doc_id", X.score_by_rules(F.col("t"), OWN_RULES)["score"].cast("long").alias("score"))
+    return spread(_docs(spark, sf).select("doc_id", "t")).select("doc_id", score_texts("t", OWN_RULES)["score"].cast("long").alias("score"))
 
 
 @query("x06_routed_extraction", r"SELECT page_id, CASE WHEN contains(lower(url), '/de') THEN 'german' WHEN contains(lower(url), 'example.com') THEN 'news' ELSE 'rest' END AS route, CASE WHEN contains(lower(url), '/de') THEN length(html) WHEN contains(lower(url), 'example.com') THEN length(regexp_replace(html, '<[^>]*>', '', 'g')) ELSE 0 END::BIGINT AS n FROM pages WHERE url NOT LIKE '%.pdf%'")

@@ -49,6 +49,12 @@ def read_directory(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """At least as many partitions as cores, for work that costs more than the rows' way: a file of one row group is one task otherwise."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def write_table(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "overwrite") -> None:
     writer = df.write.mode(mode).option("compression", "snappy")
     (writer.partitionBy(*by) if by else writer).parquet(path)

@@ -65,3 +65,63 @@ def test_sliding_agrees_with_pandas(spark):
 def test_sliding_plan_has_no_wide_frame(spark):
     plan = sliding(spark.createDataFrame([("a", 1, 1.0)], "code string, d int, x double"), "code", "d", [("m", "x", "mean", 250, 250)])._jdf.queryExecution().toString()
     assert "RowFrame, -249, currentrow" not in plan and "unboundedpreceding" in plan
+
+
+def _open(spans, t):
+    return [s for s in spans if s[0] <= t and (s[1] is None or t < s[1])]
+
+
+def test_timelines_agree_with_brute_force(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from quantloom.operators import joins as J
+
+    r = random.Random(9)
+    spans = [(k, a, None if r.random() < 0.1 else a + r.randint(-1, 12), r.randint(0, 3), f"n{r.randint(0, 2)}") for k in range(4) for a in [r.randint(0, 40) for _ in range(r.choice((0, 1, 25)))]]
+    spans += [(None, 1, 9, 1, "lost"), (1, None, 9, 1, "lost"), *spans[:3]]
+    rows = [(k, t) for k in range(6) for t in range(-2, 60)] + [(None, 3), (2, 3)]
+    s = spark.createDataFrame(spans, "k int, a int, b int, p int, n string").repartition(5)
+    d = spark.createDataFrame(rows, "k int, t int").repartition(3)
+    own = lambda k: [x[1:] for x in spans if x[0] == k and k is not None and x[1] is not None]
+
+    got = sorted(map(repr, (tuple(x) for x in J.latest_interval(d, s, "k", "t", "a", "b", ["p", "n"], tie=["p", "n"]).select("k", "t", "p", "n").collect())))
+    best = lambda k, t: max(_open(own(k), t), key=lambda x: (x[0], x[2], x[3]), default=None)
+    assert got == sorted(repr((k, t, *((None, None) if (b := best(k, t)) is None else b[2:]))) for k, t in rows)
+
+    got = sorted(repr((x.k, x.t, x.f)) for x in J.covered_by_interval(d, s, "k", "t", "a", "b", "f").collect())
+    assert got == sorted(repr((k, t, int(any(x[0] <= t and (x[1] is None or t <= x[1]) for x in own(k))))) for k, t in rows)
+
+    due = s.where("b is not null")
+    got = sorted(repr((x.k, x.t, x.n)) for x in J.nearest_visible_event(d, due.select("k", F.col("a").alias("seen"), F.col("b").alias("due")), "k", "t", "seen", "due", "n").collect())
+    near = lambda k, t: min((x[1] - t for x in own(k) if x[1] is not None and x[0] <= t <= x[1]), default=-1)
+    assert got == sorted(repr((k, t, near(k, t))) for k, t in rows)
+
+
+def test_sweep_keeps_only_open_intervals():
+    from quantloom.operators.timeline import Sweep
+
+    sweep, most = Sweep(), 0
+    for i in range(5000):
+        list(sweep.add(i, i + 3, 5000 - i, (i,)))
+        most = max(most, len(sweep.open))
+    assert most <= 64 and list(sweep.finish())[-1][1] is None
+
+
+def test_stretch_and_sorted_codes(spark):
+    from datetime import date, timedelta
+
+    from quantloom.operators.numbering import ordinal_codes
+    from quantloom.operators.pointintime import stretch
+
+    days = [date(2024, 1, 1) + timedelta(i) for i in range(9)]
+    rec = [("a", days[2], 1.0, None), ("a", days[4], None, 7), ("a", days[5], 2.0, 8), ("b", days[8], None, 9)]
+    out = stretch(spark.createDataFrame(rec, "c string, d date, v double, once int"), spark.createDataFrame([(d,) for d in days], "d date"), "c", "d", ["v"], ["once"]).orderBy("c", "d").collect()
+    assert [r.d for r in out] == days * 2
+    assert [r.v for r in out if r.c == "a"] == [None, None, 1.0, 1.0, 1.0, 2.0, 2.0, 2.0, 2.0] and [r.v for r in out if r.c == "b"] == [None] * 9
+    assert [r.once for r in out] == [None] * 4 + [7, 8] + [None] * 3 + [None] * 8 + [9]
+    words = [f"w{i % 57:02d}é" for i in range(300)] + [None, "", "Z"]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    order = {w: i for i, w in enumerate(sorted({w for w in words if w is not None}))}
+    assert sorted((r.w or "", r.i) for r in ordinal_codes(df, "w", "i").collect()) == sorted((w or "", order.get(w, -1)) for w in words)
