@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quantloom.operators.quantiles import exact_quantiles
+
 
 def clip(c: Column, lo: float | Column | None, hi: float | Column | None) -> Column:
     """Within [lo, hi]; null stays null."""
@@ -46,18 +48,15 @@ def quantile_bucket(c: Column, by: str, q: int, tie: Column) -> Column:
 
 
 def winsorize(df: DataFrame, columns: Iterable[str], lo: float = 0.01, hi: float = 0.99, train: Column | None = None) -> DataFrame:
-    """Clip to exact linear quantiles, all of one aggregate; from the rows of ``train`` only, if given.
+    """Clip to exact linear quantiles; from the rows of ``train`` only, if given.
 
-    The bounds are one row, so the join that brings them back is a broadcast of fixed size.
+    The bounds are found by distributed selection, all columns at once; a column whose bounds
+    are missing or equal stays as it is.
     """
     columns = list(columns)
-    source = df if train is None else df.where(train)
-    exprs = [F.percentile(c, q).alias(f"_{k}_{c}") for c in columns for k, q in (("lo", lo), ("hi", hi))]
-    bounds = source.agg(*exprs)
-    out = df.join(F.broadcast(bounds), how="cross")
-    usable = lambda c: F.col(f"_lo_{c}").isNotNull() & (F.col(f"_lo_{c}") < F.col(f"_hi_{c}"))
-    out = out.withColumns({c: F.when(usable(c), clip(F.col(c), F.col(f"_lo_{c}"), F.col(f"_hi_{c}"))).otherwise(F.col(c)) for c in columns})
-    return out.drop(*[f"_{k}_{c}" for c in columns for k in ("lo", "hi")])
+    bounds = exact_quantiles(df if train is None else df.where(train), columns, (lo, hi))
+    usable = {c: b for c, b in bounds.items() if b[0] is not None and b[0] < b[1]}
+    return df.withColumns({c: clip(F.col(c), a, b) for c, (a, b) in usable.items()}) if usable else df
 
 
 def tercile_label(c: Column, by: str, lo: float = 0.3, hi: float = 0.7) -> Column:

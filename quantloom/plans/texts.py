@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quantloom.functions import text as X
 from quantloom.functions.rules import Topic, all_topics, first_topic, in_order, keywords_found, score_texts
 from quantloom.operators.joins import not_in
+from quantloom.functions.pages import page_text
 from quantloom.plans.base import query, table
 from quantloom.sources import score_with, spread
 
@@ -174,6 +175,38 @@ def t18(spark, sf):
     return table(spark, sf, "pages", "page_id", "html").select("page_id", F.trim(t).alias("t"))
 
 
+def page_bytes(spark, sf):
+    """Pages as a server sends them: by id in UTF-8, in UTF-16 with a byte order mark, or in Latin-1 where their letters allow it, declared as such."""
+    p = table(spark, sf, "pages", "page_id", "html")
+    plain = F.regexp_replace("html", 'charset="utf-8"', 'charset="iso-8859-1"')
+    utf8, latin = F.encode("html", "UTF-8"), F.encode(F.when(plain.rlike(r"^[\x00-\xFF]*$"), plain), "ISO-8859-1")
+    k = F.col("page_id") % 3
+    return p.select("page_id", F.when(k == 0, utf8).when(k == 1, F.encode("html", "UTF-16")).otherwise(F.coalesce(latin, utf8)).alias("data"))
+
+
+ENTITIES = {"&nbsp;": chr(160), "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "''", "&amp;": "&"}
+
+
+def _decoded_sql(x: str) -> str:
+    for k, v in ENTITIES.items():
+        x = f"replace({x}, '{k}', '{v}')"
+    return x
+
+
+def _lines_sql(x: str) -> str:
+    """SQL: the strings of a piece of a page without comments and elements that are no text, trimmed, one a line."""
+    bare = f"regexp_replace(regexp_replace({x}, '(?s)<!--.*?-->', '', 'g'), '(?is)<(?:script|style|nav|header|footer|aside)[^>]*>.*?</(?:script|style|nav|header|footer|aside)>', '<x>', 'g')"
+    return f"array_to_string(list_filter(list_transform(string_split_regex({bare}, '<[^<>]*>'), lambda x: trim({_decoded_sql('x')}, ' ' || chr(9) || chr(10) || chr(13) || chr(160))), lambda x: x <> ''), chr(10))"
+
+
+@query("t18_selected_text", f"""WITH p AS (SELECT page_id, {_lines_sql("regexp_extract(html, '(?s)<article>(.*?)</article>', 1)")} AS a, {_lines_sql("regexp_extract(html, '(?s)<body>(.*)</body>', 1)")} AS b FROM pages),
+s AS (SELECT *, length(replace(a, chr(10), '')) > 100 AS enough FROM p) SELECT page_id, CASE WHEN enough THEN a ELSE b END AS text, CASE WHEN enough THEN 'article' END AS selector FROM s""")
+def t18_selected(spark, sf):
+    """Text of the first container in a list of selectors that holds over 100 characters, from the page's bytes."""
+    found = spread(page_bytes(spark, sf)).select("page_id", page_text("data").alias("x"))
+    return found.select("page_id", "x.text", "x.selector")
+
+
 @query("t19_url_router", r"SELECT page_id, CASE WHEN regexp_matches(lower(url), '\.pdf(\?|#|$)') THEN 'pdf' WHEN contains(lower(url), '/de') THEN 'german' WHEN contains(lower(url), 'example.com') THEN 'news' WHEN regexp_matches(lower(url), '^https?://') THEN 'html' ELSE 'other' END AS kind FROM pages")
 def t19(spark, sf):
     return table(spark, sf, "pages", "page_id", "url").select("page_id", X.source_type(F.col("url")).alias("kind"))

@@ -125,3 +125,27 @@ def test_stretch_and_sorted_codes(spark):
     df = spark.createDataFrame([(w,) for w in words], "w string")
     order = {w: i for i, w in enumerate(sorted({w for w in words if w is not None}))}
     assert sorted((r.w or "", r.i) for r in ordinal_codes(df, "w", "i").collect()) == sorted((w or "", order.get(w, -1)) for w in words)
+
+
+def test_exact_quantiles_agree_with_pandas(spark):
+    from pyspark.sql import functions as F
+
+    from quantloom.operators.quantiles import exact_quantiles
+    from quantloom.operators.xsec import winsorize
+    from quantloom.schema import nan_to_null
+
+    r = np.random.default_rng(11)
+    n = 6000
+    pdf = pd.DataFrame({"a": r.normal(size=n), "heavy": r.standard_cauchy(n) ** 3, "ties": r.integers(0, 3, n).astype(float), "one": 7.0, "ints": r.integers(-50, 50, n)})
+    pdf.loc[r.random(n) < 0.2, "a"] = np.nan
+    df = spark.createDataFrame(pdf.astype({"ints": "int64"})).withColumn("none", F.lit(None).cast("double")).repartition(5)
+    qs = (0.0, 0.01, 0.25, 0.5, 0.99, 1.0)
+    for few in (20, 50_000):  # many rounds of narrowing, or none
+        got = exact_quantiles(df, [*pdf.columns, "none"], qs, few)
+        assert got.pop("none") == [None] * len(qs)
+        for c, found in got.items():
+            assert np.allclose(found, pdf[c].quantile(qs), rtol=1e-12, atol=0), (c, few)
+    assert exact_quantiles(df.where("ints > 99"), ["a"], (0.5,)) == {"a": [None]}
+    out = winsorize(nan_to_null(df.select("a", "one", "none")), ["a", "one", "none"], 0.1, 0.9).toPandas()
+    lo, hi = pdf.a.quantile([0.1, 0.9])
+    assert np.isclose(out.a.min(), lo) and np.isclose(out.a.max(), hi) and (out.one == 7).all() and out.a.isna().sum() == pdf.a.isna().sum()
