@@ -37,6 +37,27 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return out.select("name", F.when(value <= F.col("limit"), "PASS").otherwise(F.col("severity")).alias("severity"), (value <= F.col("limit")).cast("long").alias("passed"), F.col("broken").alias("n"), F.round(value, 8).alias("value"))
 
 
+@dataclass(frozen=True)
+class Measure:
+    """A number of a table, the range in which it passes (None: open), and what it is if it does not."""
+
+    name: str
+    value: Column
+    least: float | None = None
+    most: float | None = None
+    severity: str = "ERROR"
+
+
+def measure(df: DataFrame, measures: Sequence[Measure]) -> DataFrame:
+    """One aggregate for all: rows (name, severity, passed, value); a missing value passes."""
+    row = df.agg(*[m.value.cast("double").alias(f"v{i}") for i, m in enumerate(measures)])
+    none = F.lit(None).cast("double")
+    items = [F.struct(F.lit(m.name).alias("name"), F.lit(m.severity).alias("severity"), F.col(f"v{i}").alias("value"), (none if m.least is None else F.lit(float(m.least))).alias("least"), (none if m.most is None else F.lit(float(m.most))).alias("most")) for i, m in enumerate(measures)]
+    out = row.select(F.explode(F.array(*items)).alias("m")).select("m.*")
+    fits = F.coalesce(F.col("value") >= F.col("least"), F.lit(True)) & F.coalesce(F.col("value") <= F.col("most"), F.lit(True))
+    return out.select("name", F.when(fits, "PASS").otherwise(F.col("severity")).alias("severity"), fits.cast("long").alias("passed"), F.round("value", 6).alias("value"))
+
+
 def profile(df: DataFrame, columns: Sequence[str], extended: bool = False) -> DataFrame:
     """Count, nulls, extremes, mean, deviation and median of numeric columns, a row each; medians by distributed selection, the rest from one aggregate."""
     medians = exact_quantiles(df, columns, (0.5,))

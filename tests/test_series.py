@@ -149,3 +149,24 @@ def test_exact_quantiles_agree_with_pandas(spark):
     out = winsorize(nan_to_null(df.select("a", "one", "none")), ["a", "one", "none"], 0.1, 0.9).toPandas()
     lo, hi = pdf.a.quantile([0.1, 0.9])
     assert np.isclose(out.a.min(), lo) and np.isclose(out.a.max(), hi) and (out.one == 7).all() and out.a.isna().sum() == pdf.a.isna().sum()
+
+
+def test_co_moments_agree_with_pandas_pair_by_pair(spark):
+    from quantloom.operators.comoments import co_moments
+
+    r = np.random.default_rng(12)
+    n = 3000
+    a = r.normal(size=n)
+    pdf = pd.DataFrame({"a": a + 1e7, "b": 2 * a + r.normal(size=n), "c": r.integers(0, 5, n).astype(float), "one": 3.0, "gap": r.normal(size=n)})
+    pdf.loc[r.random(n) < 0.3, "gap"] = np.nan
+    pdf.loc[r.random(n) < 0.5, "b"] = np.nan
+    pdf.loc[0, "c"] = np.inf
+    out = co_moments(spark.createDataFrame(pdf).repartition(4), list(pdf.columns)).collect()
+    clean = pdf.replace(np.inf, np.nan)
+    assert len(out) == 10
+    for x in out:
+        both = clean[[x.a, x.b]].dropna()
+        assert x.n == len(both) and np.isclose(x.mean_a, both[x.a].mean()) and np.isclose(x["cov"], both[x.a].cov(both[x.b]), atol=1e-9)
+        want = both[x.a].corr(both[x.b]) if "one" not in (x.a, x.b) else None
+        assert (x.corr is None) if want is None else np.isclose(x.corr, want, atol=1e-9)
+    assert all(x.n == 0 and x.corr is None for x in co_moments(spark.createDataFrame(pdf).where("one > 5"), ["a", "b"]).collect())
