@@ -55,12 +55,13 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches of at most ``rows`` rows, for tables of whole texts: what a worker and the JVM hold at a time is bounded by them."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(name))
-    if now <= 0 or now > rows:
-        spark.conf.set(name, str(rows))
+def bound_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
+    """Arrow batches of at most ``rows`` rows and about ``size`` bytes, for tables of whole texts: what a worker and the JVM hold at a time is bounded by them."""
+    for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        name = f"spark.sql.execution.arrow.{name}"
+        now = int(str(spark.conf.get(name)).rstrip("b") or 0)
+        if now <= 0 or now > most:
+            spark.conf.set(name, str(most))
 
 
 def partitions_of(df: DataFrame) -> int:

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quantloom.llm import _kernels as K
-from quantloom.llm._spark import connected_components, fresh, join_counted, materialise, null_safe, partitions_of, row_hash
+from quantloom.llm._spark import connected_components, discard, fresh, join_counted, materialise, null_safe, partitions_of, row_hash
 
 SEED, SHINGLE, MAX_BITS, PIVOTS, SLICE_ROWS = 42, 3, 3, 24, 4096
 #: Near copies of a corpus: words of a shingle, least Jaccard similarity, bits that their fingerprints may differ in.
@@ -47,6 +47,8 @@ STAGE_SHINGLE, SIMILARITY, FAR_BITS = 5, 0.8, 26
 BANDS, ROWS = 16, 6
 #: Members of a centre that are verified in one part.
 MEMBERS = 512
+#: Members outside a band's largest component that meet the others in one slice.
+SLICE = 64
 
 _FACTORS = np.random.default_rng(20240301).integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -245,26 +247,27 @@ def shingle_set(words: list[bytes], size: int) -> np.ndarray:
     return np.unique(np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in grams), np.uint64, len(grams)))
 
 
-_SKETCH = "doc_id long, row_hash long, class binary, fp long, bands array<long>"
+_SKETCH = "doc_id long, row_hash long, class binary, fp long, n int, bands array<long>"
 
 
 def _sketches(size: int):
     """Worker: the class of equal word sequences, the fingerprint and the band keys of each text."""
-    schema = pa.schema([("doc_id", pa.int64()), ("row_hash", pa.int64()), ("class", pa.binary()), ("fp", pa.int64()), ("bands", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("row_hash", pa.int64()), ("class", pa.binary()), ("fp", pa.int64()), ("n", pa.int32()), ("bands", pa.list_(pa.int64()))])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                classes, fps, bands = [], [], []
+                classes, fps, sizes, bands = [], [], [], []
                 for t in part.column("text"):
                     words = simhash_words(t.as_py())
                     own = shingle_set(words, size)
                     classes.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest())
                     fps.append(bit_majority(own) if len(own) else 0)
+                    sizes.append(len(own))
                     bands.append(minima(own).view(np.int64) if len(own) else np.zeros(0, np.int64))
                 fp = np.array(fps, np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), part.column("row_hash"), pa.array(classes, pa.binary()), pa.array(fp), pa.array(bands, pa.list_(pa.int64()))], schema=schema)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), part.column("row_hash"), pa.array(classes, pa.binary()), pa.array(fp), pa.array(sizes, pa.int32()), pa.array(bands, pa.list_(pa.int64()))], schema=schema)
             pa.default_memory_pool().release_unused()
 
     return work
@@ -302,35 +305,112 @@ def within_pivots(max_bits: int, refs: np.ndarray) -> Column:
     return ok
 
 
+def _possible(max_bits: int, n_pivots: int, similarity: float) -> Column:
+    """Whether the fingerprints (``fu``, ``fv``) and sizes (``nu``, ``nv``) of two sets of shingles allow the similarity; sizes decide exactly."""
+    return within_pivots(max_bits, pivots(n_pivots)) & (F.least("nu", "nv") >= F.greatest("nu", "nv") * similarity)
+
+
+class _Verifier:
+    """Pairs of classes by their whole sets of shingles, and the components of those found similar."""
+
+    def __init__(self, texts: DataFrame, size: int, similarity: float) -> None:
+        self.texts, self.size, self.similarity = texts, size, similarity
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (u, v) that are similar.  Texts meet in parts of ``MEMBERS`` members of a centre v; a task holds one of each."""
+        n = pairs.count()
+        parts = materialise(pairs.groupBy("v").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts"), F.count("*").alias("n")), "parts")
+        dealt = join_counted(pairs, parts, ["v"], "n", n).withColumn("part", F.pmod(F.xxhash64("u"), F.col("parts")).cast("int"))
+        members = dealt.join(self.texts.withColumnRenamed("class", "u"), "u").select("v", "part", "u", "text")
+        centres = parts.join(self.texts.withColumnRenamed("class", "v"), "v").select("v", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("binary").alias("u"), "text")
+        rows = members.unionByName(centres).repartition(partitions_of(pairs), "v", "part").sortWithinPartitions("v", "part", F.col("u").asc_nulls_first())
+        found = materialise(rows.mapInArrow(_verify(self.size, self.similarity), "u binary, v binary"), "links")
+        discard(parts)
+        return found
+
+    def merged(self, comps: DataFrame, pairs: DataFrame) -> DataFrame:
+        """Components (class, comp) after the similar ones of ``pairs`` (u, v) whose components (cu, cv) are joined."""
+        found = self.links(pairs.select("u", "v").distinct())
+        joined = materialise(pairs.join(found, ["u", "v"], "left_semi").select(F.col("cu").alias("u"), F.col("cv").alias("v")).distinct(), "joined")
+        if joined.isEmpty():
+            return comps
+        roots = connected_components(joined).withColumnRenamed("node", "comp")
+        sizes = comps.groupBy("comp").agg(F.count("*").alias("n"))
+        renamed = materialise(sizes.join(roots, "comp", "left").select("comp", F.coalesce("root", "comp").alias("now"), "n"), "renamed")
+        return materialise(join_counted(comps, renamed, ["comp"], "n", comps.count()).select("class", F.col("now").alias("comp")), "comps")
+
+
+def _with_components(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """Pairs (u, v) of different components with these as cu and cv."""
+    u, v = comps.select(F.col("class").alias("u"), F.col("comp").alias("cu")), comps.select(F.col("class").alias("v"), F.col("comp").alias("cv"))
+    weights = pairs.groupBy("v").agg(F.count("*").alias("n")).join(v, "v")
+    return join_counted(pairs.join(u, "u"), weights, ["v"], "n", pairs.count()).where("cu <> cv")
+
+
+def _left_over(members: DataFrame, comps: DataFrame, possible: Column) -> DataFrame:
+    """Pairs of a band that no star compared: members of different components, neither the band's centre.
+
+    In each band the members outside its largest component meet all others, in slices of
+    ``SLICE`` by ``SLICE_ROWS`` so that no band is one task's.
+    """
+    rows = members.where("class <> low").drop("low")
+    rows = rows.join(comps, "class")
+    counts = rows.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    bands = counts.groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("bulk"), F.sum("n").alias("n"), F.max("n").alias("top"), F.count("*").alias("kinds")).where("kinds > 1")
+    bands = materialise(bands.select("key", "bulk", "n", F.ceil((F.col("n") - F.col("top")) / SLICE).cast("int").alias("slices"), F.ceil(F.col("n") / SLICE_ROWS).cast("int").alias("parts")), "open")
+    if bands.isEmpty():
+        return None
+    total = bands.agg(F.sum("n")).first()[0]
+    rows = materialise(join_counted(rows, bands.withColumnRenamed("n", "held"), ["key"], "held", total), "left")
+    own = lambda c: F.pmod(F.xxhash64("class"), F.col(c)).cast("int")
+    each = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    few = rows.where("comp <> bulk").select("key", own("slices").alias("slice"), each("parts").alias("part"), F.col("class").alias("u"), F.col("comp").alias("cu"), F.col("fp").alias("fu"), F.col("n").alias("nu"))
+    every = rows.select("key", each("slices").alias("slice"), own("parts").alias("part"), F.col("class").alias("v"), F.col("comp").alias("cv"), F.col("fp").alias("fv"), F.col("n").alias("nv"), (F.col("comp") == F.col("bulk")).alias("in_bulk"))
+    pairs = few.join(every, ["key", "slice", "part"]).where("cu <> cv and (in_bulk or u > v)").where(possible)
+    return pairs.select("u", "v", "cu", "cv").distinct()
+
+
 def _class_groups(docs: DataFrame, size: int, similarity: float, far_bits: int, n_pivots: int) -> tuple[DataFrame, DataFrame]:
-    """The class of every row (doc_id, row_hash, class), and of every class its first row, its rows and its group (class, no, doc_id, row_hash, rows, root)."""
+    """The class of every row (doc_id, row_hash, class), and of every class its first row, its rows and its group (class, no, doc_id, row_hash, rows, root).
+
+    Proposals are verified in three steps, each leaving out pairs that are in one component
+    already: every class with the centre that it shares most bands with; with the centres of
+    all its bands; and what a band then still holds apart.
+    """
     source = docs.select("doc_id", "text", row_hash("text").alias("row_hash"))
     found = materialise(source.mapInArrow(_sketches(size), _SKETCH), "sketches")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row_hash")).alias("one")
-    classes = found.groupBy("class").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.count("*").alias("rows"), first)
-    classes = materialise(classes.select("class", "fp", "bands", "rows", "one.*"), "classes")
-    keyed = materialise(classes.select("class", "fp", F.explode("bands").alias("key")), "bands")
-    tops = keyed.groupBy("key").agg(F.min(F.struct("class", "fp")).alias("low"), F.max(F.struct("class", "fp")).alias("high"), F.count("*").alias("n")).where("n > 1")
-    starred = join_counted(keyed, tops, ["key"], "n", keyed.count())
-    stars = starred.select(F.col("class").alias("u"), F.col("fp").alias("fu"), F.explode(F.array("low", "high")).alias("c")).select("u", "fu", F.col("c.class").alias("v"), F.col("c.fp").alias("fv"))
+    classes = found.groupBy("class").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.count("*").alias("rows"), first)
+    classes = materialise(classes.select("class", "fp", "n", "bands", "rows", "one.*"), "classes")
+    keyed = classes.select("class", "fp", "n", F.explode("bands").alias("key"))
+    tops = materialise(keyed.groupBy("key").agg(F.min(F.struct("class", "fp", "n")).alias("c"), F.count("*").alias("held")).where("held > 1"), "tops")
+    shared = join_counted(keyed, tops, ["key"], "held", max(1, tops.agg(F.sum("held")).first()[0] or 0))
+    shared = materialise(shared.select("key", "class", "fp", "n", F.col("c.class").alias("low"), F.col("c.fp").alias("fv"), F.col("c.n").alias("nv")), "shared")
+    possible = _possible(far_bits, n_pivots, similarity)
+    stars = shared.where("class <> low").select(F.col("class").alias("u"), F.col("fp").alias("fu"), F.col("n").alias("nu"), F.col("low").alias("v"), "fv", "nv")
+    stars = stars.where(possible).groupBy("u", "v").agg(F.count("*").alias("bands"))
     # Equal fingerprints share a centre, and linked ones join their centres.
-    equal = materialise(classes.groupBy("fp").agg(F.min("class").alias("v"), F.count("*").alias("n")), "centres")
-    same = join_counted(classes.select(F.col("class").alias("u"), "fp"), equal.where("n > 1"), ["fp"], "n", classes.count()).select("u", F.col("fp").alias("fu"), "v", F.col("fp").alias("fv"))
+    equal = materialise(classes.groupBy("fp").agg(F.min(F.struct("class", "n")).alias("c"), F.count("*").alias("rows")), "centres")
+    same = join_counted(classes.select(F.col("class").alias("u"), "fp", F.col("n").alias("nu")), equal.where("rows > 1"), ["fp"], "rows", classes.count())
+    same = same.select("u", F.col("fp").alias("fu"), "nu", F.col("c.class").alias("v"), F.col("fp").alias("fv"), F.col("c.n").alias("nv"))
     near = fingerprint_links(equal.select("fp"), MAX_BITS, n_pivots).select(F.col("u").alias("fu"), F.col("v").alias("fv"))
-    near = near.join(equal.select(F.col("fp").alias("fu"), F.col("v").alias("u")), "fu").join(equal.select(F.col("fp").alias("fv"), "v"), "fv").select("u", "fu", "v", "fv")
-    pairs = stars.unionByName(same).unionByName(near).where("u <> v").where(within_pivots(far_bits, pivots(n_pivots)))
-    pairs = materialise(pairs.select("u", "v").distinct(), "pairs")
+    named = lambda x: equal.select(F.col("fp").alias(f"f{x}"), F.col("c.class").alias(x), F.col("c.n").alias(f"n{x}"))
+    near = near.join(named("u"), "fu").join(named("v"), "fv").select("u", "fu", "nu", "v", "fv", "nv")
+    others = same.unionByName(near).where("u <> v").where(possible).select("u", "v").distinct().withColumn("bands", F.lit(BANDS + 1).cast("long"))
+    pairs = materialise(stars.unionByName(others), "pairs")
 
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("class")).distinct().join(classes, "class").select("class", "doc_id", "row_hash")
+    wanted = shared.select("class").unionByName(others.select(F.explode(F.array("u", "v")).alias("class"))).distinct().join(classes, "class").select("class", "doc_id", "row_hash")
     texts = source.join(wanted, null_safe(source, wanted, ["doc_id", "row_hash"])).select("class", "text").dropDuplicates(["class"])
-    texts = materialise(texts, "texts")
-    parts = materialise(pairs.groupBy("v").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts"), F.count("*").alias("n")), "parts")
-    dealt = join_counted(pairs, parts, ["v"], "n", pairs.count()).withColumn("part", F.pmod(F.xxhash64("u"), F.col("parts")).cast("int"))
-    members = dealt.join(texts.withColumnRenamed("class", "u"), "u").select("v", "part", "u", "text")
-    centres = parts.join(texts.withColumnRenamed("class", "v"), "v").select("v", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("binary").alias("u"), "text")
-    rows = members.unionByName(centres).repartition(partitions_of(docs), "v", "part").sortWithinPartitions("v", "part", F.col("u").asc_nulls_first())
-    roots = connected_components(rows.mapInArrow(_verify(size, similarity), "u binary, v binary"))
-    groups = classes.drop("fp", "bands").join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    verifier = _Verifier(materialise(texts, "texts"), size, similarity)
+    comps = classes.select("class", F.col("class").alias("comp"))
+    closest = pairs.groupBy("u").agg(F.max_by("v", F.struct("bands", "v")).alias("v")).select("u", "v", F.col("u").alias("cu"), F.col("v").alias("cv"))
+    comps = verifier.merged(comps, materialise(closest, "closest"))
+    rest = materialise(_with_components(pairs.select("u", "v").distinct().join(closest, ["u", "v"], "left_anti"), comps), "rest")
+    comps = verifier.merged(comps, rest)
+    last = _left_over(shared.select("key", "class", "fp", "n", "low"), comps, possible)
+    if last is not None:
+        comps = verifier.merged(comps, materialise(last, "last"))
+    groups = classes.drop("fp", "n", "bands").join(comps.withColumnRenamed("comp", "root"), "class")
     return found.select("doc_id", "row_hash", "class"), groups
 
 
@@ -338,10 +418,11 @@ def near_copies(docs: DataFrame, size: int = STAGE_SHINGLE, similarity: float =
     """Groups of texts linked by a Jaccard similarity of their ``size``-word shingles of at least ``similarity``: doc_id, row_hash, root for every row.
 
     Fingerprints within three bits, and texts with an equal band of shingle minima, propose
-    pairs of different classes of equal word sequences; each member is paired with the least
-    and the greatest class of its band, so proposals grow with the rows, not with the square
-    of a group.  Pairs whose pivot distances, or fingerprints, differ by more than
-    ``far_bits`` are discarded; the others are verified on their whole sets of shingles.
+    pairs of different classes of equal word sequences.  Every proposed pair is verified on its
+    whole sets of shingles unless others have joined the two before: members of a band meet
+    its centre, and what is then still apart in a band meets each other, so proposals grow
+    with the rows where groups are alike.  Pairs whose sizes rule the similarity out, or whose
+    pivot distances or fingerprints differ by more than ``far_bits``, are discarded first.
     """
     found, groups = _class_groups(docs, size, similarity, far_bits, n_pivots)
     groups = materialise(groups.select("class", "rows", "root"), "groups")
