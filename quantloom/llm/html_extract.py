@@ -1,13 +1,13 @@
 """Main text of web pages by a linear-chain conditional random field.
 
 A page is cut into leaf blocks of text.  The features of a block are its ancestors'
-tags and the words of their class and id names, its own tag, and its text's form (length,
-share of links, marks).  A chain of two states, main text or not, is trained by gradient
+tags and their class and id names (names that the training pages do not have say nothing),
+its own tag, its text's form (length, share of links, marks), and how dense its neighbours are.  A chain of two states, main text or not, is trained by gradient
 ascent on the likelihood of labelled pages and decoded by Viterbi.
 
 The labelled pages are composed here, from layouts of menus, headers, notices, adverts,
 sidebars, forms, articles, comments and footers in semantic and in plain markup, with
-random words; so the model is the same wherever it is trained, and no corpus is needed.
+random words and often random names; so the model is the same wherever it is trained, and no corpus is needed.
 ``train`` takes other labelled pages as well.
 
 Within a block character references are decoded and white space is one space; blocks are
@@ -34,16 +34,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>",
-    re.S,
-)
-#: The same where a tag ends at the next mark, whatever is quoted: once one quote stays open, all of the page behind it is read so, and no scan to its end is repeated.
-_LOOSE = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
+_MARKUP = r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)"
+#: A quote opens a value only behind an equals sign; a value without quotes ends at white space or at the tag's end, whatever it holds.
+_TOKEN = re.compile(_MARKUP + r"((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])[^\s>]*+))*+)>", re.S)
+#: The same for a tag whose quote stays open: it ends at the next mark.
+_LOOSE = re.compile(_MARKUP + r"([^>]*+)>", re.S)
+#: Tags with an open quote that are looked at the long way; a page with more is read loosely behind them, so that no scan to its end is repeated without bound.
+OPEN_QUOTES = 64
 _OPENING = re.compile(r"<(?:[!?]|/?[a-zA-Z])")
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PARTS = re.compile(r"[a-z]+")
+#: Names that tell how a page is laid out or in what state it is, not what a region holds.
+_STATE = re.compile(r"(?:^|[-_])(?:no|not|has|with|without|is|are|open|closed|enabled|disabled|layout|type|template|format|status|single|left|right|col|row|grid|theme|js|page|wide|full|width)(?:[-_]|$)")
 #: What any hidden element has in its tag; the attributes decide.
 _HIDDEN = re.compile(r"hidden|display", re.I)
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s>/=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
@@ -85,13 +87,13 @@ class Block:
 
 
 def blocks_of(page: str | None) -> list[Block]:
-    """Leaf blocks of a page in order; a path has an entry ``tag|words of class and id`` for each ancestor."""
+    """Leaf blocks of a page in order; a path has an entry ``tag|names`` for each ancestor, names being those of class, id and role (of ``html`` and ``body`` none)."""
     out: list[Block] = []
     if not page:
         return out
     stack: list[tuple[str, str]] = []
     opened: Counter = Counter()  # open elements by tag
-    token = _TOKEN
+    loose = 0
     parts: list[str] = []
     linked = silent = anchors = 0
     path: tuple[str, ...] | None = None
@@ -131,13 +133,11 @@ def blocks_of(page: str | None) -> list[Block]:
 
     at, n = 0, len(page)
     while at < n:
-        if token is _TOKEN:
-            first = _OPENING.search(page, at)
-            m = token.match(page, first.start()) if first else None
-            if first and m is None:
-                token = _LOOSE
-        if token is _LOOSE:
-            m = token.search(page, at) if page.find(">", at) >= 0 else None
+        first = _OPENING.search(page, at)
+        m = _TOKEN.match(page, first.start()) if first and loose <= OPEN_QUOTES else None
+        if first and m is None:
+            loose += 1
+            m = _LOOSE.match(page, first.start()) if page.find(">", first.start()) >= 0 else None
         if m is None:
             say(page[at:])
             break
@@ -187,7 +187,7 @@ def blocks_of(page: str | None) -> list[Block]:
         hidden = bool(rest) and bool(_HIDDEN.search(rest)) and is_hidden(rest)
         names = ""
         if rest and "=" in rest:
-            names = " ".join(sorted({w for g in _NAMES.findall(rest) for w in _PARTS.findall("".join(g).lower())}))
+            names = " ".join(sorted({w for g in _NAMES.findall(rest) for w in "".join(g).lower().split()})) if tag not in ("html", "body") else ""
         opened[tag] += 1
         if hidden and tag not in SILENT:
             stack.append(("?", f"{tag}|?"))
@@ -201,6 +201,16 @@ def blocks_of(page: str | None) -> list[Block]:
     return out
 
 
+def name_words(names: str) -> set[str]:
+    """What the names of an element say: each name, and the words of a name that is no state of the page."""
+    out = set()
+    for name in names.split():
+        if not _STATE.search(name):
+            out.add(name)
+            out.update(w for w in _PARTS.findall(name) if len(w) > 1)
+    return out
+
+
 @functools.lru_cache(maxsize=1 << 14)
 def path_features(path: tuple[str, ...]) -> tuple[str, ...]:
     found = {"bias"}
@@ -209,11 +219,12 @@ def path_features(path: tuple[str, ...]) -> tuple[str, ...]:
         found.add(f"in {tag}")
         if depth == 0:
             found.add(f"own {tag}")
-        for w in names.split():
+        for w in name_words(names):
             found.add(f"name {w}")
             if depth < 2:
                 found.add(f"near {w}")
-            found.update(f"part {w[i : i + 4]}" for i in range(len(w) - 3))
+    if not found & {"in div", "in section", "in article", "in main", "in table", "in nav", "in aside", "in footer", "in header"}:
+        found.add("in body only")
     return tuple(sorted(found))
 
 
@@ -228,6 +239,23 @@ def text_features(b: Block) -> tuple[str, ...]:
     )
 
 
+def density(b: Block | None) -> int:
+    """Of a neighbouring block: none, a link, short, a line, or a paragraph."""
+    if b is None:
+        return 0
+    if 2 * b.linked > len(b.text):
+        return 1
+    return 2 if len(b.text) < 25 else 3 if len(b.text) < 80 else 4
+
+
+def around(blocks: list[Block], i: int) -> tuple[str, ...]:
+    """Features of a block among its neighbours: how dense it and they are, and whether they lie in the same element."""
+    b, before, after = blocks[i], blocks[i - 1] if i else None, blocks[i + 1] if i + 1 < len(blocks) else None
+    kin = lambda x: x is not None and x.path[:-1] == b.path[:-1]
+    own = b.path[-1].partition("|")[0] if b.path else ""
+    return f"{own} {density(b)}", f"before {density(before)}", f"after {density(after)}", f"alone {density(b) if before is None and after is None else -1}", f"kin {max((density(x) for x in (before, after) if kin(x)), default=0)}"
+
+
 #: Class and id names of the layouts, by kind of region; names that must be known to the model.
 BOILER_NAMES = {
     "nav": "nav menu navbar navigation breadcrumb breadcrumbs topnav main-menu site-nav pagination tabs toc skip-links",
@@ -259,8 +287,15 @@ def labelled_page(seed: int) -> tuple[str, list[bool]]:
         out.append(f"<{tag}>{text}</{tag}>")
         labels.append(main)
 
+    def other() -> str:
+        """A name that says nothing."""
+        made = lambda: "".join(r.choice("bcdfghjklmnpqrstvwxyz") + r.choice("aeiou") for _ in range(r.randint(1, 4)))
+        return r.choice((made(), f"{made()}-{r.randint(1, 99)}", f"{made()}-{made()}", f"{made()}__{made()}"))
+
     def region(kind: str) -> None:
         names = r.choice(BOILER_NAMES[kind].split())
+        if r.random() < 0.15:
+            names = f"{other()} {names}"
         tag = r.choice(BOILER_TAGS[kind]) if kind in BOILER_TAGS and r.random() < 0.6 else r.choice(("div", "div", "section"))
         named = f' {r.choice(("class", "id"))}="{names}"' if tag in ("div", "section", "ul", "ol", "ins", "dialog") or r.random() < 0.4 else ""
         out.append(f"<{tag}{named}>")
@@ -280,15 +315,26 @@ def labelled_page(seed: int) -> tuple[str, list[bool]]:
         out.append(f"</{tag}>")
 
     def article() -> None:
-        bare = r.random() < 0.1
-        tag = "article" if r.random() < 0.55 else r.choice(("div", "main", "section"))
-        named = f' class="{r.choice(MAIN_NAMES.split())}"' if (tag in ("div", "section") and not bare) or r.random() < 0.3 else ""
-        wrap = r.random() < 0.3
-        out.append(("<main>" if wrap else "") + f"<{tag}{named}>")
+        kind = r.random()
+        if kind < 0.12:  # the article stands in the body itself
+            tag = named = ""
+        else:
+            tag = "article" if r.random() < 0.5 else r.choice(("div", "div", "main", "section", "td"))
+            named = "" if r.random() < 0.3 else f' {r.choice(("class", "id"))}="{r.choice(MAIN_NAMES.split()) if r.random() < 0.5 else other()}"'
+        wrap = tag != "" and r.random() < 0.3
+        if tag == "td":
+            out.append("<table><tr>")
+        out.append(("<main>" if wrap and tag != "td" else "") + (f"<{tag}{named}>" if tag else ""))
         if r.random() < 0.8:
             leaf(r.choice(("h1", "h1", "h2")), _sentence(r, 1, 12) + r.choice(("", "", ".")), True)
+        if tag in ("div", "td", "section") and r.random() < 0.25:  # text with line breaks in place of paragraphs
+            out.append("<br><br>".join(". ".join(_sentence(r, 3, 18) for _ in range(r.randint(1, 4))) + "." for _ in range(r.randint(1, 6))))
+            labels.append(True)
+            out.append("</td></tr></table>" if tag == "td" else f"</{tag}>" + ("</main>" if wrap else ""))
+            return
+        plain = r.random() < 0.25  # paragraphs only
         for _ in range(r.randint(1, 14)):
-            x = r.random()
+            x = 1.0 if plain else r.random()
             if x < 0.12:
                 region(r.choice(("ad", "share", "aside", "form", "notice")))
             elif x < 0.18:
@@ -314,20 +360,26 @@ def labelled_page(seed: int) -> tuple[str, list[bool]]:
                 leaf("p", f"<b>{text}</b>" if r.random() < 0.1 else text + r.choice((".", ".", ".", "")), True)
         if r.random() < 0.25:
             region("comments")
-        out.append(f"</{tag}>" + ("</main>" if wrap else ""))
-
+        if tag == "td":
+            out.append("</td></tr></table>")
+        elif tag:
+            out.append(f"</{tag}>" + ("</main>" if wrap else ""))
+
+    outer = [f'<div {r.choice(("class", "id"))}="{other()}">' for _ in range(r.choice((0, 0, 1, 2, 3)))]
+    out += outer
+    bare_head, bare_foot = r.random() < 0.35, r.random() < 0.35  # pages that begin or end with the article
     for kind in ("notice", "header", "nav", "ad", "aside"):
-        if r.random() < 0.5:
+        if not bare_head and r.random() < 0.5:
             region(kind)
     article()
     for kind in ("share", "comments", "form", "aside", "ad", "nav", "footer", "notice"):
-        if r.random() < (0.7 if kind == "footer" else 0.3):
+        if not bare_foot and r.random() < (0.7 if kind == "footer" else 0.3):
             region(kind)
-    out.append("</body></html>")
+    out.append("</div>" * len(outer) + "</body></html>")
     return "".join(out), labels
 
 
-def training_pages(n: int = 400) -> list[tuple[str, list[bool]]]:
+def training_pages(n: int = 700) -> list[tuple[str, list[bool]]]:
     return [labelled_page(seed) for seed in range(n)]
 
 
@@ -338,22 +390,23 @@ class Crf:
         self.weights, self.moves = weights, moves
         self.paths: dict[tuple[str, ...], float] = {}
 
-    def emission(self, b: Block) -> float:
+    def emission(self, blocks: list[Block], i: int) -> float:
+        b = blocks[i]
         got = self.paths.get(b.path)
         w = self.weights.get
         if got is None:
             if len(self.paths) > 20_000:
                 self.paths.clear()
             got = self.paths[b.path] = sum(w(f, 0.0) for f in path_features(b.path))
-        return got + sum(w(f, 0.0) for f in text_features(b))
+        return got + sum(w(f, 0.0) for f in (*text_features(b), *around(blocks, i)))
 
     def decode(self, blocks: list[Block]) -> list[bool]:
         """Viterbi's best sequence of states."""
         (aa, ab), (ba, bb) = self.moves
         back: list[tuple[bool, bool]] = []
         off, on = 0.0, None
-        for b in blocks:
-            e = self.emission(b)
+        for i in range(len(blocks)):
+            e = self.emission(blocks, i)
             if on is None:
                 off, on = 0.0, e
                 continue
@@ -381,7 +434,7 @@ def train(pages: list[tuple[str, list[bool]]], rounds: int = 300, rate: float =
         if blocks:
             chains.append([int(x) for x in labels])
             for t, b in enumerate(blocks):
-                f = [names.setdefault(x, len(names)) for x in (*path_features(b.path), *text_features(b))]
+                f = [names.setdefault(x, len(names)) for x in (*path_features(b.path), *text_features(b), *around(blocks, t))]
                 rows += f
                 cells += [(len(chains) - 1, t)] * len(f)
     if not chains:
