@@ -49,6 +49,8 @@ KINDS = ("email", "ip", "card", "phone")
 ROUNDS, MIN_SEEDS, MIN_SCORE, DOUBT = 3, 3, 0.75, 1.0
 #: Patterns that are broadcast at most; more are joined by a shuffle.
 BROADCAST_PATTERNS = 200_000
+#: Words that are looked for within a document, as a set of literals, at most; with more, each word of the corpus is looked up by a join.
+LITERALS = 5_000
 
 _MARK, _OTHER = "\ue000", "\ue001"
 _LOCAL = rf"A-Za-z0-9._%+{_MARK}-"
@@ -218,12 +220,20 @@ def base_table(docs: DataFrame) -> DataFrame:
 
 def plain_words(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     """How many plain words stand in the place of each of ``patterns(pattern, word)``: pattern, plain."""
-    few = patterns.limit(BROADCAST_PATTERNS + 1).count() <= BROADCAST_PATTERNS
+    words = patterns.select("word").distinct()
+    known = [r.word for r in words.limit(LITERALS + 1).collect()]
+    listed = len(known) <= LITERALS
+    few = listed or patterns.limit(BROADCAST_PATTERNS + 1).count() <= BROADCAST_PATTERNS
     small = F.broadcast if few else (lambda df: df)
     rows = docs.where("text is not null").select(F.regexp_extract_all(F.lower(F.regexp_replace("text", _CANDIDATE, "0")), F.lit(_UNIT), F.lit(0)).alias("units"))
-    near = lambda b: F.transform(b, lambda u, i: F.struct(F.get(b, i - 1).alias("before"), u.alias("last"), F.get(b, i + 1).alias("own"), F.get(b, i + 2).alias("after")))
+    # With few words only the places behind one of them leave the document.
+    wanted = (lambda u: _bare(u).isin(known) if known else F.lit(False)) if listed else (lambda u: u.isNotNull())
+    at = lambda b: F.filter(F.sequence(F.lit(0), F.size(b) - 1), lambda i: wanted(F.get(b, i)))
+    near = lambda b: F.transform(at(b), lambda i: F.struct(F.get(b, i - 1).alias("before"), F.get(b, i).alias("last"), F.get(b, i + 1).alias("own"), F.get(b, i + 2).alias("after")))
     rows = rows.select(F.explode(_bound({"units": F.col("units")}, lambda b: near(b["units"]))).alias("x")).select("x.*").where("own is not null and not startswith(own, '0')")
-    rows = rows.withColumn("word", _bare(F.col("last"))).join(small(patterns.select("word").distinct()), "word")
+    rows = rows.withColumn("word", _bare(F.col("last")))
+    if not listed:
+        rows = rows.join(small(words), "word")
     head = r"^[\p{L}\p{N}]++"
     after = F.concat(F.regexp_replace("own", head, ""), F.coalesce(F.regexp_extract("after", head, 0), F.lit("")))
     made = rows.select(F.explode(_patterns(F.coalesce("before", F.lit("")), F.col("last"), after)).alias("p")).groupBy(F.col("p.pattern").alias("pattern")).count()
