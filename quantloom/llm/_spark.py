@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
@@ -64,6 +65,13 @@ def bound_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) ->
             spark.conf.set(name, str(most))
 
 
+def return_memory() -> None:
+    """Gives freed memory of this process back to the system, where the C library can."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def partitions_of(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

@@ -39,6 +39,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quantloom.llm._spark import return_memory
+
 #: Most labelled rows to fit on, most bytes of one of their texts, dimensions of the scorer, letters of a stem.
 SAMPLE_ROWS, SAMPLE_BYTES, DIMENSIONS, STEMS = 6000, 1 << 17, 1 << 18, (3, 4, 5, 7)
 
@@ -309,6 +311,8 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, sample_rows: int = SAM
         rows.append(features(text, lexicon, dimensions))
     quality = train(rows, np.array(soft_q), dimensions)
     toxic = train(rows, np.array(soft_t), dimensions) if any(lexicon.stems) or any(lexicon.twice) or lexicon.words else (np.zeros(dimensions), -20.0)
+    del sample, soft_q, soft_t, rows
+    return_memory()
     return Model(lexicon, accuracies, *((w.astype(np.float32), b) for w, b in (quality, toxic)))
 
 

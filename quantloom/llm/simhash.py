@@ -373,9 +373,9 @@ def _left_over(members: DataFrame, comps: DataFrame, possible: Column) -> DataFr
 def _class_groups(docs: DataFrame, size: int, similarity: float, far_bits: int, n_pivots: int) -> tuple[DataFrame, DataFrame]:
     """The class of every row (doc_id, row_hash, class), and of every class its first row, its rows and its group (class, no, doc_id, row_hash, rows, root).
 
-    Proposals are verified in three steps, each leaving out pairs that are in one component
-    already: every class with the centre that it shares most bands with; with the centres of
-    all its bands; and what a band then still holds apart.
+    Proposals are verified in three steps: every class with the centre that it shares most
+    bands with; with the centres of its other bands, unless the first step joined the two; and
+    what a band then still holds in different components.
     """
     source = docs.select("doc_id", "text", row_hash("text").alias("row_hash"))
     found = materialise(source.mapInArrow(_sketches(size), _SKETCH), "sketches")
@@ -402,11 +402,13 @@ def _class_groups(docs: DataFrame, size: int, similarity: float, far_bits: int,
     wanted = shared.select("class").unionByName(others.select(F.explode(F.array("u", "v")).alias("class"))).distinct().join(classes, "class").select("class", "doc_id", "row_hash")
     texts = source.join(wanted, null_safe(source, wanted, ["doc_id", "row_hash"])).select("class", "text").dropDuplicates(["class"])
     verifier = _Verifier(materialise(texts, "texts"), size, similarity)
-    comps = classes.select("class", F.col("class").alias("comp"))
-    closest = pairs.groupBy("u").agg(F.max_by("v", F.struct("bands", "v")).alias("v")).select("u", "v", F.col("u").alias("cu"), F.col("v").alias("cv"))
-    comps = verifier.merged(comps, materialise(closest, "closest"))
-    rest = materialise(_with_components(pairs.select("u", "v").distinct().join(closest, ["u", "v"], "left_anti"), comps), "rest")
-    comps = verifier.merged(comps, rest)
+    closest = materialise(pairs.groupBy("u").agg(F.max_by("v", F.struct("bands", "v")).alias("v")), "closest")
+    near = verifier.links(closest)
+    under = classes.select("class").join(near.select(F.col("u").alias("class"), "v"), "class", "left").select("class", F.coalesce("v", "class").alias("comp"))
+    rest = _with_components(pairs.select("u", "v").distinct().join(closest, ["u", "v"], "left_anti"), materialise(under, "under"))
+    links = near.unionByName(verifier.links(materialise(rest.select("u", "v"), "rest")))
+    roots = connected_components(links)
+    comps = materialise(classes.select("class").join(roots.withColumnRenamed("node", "class"), "class", "left").select("class", F.coalesce("root", "class").alias("comp")), "comps")
     last = _left_over(shared.select("key", "class", "fp", "n", "low"), comps, possible)
     if last is not None:
         comps = verifier.merged(comps, materialise(last, "last"))
