@@ -65,19 +65,6 @@ def split_table(df: DataFrame, path: str, by: str) -> None:
     write_table(df, path, [by])
 
 
-def append_distinct(spark: SparkSession, path: str, new: DataFrame, staged: str) -> DataFrame:
-    """Existing rows and new ones without full duplicates, written beside the old table."""
-    out = spark.read.parquet(path).unionByName(new, allowMissingColumns=True).dropDuplicates()
-    write_table(out, staged)
-    return spark.read.parquet(staged)
-
-
-def compact(spark: SparkSession, paths: Sequence[str], out: str, rows_per_file: int = 5_000_000) -> DataFrame:
-    """Small files into few; the sources stay."""
-    read_directory(spark, paths).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(out)
-    return spark.read.parquet(out)
-
-
 def by_month(df: DataFrame, day: str) -> DataFrame:
     """Adds year and month, for a sink partitioned by them and scans pruned by them."""
     return df.withColumns({"year": F.year(day), "month": F.month(day)})
@@ -112,9 +99,3 @@ def score_with(df: DataFrame, text: str, scorer: Callable | None = None, name: s
 
     schema = ", ".join(f"`{c}` {t}" for c, t in [*df.dtypes, (name, "double")])
     return df.mapInPandas(work, schema)
-
-
-def render_report(checks: DataFrame) -> str:
-    """Markdown of a check table (some rows by nature)."""
-    rows = checks.collect()
-    return "\n".join(["| " + " | ".join(checks.columns) + " |", "|" + " - |" * len(checks.columns), *("| " + " | ".join(map(str, r)) + " |" for r in rows)])
