@@ -2,48 +2,35 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quantloom.operators import xsec
-from quantloom.operators.stats import safe_corr
+from quantloom.operators.stats import safe_corr, two_sided_p
 
 
-def _months_later(day: date, n: int) -> date:
-    m = day.month - 1 + n
-    y, m = day.year + m // 12, m % 12 + 1
-    last = (date(y + m // 12, m % 12 + 1, 1) - timedelta(days=1)).day
-    return date(y, m, min(day.day, last))
+def fold_table(days: DataFrame, day: str, train_months: int, valid_months: int, gap: int, kind: str = "rolling", warm_up: int = 0) -> DataFrame:
+    """Fold ranges over a calendar: fold, train_start, train_end, valid_start, valid_end, train_warm, valid_warm.
 
-
-def walk_forward(days: Sequence[date], train_months: int, valid_months: int, gap: int, kind: str = "rolling", warm_up: int = 0) -> list[dict]:
-    """Fold ranges over a sorted calendar.
-
-    ``gap`` open days lie between training and validation; ``warm_up`` days before each
-    range feed sequences.  It stops where validation has under half of its span.
+    ``gap`` open days lie between training and validation; ``warm_up`` days before each range feed
+    sequences.  Folds end before the first whose validation has under half of its span.
+    Training starts at the first day (``expanding``) or moves along (``rolling``).  The
+    calendar is one sorted list in one row; folds are numbers exploded beside it.
     """
-    folds, k = [], 0
-    while days:
-        start = days[0] if kind == "expanding" else _months_later(days[0], k * valid_months)
-        end = _months_later(days[0], train_months + k * valid_months) - timedelta(days=1)
-        later = [d for d in days if d > end]
-        if len(later) <= gap:
-            break
-        first, last = later[gap], min(_months_later(end, valid_months), days[-1])
-        if (last - first).days < 15 * valid_months:
-            break
-        before = lambda d: days[max(0, sum(x < d for x in days) - warm_up)]
-        folds.append({"fold": k, "train_start": start, "train_end": end, "valid_start": first, "valid_end": last, "train_warm": before(start), "valid_warm": before(first)})
-        k += 1
-    return folds
-
-
-def fold_frame(spark: SparkSession, folds: list[dict]) -> DataFrame:
-    return spark.createDataFrame(folds, "fold long, train_start date, train_end date, valid_start date, valid_end date, train_warm date, valid_warm date")
+    line = days.agg(F.sort_array(F.collect_set(day)).alias("days")).where(F.size("days") > 0)
+    first, last = F.get("days", F.lit(0)), F.element_at("days", -1)
+    k = line.select("days", F.explode(F.sequence(F.lit(0), F.floor(F.months_between(last, first) / valid_months).cast("int") + 1)).alias("fold"))
+    moved = F.col("fold") * valid_months
+    k = k.withColumn("train_start", first if kind == "expanding" else F.add_months(first, moved)).withColumn("train_end", F.date_sub(F.add_months(first, moved + train_months), 1))
+    before = lambda c, strict: F.size(F.filter("days", lambda d: (d < F.col(c)) if strict else (d <= F.col(c))))
+    k = k.withColumn("_at", before("train_end", False) + gap)
+    k = k.withColumn("valid_start", F.get("days", F.col("_at"))).withColumn("valid_end", F.least(F.add_months("train_end", valid_months), last))
+    whole = F.coalesce(F.datediff("valid_end", "valid_start") >= 15 * valid_months, F.lit(False)).cast("int")
+    k = k.withColumn("_whole", F.min(whole).over(Window.orderBy("fold").rowsBetween(Window.unboundedPreceding, 0))).where("_whole = 1")  # a row a fold
+    warm = lambda at: F.get("days", F.greatest(F.lit(0), at - warm_up))
+    return k.select(F.col("fold").cast("long").alias("fold"), "train_start", "train_end", "valid_start", "valid_end", warm(before("train_start", True)).alias("train_warm"), warm(F.col("_at")).alias("valid_warm"))
 
 
 def daily_ic(pairs: DataFrame, by: str, y: str, p: str) -> DataFrame:
@@ -58,21 +45,10 @@ def daily_rank_ic(pairs: DataFrame, by: str, y: str, p: str) -> DataFrame:
 
 
 def ic_summary(ic: DataFrame, c: str) -> DataFrame:
+    """Number, mean, deviation, ratio, share above zero, t statistic and its two-sided p-value: one row."""
     n, mean, std = F.count(c), F.avg(c), F.stddev_samp(c)
-    return ic.agg(
-        n.alias("n"), F.round(mean, 6).alias("mean"), F.round(std, 6).alias("std"), F.round(F.try_divide(mean, std), 6).alias("icir"),
-        F.round(F.avg((F.col(c) > 0).cast("int")), 6).alias("positive"), F.round(F.try_divide(mean, std / F.sqrt(n)), 5).alias("t"),
-    )
-
-
-def student_p_value(t: float, n: int) -> float:
-    """Two-sided p-value of a t statistic with n - 1 degrees of freedom, by Simpson's rule on the density."""
-    v = n - 1
-    scale = math.exp(math.lgamma((v + 1) / 2) - math.lgamma(v / 2)) / math.sqrt(v * math.pi)
-    f = lambda x: scale * (1 + x * x / v) ** (-(v + 1) / 2)
-    m, h = 2000, abs(t) / 2000
-    area = h / 3 * (f(0) + f(abs(t)) + sum((4 if i % 2 else 2) * f(i * h) for i in range(1, m)))
-    return max(0.0, 1 - 2 * area)
+    row = ic.agg(n.alias("n"), mean.alias("mean"), std.alias("std"), F.try_divide(mean, std).alias("icir"), F.avg((F.col(c) > 0).cast("int")).alias("positive"), F.try_divide(mean, std / F.sqrt(n)).alias("t"))
+    return row.withColumn("p", two_sided_p(F.col("t"), F.col("n") - 1)).select("n", *[F.round(x, 5 if x == "t" else 6).alias(x) for x in ("mean", "std", "icir", "positive", "t", "p")])
 
 
 def group_returns(pairs: DataFrame, by: str, y: str, p: str, q: int, tie: Column) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -92,7 +92,8 @@ def rsi(c: Column, w: WindowSpec, n: int) -> Callable[[DataFrame], DataFrame]:
     return apply
 
 
-def chunks(days: Iterator, size: int) -> list[tuple]:
-    """First and last day of each run of ``size`` days of a calendar."""
-    days = list(days)
-    return [(days[i], days[min(i + size, len(days)) - 1]) for i in range(0, len(days), size)]
+def day_chunks(days: DataFrame, day: str, size: int) -> DataFrame:
+    """First and last day of each run of ``size`` days between the least and the greatest: chunk, start, end."""
+    ends = days.agg(F.min(day).alias("a"), F.max(day).alias("b")).where("a is not null")
+    starts = ends.select("b", F.posexplode(F.sequence("a", "b", F.make_interval(days=F.lit(size)))).alias("chunk", "start"))
+    return starts.select("chunk", F.col("start").cast("date").alias("start"), F.least(F.date_add(F.col("start").cast("date"), size - 1), F.col("b")).alias("end"))

@@ -26,17 +26,38 @@ def _r(c, k=6):
     return F.round(c, k)
 
 
-@query("d01_price_table", f"""WITH {PANEL}, f AS (SELECT p_partkey AS code, p_size / 10.0 AS adj FROM part), j AS (
-  SELECT p.code, d, open, high, low, close, lag(close) OVER ({P}) AS pre_close, coalesce(adj, 1.0) AS adj, coalesce(vol, 0) AS vol, coalesce(amount, 0) * 1000 AS amount FROM panel p LEFT JOIN f USING (code)
-) SELECT code, d, round(close * adj, 8) AS close_hfq, round(CASE WHEN vol > 0 THEN amount / (vol * 100) END, 8) AS vwap,
-  round(CASE WHEN vol <= 10 THEN 0 WHEN pre_close * adj > 0 THEN close * adj / (pre_close * adj) - 1 END, 8) AS return_1d, (vol > 10)::BIGINT AS is_trading FROM j""")
+FROM = "1996-01-01"
+
+
+@query("d01_price_table", f"""WITH {PANEL}, {OPEN_DAYS}, f AS (SELECT p_partkey AS code, p_size / 10.0 AS adj FROM part), hal AS (SELECT DISTINCT l_suppkey AS code, CAST(l_shipdate AS DATE) AS d FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 49), sp AS (SELECT s_suppkey AS code, s_acctbal FROM supplier),
+j AS (SELECT k.code, o.d, last_value(open IGNORE NULLS) OVER w AS open, last_value(high IGNORE NULLS) OVER w AS high, last_value(low IGNORE NULLS) OVER w AS low, last_value(close IGNORE NULLS) OVER w AS close, coalesce(vol, 0) AS vol, coalesce(amount, 0) * 1000 AS amount, adj, hal.d IS NOT NULL AS halted, s_acctbal
+  FROM (SELECT DISTINCT code FROM panel) k CROSS JOIN open_days o LEFT JOIN panel p ON p.code = k.code AND p.d = o.d LEFT JOIN f ON f.code = k.code LEFT JOIN hal ON hal.code = k.code AND hal.d = o.d LEFT JOIN sp ON sp.code = k.code WINDOW w AS (PARTITION BY k.code ORDER BY o.d ROWS UNBOUNDED PRECEDING)),
+g AS (SELECT *, lag(close) OVER ({P}) AS pre_close FROM j)
+SELECT code, d, round(open * adj, 8) AS open_hfq, round(high * adj, 8) AS high_hfq, round(low * adj, 8) AS low_hfq, round(close * adj, 8) AS close_hfq, vol, round(amount, 2) AS amount, round(CASE WHEN vol > 0 THEN amount / (vol * 100) END, 8) AS vwap, round(CASE WHEN vol > 0 THEN amount / (vol * 100) * adj END, 7) AS vwap_hfq,
+  round(CASE WHEN vol <= 0 THEN 0 WHEN pre_close * adj > 0 THEN close * adj / (pre_close * adj) - 1 END, 8) AS return_1d, round(vol / nullif(abs(s_acctbal), 0), 8) AS turnover, (vol > 0)::BIGINT AS is_trading, halted::BIGINT AS is_suspended FROM g WHERE close IS NOT NULL AND adj IS NOT NULL AND d >= DATE '{FROM}'""")
 def d01(spark, sf):
     adj = table(spark, sf, "part", "p_partkey", "p_size").select(F.col("p_partkey").alias("code"), (F.col("p_size") / 10.0).alias("adj"))
-    p = price_panel(spark, sf).withColumn("pre_close", F.lag("close").over(W())).join(adj, "code", "left").na.fill({"adj": 1.0, "vol": 0, "amount": 0})
-    p = p.withColumn("amount", F.col("amount") * 1000).withColumn("pre", F.col("pre_close") * F.col("adj")).withColumn("hfq", F.col("close") * F.col("adj"))
-    ret = F.when(F.col("vol") <= 10, 0.0).when(F.col("pre") > 0, F.try_divide("hfq", "pre") - 1)
+    line = table(spark, sf, "lineitem", "l_suppkey", "l_shipdate", "l_returnflag", "l_quantity").where("l_returnflag = 'R' and l_quantity >= 49")
+    halted = line.select(F.col("l_suppkey").alias("code"), F.col("l_shipdate").cast("date").alias("d")).distinct().withColumn("is_suspended", F.lit(1).cast("long"))
+    float_ = table(spark, sf, "supplier", "s_suppkey", "s_acctbal").select(F.col("s_suppkey").alias("code"), F.abs("s_acctbal").alias("float_share"))
+    return price_table(price_panel(spark, sf), open_days(spark, sf), adj, halted, float_, FROM)
+
+
+def price_table(prices, days, adj, halted, shares, since: str):
+    """Prices of every code on every open day from its first one on, carried over days without trade, raw and adjusted.
+
+    The whole history is read, so that what is carried into the first day of the slice is known.
+    """
+    s = J.skeleton(days, prices.select("code")).join(prices, ["code", "d"], "left").join(halted, ["code", "d"], "left").join(adj, "code", "left").join(shares, "code", "left")
+    s = s.withColumns({c: ts.ffill(c, W()) for c in ("open", "high", "low", "close")}).na.fill(0, ["vol", "amount", "is_suspended"]).na.fill(0.0, ["vol", "amount"])
+    s = s.withColumns({"pre": F.lag("close").over(W()), "amount": F.col("amount") * 1000}).where(F.col("close").isNotNull() & F.col("adj").isNotNull() & (F.col("d") >= F.lit(since).cast("date")))
+    pre, hfq = F.col("pre") * F.col("adj"), F.col("close") * F.col("adj")
     vwap = F.when(F.col("vol") > 0, F.try_divide(F.col("amount"), F.col("vol") * 100))
-    return p.select("code", "d", _r(F.col("hfq"), 8).alias("close_hfq"), _r(vwap, 8).alias("vwap"), _r(ret, 8).alias("return_1d"), (F.col("vol") > 10).cast("long").alias("is_trading"))
+    ret = F.when(F.col("vol") <= 0, 0.0).when(pre > 0, F.try_divide(hfq, pre) - 1)
+    return s.select(
+        "code", "d", *[_r(F.col(c) * F.col("adj"), 8).alias(f"{c}_hfq") for c in ("open", "high", "low", "close")], "vol", F.round("amount", 2).alias("amount"), _r(vwap, 8).alias("vwap"), _r(vwap * F.col("adj"), 7).alias("vwap_hfq"),
+        _r(ret, 8).alias("return_1d"), _r(F.try_divide("vol", "float_share"), 8).alias("turnover"), (F.col("vol") > 0).cast("long").alias("is_trading"), "is_suspended",
+    )
 
 
 @query("d01_price_features", f"""WITH {PANEL}, x AS (SELECT code, d, close, close / nullif(lag(close) OVER ({P}), 0) - 1 AS r FROM panel)
@@ -179,11 +200,55 @@ def d09(spark, sf):
     return flows(spark, sf).select("code", "d", F.round(main, 4).alias("main"), F.round(retail, 4).alias("retail"), F.round(main - F.col("view") - F.col("click"), 4).alias("net"), F.when(retail > 0, _r(F.try_divide(main, retail))).alias("pct"))
 
 
-@query("d10_flow_assembly", f"WITH {FLOWS}, {PANEL} SELECT code, d, coalesce(purchase, 0) AS purchase, coalesce(n, 0)::BIGINT AS n, coalesce(last_value(f.view IGNORE NULLS) OVER ({P} ROWS UNBOUNDED PRECEDING), 0) AS balance FROM (SELECT code, d + INTERVAL 8760 DAY AS d FROM (SELECT DISTINCT code, d FROM panel)) x LEFT JOIN (SELECT code, d::TIMESTAMP AS d, purchase, n, view FROM flows) f USING (code, d)".replace("SELECT code, d, coalesce(purchase", "SELECT code, CAST(d AS DATE) AS d, coalesce(purchase"))
+SIZES = {"sm": "l_quantity <= 10", "md": "l_quantity > 10 AND l_quantity <= 25", "lg": "l_quantity > 25 AND l_quantity <= 40", "elg": "l_quantity > 40"}
+SIDES = {"buy": "l_returnflag = 'A'", "sell": "l_returnflag = 'R'"}
+_LEG = [(f"{side}_{size}", f"{a} AND {b}") for side, a in SIDES.items() for size, b in SIZES.items()]
+TRADES = "trades AS (SELECT l_suppkey AS code, CAST(l_shipdate AS DATE) AS d, " + ", ".join(f"round(coalesce(sum(l_extendedprice) FILTER (WHERE {c}), 0), 2) AS {n}" for n, c in _LEG) + ", round(sum(l_extendedprice), 2) AS amount FROM lineitem GROUP BY 1, 2)"
+
+
+def trades(spark, sf):
+    """Lines as trades by side and size: the summed price of each leg by code and day."""
+    line = table(spark, sf, "lineitem", "l_suppkey", "l_shipdate", "l_returnflag", "l_quantity", "l_extendedprice")
+    leg = lambda c: F.round(F.coalesce(F.sum(F.when(F.expr(c), F.col("l_extendedprice"))), F.lit(0.0)), 2)
+    return line.groupBy(F.col("l_suppkey").alias("code"), F.col("l_shipdate").cast("date").alias("d")).agg(*[leg(c).alias(n) for n, c in _LEG], F.round(F.sum("l_extendedprice"), 2).alias("amount"))
+
+
+def _by_day(spark, sf, where: str):
+    line = table(spark, sf, "lineitem", "l_suppkey", "l_shipdate", "l_returnflag", "l_quantity", "l_extendedprice", "l_linenumber").where(where)
+    return line.groupBy(F.col("l_suppkey").alias("code"), F.col("l_shipdate").cast("date").alias("d"))
+
+
+@query("d10_flow_assembly", f"""WITH {PANEL}, {TRADES}, {DAILY}, top AS (SELECT l_suppkey AS code, CAST(l_shipdate AS DATE) AS d, round(sum(l_extendedprice), 2) AS top_amount FROM lineitem WHERE l_quantity >= 49 GROUP BY 1, 2),
+inst AS (SELECT l_suppkey AS code, CAST(l_shipdate AS DATE) AS d, round(sum(l_extendedprice), 2) AS inst_amount FROM lineitem WHERE l_quantity >= 49 AND l_linenumber = 1 GROUP BY 1, 2),
+blk AS (SELECT l_suppkey AS code, CAST(l_shipdate AS DATE) AS d, round(sum(l_extendedprice), 2) AS block_amount, round(avg(l_extendedprice / l_quantity), 6) AS block_price, count(*) AS block_count FROM lineitem WHERE l_quantity >= 45 GROUP BY 1, 2),
+mar AS (SELECT l_suppkey AS code, CAST(l_shipdate AS DATE) AS d, round(sum(l_extendedprice), 2) AS rz FROM lineitem WHERE l_returnflag = 'N' GROUP BY 1, 2),
+nor AS (SELECT d, n AS north, sum(n) OVER (ORDER BY d ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) / 5.0 AS north_ma5 FROM daily),
+j AS (SELECT p.code, p.d, t.* EXCLUDE (code, d, amount), p.amount, top_amount, inst_amount, block_amount, block_price, block_count, last_value(rz IGNORE NULLS) OVER (PARTITION BY p.code ORDER BY p.d ROWS UNBOUNDED PRECEDING) AS rz, north, north_ma5 FROM panel p
+  LEFT JOIN trades t ON t.code = p.code AND t.d = p.d LEFT JOIN top ON top.code = p.code AND top.d = p.d LEFT JOIN inst ON inst.code = p.code AND inst.d = p.d LEFT JOIN blk ON blk.code = p.code AND blk.d = p.d LEFT JOIN mar ON mar.code = p.code AND mar.d = p.d LEFT JOIN nor ON nor.d = p.d)
+SELECT code, d, """ + ", ".join(f"coalesce({n}, 0) AS {n}" for n, _ in _LEG) + """, coalesce(top_amount, 0) AS top_amount, (top_amount IS NOT NULL)::BIGINT AS is_top_list, coalesce(inst_amount, 0) AS inst_amount, coalesce(block_amount, 0) AS block_amount, coalesce(block_price, 0) AS block_price, coalesce(block_count, 0)::BIGINT AS block_count,
+  coalesce(rz, 0) AS rz, round(coalesce(rz - lag(rz) OVER (PARTITION BY code ORDER BY d), 0), 2) + 0.0 AS rz_chg, coalesce(north, 0)::BIGINT AS north, round(coalesce(north_ma5, 0), 6) AS north_ma5, (code % 10 = 0)::BIGINT AS is_small_board,
+  round(coalesce(buy_lg + buy_elg - sell_lg - sell_elg, 0), 2) + 0.0 AS net_main, round(coalesce(buy_sm + buy_md - sell_sm - sell_md, 0), 2) + 0.0 AS net_retail, round(coalesce((buy_lg + buy_elg - sell_lg - sell_elg) / nullif(amount, 0), 0), 6) + 0.0 AS net_main_pct FROM j""")
 def d10(spark, sf):
-    days = price_panel(spark, sf).select("code", F.date_add("d", 8760).alias("d"))
-    j = days.join(flows(spark, sf), ["code", "d"], "left").withColumn("balance", ts.ffill("view", W()))
-    return j.na.fill(0.0, ["purchase", "balance"]).na.fill(0, ["n"]).select("code", "d", "purchase", "n", "balance")
+    price = F.col("l_extendedprice")
+    total = lambda where, name: _by_day(spark, sf, where).agg(F.round(F.sum(price), 2).alias(name))
+    block = _by_day(spark, sf, "l_quantity >= 45").agg(F.round(F.sum(price), 2).alias("block_amount"), F.round(F.avg(price / F.col("l_quantity")), 6).alias("block_price"), F.count("*").alias("block_count"))
+    w = Window.orderBy("d").rowsBetween(-4, 0)  # a row a day
+    north = daily(spark, sf).select("d", F.col("n").alias("north"), (F.sum("n").over(w) / 5.0).alias("north_ma5"))
+    return flow_assembly(price_panel(spark, sf).select("code", "d", "amount"), trades(spark, sf).drop("amount"), total("l_quantity >= 49", "top_amount"), total("l_quantity >= 49 and l_linenumber = 1", "inst_amount"), block, total("l_returnflag = 'N'", "rz"), north)
+
+
+def flow_assembly(spine, legs_, top, inst, block, margin, north):
+    """Six tables on the days of a code, and their nets: balances are carried forward, flows without a row are 0."""
+    s = spine
+    for t in (legs_, top, inst, block, margin):
+        s = s.join(t, ["code", "d"], "left")
+    s = s.join(F.broadcast(north), "d", "left").withColumn("is_top_list", F.col("top_amount").isNotNull().cast("long")).withColumn("rz", ts.ffill("rz", W()))
+    main = F.col("buy_lg") + F.col("buy_elg") - F.col("sell_lg") - F.col("sell_elg")
+    retail = F.col("buy_sm") + F.col("buy_md") - F.col("sell_sm") - F.col("sell_md")
+    s = s.withColumns({"rz_chg": F.round(ts.difference(F.col("rz"), W()), 2), "net_main": F.round(main, 2), "net_retail": F.round(retail, 2), "net_main_pct": _r(F.try_divide(main, "amount")), "north_ma5": _r(F.col("north_ma5")), "is_small_board": (F.col("code") % 10 == 0).cast("long")})
+    s = s.drop("amount")
+    doubles = [c for c, t in s.dtypes if t == "double"]
+    return s.na.fill(0.0, doubles).na.fill(0, ["block_count", "north"]).withColumns({c: F.col(c) + F.lit(0.0) for c in ("rz_chg", "net_main", "net_retail", "net_main_pct")})
 
 
 @query("d11_event_windows", f"""WITH {CALENDAR}, {REPORTS}, e AS (SELECT code, coalesce(next_on_or_after, ann) AS d, 1 AS flag, sum(value) AS amount FROM reports LEFT JOIN calendar ON cal_date = ann GROUP BY 1, 2),
@@ -321,19 +386,71 @@ def d14(spark, sf):
     return a.join(daily(spark, sf).select("d", "mean"), "d", "left").select("d", "lead_code", "oi", _r(F.try_divide(F.col("f") - F.col("mean"), F.col("mean"))).alias("basis"))
 
 
-@query("d15_regime", f"WITH {DAILY} SELECT d, ((CASE WHEN n > 10 THEN 2 WHEN n > 6 THEN 1 ELSE 0 END) + sign(total - lag(total) OVER (ORDER BY d)) + (CASE WHEN mean < avg(mean) OVER (ORDER BY d ROWS BETWEEN 59 PRECEDING AND CURRENT ROW) THEN 1 ELSE 0 END))::BIGINT AS score FROM daily")
+@query("d15_regime", f"""WITH {DAILY}, s AS (SELECT d, CASE WHEN n > 10 THEN 2 WHEN n > 6 THEN 1 ELSE 0 END AS pmi, coalesce(sign(total - lag(total) OVER (ORDER BY d)), 0)::INTEGER AS trend, CASE WHEN mean > 160000 THEN 1 WHEN mean < 120000 THEN -1 ELSE 0 END AS money,
+  CASE WHEN mean < avg(mean) OVER (ORDER BY d ROWS BETWEEN 59 PRECEDING AND CURRENT ROW) THEN 1 ELSE 0 END AS appetite FROM daily)
+SELECT d, pmi, trend, money, appetite, (pmi + trend + money + appetite)::BIGINT AS score, CASE WHEN pmi + trend + money + appetite >= 2 THEN 1 WHEN pmi + trend + money + appetite <= -2 THEN -1 ELSE 0 END AS regime FROM s""")
 def d15(spark, sf):
-    w = Window.orderBy("d")
-    s = F.when(F.col("n") > 10, 2).when(F.col("n") > 6, 1).otherwise(0) + F.signum(ts.difference(F.col("total"), w)) + F.when(F.col("mean") < ts.rolling_mean(F.col("mean"), w, 60, 1), 1).otherwise(0)
-    return daily(spark, sf).select("d", s.cast("long").alias("score"))
+    return regimes(daily(spark, sf)).select("d", "pmi", "trend", "money", "appetite", "score", "regime")
+
+
+def regimes(series):
+    """Four signals of a day (activity, trend, money, appetite), their sum, and the regime: 1 from two on, -1 from minus two on."""
+    w = Window.orderBy("d")  # a row a day
+    s = series.withColumns({
+        "pmi": F.when(F.col("n") > 10, 2).when(F.col("n") > 6, 1).otherwise(0),
+        "trend": F.coalesce(F.signum(ts.difference(F.col("total"), w)), F.lit(0.0)).cast("int"),
+        "money": F.when(F.col("mean") > 160000, 1).when(F.col("mean") < 120000, -1).otherwise(0),
+        "appetite": F.when(F.col("mean") < ts.rolling_mean(F.col("mean"), w, 60, 1), 1).otherwise(0),
+    })
+    s = s.withColumn("score", (F.col("pmi") + F.col("trend") + F.col("money") + F.col("appetite")).cast("long"))
+    return s.withColumn("regime", F.when(F.col("score") >= 2, 1).when(F.col("score") <= -2, -1).otherwise(0))
+
+
+#: Sixteen calendar series: name, table, value and condition; the first six carry forward, the next four do not, the last six too.
+SERIES = (
+    *[(f"n_{k}", "o", "1", f"o_orderpriority = '{v}'") for k, v in (("urgent", "1-URGENT"), ("high", "2-HIGH"), ("medium", "3-MEDIUM"), ("plain", "4-NOT SPECIFIED"), ("low", "5-LOW"))],
+    ("n_orders", "o", "1", "true"),
+    *[(f"margin_{k.lower()}", "o", "o_totalprice", f"o_orderstatus = '{k}'") for k in "FOP"],
+    ("margin_all", "o", "o_totalprice", "true"),
+    *[(f"amount_{k.lower()}", "l", "l_extendedprice", f"l_returnflag = '{k}'") for k in "ANR"],
+    *[(f"line_{k.lower()}", "l", "l_extendedprice", f"l_linestatus = '{k}'") for k in "FO"],
+    ("quantity", "l", "l_quantity", "true"),
+)
+LAUNCH = {"amount_r": "1996-07-01", "line_o": "1997-01-01"}
+_STAY = [n for n, *_ in SERIES if n.startswith("margin")]
+
+
+def _series_sql(t: str) -> str:
+    return ", ".join(f"sum({v}) FILTER (WHERE {c})::DOUBLE AS {n}" for n, k, v, c in SERIES if k == t)
 
 
-@query("d16_macro_assembly", f"WITH {CALENDAR}, {DAILY} SELECT cal_date AS d, coalesce(last_value(total IGNORE NULLS) OVER w, 0) AS total, coalesce(n, 0)::BIGINT AS n, CASE WHEN cal_date < DATE '1997-01-01' THEN 0 ELSE coalesce(last_value(mean IGNORE NULLS) OVER w, 0) END AS mean FROM calendar LEFT JOIN daily ON daily.d = cal_date WINDOW w AS (ORDER BY cal_date ROWS UNBOUNDED PRECEDING)")
+def _macro_column(n: str) -> str:
+    c = n if n in _STAY else f"last_value({n} IGNORE NULLS) OVER w"
+    c = f"round(coalesce({c}, 0), 2)"
+    return f"CASE WHEN cal_date < DATE '{LAUNCH[n]}' THEN 0 ELSE {c} END AS {n}" if n in LAUNCH else f"{c} AS {n}"
+
+
+@query("d16_macro_assembly", f"""WITH {CALENDAR}, {DAILY}, o AS (SELECT CAST(o_orderdate AS DATE) AS d, {_series_sql("o")} FROM orders GROUP BY 1), l AS (SELECT CAST(l_shipdate AS DATE) AS d, {_series_sql("l")} FROM lineitem GROUP BY 1),
+s AS (SELECT d, CASE WHEN n > 10 THEN 2 WHEN n > 6 THEN 1 ELSE 0 END + coalesce(sign(total - lag(total) OVER (ORDER BY d)), 0) + CASE WHEN mean > 160000 THEN 1 WHEN mean < 120000 THEN -1 ELSE 0 END + CASE WHEN mean < avg(mean) OVER (ORDER BY d ROWS BETWEEN 59 PRECEDING AND CURRENT ROW) THEN 1 ELSE 0 END AS score FROM daily)
+SELECT cal_date AS d, {", ".join(_macro_column(n) for n, *_ in SERIES)}, coalesce(last_value(score IGNORE NULLS) OVER w, 0)::BIGINT AS score FROM calendar LEFT JOIN o ON o.d = cal_date LEFT JOIN l ON l.d = cal_date LEFT JOIN s ON s.d = cal_date WINDOW w AS (ORDER BY cal_date ROWS UNBOUNDED PRECEDING)""")
 def d16(spark, sf):
-    w = Window.orderBy("cal_date")
-    j = calendar(spark, sf).join(daily(spark, sf), F.col("cal_date") == F.col("d"), "left")
-    mean = F.when(F.col("cal_date") < F.lit("1997-01-01").cast("date"), 0.0).otherwise(F.coalesce(ts.ffill("mean", w), F.lit(0.0)))
-    return j.select(F.col("cal_date").alias("d"), F.coalesce(ts.ffill("total", w), F.lit(0.0)).alias("total"), F.coalesce("n", F.lit(0)).cast("long").alias("n"), mean.alias("mean"))
+    o = table(spark, sf, "orders", "o_orderdate", "o_totalprice", "o_orderstatus", "o_orderpriority").withColumn("d", F.col("o_orderdate").cast("date"))
+    line = table(spark, sf, "lineitem", "l_shipdate", "l_extendedprice", "l_quantity", "l_returnflag", "l_linestatus").withColumn("d", F.col("l_shipdate").cast("date"))
+    of = lambda df, t: df.groupBy("d").agg(*[F.sum(F.when(F.expr(c), F.expr(v))).cast("double").alias(n) for n, k, v, c in SERIES if k == t])
+    days = calendar(spark, sf).select(F.col("cal_date").alias("d"))
+    score = regimes(daily(spark, sf)).select("d", "score")
+    return macro_assembly(days, [of(o, "o"), of(line, "l"), score], {n for n, *_ in SERIES if n not in _STAY} | {"score"}, LAUNCH)
+
+
+def macro_assembly(days, series, carried, launch):
+    """Calendar series side by side: the ``carried`` ones hold until the next value, what is missing then is 0, and nothing has a value before its launch."""
+    s = days
+    for t in series:
+        s = s.join(t, "d", "left")
+    w = Window.orderBy("d")  # a row a day
+    s = s.withColumns({c: ts.ffill(c, w) for c in s.columns if c in carried})
+    s = s.na.fill(0.0).na.fill(0).withColumns({c: F.round(c, 2) for c, t in s.dtypes if t == "double"})
+    return s.withColumns({c: F.when(F.col("d") < F.lit(day).cast("date"), 0.0).otherwise(F.col(c)) for c, day in launch.items()})
 
 
 @query("d17_panel_merge", f"WITH {PANEL}, {DAILY}, s AS (SELECT s_suppkey AS code, s_nationkey, s_acctbal FROM supplier) SELECT code, d, close, s_nationkey::BIGINT AS nation, CASE WHEN s_acctbal > 0 THEN s_acctbal END AS bal, lagged.total FROM panel LEFT JOIN s USING (code) LEFT JOIN (SELECT d, lag(total) OVER (ORDER BY d) AS total FROM daily) lagged USING (d)")
@@ -401,10 +518,15 @@ def e09(spark, sf):
     return price_panel(spark, sf).select("code", "d", _r(F.log1p(F.greatest("amount", F.lit(0.0))), 8).alias("log_amount"), _r(F.log1p(F.greatest("vol", F.lit(0.0))), 8).alias("log_vol"))
 
 
-@query("e10_flow_intensity", f"WITH {FLOWS} SELECT code, d, round((purchase - click) / (purchase + click + view + 1e-10), 6) AS intensity, sign(purchase - click)::BIGINT AS side FROM flows")
+_NET = {"sm": "buy_sm - sell_sm", "md": "buy_md - sell_md", "lg": "buy_lg - sell_lg", "elg": "buy_elg - sell_elg", "main": "buy_lg + buy_elg - sell_lg - sell_elg", "retail": "buy_sm + buy_md - sell_sm - sell_md", "main_buy": "buy_lg + buy_elg", "main_sell": "sell_lg + sell_elg", "retail_buy": "buy_sm + buy_md", "retail_sell": "sell_sm + sell_md"}
+
+
+@query("e10_flow_intensity", f"WITH {TRADES}, {DAILY} SELECT code, d, " + ", ".join(f"round(({v}) / (amount + 1e-10), 6) + 0.0 AS mf_{k}" for k, v in _NET.items()) + ", sign(round(buy_lg + buy_elg - sell_lg - sell_elg, 2))::BIGINT AS main_side, coalesce(n, 0)::BIGINT AS north_net FROM trades LEFT JOIN daily USING (d)")
 def e10(spark, sf):
-    net, all_ = F.col("purchase") - F.col("click"), F.col("purchase") + F.col("click") + F.col("view")
-    return flows(spark, sf).select("code", "d", _r(net / (all_ + 1e-10)).alias("intensity"), F.signum(net).cast("long").alias("side"))
+    north = daily(spark, sf).select("d", F.col("n").alias("north_net"))
+    t = trades(spark, sf).join(F.broadcast(north), "d", "left").na.fill(0, ["north_net"])
+    ratios = [(_r(F.expr(v) / (F.col("amount") + 1e-10)) + F.lit(0.0)).alias(f"mf_{k}") for k, v in _NET.items()]
+    return t.select("code", "d", *ratios, F.signum(F.round(F.expr(_NET["main"]), 2)).cast("long").alias("main_side"), "north_net")
 
 
 @query("e11_stability", f"WITH {REPORTS}, x AS (SELECT code, ann, o_orderkey, value, (value - lag(value) OVER w) / nullif(lag(value) OVER w, 0) AS p FROM reports WINDOW w AS (PARTITION BY code ORDER BY ann, o_orderkey)) SELECT code, o_orderkey, round(ln(value + 1), 8) AS ln_value, CASE WHEN p IS NOT NULL THEN round((0.5 + least(greatest(-p, -1), 1)) / 2, 8) END AS stability FROM x")
@@ -424,19 +546,37 @@ def relative_strength(panel, benchmark, bench_scale: float = 0.01):
     return panel.withColumn("ret", ret).join(F.broadcast(benchmark), "d", "left").withColumn("alpha", F.col("ret") - F.coalesce("pct", F.lit(0.0)) * F.lit(bench_scale))
 
 
-@query("e13_membership", """WITH s AS (SELECT user_id, CAST(ts AS DATE) AS d, max(value) AS weight FROM events WHERE event_type = 'signup' GROUP BY 1, 2), x AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events)
-SELECT x.user_id, x.d, (s.weight IS NOT NULL)::BIGINT AS is_member, coalesce(s.weight, 0) AS weight FROM x ASOF LEFT JOIN s ON x.user_id = s.user_id AND x.d >= s.d""")
+INDEXES = {"csi": "signup", "large": "purchase", "small": "view"}
+
+
+@query("e13_membership", "WITH x AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events), " + ", ".join(f"{k} AS (SELECT user_id, CAST(ts AS DATE) + 1 AS d, max(value) AS weight FROM events WHERE event_type = '{e}' GROUP BY 1, 2)" for k, e in INDEXES.items())
+  + " SELECT x.user_id, x.d, " + ", ".join(f"({k}.weight IS NOT NULL)::BIGINT AS in_{k}, coalesce({k}.weight, 0) AS weight_{k}" for k in INDEXES) + " FROM x " + " ".join(f"ASOF LEFT JOIN {k} ON x.user_id = {k}.user_id AND x.d >= {k}.d" for k in INDEXES))
 def e13(spark, sf):
     e = table(spark, sf, "events", "user_id", "ts", "event_type", "value").withColumn("d", F.col("ts").cast("date"))
-    s = e.where("event_type = 'signup'").groupBy("user_id", "d").agg(F.max("value").alias("weight"))
-    j = J.asof_backward(e.select("user_id", "d").distinct(), s, "user_id", "d", ["weight"])
-    return j.select("user_id", "d", F.col("weight").isNotNull().cast("long").alias("is_member"), F.coalesce("weight", F.lit(0.0)).alias("weight"))
+    return memberships_of(e.select("user_id", "d").distinct(), e, INDEXES)
 
 
-@query("e14_macro_interaction", f"WITH {PANEL}, {DAILY} SELECT code, d, round(ln(1 + amount) * mean / 100, 4) AS a, round(close / (1 + n / 100.0), 6) AS b FROM panel JOIN daily USING (d)")
+def memberships_of(rows, weights, indexes: dict[str, str], lag_days: int = 1):
+    """Flag and weight for each index: the last weight known by the day, which is ``lag_days`` after its own.
+
+    All indexes are met in one as-of join: their weights are columns of one table, carried forward.
+    """
+    w = weights.where(F.col("event_type").isin(*indexes.values())).groupBy("user_id", F.date_add("d", lag_days).alias("d"))
+    w = w.agg(*[F.max(F.when(F.col("event_type") == e, F.col("value"))).alias(k) for k, e in indexes.items()])
+    w = w.select("user_id", "d", *[ts.ffill(k, Window.partitionBy("user_id").orderBy("d")).alias(k) for k in indexes])
+    j = J.asof_backward(rows, w, "user_id", "d", list(indexes))
+    return j.select("user_id", "d", *[c for k in indexes for c in (F.col(k).isNotNull().cast("long").alias(f"in_{k}"), F.coalesce(k, F.lit(0.0)).alias(f"weight_{k}"))])
+
+
+_MIX = {"ep_spread": "ep * (rate - disc)", "bp_spread": "bp * (rate - disc)", "amount_rate": "ln(1 + amount) * rate / 100", "vol_money": "ln(1 + vol) * n", "ep_real": "ep / (1 + disc / 100)", "growth_real": "growth / (1 + rate / 100)", "growth_gap": "growth - rate"}
+
+
+@query("e14_macro_interaction", f"WITH {PANEL}, {DAILY}, r AS (SELECT CAST(l_shipdate AS DATE) AS d, round(100 * avg(l_tax), 6) AS rate, round(100 * avg(l_discount), 6) AS disc FROM lineitem GROUP BY 1), x AS (SELECT code, panel.d, amount, vol, vol / nullif(close, 0) AS ep, amount / nullif(close * 100, 0) AS bp, close / nullif(lag(close) OVER (PARTITION BY code ORDER BY panel.d), 0) - 1 AS growth, n, rate, disc FROM panel JOIN daily ON daily.d = panel.d JOIN r ON r.d = panel.d) SELECT code, d, " + ", ".join(f"round({v}, 9) + 0.0 AS {k}" for k, v in _MIX.items()) + " FROM x")
 def e14(spark, sf):
-    j = price_panel(spark, sf).join(F.broadcast(daily(spark, sf)), "d")
-    return j.select("code", "d", F.round(F.log1p("amount") * F.col("mean") / 100, 4).alias("a"), _r(F.col("close") / (1 + F.col("n") / 100.0)).alias("b"))
+    r = table(spark, sf, "lineitem", "l_shipdate", "l_tax", "l_discount").groupBy(F.col("l_shipdate").cast("date").alias("d")).agg(_r(100 * F.avg("l_tax")).alias("rate"), _r(100 * F.avg("l_discount")).alias("disc"))
+    x = price_panel(spark, sf).join(F.broadcast(daily(spark, sf).select("d", "n")), "d").join(F.broadcast(r), "d")  # a row a day each
+    x = x.withColumns({"ep": F.try_divide("vol", "close"), "bp": F.try_divide(F.col("amount"), F.col("close") * 100), "growth": F.try_divide("close", F.lag("close").over(W())) - 1})
+    return x.select("code", "d", *[(_r(F.expr(v), 9) + F.lit(0.0)).alias(k) for k, v in _MIX.items()])
 
 
 @query("e15_rolling_beta", f"WITH {PANEL} SELECT code, d, CASE WHEN count(vol) {_frame(60)} = 60 THEN round(regr_slope(amount, vol) {_frame(60)}, 4) END AS beta FROM panel")
@@ -451,14 +591,25 @@ def q01(spark, sf):
     return price_panel(spark, sf).withColumn("r", r).select("code", "d", _r(xsec.clip(F.col("r"), -0.3, 1.0), 8).alias("r"), (F.col("vol") > 0).cast("long").alias("is_trading"))
 
 
-@query("q02_fundamental_clean", f"WITH {REPORTS}, b AS (SELECT quantile_cont(value, 0.01) AS lo, quantile_cont(value, 0.99) AS hi FROM reports) SELECT o_orderkey, round(least(greatest(value, lo), hi), 4) AS value, coalesce(CASE WHEN date_diff('day', period_end, ann) <= 60 THEN round(1 / greatest(value, 1e-8), 12) END, 0) AS inv FROM reports, b")
+_FUND = {"value": "value", "yoy": "value / nullif(before, 0) - 1", "diff": "value - before", "root": "sqrt(value)", "share": "value / nullif(total, 0)", "lagged": "before", "age": "lag_days * 1.0"}
+
+
+@query("q02_fundamental_clean", f"WITH {REPORTS}, r AS (SELECT *, lag(value) OVER w AS before, sum(value) OVER (PARTITION BY code) AS total, date_diff('day', period_end, ann) AS lag_days FROM reports WINDOW w AS (PARTITION BY code ORDER BY ann, o_orderkey)), f AS (SELECT o_orderkey, lag_days, value AS raw, " + ", ".join(f"{v} AS {k}" for k, v in _FUND.items()) + " FROM r), b AS (SELECT " + ", ".join(f"quantile_cont({k}, 0.01) AS {k}_lo, quantile_cont({k}, 0.99) AS {k}_hi" for k in _FUND) + " FROM f) SELECT o_orderkey, "
+  + ", ".join(f"CASE WHEN lag_days <= 60 AND {k} IS NOT NULL THEN round(least(greatest({k}, {k}_lo), {k}_hi), 5) + 0.0 END AS {k}" for k in _FUND) + ", coalesce(CASE WHEN lag_days <= 60 THEN round(1 / greatest(raw, 1e-8), 12) END, 0) AS inv FROM f, b")
 def q02(spark, sf):
+    w = Window.partitionBy("code").orderBy("ann", "o_orderkey")
+    r = reports(spark, sf).withColumns({"before": F.lag("value").over(w), "total": F.sum("value").over(Window.partitionBy("code")), "lag_days": F.datediff("ann", "period_end")})
+    r = r.select("o_orderkey", "lag_days", F.col("value").alias("raw"), *[F.expr(v).alias(k) for k, v in _FUND.items()])
+    return fundamental_clean(r, list(_FUND), "raw", 60).select("o_orderkey", *[(_r(F.col(k), 5) + F.lit(0.0)).alias(k) for k in _FUND], F.round("inv", 12).alias("inv"))
+
+
+def fundamental_clean(r, fields, ratio: str, stale_days: int):
+    """The inverse of a ratio as it came, fields within their 1 and 99 percent quantiles, all null where the report is stale; an inverse that is missing is 0."""
     from quantloom.functions.scalar import signed_inverse
 
-    r = reports(spark, sf).withColumn("raw", F.col("value"))
-    out = xsec.winsorize(r, ["value"])
-    inv = F.when(F.datediff("ann", "period_end") <= 60, F.round(signed_inverse(F.col("raw"), 1e-8), 12))
-    return out.select("o_orderkey", F.round("value", 4).alias("value"), F.coalesce(inv, F.lit(0.0)).alias("inv"))
+    r = xsec.winsorize(r.withColumn("inv", signed_inverse(F.col(ratio), 1e-8)), fields)
+    fresh = F.col("lag_days").isNull() | (F.col("lag_days") <= stale_days)
+    return r.withColumns({c: F.when(fresh, F.col(c)) for c in (*fields, "inv")}).na.fill(0.0, ["inv"])
 
 
 @query("q03_tradable", f"WITH {PANEL} SELECT code, d, (coalesce(vol > 20, false) AND NOT coalesce(close > 1500, false) AND code % 7 <> 0)::BIGINT AS is_tradable, (coalesce(close > 1500, false) OR code % 7 = 0)::BIGINT AS is_risky FROM panel")
@@ -551,10 +702,11 @@ def k04(spark, sf):
     return table(spark, sf, "part", "p_partkey", "p_name").where("p_name like 'small%' or p_name like 'red%' or contains(p_name, 'ring')")
 
 
-@query("k05_flow_sums", "SELECT event_id, coalesce(try_cast(json_extract_string(props, '$.k') AS DOUBLE), 0) + value AS north FROM events")
+@query("k05_flow_sums", "SELECT event_id, coalesce(try_cast(json_extract_string(props, '$.k') AS DOUBLE), 0) + coalesce(value, 0) AS north, coalesce(try_cast(json_extract_string(props, '$.absent') AS DOUBLE), 0) + coalesce(try_cast(event_type AS DOUBLE), 0) + coalesce(user_id, 0) AS south FROM events")
 def k05(spark, sf):
-    k = F.get_json_object("props", "$.k").try_cast("double")
-    return table(spark, sf, "events", "event_id", "value", "props").select("event_id", (F.coalesce(k, F.lit(0.0)) + F.col("value")).alias("north"))
+    number = lambda c: F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string").try_cast("double"), F.lit(0.0))
+    e = table(spark, sf, "events", "event_id", "event_type", "user_id", "value", "props")
+    return e.select("event_id", (number(F.get_json_object("props", "$.k")) + number("value")).alias("north"), (number(F.get_json_object("props", "$.absent")) + number("event_type") + number("user_id")).alias("south"))
 
 
 @query("k06_previous_open_day", f"WITH {OPEN_DAYS} SELECT d AS cal_date, lag(d) OVER (ORDER BY d) AS prev_open FROM open_days")
@@ -562,7 +714,11 @@ def k06(spark, sf):
     return cal.previous_open_day(calendar(spark, sf))
 
 
-@query("k07_share_below", "SELECT o_orderpriority, count(*) FILTER (o_totalprice < 100000) AS below, round(100 * avg((o_totalprice < 100000)::INTEGER), 2) AS pct FROM orders GROUP BY 1")
+@query("k07_share_below", f"""WITH {PANEL}, m AS (SELECT max(d) AS d FROM panel GROUP BY date_trunc('month', d)), x AS (SELECT panel.d, close / 1200 AS pb, CASE WHEN code % 2 = 0 THEN 'even' ELSE 'odd' END AS board FROM panel JOIN m USING (d))
+SELECT d, count(*) AS n, count(*) FILTER (pb < 1) AS below, count(*) FILTER (pb < 1 AND board = 'even') AS below_even, count(*) FILTER (pb < 1 AND board = 'odd') AS below_odd, round(100 * avg((pb < 1)::INTEGER), 2) AS pct FROM x GROUP BY 1""")
 def k07(spark, sf):
-    low = F.col("o_totalprice") < 100000
-    return table(spark, sf, "orders", "o_orderpriority", "o_totalprice").groupBy("o_orderpriority").agg(F.count_if(low).alias("below"), F.round(100 * F.avg(low.cast("int")), 2).alias("pct"))
+    """Codes below a ratio of one on the last day of each month, in all and by board."""
+    p = price_panel(spark, sf).select("code", "d", (F.col("close") / 1200).alias("pb"))
+    last = p.groupBy(F.trunc("d", "month")).agg(F.max("d").alias("d")).select("d")
+    low, even = F.col("pb") < 1, F.col("code") % 2 == 0
+    return p.join(F.broadcast(last), "d").groupBy("d").agg(F.count("*").alias("n"), F.count_if(low).alias("below"), F.count_if(low & even).alias("below_even"), F.count_if(low & ~even).alias("below_odd"), F.round(100 * F.avg(low.cast("int")), 2).alias("pct"))

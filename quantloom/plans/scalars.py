@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quantloom.functions import scalar as fn
+from quantloom.sources import spread
 from quantloom.plans.base import PANEL, REPORTS, price_panel, query, reports, table
 
 def _orders(spark, sf):
@@ -109,9 +110,32 @@ def f17(spark, sf):
     return table(spark, sf, "part", "p_partkey", "p_name").where(F.col("p_name").rlike("ring|bolt|red")).select("p_partkey")
 
 
-@query("f18_extract", "SELECT c_custkey, regexp_extract(c_name, '#0*([0-9]+)', 1) AS num FROM customer")
+@query("f07_day_chunks", "WITH b AS (SELECT min(CAST(o_orderdate AS DATE)) AS a, max(CAST(o_orderdate AS DATE)) AS z FROM orders), k AS (SELECT unnest(range(0, (z - a) // 30 + 1)) AS chunk, a, z FROM b) SELECT chunk::BIGINT AS chunk, (a + (chunk * 30)::INTEGER)::DATE AS start, least(a + (chunk * 30)::INTEGER + 29, z)::DATE AS \"end\" FROM k")
+def f07_chunks(spark, sf):
+    from quantloom.operators.ts import day_chunks
+
+    return day_chunks(_orders(spark, sf), "day", 30).withColumn("chunk", F.col("chunk").cast("long"))
+
+
+#: Six things read out of a text by their first group; the patterns of one are tried in order.
+EXTRACTS = {
+    "amount": (r"([0-9]+(?:[.][0-9]+)?) *[kmb]",),
+    "percent": (r"([0-9]+(?:[.][0-9]+)?) *%",),
+    "number": (r"([A-Z]+-[A-Z]+ [0-9.]+[0-9])", r"[Vv]ersion ([0-9]+(?:[.][0-9]+)*)"),
+    "day": (r"([0-9]{4}-[0-9]{2}-[0-9]{2})", r"([0-9]{8})"),
+    "score": (r"[Ss]core *[:=] *(-?[0-9]{1,3})", r"token *= *([A-Za-z0-9_-]+)"),
+    "address": (r"([0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3})",),
+}
+
+
+@query("f18_extract", "SELECT doc_id, " + ", ".join("coalesce(" + ", ".join(f"nullif(regexp_extract(coalesce(text, ''), '{p}', 1), '')" for p in ps) + f") AS {k}" for k, ps in EXTRACTS.items()) + " FROM documents")
 def f18(spark, sf):
-    return table(spark, sf, "customer", "c_custkey", "c_name").select("c_custkey", F.regexp_extract("c_name", "#0*([0-9]+)", 1).alias("num"))
+    return spread(table(spark, sf, "documents", "doc_id", "text")).select("doc_id", *[first_group(F.coalesce("text", F.lit("")), ps).alias(k) for k, ps in EXTRACTS.items()])
+
+
+def first_group(text, patterns):
+    """The first group of the first pattern that finds one; null if none does."""
+    return F.coalesce(*[F.nullif(F.regexp_extract(text, p, 1), F.lit("")) for p in patterns])
 
 
 @query("f19_replace_chain", "SELECT o_orderkey, lower(regexp_replace(regexp_replace(o_orderpriority, '^[0-9]+-', ''), '\\s+', '_', 'g')) AS p FROM orders")
@@ -143,9 +167,10 @@ def f23(spark, sf):
     return ordinal_codes(table(spark, sf, "part", "p_partkey", "p_brand"), "p_brand", "idx").select("p_partkey", "idx")
 
 
-@query("f24_json", "SELECT event_id, try_cast(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+@query("f24_json", """SELECT event_id, try_cast(json_extract_string(props, '$.k') AS BIGINT) AS k, '{"' || event_type || '":' || coalesce(json_extract_string(props, '$.k'), 'null') || ',"twice":' || coalesce((2 * try_cast(json_extract_string(props, '$.k') AS BIGINT))::VARCHAR, 'null') || '}' AS scores FROM events""")
 def f24(spark, sf):
-    return table(spark, sf, "events", "event_id", "props").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
+    k = F.from_json(F.regexp_extract("props", r"(?s)\{.*\}", 0), "k bigint")["k"]
+    return table(spark, sf, "events", "event_id", "event_type", "props").select("event_id", k.alias("k"), F.to_json(F.create_map(F.col("event_type"), k, F.lit("twice"), 2 * k)).alias("scores"))
 
 
 @query("f25_array_ops", "SELECT p_partkey, array_to_string(list_sort(list_distinct(string_split(p_name, ' ')))[1:2], '|') AS words, len(string_split(p_name, ' '))::BIGINT AS n FROM part")

@@ -75,17 +75,51 @@ def t07(spark, sf):
     return _docs(spark, sf).select("doc_id", X.keyword_sentiment(F.col("t"), WEIGHTS).alias("s")).select("doc_id", F.col("s").cast("long").alias("sentiment"), X.beta_signal(F.col("s")).alias("beta"))
 
 
-@query("t08_daily_sentiment", f"SELECT source, round(avg({SENT}), 6) AS sentiment, count(*) AS n FROM documents GROUP BY 1")
+@query("t08_daily_sentiment", f"""WITH s AS (SELECT DATE '2024-01-01' + (doc_id % 90)::INTEGER AS d, ({SENT}) AS s, text FROM documents WHERE doc_id IS NOT NULL), k AS (SELECT d, kw FROM s, (VALUES """ + ", ".join(f"('{w}')" for w in WEIGHTS) + """) v(kw) WHERE contains(coalesce(text, ''), kw))
+SELECT d, round(avg(s), 2) AS sentiment, round(avg(greatest(least(1 + s / 200.0, 1.5), 0.5)), 3) AS beta, count(*) AS n, (SELECT string_agg(kw, ',' ORDER BY kw) FROM (SELECT DISTINCT kw FROM k WHERE k.d = s.d)) AS keywords FROM s GROUP BY d""")
 def t08(spark, sf):
-    return _docs(spark, sf).withColumn("s", X.keyword_sentiment(F.col("t"), WEIGHTS)).groupBy("source").agg(F.round(F.avg("s"), 6).alias("sentiment"), F.count("*").alias("n"))
+    """Sentiment by day of publication (here: by id), rounded as reports show it, with the keywords of the day."""
+    x = spread(_docs(spark, sf).where("doc_id is not null").select((F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 90).cast("int"))).alias("d"), "t"))
+    x = x.select("d", X.keyword_sentiment(F.col("t"), WEIGHTS).alias("s"), F.array_compact(F.array(*[F.when(F.contains("t", F.lit(k)), k) for k in WEIGHTS])).alias("w"))
+    words = F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("w")))), ",")  # few sets of few keywords
+    return x.groupBy("d").agg(F.round(F.avg("s"), 2).alias("sentiment"), F.round(F.avg(X.beta_signal(F.col("s"))), 3).alias("beta"), F.count("*").alias("n"), F.nullif(words, F.lit("")).alias("keywords"))
 
 
-@query("t09_industry_scores", "SELECT doc_id, k.industry, greatest(least(k.base + CASE WHEN contains(coalesce(text, ''), 'and') THEN 0.2 * k.base ELSE 0 END, 100), -100)::DOUBLE AS score FROM documents, (VALUES ('energy', 80.0), ('steel', -50.0)) k(industry, base)")
+#: What a model answers about a policy: the industries that it helps or harms and how much; here made from the text.
+IMPACT = {"high": 80, "medium": 50, "low": 30}
+BOOSTS = {"energy": ("and", "with"), "steel": ("that", "worthless"), "media": ("License", "@")}
+
+
+@query("t09_industry_scores", """WITH d AS (SELECT doc_id, coalesce(text, '') AS t, CASE doc_id % 3 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' ELSE 'low' END AS impact FROM documents),
+k(industry, side) AS (VALUES ('energy', 1), ('steel', -1), ('media', 1)),
+b AS (SELECT doc_id, t, industry, side * CASE impact WHEN 'high' THEN 80 WHEN 'medium' THEN 50 ELSE 30 END AS base FROM d, k WHERE NOT (industry = 'media' AND doc_id % 2 = 1))
+SELECT doc_id, industry, greatest(least(base * (1 + 0.2 * CASE """ + " ".join(f"WHEN industry = '{i}' THEN " + " + ".join(f"contains(t, '{w}')::INTEGER" for w in ws) for i, ws in BOOSTS.items()) + """ ELSE 0 END), 100), -100)::DOUBLE AS score FROM b""")
 def t09(spark, sf):
-    base = F.from_json(F.lit('{"energy": 80, "steel": -50}'), "map<string,double>")
-    x = _docs(spark, sf).select("doc_id", "t", F.explode(base).alias("industry", "base"))
-    s = F.col("base") + F.when(F.contains("t", F.lit("and")), 0.2 * F.col("base")).otherwise(0.0)
-    return x.select("doc_id", "industry", F.greatest(F.least(s, F.lit(100.0)), F.lit(-100.0)).alias("score"))
+    """Industry scores from a model's JSON answer: a base by impact and side, more for each keyword of the industry in the text, within 100."""
+    k = F.col("doc_id") % 3
+    impact = F.when(k == 0, "high").when(k == 1, "medium").otherwise("low")
+    helped = F.when(F.col("doc_id") % 2 == 1, F.array(F.lit("energy"))).otherwise(F.array(F.lit("energy"), F.lit("media")))
+    answer = F.concat(F.lit("Answer: "), F.to_json(F.struct(impact.alias("impact"), helped.alias("benefited"), F.array(F.lit("steel")).alias("harmed"))), F.lit(" done."))
+    return industry_scores(_docs(spark, sf).select("doc_id", "t", answer.alias("answer")), "answer", "t", IMPACT, BOOSTS).select("doc_id", "industry", "score")
+
+
+def industry_scores(df, answer: str, text: str, impact: dict[str, int], boosts: dict[str, tuple[str, ...]]):
+    """A row for each industry that a JSON answer within a text names: its clamped score, a fifth more for each of its keywords in ``text``."""
+    found = F.from_json(F.regexp_extract(answer, r"(?s)\{.*\}", 0), "impact string, benefited array<string>, harmed array<string>")
+    x = df.withColumn("_a", found)
+    base = F.coalesce(F.try_element_at(F.create_map(*[F.lit(v) for kv in impact.items() for v in kv]), F.col("_a.impact")), F.lit(min(impact.values())))
+    none = F.array().cast("array<string>")
+
+    def named(c: str, side: int):
+        return F.transform(F.coalesce(f"_a.{c}", none), lambda i: F.struct(i.alias("industry"), F.lit(side).alias("side")))
+
+    sides = F.concat(named("benefited", 1), named("harmed", -1))
+    x = x.withColumn("_base", base).select("*", F.explode(sides).alias("_s")).select("*", F.col("_s.industry").alias("industry"))
+    more = F.lit(0)
+    for i, words in boosts.items():
+        more = F.when(F.col("industry") == i, sum((F.contains(text, F.lit(w)).cast("int") for w in words), F.lit(0))).otherwise(more)
+    score = F.col("_base") * F.col("_s.side") * (1 + 0.2 * more)
+    return x.withColumn("score", F.greatest(F.least(score, F.lit(100.0)), F.lit(-100.0)).cast("double")).drop("_a", "_base", "_s")
 
 
 CLEAN = r"trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '\r\n?', chr(10), 'g'), '[\x00-\x08\x0B\x0C\x0E-\x1F]', '', 'g'), '[ \t]+', ' ', 'g'), '(?m)^ | $', '', 'g'), '(?m)^-? ?[0-9]+ ?-?$', '', 'g'), '\n{3,}', chr(10) || chr(10), 'g'))"

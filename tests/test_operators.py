@@ -115,13 +115,21 @@ def test_chunks_cover_and_number(spark):
     assert [c.content.split("\n")[-1][0] for c in got[0].c][:2] == ["b", "c"] and got[0].c[0].total == len(got[0].c) and got[1].c == []
 
 
-def test_walk_forward_gap_and_warm_up():
-    cal_days = [date(2020, 1, 1) + timedelta(days=i) for i in range(900)]
-    folds = E.walk_forward(cal_days, 12, 3, gap=5, kind="rolling", warm_up=10)
+def test_walk_forward_gap_and_warm_up(spark):
+    cal_days = spark.createDataFrame([(date(2020, 1, 1) + timedelta(days=i),) for i in range(900)], "d date")
+    folds = E.fold_table(cal_days, "d", 12, 3, gap=5, kind="rolling", warm_up=10).orderBy("fold").collect()
     for f in folds:
         assert (f["valid_start"] - f["train_end"]).days == 6 and (f["valid_start"] - f["valid_warm"]).days == 10
-    assert len({f["fold"] for f in folds}) == len(folds) > 3
-    assert E.student_p_value(2.0, 11) == pytest.approx(0.0734, abs=2e-3)
+    assert [f["fold"] for f in folds] == list(range(len(folds))) and len(folds) > 3 and folds[0]["train_warm"] == date(2020, 1, 1)
+    assert E.fold_table(cal_days.limit(0), "d", 12, 3, gap=5).collect() == []
+
+
+@pytest.mark.parametrize("t,v,p", [(2.0, 10, 0.073388), (2.0, 1, 0.295167), (-1.96, 5000, 0.050051), (0.0, 4, 1.0), (5.0, 30, 0.0000234)])
+def test_student_p_value(spark, t, v, p):
+    from quantloom.operators.stats import two_sided_p
+
+    got = spark.range(1).select(two_sided_p(F.lit(t), F.lit(v)).alias("p")).first().p
+    assert got == pytest.approx(p, abs=2e-6)
 
 
 def test_checks_on_bad_rows(spark):
