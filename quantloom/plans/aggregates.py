@@ -142,10 +142,10 @@ def o06(spark, sf):
     return five(F.asc("o_orderkey"), "least").join(five(F.desc("o_orderkey"), "most"), how="cross")
 
 
-@query("o07_bounded_sample")
+@query("o07_bounded_sample", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY md5(o_orderkey::VARCHAR), o_orderkey LIMIT 1000")
 def o07(spark, sf):
     """A sampling operator: the rows of the 1,000 smallest hashes, the same ones each time."""
-    return table(spark, sf, "orders", "o_orderkey", "o_totalprice").orderBy(F.xxhash64("o_orderkey"), "o_orderkey").limit(1000)
+    return table(spark, sf, "orders", "o_orderkey", "o_totalprice").orderBy(F.md5(F.col("o_orderkey").cast("string").cast("binary")), "o_orderkey").limit(1000)
 
 
 @query("u01_union_by_name", "SELECT s_suppkey AS id, s_acctbal AS bal, NULL::VARCHAR AS seg FROM supplier UNION ALL SELECT c_custkey, c_acctbal, c_mktsegment FROM customer")
