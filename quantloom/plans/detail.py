@@ -591,16 +591,16 @@ def q01(spark, sf):
     return price_panel(spark, sf).withColumn("r", r).select("code", "d", _r(xsec.clip(F.col("r"), -0.3, 1.0), 8).alias("r"), (F.col("vol") > 0).cast("long").alias("is_trading"))
 
 
-_FUND = {"value": "value", "yoy": "value / nullif(before, 0) - 1", "diff": "value - before", "root": "sqrt(value)", "share": "value / nullif(total, 0)", "lagged": "before", "age": "lag_days * 1.0"}
+_FUND = {"value": "value", "yoy": "value / nullif(before, 0) - 1", "diff": "value - before", "root": "sqrt(value)", "share": "value / nullif(total, 0)", "lagged": "before", "age": "CAST(lag_days AS DOUBLE)"}
 
 
 @query("q02_fundamental_clean", f"WITH {REPORTS}, r AS (SELECT *, lag(value) OVER w AS before, sum(value) OVER (PARTITION BY code) AS total, date_diff('day', period_end, ann) AS lag_days FROM reports WINDOW w AS (PARTITION BY code ORDER BY ann, o_orderkey)), f AS (SELECT o_orderkey, lag_days, value AS raw, " + ", ".join(f"{v} AS {k}" for k, v in _FUND.items()) + " FROM r), b AS (SELECT " + ", ".join(f"quantile_cont({k}, 0.01) AS {k}_lo, quantile_cont({k}, 0.99) AS {k}_hi" for k in _FUND) + " FROM f) SELECT o_orderkey, "
-  + ", ".join(f"CASE WHEN lag_days <= 60 AND {k} IS NOT NULL THEN round(least(greatest({k}, {k}_lo), {k}_hi), 5) + 0.0 END AS {k}" for k in _FUND) + ", coalesce(CASE WHEN lag_days <= 60 THEN round(1 / greatest(raw, 1e-8), 12) END, 0) AS inv FROM f, b")
+  + ", ".join(f"CASE WHEN lag_days <= 60 AND {k} IS NOT NULL THEN round(least(greatest({k}, {k}_lo), {k}_hi), 7) + 0.0 END AS {k}" for k in _FUND) + ", coalesce(CASE WHEN lag_days <= 60 THEN round(1 / greatest(raw, 1e-8), 12) END, 0) AS inv FROM f, b")
 def q02(spark, sf):
     w = Window.partitionBy("code").orderBy("ann", "o_orderkey")
     r = reports(spark, sf).withColumns({"before": F.lag("value").over(w), "total": F.sum("value").over(Window.partitionBy("code")), "lag_days": F.datediff("ann", "period_end")})
     r = r.select("o_orderkey", "lag_days", F.col("value").alias("raw"), *[F.expr(v).alias(k) for k, v in _FUND.items()])
-    return fundamental_clean(r, list(_FUND), "raw", 60).select("o_orderkey", *[(_r(F.col(k), 5) + F.lit(0.0)).alias(k) for k in _FUND], F.round("inv", 12).alias("inv"))
+    return fundamental_clean(r, list(_FUND), "raw", 60).select("o_orderkey", *[(_r(F.col(k), 7) + F.lit(0.0)).alias(k) for k in _FUND], F.round("inv", 12).alias("inv"))
 
 
 def fundamental_clean(r, fields, ratio: str, stale_days: int):

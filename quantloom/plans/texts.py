@@ -233,7 +233,7 @@ def _lines_sql(x: str) -> str:
     return f"array_to_string(list_filter(list_transform(string_split_regex({bare}, '<[^<>]*>'), lambda x: trim({_decoded_sql('x')}, ' ' || chr(9) || chr(10) || chr(13) || chr(160))), lambda x: x <> ''), chr(10))"
 
 
-@query("t18_selected_text", f"""WITH p AS (SELECT page_id, {_lines_sql("regexp_extract(html, '(?s)<article>(.*?)</article>', 1)")} AS a, {_lines_sql("regexp_extract(html, '(?s)<body>(.*)</body>', 1)")} AS b FROM pages),
+@query("t18_selected_text", f"""WITH p AS (SELECT page_id, {_lines_sql("regexp_extract(html, '(?s)<article>(.*?)(?:</article>|\\z)', 1)")} AS a, {_lines_sql("regexp_extract(html, '(?s)<body>(.*?)(?:</body>|\\z)', 1)")} AS b FROM pages),
 s AS (SELECT *, length(replace(a, chr(10), '')) > 100 AS enough FROM p) SELECT page_id, CASE WHEN enough THEN a ELSE b END AS text, CASE WHEN enough THEN 'article' END AS selector FROM s""")
 def t18_selected(spark, sf):
     """Text of the first container in a list of selectors that holds over 100 characters, from the page's bytes."""
