@@ -340,13 +340,6 @@ class _Verifier:
         return materialise(join_counted(comps, renamed, ["comp"], "n", comps.count()).select("class", F.col("now").alias("comp")), "comps")
 
 
-def _with_components(pairs: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs (u, v) of different components with these as cu and cv."""
-    u, v = comps.select(F.col("class").alias("u"), F.col("comp").alias("cu")), comps.select(F.col("class").alias("v"), F.col("comp").alias("cv"))
-    weights = pairs.groupBy("v").agg(F.count("*").alias("n")).join(v, "v")
-    return join_counted(pairs.join(u, "u"), weights, ["v"], "n", pairs.count()).where("cu <> cv")
-
-
 def _left_over(members: DataFrame, comps: DataFrame, possible: Column) -> DataFrame:
     """Pairs of a band that no star compared: members of different components, neither the band's centre.
 
@@ -384,7 +377,8 @@ def _class_groups(docs: DataFrame, size: int, similarity: float, far_bits: int,
     classes = materialise(classes.select("class", "fp", "n", "bands", "rows", "one.*"), "classes")
     keyed = classes.select("class", "fp", "n", F.explode("bands").alias("key"))
     tops = materialise(keyed.groupBy("key").agg(F.min(F.struct("class", "fp", "n")).alias("c"), F.count("*").alias("held")).where("held > 1"), "tops")
-    shared = join_counted(keyed, tops, ["key"], "held", max(1, tops.agg(F.sum("held")).first()[0] or 0))
+    held = max(1, tops.agg(F.sum("held")).first()[0] or 0)
+    shared = join_counted(keyed, tops, ["key"], "held", held)
     shared = materialise(shared.select("key", "class", "fp", "n", F.col("c.class").alias("low"), F.col("c.fp").alias("fv"), F.col("c.n").alias("nv")), "shared")
     possible = _possible(far_bits, n_pivots, similarity)
     stars = shared.where("class <> low").select(F.col("class").alias("u"), F.col("fp").alias("fu"), F.col("n").alias("nu"), F.col("low").alias("v"), "fv", "nv")
@@ -396,17 +390,21 @@ def _class_groups(docs: DataFrame, size: int, similarity: float, far_bits: int,
     near = fingerprint_links(equal.select("fp"), MAX_BITS, n_pivots).select(F.col("u").alias("fu"), F.col("v").alias("fv"))
     named = lambda x: equal.select(F.col("fp").alias(f"f{x}"), F.col("c.class").alias(x), F.col("c.n").alias(f"n{x}"))
     near = near.join(named("u"), "fu").join(named("v"), "fv").select("u", "fu", "nu", "v", "fv", "nv")
-    others = same.unionByName(near).where("u <> v").where(possible).select("u", "v").distinct().withColumn("bands", F.lit(BANDS + 1).cast("long"))
-    pairs = materialise(stars.unionByName(others), "pairs")
-
+    others = materialise(same.unionByName(near).where("u <> v").where(possible).select("u", "v").distinct(), "others")
     wanted = shared.select("class").unionByName(others.select(F.explode(F.array("u", "v")).alias("class"))).distinct().join(classes, "class").select("class", "doc_id", "row_hash")
     texts = source.join(wanted, null_safe(source, wanted, ["doc_id", "row_hash"])).select("class", "text").dropDuplicates(["class"])
     verifier = _Verifier(materialise(texts, "texts"), size, similarity)
-    closest = materialise(pairs.groupBy("u").agg(F.max_by("v", F.struct("bands", "v")).alias("v")), "closest")
+    closest = stars.groupBy("u").agg(F.max_by("v", F.struct("bands", "v")).alias("v"))
+    closest = materialise(closest.unionByName(others).distinct(), "closest")
     near = verifier.links(closest)
-    under = classes.select("class").join(near.select(F.col("u").alias("class"), "v"), "class", "left").select("class", F.coalesce("v", "class").alias("comp"))
-    rest = _with_components(pairs.select("u", "v").distinct().join(closest, ["u", "v"], "left_anti"), materialise(under, "under"))
-    links = near.unionByName(verifier.links(materialise(rest.select("u", "v"), "rest")))
+    # Of several links of a class one stands for it here; the components take all of them.
+    under = near.groupBy(F.col("u").alias("class")).agg(F.min("v").alias("comp"))
+    under = materialise(classes.select("class").join(under, "class", "left").select("class", F.coalesce("comp", "class").alias("comp")), "under")
+    centres = tops.select("key", "c.*", "held").join(under.withColumnRenamed("comp", "cv"), "class").select("key", F.col("class").alias("v"), F.col("fp").alias("fv"), F.col("n").alias("nv"), "cv", "held")
+    again = classes.join(under, "class").select(F.col("class").alias("u"), F.col("fp").alias("fu"), F.col("n").alias("nu"), F.col("comp").alias("cu"), F.explode("bands").alias("key"))
+    rest = join_counted(again, materialise(centres, "band-centres"), ["key"], "held", held).where("u <> v and cu <> cv").where(possible).select("u", "v").distinct()
+    rest = rest.join(closest, ["u", "v"], "left_anti")
+    links = near.unionByName(verifier.links(materialise(rest, "rest")))
     roots = connected_components(links)
     comps = materialise(classes.select("class").join(roots.withColumnRenamed("node", "class"), "class", "left").select("class", F.coalesce("root", "class").alias("comp")), "comps")
     last = _left_over(shared.select("key", "class", "fp", "n", "low"), comps, possible)
