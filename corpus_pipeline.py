@@ -57,7 +57,7 @@ STAGES = [
     ("best-fit packing", pack),
 ]
 
-#: The classifier and the similarity groups are beyond SQL; tests/llm compares each stage with a plain version of it.
+#: The classifier and the similarity groups are beyond SQL; tests/llm compares line dedup, near-dedup, decontamination and packing with plain versions, and the classifier with held-out labels.
 ORACLE_SQL = None
 
 
