@@ -55,6 +55,21 @@ def nearest_visible_event(rows: DataFrame, events: DataFrame, key: str, pos: str
     return found.withColumn(out, F.coalesce(F.col("_at") - F.col(pos), F.lit(-1))).drop("_at")
 
 
+def least_containing(words: DataFrame, texts: DataFrame, key: str, word: str, text: str, value: str) -> DataFrame:
+    """For each different (``key``, ``word``) the least ``value`` of the texts of the key that contain the word: key, word, value.
+
+    Words hold no blank, so a word lies within one blank-separated piece of a text.  The
+    different pieces give their substrings of the lengths that words have, which meet the words
+    in an equi-join: no text is compared with another.
+    """
+    wanted = words.select(key, word).where(F.col(key).isNotNull() & F.col(word).isNotNull()).distinct()
+    sizes = wanted.agg(F.collect_set(F.length(word)).alias("_sizes"))  # one row: the lengths
+    pieces = texts.where(F.col(value).isNotNull()).select(key, value, F.explode(F.split(text, " ")).alias("_piece")).groupBy(key, "_piece").agg(F.min(value).alias(value))
+    some = pieces.join(F.broadcast(sizes), how="cross").select(key, value, "_piece", F.explode("_sizes").alias("_n")).where(F.col("_n") <= F.length("_piece"))
+    parts = some.select(key, value, F.explode(F.transform(F.sequence(F.lit(1), F.length("_piece") - F.col("_n") + 1), lambda i: F.substring("_piece", i, F.col("_n")))).alias(word))
+    return wanted.join(parts.groupBy(key, word).agg(F.min(value).alias(value)), [key, word])
+
+
 def left_keep(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Join where columns on both sides are the left table's."""
     return left.join(right.drop(*[c for c in right.columns if c in left.columns and c not in on]), list(on), how)

@@ -138,9 +138,10 @@ def j17(spark, sf):
 @query("j18_containment", """SELECT a.p_partkey, a.p_name, min({'k': b.p_partkey, 'n': b.p_brand}).k AS first_key FROM part a JOIN part b ON a.p_brand = b.p_brand AND b.p_partkey < a.p_partkey AND contains(b.p_name, split_part(a.p_name, ' ', 1)) GROUP BY 1, 2""")
 def j18(spark, sf):
     a = table(spark, sf, "part", "p_partkey", "p_name", "p_brand")
-    b = a.select(F.col("p_partkey").alias("k"), F.col("p_name").alias("title"), "p_brand")
-    hit = F.contains(F.col("title"), F.split_part("p_name", F.lit(" "), F.lit(1)))
-    return a.join(b, "p_brand").where((F.col("k") < F.col("p_partkey")) & hit).groupBy("p_partkey", "p_name").agg(F.min("k").alias("first_key"))
+    word = F.split_part("p_name", F.lit(" "), F.lit(1))
+    found = J.least_containing(a.select("p_brand", word.alias("word")), a.select("p_brand", "p_name", F.col("p_partkey").alias("first_key")), "p_brand", "word", "p_name", "first_key")
+    hit = a.withColumn("word", word).join(found, ["p_brand", "word"]).where(F.col("first_key") < F.col("p_partkey"))
+    return hit.groupBy("p_partkey", "p_name").agg(F.min("first_key").alias("first_key"))
 
 
 @query("j19_safe_merge", "SELECT r_regionkey, r_name FROM region")

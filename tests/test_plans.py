@@ -131,3 +131,29 @@ def test_daily_sentiment_rounds_as_its_sql(spark, tmp_path):
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet'")
     df, rel = plans.queries()["t08_daily_sentiment"](spark, str(tmp_path)), con.sql(plans.oracles()["t08_daily_sentiment"])
     assert rows(df.columns, df.collect()) == rows(rel.columns, rel.fetchall())
+
+
+def test_containment_on_odd_names_and_one_large_brand(spark, tmp_path):
+    """Empty, null and repeated names against the twin; 40,000 parts of one brand would be 800 million pairs."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    names = ["red ring", "ring", "", None, " x", "a  b", "r", "darkred bolt", "red", "éa ré", "é", "ring ring", "ea", "x red"]
+    odd = [(i % 23, n, b) for i, (n, b) in enumerate((n, b) for b in ("p", "q", None) for n in names)]
+    con = duckdb.connect()
+    for name, parts in (("odd", odd), ("large", [(i, f"n{i % 20000} end", "b") for i in range(40000)])):
+        (tmp_path / name).mkdir()
+        pq.write_table(pa.table({"p_partkey": [p[0] for p in parts], "p_name": [p[1] for p in parts], "p_brand": pa.array([p[2] for p in parts], pa.string())}), f"{tmp_path}/{name}/part.parquet")
+        got = plans.queries()["j18_containment"](spark, f"{tmp_path}/{name}")
+        if name == "odd":
+            con.sql(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/odd/part.parquet'")
+            rel = con.sql(plans.oracles()["j18_containment"])
+            assert rows(got.columns, got.collect()) == rows(rel.columns, rel.fetchall())
+        else:
+            least = {}
+            for k, n, _ in parts:
+                word = n.split()[0]
+                for size in range(2, len(word) + 1):
+                    least.setdefault(word[:size], k)
+            want = {(k, least[n.split()[0]]) for k, n, _ in parts if least[n.split()[0]] < k}
+            assert {(r.p_partkey, r.first_key) for r in got.collect()} == want
