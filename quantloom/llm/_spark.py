@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quantloom.sources import bound_batches  # noqa: F401  (the operators take it from here)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
@@ -56,15 +58,6 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def bound_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
-    """Arrow batches of at most ``rows`` rows and about ``size`` bytes, for tables of whole texts: what a worker and the JVM hold at a time is bounded by them."""
-    for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
-        name = f"spark.sql.execution.arrow.{name}"
-        now = int(str(spark.conf.get(name)).rstrip("b") or 0)
-        if now <= 0 or now > most:
-            spark.conf.set(name, str(most))
-
-
 def return_memory() -> None:
     """Gives freed memory of this process back to the system, where the C library can."""
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)

@@ -78,13 +78,14 @@ def series_starts(codes: pa.Array, last: list) -> np.ndarray:
     return first
 
 
-def exponential_means(df: DataFrame, code: str, day: str, steps: Sequence[tuple[str, Source, float]]) -> DataFrame:
+def exponential_means(df: DataFrame, code: str, day: str, steps: Sequence[tuple[str, Source, float]], parts: int | None = None) -> DataFrame:
     """Adds exponential means (not bias-adjusted) by ``code`` in the order of ``day``: (name, source, alpha) each.
 
     A missing value keeps the mean of the row before and weakens it: after a gap of g rows the
     old mean weighs (1 - alpha)^g against alpha.  Rows before the first value have none.
     One shuffle by code and one pass of sorted Arrow batches for all steps; a batch at a time
-    is held.  All rows of a code go through one task, as in any window over the code.
+    is held.  All rows of a code go through one task, as in any window over the code.  Rows that are
+    dealt by ``code`` in ``parts`` partitions already stay where they are.
     """
     fields = [*df.schema.fields, *[T.StructField(name, T.DoubleType()) for name, _, _ in steps]]
     names = [f.name for f in fields]
@@ -104,4 +105,4 @@ def exponential_means(df: DataFrame, code: str, day: str, steps: Sequence[tuple[
                 found[name] = mean.step(x, first)
             yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(found[name], from_pandas=True) for name, _, _ in steps]], names=names)
 
-    return df.repartition(code).sortWithinPartitions(code, day).mapInArrow(work, T.StructType(fields))
+    return (df.repartition(code) if parts is None else df.repartition(parts, code)).sortWithinPartitions(code, day).mapInArrow(work, T.StructType(fields))

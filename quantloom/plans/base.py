@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quantloom.operators.calendar import calendar_dim
+from quantloom.sources import parts_of
 
 Plan = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Plan] = {}
@@ -37,8 +38,17 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+def panel_parts(spark: SparkSession, sf: str) -> int:
+    """Partitions of tables with about a row a line."""
+    return parts_of(table(spark, sf, "lineitem"))
+
+
 def price_panel(spark: SparkSession, sf: str) -> DataFrame:
-    """Sparse panel (code, d): high, low, open, close, vol, amount."""
+    """Sparse panel (code, d): high, low, open, close, vol, amount; dealt by code, in partitions that do not grow with the table.
+
+    Hardly two lines share a code and day, so nothing is lost by dealing the lines: days and
+    windows of a code need no shuffle after this one.
+    """
     line = table(spark, sf, "lineitem", "l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
     line = line.select(
         F.col("l_suppkey").alias("code"),
@@ -49,6 +59,7 @@ def price_panel(spark: SparkSession, sf: str) -> DataFrame:
         F.col("l_quantity").alias("q"),
         F.col("l_extendedprice").alias("a"),
     )
+    line = line.repartition(panel_parts(spark, sf), "code")
     order = F.struct("l_orderkey", "l_linenumber", "px")
     out = line.groupBy("code", "d").agg(F.max("px").alias("high"), F.min("px").alias("low"), F.min(order).alias("o"), F.max(order).alias("c"), F.sum("q").alias("vol"), F.round(F.sum("a"), 2).alias("amount"))
     return out.select("code", "d", "high", "low", F.col("o.px").alias("open"), F.col("c.px").alias("close"), "vol", "amount")

@@ -12,7 +12,7 @@ from quantloom.operators.numbering import ordinal_codes, sorted_codes
 from quantloom.operators.pointintime import stretch
 from quantloom.operators.scan import exponential_means
 from quantloom.operators.sliding import sliding
-from quantloom.plans.base import CALENDAR, DAILY, INTERVALS, OPEN_DAYS, PANEL, REPORTS, calendar, daily, flows, intervals, open_days, price_panel, query, reports, table
+from quantloom.plans.base import CALENDAR, DAILY, INTERVALS, OPEN_DAYS, PANEL, REPORTS, calendar, daily, flows, intervals, open_days, panel_parts, price_panel, query, reports, table
 
 W = ts.per_code
 P = "PARTITION BY code ORDER BY d"
@@ -663,12 +663,12 @@ _MA = (5, 10, 20, 60, 120, 250)
 ) SELECT code, d, """ + ", ".join(f"round(ma{n}, 6) AS ma{n}" for n in _MA) + ", round(f, 6) AS ema12, round(s, 6) AS ema26, round(f - s, 6) AS macd_dif, round(g, 6) AS macd_dea, round(2 * (f - s - g), 6) AS macd, "
   + ", ".join(f"round(100 - 100 / (1 + g{n} / nullif(l{n}, 0)), 5) AS rsi{n}" for n in (6, 12, 24)) + ", round(ma20, 6) AS boll_mid, round(ma20 + 2 * sd, 5) AS boll_upper, round(ma20 - 2 * sd, 5) AS boll_lower, round(k, 5) AS kdj_k, round(dd, 5) AS kdj_d, round(3 * k - 2 * dd, 5) AS kdj_j FROM x JOIN r USING (code, i)")
 def k01(spark, sf):
-    out = indicators(price_panel(spark, sf))
+    out = indicators(price_panel(spark, sf), panel_parts(spark, sf))
     digits = lambda c: 5 if c[:3] in ("rsi", "kdj") or c in ("boll_upper", "boll_lower") else 6
     return out.select("code", "d", *[_r(F.col(c), digits(c)).alias(c) for c in out.columns if c not in ("code", "d")])
 
 
-def indicators(panel):
+def indicators(panel, parts=None):
     """Moving and exponential means, MACD, RSI, Bollinger bands and KDJ of (code, d, high, low, close), frames filling up from one row."""
     c, w = F.col("close"), W()
     move = ts.difference(c, w)
@@ -679,7 +679,7 @@ def indicators(panel):
     rs = lambda n: F.try_divide(ts.rolling_mean(F.col("gain"), w, n, 1), ts.rolling_mean(F.col("loss"), w, n, 1))
     p = p.withColumns({"rsv": F.try_divide(c - lo, hi - lo) * 100, "sd": ts.rolling_std(c, w, 20, 2), **{f"rsi{n}": 100 - F.try_divide(F.lit(100.0), 1 + rs(n)) for n in (6, 12, 24)}})
     third = 1 / 3
-    p = exponential_means(p, "code", "d", [("ema12", "close", 2 / 13), ("ema26", "close", 2 / 27), ("macd_dea", ("ema12", "ema26"), 0.2), ("kdj_k", "rsv", third), ("kdj_d", "kdj_k", third)])
+    p = exponential_means(p, "code", "d", [("ema12", "close", 2 / 13), ("ema26", "close", 2 / 27), ("macd_dea", ("ema12", "ema26"), 0.2), ("kdj_k", "rsv", third), ("kdj_d", "kdj_k", third)], parts)
     dif = F.col("ema12") - F.col("ema26")
     return p.select(
         "code", "d", *[f"ma{n}" for n in _MA], "ema12", "ema26", dif.alias("macd_dif"), "macd_dea", (2 * (dif - F.col("macd_dea"))).alias("macd"), "rsi6", "rsi12", "rsi24",

@@ -10,7 +10,7 @@ from quantloom.operators import evaluation as E
 from quantloom.operators import ts, xsec
 from quantloom.operators.boosting import boost
 from quantloom.operators.stats import safe_corr
-from quantloom.plans.base import DAILY, OPEN_DAYS, PANEL, daily, open_days, price_panel, query
+from quantloom.plans.base import DAILY, OPEN_DAYS, PANEL, daily, open_days, panel_parts, price_panel, query
 
 W = ts.per_code
 P = "PARTITION BY code ORDER BY d"
@@ -63,7 +63,8 @@ def l05(spark, sf):
 
 @query("l06_rank_label", f"WITH {BOTH} SELECT code, d, " + ", ".join(f"CASE WHEN r{k} IS NOT NULL THEN round((rank() OVER (PARTITION BY d ORDER BY r{k} NULLS LAST) + (count(*) OVER (PARTITION BY d, r{k}) - 1) / 2.0) / count(r{k}) OVER (PARTITION BY d), 8) END AS rank_r{k}" for k in (5, 10)) + " FROM two")
 def l06(spark, sf):
-    return two_horizons(spark, sf).select("code", "d", *[F.round(xsec.pct_rank(F.col(f"r{k}"), "d"), 8).alias(f"rank_r{k}") for k in (5, 10)])
+    two = two_horizons(spark, sf).repartition(panel_parts(spark, sf), "d")  # partitions of days that do not grow with the table
+    return two.select("code", "d", *[F.round(xsec.pct_rank(F.col(f"r{k}"), "d"), 8).alias(f"rank_r{k}") for k in (5, 10)])
 
 
 @query("l07_sharpe_label", f"WITH {RET}, v AS (SELECT code, d, r5, CASE WHEN count(r5) OVER f >= 2 THEN stddev_samp(r5) OVER f END AS v FROM lab WINDOW f AS ({P} ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)) SELECT code, d, CASE WHEN r5 IS NULL THEN NULL WHEN v > 1e-4 THEN round(least(greatest(r5 / v, -10), 10), 5) ELSE 0 END AS sharpe FROM v")

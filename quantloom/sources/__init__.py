@@ -49,6 +49,24 @@ def read_directory(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+#: Rows of a task in which a few windows sort and hold what they need.
+ROWS_A_TASK = 50_000
+
+
+def parts_of(rows: DataFrame) -> int:
+    """Partitions of about ``ROWS_A_TASK`` rows, one a core at least, so that a task does not grow with the table; ``rows`` is a plain scan, counted by the footers of its files."""
+    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // ROWS_A_TASK))
+
+
+def bound_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
+    """Arrow batches of at most ``rows`` rows and about ``size`` bytes, for tables of whole texts: what a worker and the JVM hold at a time is bounded by them."""
+    for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        name = f"spark.sql.execution.arrow.{name}"
+        now = int(str(spark.conf.get(name)).rstrip("b") or 0)
+        if now <= 0 or now > most:
+            spark.conf.set(name, str(most))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """At least as many partitions as cores, for work that costs more than the rows' way: a file of one row group is one task otherwise."""
     cores = df.sparkSession.sparkContext.defaultParallelism
@@ -93,6 +111,7 @@ def score_with(df: DataFrame, text: str, scorer: Callable | None = None, name: s
     if scorer is None:
         return df.withColumn(name, F.coalesce(F.length(text), F.lit(0)).cast("double"))
 
+
     def work(batches):
         for batch in batches:
             yield batch.assign(**{name: scorer(batch[text])})

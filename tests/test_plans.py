@@ -157,3 +157,16 @@ def test_containment_on_odd_names_and_one_large_brand(spark, tmp_path):
                     least.setdefault(word[:size], k)
             want = {(k, least[n.split()[0]]) for k, n, _ in parts if least[n.split()[0]] < k}
             assert {(r.p_partkey, r.first_key) for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("name", ["e01_moving_averages", "w10_rolling_min_periods", "k01_indicators", "l06_rank_label"])
+def test_partitions_grow_with_the_panel(spark, monkeypatch, name):
+    """A task of windows holds about as many rows whatever the table is."""
+    from pyspark.sql import functions as F
+
+    from quantloom import sources
+
+    monkeypatch.setattr(sources, "ROWS_A_TASK", 5000)
+    out = plans.queries()[name](spark, SF.replace("0.001", "0.01")).groupBy(F.spark_partition_id().alias("p")).count()
+    sizes = [r["count"] for r in out.collect()]
+    assert len(sizes) > 8 and max(sizes) < 15000
