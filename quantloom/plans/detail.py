@@ -257,8 +257,27 @@ SELECT code, d, flag::BIGINT AS is_ann, amount, (sum(flag) OVER ({P} ROWS BETWEE
 def d11(spark, sf):
     c = calendar(spark, sf)
     e = cal.map_on_or_after(reports(spark, sf), c, "ann", "d").groupBy("code", "d").agg(F.lit(1).alias("flag"), F.sum("value").alias("amount"))
-    g = J.skeleton(c.where("is_open = 1").select(F.col("cal_date").alias("d")), e.select("code")).join(e, ["code", "d"], "left").na.fill(0, ["flag"]).na.fill(0.0, ["amount"])
-    return g.select("code", "d", F.col("flag").cast("long").alias("is_ann"), F.round("amount", 2).alias("amount"), ts.trailing_any(F.col("flag"), W(), 30).cast("long").alias("in_window"))
+    g = event_windows(e, c.where("is_open = 1").select(F.col("cal_date").alias("d"), "pos"), 30)
+    return g.select("code", "d", F.col("is_ann").cast("long").alias("is_ann"), F.round("amount", 2).alias("amount"), F.col("in_window").cast("long").alias("in_window"))
+
+
+def event_windows(events, days, k: int):
+    """Every code of ``events(code, d, amount)`` (one row a code and day) on every one of ``days(d, pos)``: ``is_ann`` and the amount on its days of an event, and ``in_window`` up to the ``k``-th day from one on.
+
+    The events of a code are one short list; between them the days are written out from the calendar
+    (one row, broadcast), so no dense row is joined, sorted or shuffled.
+    """
+    line = F.broadcast(days)  # a row a day
+    every = F.broadcast(days.agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "d"))), lambda x: x["d"]).alias("days")))
+    at = events.join(line, "d", "left").select("code", F.when(F.col("code").isNotNull() & F.col("pos").isNotNull(), F.struct("pos", "amount")).alias("mark"))
+    lists = at.groupBy("code").agg(F.sort_array(F.collect_list("mark")).alias("marks")).join(every, how="cross")  # no nulls in it
+    start = lambda i: F.coalesce(F.get("marks", i - 1)["pos"], F.lit(1))
+    upto = lambda i: F.coalesce(F.get("marks", i)["pos"], F.size("days") + 1)
+    spans = F.transform(F.sequence(F.lit(0), F.size("marks")), lambda i: F.struct((i > 0).alias("own"), F.get("marks", i - 1)["amount"].alias("amount"), F.slice("days", start(i), upto(i) - start(i)).alias("days")))
+    rows = lists.select("code", F.explode(spans).alias("s")).select("code", "s.own", "s.amount", F.posexplode("s.days").alias("i", "d"))
+    own = F.col("own") & (F.col("i") == 0)
+    amount = F.when(own, F.coalesce("amount", F.lit(0.0))).otherwise(0.0)
+    return rows.select("code", "d", own.cast("int").alias("is_ann"), amount.alias("amount"), (F.col("own") & (F.col("i") < k)).cast("int").alias("in_window"))
 
 
 UNLOCKS = """u AS (

@@ -148,3 +148,20 @@ def test_stream_agrees_with_batch(spark, tmp_path):
     q.awaitTermination()
     batch = T.tumbling(spark.read.parquet(str(tmp_path / "in")).withColumn("ts", F.col("ts").cast("timestamp")))
     assert sorted(map(tuple, spark.table("tumbled").collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_event_windows_write_out_the_days_between(spark):
+    """Against a plain count, with codes that have no event on an open day; no dense row is shuffled."""
+    from quantloom.plans.detail import event_windows
+
+    open_ = [d for d in days(20) if d.weekday() < 5]
+    line = spark.createDataFrame([(d, i + 1) for i, d in enumerate(open_)], "d date, pos int")
+    events = [(1, open_[0], 2.0), (1, open_[4], None), (2, open_[-1], 3.0), (3, days(6)[5], 4.0), (4, None, 5.0), (None, open_[2], 6.0), (5, open_[1], 1.0), (5, open_[2], 1.5)]
+    got = event_windows(spark.createDataFrame(events, "code long, d date, amount double"), line, 3)
+    assert "Exchange hashpartitioning(code" in (plan := got._sc._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "simple")) and plan.count("Exchange hashpartitioning") == 1
+    known = {(c, d): a for c, d, a in events if c is not None}
+    want = []
+    for c in {c for c, _, _ in events}:
+        for i, d in enumerate(open_):
+            want.append((c, d, int((c, d) in known), known.get((c, d)) or 0.0, int(any((c, e) in known for e in open_[max(0, i - 2) : i + 1]))))
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
