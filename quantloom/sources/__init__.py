@@ -68,7 +68,11 @@ def bound_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) ->
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """At least as many partitions as cores, for work that costs more than the rows' way: a file of one row group is one task otherwise."""
+    """At least as many partitions as cores, for work that costs more than the rows' way: a file of one row group is one task otherwise.
+
+    Such work is done on whole texts in Python workers: Arrow batches are bounded.
+    """
+    bound_batches(df.sparkSession)
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
@@ -111,6 +115,7 @@ def score_with(df: DataFrame, text: str, scorer: Callable | None = None, name: s
     if scorer is None:
         return df.withColumn(name, F.coalesce(F.length(text), F.lit(0)).cast("double"))
 
+    bound_batches(df.sparkSession)
 
     def work(batches):
         for batch in batches:

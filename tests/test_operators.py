@@ -165,3 +165,17 @@ def test_event_windows_write_out_the_days_between(spark):
         for i, d in enumerate(open_):
             want.append((c, d, int((c, d) in known), known.get((c, d)) or 0.0, int(any((c, e) in known for e in open_[max(0, i - 2) : i + 1]))))
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+
+
+def test_batches_of_texts_are_bounded(spark):
+    from quantloom.sources import score_with, spread
+
+    docs = spark.range(0, 4000, 1, 1).select(F.lit("x").alias("text"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    sized = F.pandas_udf(lambda t: pd.Series([len(t)] * len(t)), "long")
+    try:
+        for made in (lambda: score_with(docs, "text", lambda t: pd.Series([float(len(t))] * len(t), index=t.index), "n"), lambda: spread(docs).select(sized("text").alias("n"))):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+            assert made().agg(F.max("n")).first()[0] <= 1000
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
