@@ -57,7 +57,10 @@ class Tree:
         return node
 
     def predict(self, bins: np.ndarray) -> np.ndarray:
-        return np.vectorize(lambda k: self.value.get(int(k), 0.0), otypes=[float])(self.nodes(bins)) if len(bins) else np.zeros(0)
+        nodes, out = self.nodes(bins), np.zeros(len(bins))
+        for k, v in self.value.items():
+            out[nodes == k] = v
+        return out
 
 
 def best_splits(sums: dict[int, np.ndarray], least: int, ridge: float) -> dict[int, tuple[int, int, float]]:
@@ -133,6 +136,10 @@ def boost(
     spark, features = df.sparkSession, list(features)
     p = len(features)
     rows = df.where(F.col(label).isNotNull() & F.col(valid).isNotNull()).select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)], F.col(label).cast("double").alias("y"), F.col(valid).alias("valid"))
+    made = rows
+    path = scratch_path(spark, "boosting")
+    made.write.parquet(path)  # what makes the rows runs once, not once a pass
+    rows = spark.read.schema(made.schema).parquet(path)
     own = rows.where(~F.col("valid"))
     cuts = exact_quantiles(own, [f"x{i}" for i in range(p)], [k / n_bins for k in range(1, n_bins)])
     edges = [sorted({v for v in cuts[f"x{i}"] if v is not None}) for i in range(p)]
@@ -164,7 +171,10 @@ def boost(
                 bins = np.column_stack(_columns(batch, names))[mine]
                 y, f = (c[mine] for c in _columns(batch, ["y", "f"]))
                 g, h = gradients(loss, y, f, delta)
-                at = np.array([place.get(int(k), -1) for k in tree.nodes(bins)], np.int64)
+                nodes = tree.nodes(bins)
+                at = np.full(len(nodes), -1, np.int64)
+                for k, i in place.items():
+                    at[nodes == k] = i
                 for i in range(p):
                     ok = at >= 0
                     cell = (at[ok] * p + i) * width + bins[ok, i]

@@ -11,6 +11,8 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,12 +45,22 @@ def _within(t: _Target) -> Column:
 
 
 def _narrowed(df: DataFrame, targets: Sequence[_Target]) -> None:
-    """Brackets the ranks anew within their brackets; one pass for the sketches, one for the counts."""
-    cuts = []
+    """Brackets the ranks anew within their brackets; one pass for the sketches, one for the counts.
+
+    Ranks that share a bracket share its sketch: a row meets one sketch a column at first, however many ranks are wanted.
+    """
+    shared: dict[tuple, list[int]] = {}
     for i, t in enumerate(targets):
-        at, slack = (t.rank - t.below) / max(1, t.inside - 1), 2 / ACCURACY
-        cuts += [F.percentile_approx(_within(t), [max(0.0, at - slack), min(1.0, at + slack)], ACCURACY).alias(f"t{i}")]
-    row = df.agg(*cuts).first()
+        shared.setdefault((t.column, t.lo, t.hi), []).append(i)
+    cuts = []
+    for k, mine in enumerate(shared.values()):
+        at = []
+        for t in (targets[i] for i in mine):
+            place, slack = (t.rank - t.below) / max(1, t.inside - 1), 2 / ACCURACY
+            at += [max(0.0, place - slack), min(1.0, place + slack)]
+        cuts.append(F.percentile_approx(_within(targets[mine[0]]), at, ACCURACY).alias(f"s{k}"))
+    sketched = df.agg(*cuts).first()
+    row = {f"t{i}": sketched[f"s{k}"][2 * n : 2 * n + 2] for k, mine in enumerate(shared.values()) for n, i in enumerate(mine)}
     counts = []
     for i, t in enumerate(targets):
         lo, hi = row[f"t{i}"]
@@ -75,8 +87,11 @@ def order_statistics(df: DataFrame, wanted: Iterable[tuple[str, int]], known: di
     out = {(t.column, t.rank): t.lo for t in targets if t.lo == t.hi}
     rest = [t for t in targets if t.lo < t.hi]
     if rest:
-        picks = [F.get(F.sort_array(F.collect_list(_within(t))), F.lit(t.rank - t.below)).alias(f"v{i}") for i, t in enumerate(rest)]
-        row = df.agg(*picks).first()
+        columns = list(dict.fromkeys(t.column for t in rest))
+        near = [reduce(or_, (_value(c).between(lo, hi) for lo, hi in dict.fromkeys((t.lo, t.hi) for t in rest if t.column == c))) for c in columns]
+        lists = df.agg(*[F.sort_array(F.collect_list(F.when(n, _value(c)))).alias(f"l{k}") for k, (c, n) in enumerate(zip(columns, near, strict=True))])
+        own = lambda t: F.filter(f"l{columns.index(t.column)}", lambda v: v.between(t.lo, t.hi))
+        row = lists.select(*[F.get(own(t), F.lit(t.rank - t.below)).alias(f"v{i}") for i, t in enumerate(rest)]).first()
         out |= {(t.column, t.rank): row[f"v{i}"] for i, t in enumerate(rest)}
     return out
 

@@ -89,3 +89,35 @@ def test_no_rows_for_validation_or_none_at_all(spark):
     assert len(boost(df, ["a"], "y", "v", trees=2, depth=1, n_bins=4, least=5).trees) == 2
     empty = boost(df.limit(0), ["a"], "y", "v", trees=2, depth=1, n_bins=4, least=5)
     assert [r.prediction for r in empty.predict(df.limit(1)).collect()] == [0.0]
+
+
+def test_rows_are_made_once(spark):
+    from pyspark.sql import functions as F
+
+    from quantloom.operators.boosting import boost
+
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    rows = spark.range(0, 400, 1, 2).mapInArrow(count, "id long").select((F.col("id") % 7).alias("x"), (F.col("id") % 5).alias("y"), (F.col("id") % 4 == 0).alias("v"))
+    assert boost(rows, ["x"], "y", "v", trees=2, depth=2).trees is not None
+    assert made.value == 400
+
+
+def test_ranks_of_a_bracket_share_a_sketch(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from quantloom.operators import quantiles as Q
+
+    made, plain = [], F.percentile_approx
+    monkeypatch.setattr(Q.F, "percentile_approx", lambda c, at, n: made.append(at) or plain(c, at, n))
+    df = spark.range(0, 3000, 1, 3).select((F.col("id") * 7919 % 3000).cast("double").alias("a"), F.when(F.col("id") % 2 == 0, F.col("id") % 10).alias("b"))
+    got = Q.exact_quantiles(df, ["a", "b"], [k / 32 for k in range(1, 32)], few=20)
+    assert got["a"] == pytest.approx([k / 32 * 2999 for k in range(1, 32)])
+    values = sorted([0, 2, 4, 6, 8] * 300)
+    assert got["b"] == [float(values[int(k / 32 * 1499)] + (values[min(1499, int(k / 32 * 1499) + 1)] - values[int(k / 32 * 1499)]) * (k / 32 * 1499 % 1)) for k in range(1, 32)]
+    assert len(made) < 20
