@@ -236,8 +236,10 @@ def plain_words(docs: DataFrame, patterns: DataFrame) -> DataFrame:
         rows = rows.join(small(words), "word")
     head = r"^[\p{L}\p{N}]++"
     after = F.concat(F.regexp_replace("own", head, ""), F.coalesce(F.regexp_extract("after", head, 0), F.lit("")))
-    made = rows.select(F.explode(_patterns(F.coalesce("before", F.lit("")), F.col("last"), after)).alias("p")).groupBy(F.col("p.pattern").alias("pattern")).count()
-    return made.join(small(patterns.select("pattern")), "pattern").select("pattern", F.col("count").alias("plain"))
+    made = rows.select(F.explode(_patterns(F.coalesce("before", F.lit("")), F.col("last"), after)).alias("p")).select("p.pattern")
+    if few:  # what no pattern asks for does not leave its task
+        return made.join(small(patterns.select("pattern")), "pattern").groupBy("pattern").agg(F.count("*").alias("plain"))
+    return made.groupBy("pattern").agg(F.count("*").alias("plain")).join(patterns.select("pattern"), "pattern")
 
 
 def score_patterns(links: DataFrame, docs: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, doubt: float = DOUBT) -> DataFrame:

@@ -617,3 +617,16 @@ def test_counted_join_equals_plain_join(spark, share):
     got = join_counted(left, keyed, ["k"], "n", len(rows), share)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, left.join(keyed.drop("n"), "k").collect()))
     assert join_counted(left.limit(0), keyed.limit(0), ["k"], "n", 0, share).count() == 0
+
+
+def test_plain_words_meet_the_patterns_before_the_shuffle(spark):
+    from pyspark.sql import functions as F
+
+    from quantloom.llm.pii import plain_words
+
+    docs = spark.createDataFrame([("write to one, write to two. call me",), ("write to 5 write to three",), (None,)], "text string")
+    patterns = spark.createDataFrame([("1 to", "to"), ("1 call", "call"), ("1 absent", "absent")], "pattern string, word string")
+    got = plain_words(docs, patterns)
+    plan = got._sc._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "simple")
+    assert plan.index("HashAggregate") < plan.index("Exchange hashpartitioning(pattern") < plan.index("BroadcastHashJoin")
+    assert {r.pattern: r.plain for r in got.collect()} == {"1 to": 3, "1 call": 1}
