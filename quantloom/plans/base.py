@@ -65,6 +65,13 @@ def price_panel(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("code", "d", "high", "low", F.col("o.px").alias("open"), F.col("c.px").alias("close"), "vol", "amount")
 
 
+def with_day_volume(rows: DataFrame, spark: SparkSession, sf: str, out: str) -> DataFrame:
+    """Adds the volume of all codes on the row's day: a sum a day, broadcast, so no panel is sorted by day."""
+    line = table(spark, sf, "lineitem", "l_shipdate", "l_quantity")
+    sums = line.groupBy(F.col("l_shipdate").cast("date").alias("_day")).agg(F.sum("l_quantity").alias(out))
+    return rows.join(F.broadcast(sums), F.col("d").eqNullSafe(F.col("_day")), "left").drop("_day")
+
+
 PANEL = """line AS (
   SELECT l_suppkey AS code, CAST(l_shipdate AS DATE) AS d, l_orderkey, l_linenumber, l_extendedprice / nullif(l_quantity, 0) AS px, l_quantity AS q, l_extendedprice AS a FROM lineitem
 ), panel AS (

@@ -11,8 +11,9 @@ from quantloom.operators.comoments import co_moments
 from quantloom.operators.quantiles import exact_quantiles
 from quantloom.operators.stats import safe_corr, sample_kurtosis, sample_skewness
 from quantloom.plans import detail as _detail  # noqa: F401  (registers the tables that checks read)
-from quantloom.plans.base import CALENDAR, DAILY, ORACLES, PANEL, QUERIES, REPORTS, calendar, daily, price_panel, query, reports, table
+from quantloom.plans.base import CALENDAR, DAILY, ORACLES, PANEL, QUERIES, REPORTS, calendar, daily, price_panel, query, reports, table, with_day_volume
 from quantloom.plans.labels import RET, labelled
+from quantloom.sources import parts_of, written_once
 
 W = ts.per_code
 P = "PARTITION BY code ORDER BY d"
@@ -41,12 +42,16 @@ def measures_sql(ctes: str, parts: list[tuple[str, list]]) -> str:
     return f"WITH {ctes}, u AS ({' UNION ALL '.join(rows)}), f AS (SELECT *, coalesce(value >= lo, true) AND coalesce(value <= hi, true) AS fits FROM u) SELECT name, CASE WHEN fits THEN 'PASS' ELSE sev END AS severity, fits::BIGINT AS passed, round(value, 6) AS value FROM f"
 
 
-def register_measures(name, ctes, parts):
-    """A plan and its twin from measures in the SQL that both engines read; ``parts`` are (source of the twin, frame, measures)."""
+def register_measures(name, ctes, parts, shared=None):
+    """A plan and its twin from measures in the SQL that both engines read; ``parts`` are (source of the twin, frame, measures).
+
+    ``shared`` makes what several parts read, once; their frames then take it as a third argument.
+    """
 
     @query(name, measures_sql(ctes, [(source, rules) for source, _, rules in parts]))
     def plan(spark, sf):
-        found = [measure(frame(spark, sf), [Measure(n, F.expr(v), lo, hi, sev) for n, v, lo, hi, sev in rules]) for _, frame, rules in parts]
+        base = () if shared is None else (shared(spark, sf),)
+        found = [measure(frame(spark, sf, *base), [Measure(n, F.expr(v), lo, hi, sev) for n, v, lo, hi, sev in rules]) for _, frame, rules in parts]
         out = found[0]
         for x in found[1:]:
             out = out.unionByName(x)
@@ -250,50 +255,67 @@ def train_set(spark, sf):
     """Labels with features, and the place of a row from the end and the start of its code."""
     x = labelled(spark, sf).transform(ts.rsi(F.col("close"), W(), 6))
     cls = F.when(F.col("r5").isNull(), None).when(F.col("r5") < -0.02, 0).when(F.col("r5") > 0.02, 2).otherwise(1)
-    last = Window.partitionBy("code").orderBy(F.desc("d"))
-    x = x.withColumns({"cls": cls, "ma_5": ts.rolling_mean(F.col("close"), W(), 5), "weight": F.try_divide("vol", F.sum("vol").over(Window.partitionBy("d"))), "back": F.row_number().over(last), "fwd": F.row_number().over(W())})
+    fwd = F.row_number().over(W())  # a code has one row a day
+    x = x.withColumns({"cls": cls, "ma_5": ts.rolling_mean(F.col("close"), W(), 5), "back": F.count("*").over(Window.partitionBy("code")) - fwd + 1, "fwd": fwd})
+    x = with_day_volume(x, spark, sf, "_volume").withColumn("weight", F.try_divide("vol", "_volume")).drop("_volume")
     return x.join(F.broadcast(daily(spark, sf).select("d", "total")), "d", "left")
 
 
-def _class_shares(spark, sf):
-    c = train_set(spark, sf).where("cls is not null").groupBy("cls").agg(F.count("*").alias("n"))
+def _class_shares(train):
+    c = train.where("cls is not null").groupBy("cls").agg(F.count("*").alias("n"))
     return c.withColumn("pct", F.col("n") * 1.0 / F.sum("n").over(Window.partitionBy(F.lit(1))))  # three rows
 
 
-def _daily_means(spark, sf):
+def _daily_means(train):
     w = Window.orderBy("d")  # one row a day
-    d = train_set(spark, sf).groupBy("d").agg(F.avg("close").alias("m"), F.count_distinct("code").alias("codes"))
+    d = train.repartition(parts_of(train), "d").groupBy("d").agg(F.avg("close").alias("m"), F.count_distinct("code").alias("codes"))
     return d.withColumns({"step": F.col("m") - F.lag("m").over(w), "more": F.col("codes") - F.lag("codes").over(w)})
 
 
-def label_correlations(spark, sf):
+def label_correlations(train):
     """Correlation of each feature with the label, from the matrix of all."""
-    m = co_moments(train_set(spark, sf).select("r5", *FEATURES), ["r5", *FEATURES])
+    m = co_moments(train.select("r5", *FEATURES), ["r5", *FEATURES])
     return m.where("a = 'r5'").select(F.col("b").alias("feature"), "n", "corr")
 
 
-def _shapes(spark, sf):
-    x = train_set(spark, sf)
-    parts = [F.struct(F.lit(f).alias("feature"), F.avg(F.when(F.col(f).isNull(), 1.0).otherwise(0.0)).alias("missing"), (F.max(F.col(f)) - F.min(F.col(f))).cast("double").alias("span"), sample_skewness(f).alias("skew"), sample_kurtosis(f).alias("kurt")) for f in FEATURES]
-    return x.agg(F.array(*parts).alias("p")).select(F.explode("p").alias("p")).select("p.*")
+def _shapes(x):
+    """Missing share, span and shape of each feature; a row a feature first, so that one small set of aggregates does for all."""
+    long = x.select(F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in FEATURES])).alias("p")).select("p.*")
+    return long.groupBy("feature").agg(F.avg(F.when(F.col("x").isNull(), 1.0).otherwise(0.0)).alias("missing"), (F.max("x") - F.min("x")).alias("span"), sample_skewness("x").alias("skew"), sample_kurtosis("x").alias("kurt"))
+
+
+def _trained(spark, sf):
+    """The training set and its daily means, each written once for the checks that read it."""
+    train = written_once(train_set(spark, sf), "train")
+    return train, written_once(_daily_means(train), "means")
+
+
+def keys_of(rows):
+    """Number of rows of each code and day, in partitions that do not grow with the table."""
+    return rows.select("code", "d").repartition(parts_of(rows), "code").groupBy("code", "d").agg(F.count("*").alias("n"))
+
+
+def row_drift(rows, panel):
+    """Share of rows that a table has more than the panel it was made from."""
+    return rows.agg(F.count("*").alias("a")).join(panel.agg(F.count("*").alias("b")), how="cross").select((F.col("a") * 1.0 / F.col("b") - 1).alias("drift"))
 
 
 register_measures("c15_label_rules", TRAIN, [
-    ("dr", lambda s, d: train_set(s, d).agg(F.count("*").alias("a")).join(price_panel(s, d).agg(F.count("*").alias("b")), how="cross").select((F.col("a") * 1.0 / F.col("b") - 1).alias("drift")), [("row drift", "max(abs(drift))", None, 0.1, "ERROR")]),
-    ("keys", lambda s, d: train_set(s, d).groupBy("code", "d").agg(F.count("*").alias("n")), [("keys twice", share("n > 1"), None, 0, "CRITICAL")]),
-    ("nl", _shapes, [("empty features", "count(*) FILTER (WHERE missing = 1)", None, 0, "ERROR"), ("mostly empty features", "count(*) FILTER (WHERE missing > 0.5)", None, 0, "WARNING"), ("wide features", "count(*) FILTER (WHERE span > 1e6 AND feature NOT IN ('amount', 'vol', 'total'))", None, 0, "WARNING"), ("skewed features", "count(*) FILTER (WHERE abs(skew) > 10)", None, 0, "WARNING"), ("peaked features", "count(*) FILTER (WHERE kurt > 100)", None, 0, "WARNING")]),
-    ("tr", train_set, [
+    ("dr", lambda s, d, x: row_drift(x[0], price_panel(s, d)), [("row drift", "max(abs(drift))", None, 0.1, "ERROR")]),
+    ("keys", lambda s, d, x: keys_of(x[0]), [("keys twice", share("n > 1"), None, 0, "CRITICAL")]),
+    ("nl", lambda s, d, x: _shapes(x[0]), [("empty features", "count(*) FILTER (WHERE missing = 1)", None, 0, "ERROR"), ("mostly empty features", "count(*) FILTER (WHERE missing > 0.5)", None, 0, "WARNING"), ("wide features", "count(*) FILTER (WHERE span > 1e6 AND feature NOT IN ('amount', 'vol', 'total'))", None, 0, "WARNING"), ("skewed features", "count(*) FILTER (WHERE abs(skew) > 10)", None, 0, "WARNING"), ("peaked features", "count(*) FILTER (WHERE kurt > 100)", None, 0, "WARNING")]),
+    ("tr", lambda s, d, x: x[0], [
         ("infinite values", share("abs(close) > 1e300 OR abs(amount) > 1e300 OR abs(ma_5) > 1e300"), None, 0, "ERROR"), ("early nulls", share("ma_5 IS NULL", "fwd > 5"), None, 0, "WARNING"), ("inner label nulls", share("r5 IS NULL AND back > 5"), None, 0.01, "WARNING"), ("tail labels", share("r5 IS NOT NULL", "back <= 5"), None, 0, "CRITICAL"),
         ("indicator range", share("NOT rsi_6 BETWEEN 0 AND 100", "rsi_6 IS NOT NULL"), None, 0, "ERROR"), ("ratio range", share("NOT weight BETWEEN 0 AND 1"), None, 0.01, "WARNING"), ("macro fill", share("total IS NULL"), None, 0.5, "WARNING")]),
-    ("cl", _class_shares, [("largest class", "max(pct)", None, 0.9, "ERROR"), ("smallest class", "min(pct)", 0.02, None, "WARNING")]),
-    ("cr", label_correlations, [("leaking features", "count(*) FILTER (WHERE n >= 1000 AND abs(corr) > 0.9)", None, 0, "CRITICAL"), ("strong features", "count(*) FILTER (WHERE n >= 1000 AND abs(corr) > 0.5)", None, 10, "WARNING"), ("strongest feature", "max(abs(corr))", None, 0.9, "CRITICAL")]),
-    ("dl", _daily_means, [("daily mean varies", "stddev_samp(m) / nullif(avg(m), 0)", None, 1, "WARNING"), ("daily mean jumps", "max(abs(step)) / nullif(avg(m), 0)", None, 5, "WARNING"), ("coverage drops", "min(more)", -500, None, "WARNING")]),
-    ("ye", lambda s, d: _daily_means(s, d).groupBy(F.year("d").alias("y")).agg(F.avg("codes").alias("codes")), [("yearly coverage", "min(codes) / nullif(max(codes), 0)", 0.1, None, "WARNING")])])
+    ("cl", lambda s, d, x: _class_shares(x[0]), [("largest class", "max(pct)", None, 0.9, "ERROR"), ("smallest class", "min(pct)", 0.02, None, "WARNING")]),
+    ("cr", lambda s, d, x: label_correlations(x[0]), [("leaking features", "count(*) FILTER (WHERE n >= 1000 AND abs(corr) > 0.9)", None, 0, "CRITICAL"), ("strong features", "count(*) FILTER (WHERE n >= 1000 AND abs(corr) > 0.5)", None, 10, "WARNING"), ("strongest feature", "max(abs(corr))", None, 0.9, "CRITICAL")]),
+    ("dl", lambda s, d, x: x[1], [("daily mean varies", "stddev_samp(m) / nullif(avg(m), 0)", None, 1, "WARNING"), ("daily mean jumps", "max(abs(step)) / nullif(avg(m), 0)", None, 5, "WARNING"), ("coverage drops", "min(more)", -500, None, "WARNING")]),
+    ("ye", lambda s, d, x: x[1].groupBy(F.year("d").alias("y")).agg(F.avg("codes").alias("codes")), [("yearly coverage", "min(codes) / nullif(max(codes), 0)", 0.1, None, "WARNING")])], shared=_trained)
 
 
 @query("c15_feature_correlations", f"WITH {TRAIN} SELECT feature, n, round(corr, 6) AS corr FROM cr")
 def c15_matrix(spark, sf):
-    return label_correlations(spark, sf).select("feature", "n", F.round("corr", 6).alias("corr"))
+    return label_correlations(written_once(train_set(spark, sf), "train")).select("feature", "n", F.round("corr", 6).alias("corr"))
 
 
 @query("c16_sequence_rules", f"WITH {PANEL}, z AS (SELECT (vol - avg(vol) OVER (PARTITION BY d)) / coalesce(nullif(stddev_samp(vol) OVER (PARTITION BY d), 0), 1e-10) AS z, date_diff('day', lag(d) OVER ({P}), d) AS gap FROM panel) SELECT round(max(abs(z)), 5) AS top, round(abs(avg(z)), 4) AS mean, round(stddev_samp(z), 5) AS std, max(gap)::BIGINT AS gap FROM z")

@@ -25,6 +25,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as Parquet below the shared folder, read back: what several results read is made once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None, schema: str | None = None) -> DataFrame:
     """Parquet with the declared columns that exist; a missing path gives an empty frame of ``schema``."""
     try:

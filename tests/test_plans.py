@@ -170,3 +170,16 @@ def test_partitions_grow_with_the_panel(spark, monkeypatch, name):
     out = plans.queries()[name](spark, SF.replace("0.001", "0.01")).groupBy(F.spark_partition_id().alias("p")).count()
     sizes = [r["count"] for r in out.collect()]
     assert len(sizes) > 8 and max(sizes) < 15000
+
+
+@pytest.mark.parametrize(("name", "maker"), [("c15_label_rules", "train_set")])
+def test_checks_make_their_table_once(spark, monkeypatch, name, maker):
+    """All checks of a table read one copy of it, and no window sorts the panel by day for its weights."""
+    from quantloom.plans import checks
+
+    made = []
+    plain_maker = getattr(checks, maker)
+    monkeypatch.setattr(checks, maker, lambda s, d: made.append(plain_maker(s, d)) or made[-1])
+    plans.queries()[name](spark, SF).collect()
+    assert len(made) == 1
+    assert "Window [sum(vol" not in made[0]._jdf.queryExecution().executedPlan().toString()
