@@ -226,19 +226,19 @@ keys AS (SELECT code, d, count(*) AS n FROM mp GROUP BY 1, 2), macro_day AS (SEL
 def merged_panel(spark, sf):
     """The panel with the series of its day and what the preprocessing adds."""
     p = price_panel(spark, sf).join(F.broadcast(daily(spark, sf).select("d", "total")), "d", "left")
-    day = Window.partitionBy("d")
     doubled = sum(c.endswith(("_x", "_y")) for c in p.columns)  # what a careless join leaves
-    return p.withColumns({"suffixed": F.lit(doubled), "r": F.try_divide("close", F.lag("close").over(W())) - 1, "vwap": F.try_divide("amount", "vol"), "is_tradable": (F.col("vol") > 20).cast("long"), "weight": F.try_divide("vol", F.sum("vol").over(day)), "inv": F.try_divide(F.lit(1.0), F.col("close"))})
+    p = with_day_volume(p, spark, sf, "_volume")
+    return p.withColumns({"suffixed": F.lit(doubled), "r": F.try_divide("close", F.lag("close").over(W())) - 1, "vwap": F.try_divide("amount", "vol"), "is_tradable": (F.col("vol") > 20).cast("long"), "weight": F.try_divide("vol", "_volume"), "inv": F.try_divide(F.lit(1.0), F.col("close"))}).drop("_volume")
 
 
 register_measures("c14_merged_rules", MERGED, [
-    ("mp", merged_panel, [
+    ("mp", lambda s, d, x: x, [
         ("core fields", share("close IS NULL OR vol IS NULL OR amount IS NULL"), None, 0, "CRITICAL"), ("suffixed columns", "max(suffixed)", None, 0, "ERROR"), ("magnitude", "log10(abs(avg(amount)) + 1e-10)", 3, 12, "ERROR"), ("vwap near close", corr_sql("vwap", "close"), 0.9, None, "WARNING"),
         ("price order", share("high < low OR close > high OR close < low"), None, 0, "CRITICAL"), ("return range", share("NOT r BETWEEN -0.9 AND 10", "r IS NOT NULL"), None, 0.01, "WARNING"), ("flags", share("is_tradable NOT IN (0, 1)"), None, 0, "ERROR"), ("ratios", share("NOT weight BETWEEN 0 AND 1"), None, 0, "ERROR"),
         ("inverse", share("abs(inv * close - 1) > 1e-6"), None, 0, "ERROR"), ("extremes", share("abs(amount) > 1e12"), None, 0, "WARNING")]),
-    ("keys", lambda s, d: merged_panel(s, d).groupBy("code", "d").agg(F.count("*").alias("n")), [("keys twice", share("n > 1"), None, 0, "CRITICAL")]),
-    ("macro_day", lambda s, d: merged_panel(s, d).groupBy("d").agg(F.count_distinct("total").alias("kinds")), [("macro values a day", "max(kinds)", None, 1, "ERROR")]),
-    ("drift", lambda s, d: merged_panel(s, d).agg(F.count("*").alias("a")).join(price_panel(s, d).agg(F.count("*").alias("b")), how="cross").select((F.col("a") * 1.0 / F.col("b") - 1).alias("drift")), [("row drift", "max(abs(drift))", None, 0.05, "ERROR")])])
+    ("keys", lambda s, d, x: keys_of(x), [("keys twice", share("n > 1"), None, 0, "CRITICAL")]),
+    ("macro_day", lambda s, d, x: x.groupBy("d").agg(F.count_distinct("total").alias("kinds")), [("macro values a day", "max(kinds)", None, 1, "ERROR")]),
+    ("drift", lambda s, d, x: row_drift(x, price_panel(s, d)), [("row drift", "max(abs(drift))", None, 0.05, "ERROR")])], shared=lambda s, d: written_once(merged_panel(s, d), "merged"))
 
 
 FEATURES = ("close", "vol", "amount", "ma_5", "rsi_6", "weight", "total")

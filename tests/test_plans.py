@@ -172,7 +172,7 @@ def test_partitions_grow_with_the_panel(spark, monkeypatch, name):
     assert len(sizes) > 8 and max(sizes) < 15000
 
 
-@pytest.mark.parametrize(("name", "maker"), [("c15_label_rules", "train_set")])
+@pytest.mark.parametrize(("name", "maker"), [("c15_label_rules", "train_set"), ("c14_merged_rules", "merged_panel")])
 def test_checks_make_their_table_once(spark, monkeypatch, name, maker):
     """All checks of a table read one copy of it, and no window sorts the panel by day for its weights."""
     from quantloom.plans import checks
