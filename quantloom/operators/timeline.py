@@ -64,17 +64,19 @@ def _number(df: DataFrame, c: str) -> Column:
     return F.unix_date(c).cast("long") if isinstance(df.schema[c].dataType, T.DateType) else F.col(c).cast("long")
 
 
-def timeline(intervals: DataFrame, key: str, start: str, end: str, order: Sequence[Column], values: Sequence[str], at: str) -> DataFrame:
+def timeline(intervals: DataFrame, key: str, start: str, end: str, order: Sequence[Column], values: Sequence[str], at: str, parts: int | None = None) -> DataFrame:
     """Changes (key, ``at``, values): from ``at`` on the first of the open half-open intervals [start, end) in ``order`` counts, or none (null values).
 
     A null end is open for ever; intervals without key or start, or that end before they
-    start, count nowhere.  Starts and ends are days or whole numbers.  One shuffle by key; a
-    task holds the open intervals of one key.
+    start, count nowhere.  Starts and ends are days or whole numbers.  One shuffle by key (to
+    ``parts`` partitions); a task holds the open intervals of one key.
     """
     kind = intervals.schema[start].dataType
     fields = [T.StructField(f"v{i}", intervals.schema[v].dataType) for i, v in enumerate(values)]
     ranked = intervals.where(F.col(key).isNotNull() & F.col(start).isNotNull())
     ranked = ranked.select("*", F.col(key).alias("_key"), _number(intervals, start).alias("_start"), F.coalesce(_number(intervals, end), F.lit(FOREVER)).alias("_end"))
+    if parts is not None:
+        ranked = ranked.repartition(parts, "_key")
     w = Window.partitionBy("_key").orderBy(*order, "_start", "_end", *values)
     ranked = ranked.withColumn("_rank", F.row_number().over(w)).select(F.col("_key").alias("key"), F.col("_start").alias("start"), F.col("_end").alias("end"), F.col("_rank").alias("rank"), *[F.col(v).alias(f"v{i}") for i, v in enumerate(values)])
     schema = T.StructType([T.StructField("key", intervals.schema[key].dataType), T.StructField("at", T.LongType()), *fields])

@@ -9,10 +9,12 @@ from quantloom.operators import calendar as cal
 from quantloom.operators import joins as J
 from quantloom.operators import ts, xsec
 from quantloom.operators.numbering import ordinal_codes, sorted_codes
-from quantloom.operators.pointintime import stretch
+from quantloom.operators.pointintime import on_listed_days, stretch
 from quantloom.operators.scan import exponential_means
 from quantloom.operators.sliding import sliding
+from quantloom.operators.timeline import coverage, timeline
 from quantloom.plans.base import CALENDAR, DAILY, INTERVALS, OPEN_DAYS, PANEL, REPORTS, calendar, daily, flows, intervals, open_days, panel_parts, price_panel, query, reports, table
+from quantloom.sources import written_once
 
 W = ts.per_code
 P = "PARTITION BY code ORDER BY d"
@@ -360,20 +362,29 @@ def memberships(spark, sf):
     return line.select(F.col("l_suppkey").alias("code"), day.alias("in_date"), F.date_add(day, 200).alias("out_date"), name.alias("l1_name"), code.alias("l1_code"), "l_orderkey", "l_linenumber")
 
 
-def industry_history(skeleton, base, members, class_of: dict[str, str], class_code: dict[str, str]):
-    """A class for every code and day: the latest membership that covers the day, else the base industry's; with codes, changes and indexes (-1: none)."""
+def industry_history(codes, days, base, members, class_of: dict[str, str], class_code: dict[str, str], parts: int):
+    """A class for every code and day: the latest membership that covers the day, else the base industry's; with codes, changes and indexes (-1: none).
+
+    Classes are found where they change; only these records are sorted, and the days between are written out.
+    """
     named = lambda m, c: F.try_element_at(F.create_map(*[F.lit(x) for kv in m.items() for x in kv]), c)
-    s = J.latest_interval(skeleton, members, "code", "d", "in_date", "out_date", ["l1_name", "l1_code"], tie=["l_orderkey", "l_linenumber"])
+    order = [F.desc("in_date"), F.desc_nulls_last("l_orderkey"), F.desc_nulls_last("l_linenumber")]
+    s = timeline(members, "code", "in_date", "out_date", order, ["l1_name", "l1_code"], "d", parts)
+    none = [F.lit(None).cast("string").alias(c) for c in ("l1_name", "l1_code")]
+    s = s.unionByName(codes.select("code", F.to_date(F.lit("0001-01-01")).alias("d"), *none))  # no membership before the first
+    s = on_listed_days(s, days, "code", "d", ["l1_name", "l1_code"], parts)
     s = s.join(base, "code", "left").withColumn("industry", F.coalesce("industry", F.lit(NO_CLASS)))
     known = F.when(F.col("l1_name") != NO_CLASS, F.col("l1_name"))
     s = s.withColumn("l1_name", F.coalesce(known, named(class_of, F.col("industry")), F.lit(NO_CLASS)))
     s = s.withColumn("l1_code", F.coalesce("l1_code", named(class_code, F.col("l1_name"))))
     before = F.lag("l1_name").over(W())
     s = s.withColumn("changed", F.coalesce((F.col("l1_name") != before) & (F.col("l1_name") != NO_CLASS) & (before != NO_CLASS), F.lit(False)).cast("long"))
+    s = written_once(s, "classes")
+    r = s
     for c, out in (("industry", "industry_idx"), ("l1_name", "l1_idx")):
-        codes = sorted_codes(s.where(F.col(c) != NO_CLASS), c, out)
-        s = s.join(codes, c, "left").na.fill(-1, [out])
-    return s
+        r = r.join(sorted_codes(s.where(F.col(c) != NO_CLASS), c, out), c, "left").na.fill(-1, [out])
+    r = r.select("code", "d", F.struct("industry", "l1_name", "l1_code", "industry_idx", "l1_idx").alias("of"), "changed")
+    return stretch(r, days, "code", "d", ["of"], ["changed"], parts=parts).select("code", "d", "of.*", F.coalesce("changed", F.lit(0)).alias("changed"))
 
 
 @query("d12_industry", f"""WITH {OPEN_DAYS}, m AS (
@@ -388,8 +399,8 @@ SELECT code, d, z.industry, z.l1_name, CASE z.l1_name """ + " ".join(f"WHEN '{k}
 FROM z LEFT JOIN i USING (industry) LEFT JOIN c ON c.l1_name = z.l1_name""")
 def d12_industry(spark, sf):
     base = table(spark, sf, "supplier", "s_suppkey", "s_nationkey").join(table(spark, sf, "nation"), F.col("n_nationkey") == F.col("s_nationkey")).join(table(spark, sf, "region"), F.col("r_regionkey") == F.col("n_regionkey"))
-    skel = J.skeleton(open_days(spark, sf), table(spark, sf, "lineitem", "l_suppkey").select(F.col("l_suppkey").alias("code")))
-    out = industry_history(skel, base.select(F.col("s_suppkey").alias("code"), F.col("r_name").alias("industry")), memberships(spark, sf), CLASS_OF, CLASS_CODE)
+    codes = table(spark, sf, "lineitem", "l_suppkey").select(F.col("l_suppkey").alias("code")).distinct()
+    out = industry_history(codes, open_days(spark, sf), base.select(F.col("s_suppkey").alias("code"), F.col("r_name").alias("industry")), memberships(spark, sf), CLASS_OF, CLASS_CODE, panel_parts(spark, sf))
     return out.select("code", "d", "industry", "l1_name", "l1_code", "industry_idx", "l1_idx", "changed")
 
 

@@ -183,3 +183,28 @@ def test_checks_make_their_table_once(spark, monkeypatch, name, maker):
     plans.queries()[name](spark, SF).collect()
     assert len(made) == 1
     assert "Window [sum(vol" not in made[0]._jdf.queryExecution().executedPlan().toString()
+
+
+DENSE = ("d12_industry",)
+
+
+@pytest.mark.parametrize("name", DENSE)
+def test_dense_tables_are_written_out_last(spark, name):
+    """Sparse records are shuffled; days are filled in after the last shuffle."""
+    plan = plans.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: plan.index("posexplode")]
+
+
+@pytest.mark.parametrize("name", DENSE)
+def test_dense_tables_on_odd_lines(spark, duck, tmp_path, name):
+    """Lines without a code or a price, and codes with a line on weekends only."""
+    for t in ("supplier", "nation", "region", "orders"):
+        os.symlink(f"{SF}/{t}.parquet", f"{tmp_path}/{t}.parquet")
+    duck.sql(f"COPY (SELECT * REPLACE (CASE WHEN l_orderkey % 50 > 0 THEN l_suppkey END AS l_suppkey, CASE WHEN l_orderkey % 7 > 0 THEN l_extendedprice END AS l_extendedprice) FROM '{SF}/lineitem.parquet' WHERE l_suppkey > 2 OR dayofweek(l_shipdate) IN (0, 6)) TO '{tmp_path}/lineitem.parquet'")
+    con = duckdb.connect()
+    for t in ("supplier", "nation", "region", "orders", "lineitem"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet'")
+    plans.queries()[name](spark, str(tmp_path)).write.parquet(f"{tmp_path}/out")
+    rel = con.sql(plans.oracles()[name])
+    got = con.sql(f"SELECT {', '.join(rel.columns)} FROM '{tmp_path}/out/*.parquet'")
+    assert rows(rel.columns, got.fetchall()) == rows(rel.columns, rel.fetchall())
