@@ -146,10 +146,10 @@ register_measures("c08_flow_rules", LEGS, [("legs", legs, [
 register("c09_report_lag_rules", REPORTS, "reports", reports, [
     ("leak", "period_end > ann", 0, "CRITICAL", "true"), ("strict lag", "period_end >= ann", 0, "CRITICAL", "true"), ("whole", "o_orderkey <> floor(o_orderkey)", 0, "ERROR", "true")])
 register_measures("c10_event_rules", f"ev AS ({ORACLES['d11_unlocks_and_pledges']}), yearly AS (SELECT year(d) AS y, count(*) FILTER (WHERE is_unlock_day = 1) AS n FROM ev GROUP BY 1)", [
-    ("ev", registered("d11_unlocks_and_pledges"), [
+    ("ev", lambda s, d, x: x, [
         ("unlock without shares", share("unlock_share <= 0", "is_unlock_day = 1"), None, 0, "ERROR"), ("shares without unlock", share("unlock_share > 0", "is_unlock_day = 0"), None, 0, "ERROR"), ("pledge range", share("NOT pledge_ratio BETWEEN 0 AND 100"), None, 0, "ERROR"),
         ("sparsity", share("is_unlock_day = 1"), None, 0.5, "WARNING"), ("days to unlock", "min(days_to_unlock)", -1, None, "ERROR")]),
-    ("yearly", lambda s, d: QUERIES["d11_unlocks_and_pledges"](s, d).groupBy(F.year("d").alias("y")).agg(F.count_if(F.col("is_unlock_day") == 1).alias("n")), [("yearly spread", "min(n) * 1.0 / nullif(max(n), 0)", 0.1, None, "WARNING")])])
+    ("yearly", lambda s, d, x: x.groupBy(F.year("d").alias("y")).agg(F.count_if(F.col("is_unlock_day") == 1).alias("n")), [("yearly spread", "min(n) * 1.0 / nullif(max(n), 0)", 0.1, None, "WARNING")])], shared=registered("d11_unlocks_and_pledges"))
 
 
 def _series(spark, sf):

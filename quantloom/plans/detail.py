@@ -304,25 +304,39 @@ def pledges(spark, sf):
     return line.select(F.col("l_suppkey").alias("code"), F.col("l_shipdate").cast("date").alias("end_date"), (F.col("l_quantity") * 2).alias("pledge_ratio"), F.struct("l_shipdate", "l_orderkey", "l_linenumber").alias("came"))
 
 
-def unlock_signals(skeleton, events, calendar_):
-    """Unlock days with their shares, days to the next announced one (-1: none), and the window of 15 days before and after."""
-    e = cal.map_on_or_after(cal.map_on_or_after(events, calendar_, "float_date", "d"), calendar_, "ann_date", "seen_day")
-    own = e.groupBy("code", "d").agg(F.sum("share").alias("unlock_share"), F.sum("ratio").alias("unlock_ratio"), F.lit(1).alias("is_unlock_day"))
+def unlock_records(events, calendar_, parts: int):
+    """Where the signals of unlocks change, as records on open days: shares and ratio of an unlock day, its place, and the next announced unlock (a place, or none)."""
+    e = cal.map_on_or_after(cal.map_on_or_after(events.where("code is not null"), calendar_, "float_date", "d"), calendar_, "ann_date", "seen_day")
+    e = written_once(e.select("code", "d", "seen_day", "share", "ratio"), "unlocks")
     pos = F.broadcast(calendar_.where("is_open = 1").select(F.col("cal_date").alias("_c"), F.col("pos").alias("_p")))  # a row a day
+    own = e.repartition(parts, "code").groupBy("code", "d").agg(F.sum("share").alias("unlock_share"), F.sum("ratio").alias("unlock_ratio"))
+    own = own.join(pos, F.col("d") == F.col("_c")).withColumnsRenamed({"_p": "unlock_at"}).drop("_c")
     at = e.join(pos, F.col("d") == F.col("_c")).withColumnsRenamed({"_p": "at"}).drop("_c")
-    at = at.join(pos, F.col("seen_day") == F.col("_c"), "left").select("code", F.coalesce("_p", F.lit(-1)).alias("seen"), "at")
-    s = skeleton.join(pos, F.col("d") == F.col("_c")).select("code", "d", F.col("_p").alias("pos")).join(own, ["code", "d"], "left")
-    s = J.nearest_visible_event(s.na.fill(0, ["is_unlock_day"]).na.fill(0.0, ["unlock_share", "unlock_ratio"]), at, "code", "pos", "seen", "at", "days_to_unlock")
-    near = F.col("days_to_unlock").between(0, 15) | (ts.trailing_any(F.col("is_unlock_day"), W(), 15) == 1)
-    return s.withColumn("in_unlock_window", near.cast("long")).drop("pos")
-
-
-def pledge_signals(skeleton, stats, calendar_, lag_days: int = 5):
-    """The last published pledge ratio of every day, and whether it is over 50; statistics are known ``lag_days`` after their day."""
-    known = cal.map_on_or_after(stats.withColumn("known", F.date_add("end_date", lag_days)), calendar_, "known", "d")
-    known = J.keep_latest(known, ["code", "d"], [F.desc("came")]).select("code", "d", "pledge_ratio")
-    s = skeleton.join(known, ["code", "d"], "left").withColumn("pledge_ratio", F.coalesce(ts.ffill("pledge_ratio", W()), F.lit(0.0)))
-    return s.withColumn("pledge_ratio_high", (F.col("pledge_ratio") > 50).cast("long"))
+    at = at.join(pos, F.col("seen_day") == F.col("_c"), "left").select("code", F.coalesce("_p", F.lit(-1)).alias("seen"), "at", (F.col("at") + 1).alias("past")).distinct()
+    next_ = timeline(at, "code", "seen", "past", [F.asc("at")], ["at"], "pos", parts)
+    next_ = next_.groupBy("code", F.greatest("pos", F.lit(1)).alias("_p")).agg(F.max_by(F.struct("at"), F.col("pos")).alias("next"))
+    return own.unionByName(next_.join(pos, "_p").select("code", F.col("_c").alias("d"), "next"), allowMissingColumns=True)
+
+
+def pledge_records(stats, calendar_, parts: int, lag_days: int = 5):
+    """The last published pledge ratio of a day, as records; statistics are known ``lag_days`` after their day."""
+    known = cal.map_on_or_after(stats.where("code is not null").withColumn("known", F.date_add("end_date", lag_days)), calendar_, "known", "d")
+    return J.keep_latest(known.repartition(parts, "code"), ["code", "d"], [F.desc("came")]).select("code", "d", "pledge_ratio")
+
+
+def event_signals(records, days, parts: int):
+    """Dense signals of the records: unlock days, days to the next announced one (-1: none), the window of 15 days before and after, the pledge ratio and whether it is over 50."""
+    s = stretch(records, days, "code", "d", ["next", "unlock_at", "pledge_ratio"], ["unlock_share", "unlock_ratio", "own"], "pos", parts)
+    s = s.withColumns({
+        "is_unlock_day": F.coalesce("own", F.lit(0)).cast("long"),
+        "unlock_share": F.coalesce("unlock_share", F.lit(0.0)),
+        "unlock_ratio": F.coalesce("unlock_ratio", F.lit(0.0)),
+        "days_to_unlock": F.coalesce(F.col("next.at") - F.col("pos"), F.lit(-1)).cast("long"),
+        "pledge_ratio": F.coalesce("pledge_ratio", F.lit(0.0)),
+    })
+    near = F.col("days_to_unlock").between(0, 15) | F.coalesce(F.col("pos") - F.col("unlock_at") < 15, F.lit(False))
+    s = s.withColumns({"in_unlock_window": near.cast("long"), "pledge_ratio_high": (F.col("pledge_ratio") > 50).cast("long")})
+    return s.drop("pos", "next", "unlock_at", "own")
 
 
 @query("d11_unlocks_and_pledges", f"""WITH {CALENDAR}, {UNLOCKS}, own AS (SELECT code, d, sum(share) AS share, sum(ratio) AS ratio FROM u GROUP BY 1, 2),
@@ -333,12 +347,15 @@ j AS (SELECT skel.code, skel.d, coalesce(share, 0) AS share, coalesce(own.ratio,
 z AS (SELECT *, (days BETWEEN 0 AND 15 OR sum(day) OVER ({P} ROWS BETWEEN 14 PRECEDING AND CURRENT ROW) > 0)::BIGINT AS win, coalesce(last_value(pledge IGNORE NULLS) OVER ({P} ROWS UNBOUNDED PRECEDING), 0) AS pr FROM j)
 SELECT code, d, day AS is_unlock_day, share AS unlock_share, round(ratio, 6) AS unlock_ratio, days::BIGINT AS days_to_unlock, win AS in_unlock_window, pr AS pledge_ratio, (pr > 50)::BIGINT AS pledge_ratio_high, (win = 1)::BIGINT AS has_event, (pr > 50 OR win = 1)::BIGINT AS has_risk_event FROM z""")
 def d11_legs(spark, sf):
-    c = calendar(spark, sf)
-    skel = J.skeleton(open_days(spark, sf), table(spark, sf, "lineitem", "l_suppkey").select(F.col("l_suppkey").alias("code")))
-    s = pledge_signals(unlock_signals(skel, unlocks(spark, sf), c), pledges(spark, sf), c)
-    long = {k: F.col(k).cast("long") for k in ("is_unlock_day", "days_to_unlock")}
-    s = s.withColumns(long).withColumn("unlock_ratio", _r(F.col("unlock_ratio"))).withColumn("has_event", F.col("in_unlock_window"))
-    return s.withColumn("has_risk_event", ((F.col("pledge_ratio_high") == 1) | (F.col("in_unlock_window") == 1)).cast("long"))
+    c, days, parts = calendar(spark, sf), open_days(spark, sf), panel_parts(spark, sf)
+    codes = table(spark, sf, "lineitem", "l_suppkey").select(F.col("l_suppkey").alias("code")).distinct()
+    records = unlock_records(unlocks(spark, sf), c, parts).withColumn("own", F.when(F.col("unlock_at").isNotNull(), 1))
+    records = records.unionByName(pledge_records(pledges(spark, sf), c, parts), allowMissingColumns=True)
+    records = records.unionByName(codes.join(F.broadcast(days.agg(F.min("d").alias("d"))), how="cross"), allowMissingColumns=True)
+    s = event_signals(written_once(records, "event_records"), days, parts)
+    s = s.withColumn("unlock_ratio", _r(F.col("unlock_ratio"))).withColumn("has_event", F.col("in_unlock_window"))
+    s = s.withColumn("has_risk_event", ((F.col("pledge_ratio_high") == 1) | (F.col("in_unlock_window") == 1)).cast("long"))
+    return s.select("code", "d", "is_unlock_day", "unlock_share", "unlock_ratio", "days_to_unlock", "in_unlock_window", "pledge_ratio", "pledge_ratio_high", "has_event", "has_risk_event")
 
 
 @query("d12_category_history", f"WITH {INTERVALS}, k AS (SELECT kind, row_number() OVER (ORDER BY kind) - 1 AS idx FROM (SELECT DISTINCT kind FROM reports)) SELECT code, start, idx::BIGINT AS idx, coalesce(lag(i.kind) OVER w <> i.kind, false)::BIGINT AS changed FROM intervals i JOIN k USING (kind) WINDOW w AS (PARTITION BY code ORDER BY start, o_orderkey)")

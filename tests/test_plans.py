@@ -185,7 +185,7 @@ def test_checks_make_their_table_once(spark, monkeypatch, name, maker):
     assert "Window [sum(vol" not in made[0]._jdf.queryExecution().executedPlan().toString()
 
 
-DENSE = ("d12_industry",)
+DENSE = ("d11_unlocks_and_pledges", "d12_industry")
 
 
 @pytest.mark.parametrize("name", DENSE)
