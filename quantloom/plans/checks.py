@@ -10,8 +10,8 @@ from quantloom.operators.checks import Check, Measure, measure, profile, run_che
 from quantloom.operators.comoments import co_moments
 from quantloom.operators.quantiles import exact_quantiles
 from quantloom.operators.stats import safe_corr, sample_kurtosis, sample_skewness
-from quantloom.plans import detail as _detail  # noqa: F401  (registers the tables that checks read)
-from quantloom.plans.base import CALENDAR, DAILY, ORACLES, PANEL, QUERIES, REPORTS, calendar, daily, price_panel, query, reports, table, with_day_volume
+from quantloom.plans import detail as _detail
+from quantloom.plans.base import CALENDAR, DAILY, ORACLES, PANEL, QUERIES, REPORTS, calendar, daily, panel_parts, price_panel, query, reports, table, with_day_volume
 from quantloom.plans.labels import RET, labelled
 from quantloom.sources import parts_of, written_once
 
@@ -137,7 +137,8 @@ def legs(spark, sf):
     price, some = F.col("l_extendedprice"), lambda c: F.round(F.coalesce(F.sum(F.when(c, F.col("l_extendedprice"))), F.lit(0.0)), 2)
     flag = F.col("l_returnflag")
     net = F.round(F.sum(F.when(flag == "A", price).when(flag == "R", -price).otherwise(0.0)), 2)
-    return line.groupBy(F.col("l_suppkey").alias("code"), F.col("l_shipdate").cast("date").alias("d")).agg(some(flag == "A").alias("buy"), some(flag == "R").alias("sell"), some(F.col("l_quantity") >= 40).alias("block"), net.alias("net"), F.round(F.sum(price), 2).alias("amount"))
+    line = line.select(F.col("l_suppkey").alias("code"), F.col("l_shipdate").cast("date").alias("d"), "l_returnflag", "l_quantity", "l_extendedprice").repartition(panel_parts(spark, sf), "code", "d")
+    return line.groupBy("code", "d").agg(some(flag == "A").alias("buy"), some(flag == "R").alias("sell"), some(F.col("l_quantity") >= 40).alias("block"), net.alias("net"), F.round(F.sum(price), 2).alias("amount"))
 
 
 register_measures("c08_flow_rules", LEGS, [("legs", legs, [
@@ -181,42 +182,43 @@ fl AS (SELECT l.code, l.d, l.buy, l.net, p.amount, p.close / nullif(lag(p.close)
 med AS (SELECT quantile_cont(buy / nullif(amount, 0), 0.5) AS ratio FROM fl WHERE buy > 0)"""
 
 
-def _both(spark, sf):
-    s = QUERIES["d02_status"](spark, sf).select("code", "d", "is_trading", "limit_ratio", F.lit(True).alias("known"))
-    p = price_panel(spark, sf).join(s, ["code", "d"], "left")
-    return p.withColumn("pre", F.lag("close").over(W())).withColumn("known", F.coalesce("known", F.lit(False)))
+def _crossed(spark, sf):
+    """What the checks read, each written once: days with a status, the panel with the status of its rows, and flows with returns."""
+    st = _detail.status(spark, sf).select("code", "d", "is_trading", "limit_ratio", "priced")
+    days = written_once(st.select("d").distinct(), "status_days")
+    parts = panel_parts(spark, sf)
+    p = price_panel(spark, sf).withColumn("pre", F.lag("close").over(W())).repartition(parts, "code", "d")
+    known = st.where("priced").drop("priced").withColumn("known", F.lit(True))  # rows of the panel are on days of a price
+    both = p.join(known.repartition(parts, "code", "d"), ["code", "d"], "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    both = written_once(both, "crossed")
+    flows_ = both.select("code", "d", "amount", F.try_divide("close", "pre").alias("q")).withColumn("ret", F.col("q") - 1).drop("q")
+    flows_ = flows_.repartition(parts, "code", "d").join(legs(spark, sf).select("code", "d", "buy", "net"), ["code", "d"])
+    return days, both, written_once(flows_, "flow_returns")
 
 
-def _flow_returns(spark, sf):
-    p = price_panel(spark, sf).withColumn("ret", F.try_divide("close", F.lag("close").over(W())) - 1)
-    return p.select("code", "d", "amount", "ret").join(legs(spark, sf).select("code", "d", "buy", "net"), ["code", "d"])
-
-
-def _cover(spark, sf):
-    days = price_panel(spark, sf).select("d").distinct()
+def _cover(spark, sf, status_days, both):
     m = daily(spark, sf).select("d", F.lit(True).alias("macro"))
-    s = QUERIES["d02_status"](spark, sf).select("d").distinct().withColumn("status", F.lit(True))
-    return days.join(m, "d", "left").join(s, "d", "left").na.fill(False)
+    return both.select("d").distinct().join(m, "d", "left").join(status_days.withColumn("status", F.lit(True)), "d", "left").na.fill(False)
 
 
-def _implied(spark, sf):
+def _implied(both):
     shares = F.try_divide("amount", "close")
-    p = price_panel(spark, sf).withColumn("pe", F.col("close") / (F.col("vol") + 1))
+    p = both.withColumn("pe", F.col("close") / (F.col("vol") + 1))
     return p.groupBy("code").agg(F.count("*").alias("n"), F.try_divide(F.stddev_samp(shares), F.avg(shares)).alias("cv"), safe_corr("close", "pe").alias("r"))
 
 
-def _median_ratio(spark, sf):
-    ratio = _flow_returns(spark, sf).where("buy > 0").select(F.try_divide("buy", "amount").alias("ratio"))
+def _median_ratio(spark, flows_):
+    ratio = flows_.where("buy > 0").select(F.try_divide("buy", "amount").alias("ratio"))
     return spark.range(1).select(F.lit(exact_quantiles(ratio, ["ratio"], (0.5,))["ratio"][0]).cast("double").alias("ratio"))
 
 
 register_measures("c13_cross_table", CROSS, [
-    ("cover", _cover, [("macro days", share("macro"), 0.99, None, "ERROR"), ("status days", share("status"), 0.99, None, "ERROR")]),
-    ("day_cover", lambda s, d: _both(s, d).where("dayofweek(d) BETWEEN 2 AND 6").groupBy("d").agg(F.avg(F.when(F.col("known"), 1.0).otherwise(0.0)).alias("covered")), [("codes a day", "avg(covered)", 0.99, None, "ERROR")]),
-    ("bo", _both, [("volume while suspended", share("vol > 0 AND is_trading = 0", "known"), None, 0.01, "ERROR"), ("limit breach", share("close > pre * (1 + limit_ratio) * 1.01 OR close < pre * (1 - limit_ratio) / 1.01", "known AND pre IS NOT NULL AND limit_ratio < 1"), None, 0.005, "WARNING")]),
-    ("implied", _implied, [("unstable shares", share("cv > 0.5", "n >= 100"), None, 0.05, "ERROR"), ("price follows ratio", share("r > 0", "n >= 100 AND r IS NOT NULL"), 0.55, None, "WARNING")]),
-    ("med", _median_ratio, [("median flow ratio", "max(ratio)", 0.01, 100, "ERROR")]),
-    ("fl", _flow_returns, [("flow and return", f"abs({corr_sql('net', 'ret')})", None, 0.1, "WARNING")])])
+    ("cover", lambda s, d, x: _cover(s, d, x[0], x[1]), [("macro days", share("macro"), 0.99, None, "ERROR"), ("status days", share("status"), 0.99, None, "ERROR")]),
+    ("day_cover", lambda s, d, x: x[1].where("dayofweek(d) BETWEEN 2 AND 6").groupBy("d").agg(F.avg(F.when(F.col("known"), 1.0).otherwise(0.0)).alias("covered")), [("codes a day", "avg(covered)", 0.99, None, "ERROR")]),
+    ("bo", lambda s, d, x: x[1], [("volume while suspended", share("vol > 0 AND is_trading = 0", "known"), None, 0.01, "ERROR"), ("limit breach", share("close > pre * (1 + limit_ratio) * 1.01 OR close < pre * (1 - limit_ratio) / 1.01", "known AND pre IS NOT NULL AND limit_ratio < 1"), None, 0.005, "WARNING")]),
+    ("implied", lambda s, d, x: _implied(x[1]), [("unstable shares", share("cv > 0.5", "n >= 100"), None, 0.05, "ERROR"), ("price follows ratio", share("r > 0", "n >= 100 AND r IS NOT NULL"), 0.55, None, "WARNING")]),
+    ("med", lambda s, d, x: _median_ratio(s, x[2]), [("median flow ratio", "max(ratio)", 0.01, 100, "ERROR")]),
+    ("fl", lambda s, d, x: x[2], [("flow and return", f"abs({corr_sql('net', 'ret')})", None, 0.1, "WARNING")])], shared=_crossed)
 
 
 MERGED = f"""{PANEL}, {DAILY}, mp AS (SELECT p.code, p.d, p.high, p.low, p.open, p.close, p.vol, p.amount, p.close / nullif(lag(p.close) OVER (PARTITION BY p.code ORDER BY p.d), 0) - 1 AS r, p.amount / nullif(p.vol, 0) AS vwap, m.total, (p.vol > 20)::BIGINT AS is_tradable, p.vol / nullif(sum(p.vol) OVER (PARTITION BY p.d), 0) AS weight, 1 / nullif(p.close, 0) AS inv, 0 AS suffixed FROM panel p LEFT JOIN daily m USING (d)),

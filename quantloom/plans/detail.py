@@ -100,15 +100,26 @@ r AS (SELECT h.*, market, age < coalesce(free_days, 5) AS free, CASE WHEN age <
 SELECT code, d, st::BIGINT AS is_st, (age < 60)::BIGINT AS is_new, free::BIGINT AS is_new_no_limit, (vol > 0)::BIGINT AS is_trading, list_date, market, ratio AS limit_ratio,
   coalesce(ratio < 1 AND last >= round(pre * (1 + ratio), 2) * 0.999, false)::BIGINT AS is_limit_up, coalesce(ratio < 1 AND last <= round(pre * (1 - ratio), 2) * 1.001, false)::BIGINT AS is_limit_down FROM r""")
 def d02(spark, sf):
-    return daily_status(price_panel(spark, sf), open_days(spark, sf), special_periods(spark, sf), boards(spark, sf))
+    return status(spark, sf).drop("priced")
 
 
-def daily_status(prices, days, special, market):
-    """Every code on every open day from its second price on: special treatment, listing age, price limits, trading."""
-    listed = prices.groupBy("code").agg(F.min("d").alias("list_date"))
-    s = J.skeleton(days, prices.select("code")).join(prices.select("code", "d", "close", "vol"), ["code", "d"], "left")
-    s = s.withColumn("last", ts.ffill("close", W())).withColumn("pre", F.lag("last").over(W())).where("last is not null and pre is not null")
-    s = J.covered_by_interval(s, special, "code", "d", "start", "end", "is_st").join(listed, "code").join(market, "code", "left")
+def status(spark, sf):
+    return daily_status(price_panel(spark, sf), open_days(spark, sf), special_periods(spark, sf), boards(spark, sf), panel_parts(spark, sf))
+
+
+def daily_status(prices, days, special, market, parts: int):
+    """Every code on every open day from its second price on: special treatment, listing age, price limits, trading; ``priced`` says that the day has a price of its own.
+
+    Prices and the changes of special treatment are records of a code; the days between are written out from the calendar.
+    """
+    p = prices.where("code is not null").select("code", "d", "close", "vol", F.min("d").over(Window.partitionBy("code")).alias("list_date"))
+    p = p.join(F.broadcast(days), "d", "left_semi").join(market, "code", "left")
+    before = F.last("close", ignorenulls=True).over(W().rowsBetween(Window.unboundedPreceding, -1))
+    p = p.select("code", "d", F.col("close").alias("last"), F.struct("list_date", "market", "plain", "treated", "free_days").alias("of"), "vol", before.alias("pre"), F.lit(True).alias("priced"))
+    treated = on_listed_days(coverage(special, "code", "start", "end", "d", "open"), days, "code", "d", ["open"], parts)
+    s = stretch(p.unionByName(treated, allowMissingColumns=True), days, "code", "d", ["last", "of", "open"], ["vol", "pre", "priced"], parts=parts).select("*", "of.*")
+    s = s.withColumns({"priced": F.coalesce("priced", F.lit(False)), "is_st": (F.coalesce("open", F.lit(0)) > 0).cast("int")})
+    s = s.withColumn("pre", F.when(F.col("priced"), F.col("pre")).otherwise(F.col("last"))).where("last is not null and pre is not null")
     s = s.withColumn("age", F.datediff("d", "list_date")).withColumn("free", F.col("age") < F.coalesce("free_days", F.lit(5)))
     q = F.col("limit_ratio")
     s = s.withColumn("limit_ratio", F.when(F.col("free"), 1.0).when(F.col("is_st") == 1, F.coalesce("treated", F.lit(0.1))).otherwise(F.coalesce("plain", F.lit(0.1))))
@@ -117,7 +128,7 @@ def daily_status(prices, days, special, market):
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("long")
     return s.select(
         "code", "d", F.col("is_st").cast("long").alias("is_st"), flag(F.col("age") < 60).alias("is_new"), flag(F.col("free")).alias("is_new_no_limit"), flag(F.col("vol") > 0).alias("is_trading"),
-        "list_date", "market", q.alias("limit_ratio"), flag(up).alias("is_limit_up"), flag(down).alias("is_limit_down"),
+        "list_date", "market", q.alias("limit_ratio"), flag(up).alias("is_limit_up"), flag(down).alias("is_limit_down"), "priced",
     )
 
 

@@ -185,7 +185,18 @@ def test_checks_make_their_table_once(spark, monkeypatch, name, maker):
     assert "Window [sum(vol" not in made[0]._jdf.queryExecution().executedPlan().toString()
 
 
-DENSE = ("d11_unlocks_and_pledges", "d12_industry")
+def test_cross_checks_make_their_tables_once(spark, monkeypatch):
+    from quantloom.plans import checks, detail
+
+    made = []
+    for where, maker in ((detail, "status"), (checks, "legs")):
+        plain_maker = getattr(where, maker)
+        monkeypatch.setattr(where, maker, lambda s, d, m=maker, f=plain_maker: made.append(m) or f(s, d))
+    plans.queries()["c13_cross_table"](spark, SF).collect()
+    assert sorted(made) == ["legs", "status"]
+
+
+DENSE = ("d02_status", "d11_unlocks_and_pledges", "d12_industry")
 
 
 @pytest.mark.parametrize("name", DENSE)
