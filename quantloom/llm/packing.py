@@ -82,9 +82,10 @@ class Encoder:
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         return tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
-    def _learn(self, parts: list[str]) -> None:
+    def _learn(self, parts: list[str], used: set[str]) -> None:
+        """Encodes ``parts`` into the cache; a full one keeps what the texts at hand use, so that none of them is encoded twice."""
         if len(self.cache) + len(parts) > CACHE_WORDS:
-            self.cache.clear()
+            self.cache = {p: self.cache[p] for p in used.intersection(self.cache)}
         ids = np.array(self.fast.encode_ordinary(" " + " ".join(parts)), "<u4")
         at = np.flatnonzero(self.opens[ids])
         if len(at) != len(parts):  # a part holds a space of its own
@@ -101,8 +102,7 @@ class Encoder:
         if self.fast is None:
             return [array("I", self.plain.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
         out: list = [None] * len(texts)
-        split, new = [], {}
-        get = self.cache.get
+        split, used = [], set()
         for r, text in enumerate(texts):
             if any(s in text for s in self.specials):
                 if self.plain is None:
@@ -112,18 +112,14 @@ class Encoder:
                 continue
             parts = re.split(r" (?=\S)", text) if _TWO.search(text) else text.split(" ")
             split.append(parts)
-            for p in parts[1:]:
-                if get(p) is None:
-                    new[p] = None
+            used.update(parts[1:])
+        new = used.difference(self.cache)
         if new:
-            self._learn(list(new))
+            self._learn(list(new), used)
         for r, parts in enumerate(split):
             if parts is not None:
                 head = array("I", self.fast.encode_ordinary(parts[0])).tobytes()
-                try:
-                    out[r] = head + b"".join(map(self.cache.__getitem__, parts[1:]))
-                except KeyError:  # the cache was emptied meanwhile
-                    out[r] = array("I", self.fast.encode_ordinary(texts[r])).tobytes()
+                out[r] = head + b"".join(map(self.cache.__getitem__, parts[1:]))
         return out
 
 

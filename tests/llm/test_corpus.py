@@ -630,3 +630,26 @@ def test_plain_words_meet_the_patterns_before_the_shuffle(spark):
     plan = got._sc._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "simple")
     assert plan.index("HashAggregate") < plan.index("Exchange hashpartitioning(pattern") < plan.index("BroadcastHashJoin")
     assert {r.pattern: r.plain for r in got.collect()} == {"1 to": 3, "1 call": 1}
+
+
+def test_full_cache_encodes_no_text_twice(monkeypatch):
+    """Where words outnumber the cache, those of the texts at hand stay: only heads and new words are encoded."""
+    from public_tokenizers import path
+
+    from quantloom.llm import packing
+
+    monkeypatch.setattr(packing, "CACHE_WORDS", 50)
+    e = packing.Encoder(path("byte_bpe_50k.json"))
+    whole = [" ".join(f"w{(7 * i + 3 * k) % 90}x" for k in range(60)) for i in range(40)]
+    seen, fast = [], e.fast
+
+    class Spy:
+        def encode_ordinary(self, text):
+            seen.append(text)
+            return fast.encode_ordinary(text)
+
+    e.fast = Spy()
+    for lo in range(0, 40, 8):
+        got = e(whole[lo : lo + 8])
+        assert got == [packing.array("I", fast.encode_ordinary(t)).tobytes() for t in whole[lo : lo + 8]]
+    assert not set(seen) & set(whole)
