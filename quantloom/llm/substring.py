@@ -16,14 +16,18 @@ hold a factor of a document only if it holds one of its anchors.
    with any other place of the block is grown, word by word compared.  Matches of
    ``window`` words or more are factors: the greedy ones, and at their boundaries those
    that begin inside one factor and run past its end.
+4. An anchor of more than ``CROWD`` different phrases, as around a line that a third of
+   the documents share, would make a block without bound.  It is made longer (8 words, 22,
+   29, 32, 34, 35): by half of what a window still lacks, to the left for the windows that
+   have so much to the left of it, else to the right.  So a phrase falls into two at most.
+   Equal ones become one, an anchor that is left with one phrase has no factor among
+   them, one of few phrases makes a block (3), and what is still crowded is halved again.
 
-Factors are joined into duplicate spans.  No hash decides alone: anchors only propose.
+Factors are joined into duplicate spans.  Anchors only propose.
 
 All is judged on the input texts; every occurrence is reported, the first too.  Anchors
-and phrases that hold many rows are joined by broadcast (``join_counted``).  An anchor of
-more than ``CROWD`` phrases, as around a line that a third of the documents share, would
-make a block without bound; its phrases are compared window by window instead, by digests
-that Spark groups, so a passage however common lands in no single task.
+and phrases that hold many rows are joined by broadcast (``join_counted``), and a passage
+however common lands in no single task.
 
 Defined cases: a null text has no words; fewer words than a window never repeat; a null
 ``doc_id`` is a document like another; very long texts are parsed whole, in slices where
@@ -44,7 +48,7 @@ from pyspark.sql import functions as F
 from quantloom.llm import _kernels as K
 from quantloom.llm._spark import discard, join_counted, materialise, null_safe, partitions_of, row_hash
 
-#: Words of a window and of an anchor, phrases of an anchor beyond which it makes no block, words of a block (and one anchor's more).
+#: Words of a window and of an anchor, different phrases beyond which an anchor is made longer, words of a block (and one anchor's more).
 WINDOW, GRAM, CROWD, BLOCK_WORDS = 35, 8, 512, 1 << 18
 
 _SPACED = bytes(0x20 if K.SPACES[i] else i for i in range(256))
@@ -204,22 +208,68 @@ def _factors(window: int):
     return work
 
 
-def _windows(window: int):
-    """Worker: the digest of every window of the given phrases."""
-    schema = pa.schema([("anchor", pa.int64()), ("win", pa.binary()), ("copies", pa.int64()), ("doc_id", pa.int64()), ("row_hash", pa.int64()), ("pos", pa.int32())])
+def _halves(window: int, gram: int, free: int):
+    """Worker: phrases in two, by anchors longer by half of the ``free`` words that a window has beside the present one."""
+    size, half = window - free, (free + 1) // 2
+    schema = pa.schema([("anchor", pa.int64()), ("phrase", pa.binary()), ("copies", pa.int64()), ("doc_id", pa.int64()), ("row_hash", pa.int64()), ("pos", pa.int32()), ("n", pa.int32()), ("words", pa.binary())])
+
+    def longer(anchor: int, side: str, words: list[bytes]) -> int:
+        return int.from_bytes(hashlib.blake2b(f"{anchor}{side}".encode() + b" ".join(words), digest_size=8).digest(), "little", signed=True)
+
+    def row(anchor: int, x: dict, lo: int, n: int, words: list[bytes]) -> tuple:
+        raw = b" ".join(words[lo : lo + n + window - 1])
+        return anchor, digest(raw), x["copies"], x["doc_id"], x["row_hash"], x["pos"] + lo, n, raw
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for x in batch.to_pylist():
-                words = x["words"].split(b" ")
-                for k in range(x["n"]):
-                    rows.append((x["anchor"], digest(b" ".join(words[k : k + window])), x["copies"], x["doc_id"], x["row_hash"], x["pos"] + k))
-            yield _batch(rows, schema)
+            data, at = K.texts(batch.column("words"))
+            for lo, hi in K.slices(at):
+                part, off = data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo]
+                starts, ends, first = K.words(part, off)
+                win, least, _ = anchors(K.word_hashes(part, starts, ends), first, window, gram)
+                place = least[np.searchsorted(win, first[:-1])] - first[:-1]
+                lacked = window - gram
+                while lacked > free:  # as it was made longer so far
+                    more = (lacked + 1) // 2
+                    place, lacked = np.where(place >= more, place - more, place), lacked - more
+                rows = []
+                for x, p in zip(batch.slice(lo, hi - lo).to_pylist(), place.tolist(), strict=True):
+                    words, n = x["words"].split(b" "), x["n"]
+                    k = min(max(0, p - half + 1), n)  # windows that have half to the left
+                    if k:
+                        rows.append(row(longer(x["anchor"], "<", words[p - half : p + size]), x, 0, k, words))
+                    if k < n:
+                        rows.append(row(longer(x["anchor"], ">", words[p : p + size + half]), x, k, n - k, words))
+                yield _batch(rows, schema)
 
     return work
 
 
+def split_crowds(parts: DataFrame, window: int, gram: int, crowd: int) -> tuple[DataFrame, DataFrame | None]:
+    """Phrases whose anchors make blocks, and phrases found to equal others (None if no anchor is crowded).
+
+    ``parts`` holds the different phrases of each anchor with their words, and whether it
+    is crowded.  A phrase gives two rows a round at most, each window is in one of them,
+    and after the last of five rounds (35 words) equal windows are equal phrases.
+    """
+    blocks, halved, alike, total = parts.where("not crowded").drop("crowded"), None, None, 0
+    crowded, free = parts.where("crowded"), window - gram
+    while free and not crowded.isEmpty():
+        made = materialise(crowded.mapInArrow(_halves(window, gram, free), "anchor long, phrase binary, copies long, doc_id long, row_hash long, pos int, n int, words binary"), "halves")
+        kinds = made.groupBy("anchor", "phrase").agg(F.sum("copies").alias("copies"), F.count("*").alias("k"), F.min(F.struct("doc_id", "row_hash", "pos", "n", "words")).alias("one"))
+        kinds = materialise(kinds.select("anchor", "phrase", "copies", "k", "one.*"), "kinds")
+        groups = kinds.groupBy("anchor").agg(F.count("*").alias("size")).where("size > 1").withColumn("crowded", F.col("size") > crowd)
+        met = materialise(join_counted(kinds.drop("phrase", "k"), groups, ["anchor"], "size", kinds.count()), "segments")
+        blocks = blocks.unionByName(met.where("not crowded").drop("crowded"))
+        crowded, free = met.where("crowded"), free - (free + 1) // 2
+        single, more = made.where("copies = 1").drop("words"), kinds.where("k > 1").select("anchor", "phrase", "k")
+        halved, alike = (single, more) if halved is None else (halved.unionByName(single), alike.unionByName(more))
+        total += made.count()
+    if halved is None:
+        return blocks, None
+    return blocks, join_counted(halved, alike, ["anchor", "phrase"], "k", total).select("doc_id", "row_hash", "pos", "n")
+
+
 def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
     """Factors of the parse: runs of ``n`` repeated windows from word ``pos`` of a row (doc_id, row_hash)."""
     if not 0 < gram < window:
@@ -227,28 +277,28 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, cr
     source = docs.select("doc_id", "text", row_hash("text").alias("row_hash"))
     filed = materialise(source.mapInArrow(_phrases(window, gram), "doc_id long, row_hash long, anchor long, phrase binary, pos int, n int"), "phrases")
     blocks = filed.groupBy("anchor").agg(F.count("*").alias("k"), F.min("phrase").alias("a"), F.max("phrase").alias("b")).where("k > 1")
-    blocks = blocks.select("anchor", "k", (F.col("a") != F.col("b")).alias("differ"), (F.col("k") > crowd).alias("crowded"))
+    blocks = blocks.select("anchor", "k", (F.col("a") != F.col("b")).alias("differ"))
     n_filed = filed.count()
     met = materialise(join_counted(filed, blocks, ["anchor"], "k", n_filed), "met")
     discard(filed)
     whole = met.where("not differ").select("doc_id", "row_hash", "pos", "n")
 
     edge = met.where("differ")
-    kinds = edge.groupBy("anchor", "phrase").agg(F.count("*").alias("copies"), F.first("crowded").alias("crowded"), F.min(F.struct("doc_id", "row_hash", "pos", "n")).alias("one"))
-    kinds = materialise(kinds.select("anchor", "phrase", "crowded", "copies", "one.*"), "kinds")
+    kinds = edge.groupBy("anchor", "phrase").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "row_hash", "pos", "n")).alias("one"))
+    kinds = materialise(kinds.select("anchor", "phrase", "copies", "one.*"), "kinds")
     copied = kinds.where("copies > 1").select("anchor", "phrase", "copies")
     equal = join_counted(edge, copied, ["anchor", "phrase"], "copies", n_filed).select("doc_id", "row_hash", "pos", "n")
-    wanted = kinds.groupBy("doc_id", "row_hash").agg(F.collect_list(F.struct("anchor", "crowded", "pos", "n", "copies")).alias("phrases"))
+    full = kinds.groupBy("anchor").agg(F.count("*").alias("k")).where(F.col("k") > crowd).select("anchor", F.lit(True).alias("crowded"))
+    wanted = kinds.join(F.broadcast(full), "anchor", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False)))  # fewer than one anchor for `crowd` phrases
+    wanted = wanted.groupBy("doc_id", "row_hash").agg(F.collect_list(F.struct("anchor", "crowded", "pos", "n", "copies")).alias("phrases"))
     read = source.join(wanted, null_safe(source, wanted, ["doc_id", "row_hash"]))
     read = read.select(source["doc_id"], source["row_hash"], "text", "phrases")
     parts = materialise(read.mapInArrow(_segments(window), "anchor long, crowded boolean, copies long, doc_id long, row_hash long, pos int, n int, words binary").distinct(), "segments")
-    dealt = parts.where("not crowded").drop("crowded").repartition(partitions_of(docs), "anchor").sortWithinPartitions("anchor")
+    parsed, alike = split_crowds(parts, window, gram, crowd)
+    dealt = parsed.repartition(partitions_of(docs), "anchor").sortWithinPartitions("anchor")
     grown = dealt.mapInArrow(_factors(window), "doc_id long, row_hash long, pos int, n int")
-    wins = parts.where("crowded").mapInArrow(_windows(window), "anchor long, win binary, copies long, doc_id long, row_hash long, pos int")
-    wins = materialise(wins, "windows")
-    again = wins.groupBy("anchor", "win").agg(F.sum("copies").alias("total"), F.count("*").alias("k")).where("total > 1").select("anchor", "win", "k")
-    single = join_counted(wins.where("copies = 1"), again, ["anchor", "win"], "k", wins.count()).select("doc_id", "row_hash", "pos", F.lit(1).alias("n"))
-    return whole.unionByName(equal).unionByName(materialise(grown, "factors")).unionByName(single)
+    found = whole.unionByName(equal).unionByName(materialise(grown, "factors"))
+    return found if alike is None else found.unionByName(alike)
 
 
 def _remover(window: int):

@@ -84,6 +84,26 @@ def test_substring_against_brute_force(spark, docs, corpus):
     assert substring.remove_repeats(docs.limit(0)).collect() == []
 
 
+def test_crowded_anchors_give_few_rows(spark, monkeypatch):
+    """400 near copies of 100 words with a word of their own each: their anchors are crowded, and no table holds a row for each of their windows."""
+    r = random.Random(11)
+    base = [f"b{i}" for i in range(100)]
+    docs = []
+    for i in range(400):
+        w = list(base)
+        w[r.randrange(100)] = f"own{i}"
+        docs.append((i, " ".join(w)))
+    made, write = [], substring.materialise
+    monkeypatch.setattr(substring, "materialise", lambda df, name: made.append((name, write(df, name))) or made[-1][1])
+    found = substring.repeated_windows(spark.createDataFrame(docs, "doc_id long, text string"), crowd=16)
+    n = Counter(tuple(w.split()[k : k + 35]) for _, w in docs for k in range(66))
+    want = {(i, k) for i, w in docs for k in range(66) if n[tuple(w.split()[k : k + 35])] > 1}
+    assert {(x.doc_id, x.p) for x in found.selectExpr("doc_id", "explode(sequence(pos, pos + n - 1)) AS p").collect()} == want
+    phrases = next(df.count() for name, df in made if name == "segments")
+    assert phrases > 400
+    assert max(df.count() for name, df in made if name not in ("phrases", "met")) <= 2 * phrases
+
+
 def test_words_of_equal_hash_are_told_apart(spark):
     """Two words of 1,024 letters whose polynomial hashes modulo 2**64 agree whatever the base (Thue-Morse)."""
     bits = [bin(i).count("1") & 1 for i in range(1024)]
