@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import tempfile
 import uuid
 
@@ -38,6 +39,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    collect_driver(df.sparkSession)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._written = path
     return out
@@ -65,6 +67,19 @@ def return_memory() -> None:
         trim(0)
 
 
+def collect_driver(spark: SparkSession, share: float = 0.6) -> None:
+    """Collects the driver's heap where it has grown beyond ``share`` of its limit, so that the JVM gives it back.
+
+    Every scan, stage and broadcast join of a plan takes a few MB of the driver for a moment.  Many at a time make
+    the heap grow up to its limit though little of it lives, and what Spark holds for past shuffles and
+    broadcasts it cleans only when their handles are collected.
+    """
+    heap = spark.sparkContext._jvm.java.lang.Runtime.getRuntime()
+    if heap.totalMemory() > share * heap.maxMemory():
+        gc.collect()  # frames that Python no longer names are held for it in the driver
+        spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def partitions_of(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -101,9 +116,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Label every node of ``edges(u, v)`` with the smallest node it reaches.
 
     Alternates large-star and small-star steps (Kiveris et al., 2014) until the
-    edge set is stable.  All steps are joins and aggregations; each round is
-    written to the shared folder, so plans stay short, and the one before it is
-    deleted.  A hub of many edges is joined by broadcast (``join_counted``).  Rows
+    edge set is stable.  All steps are joins and aggregations; each step and its
+    minima are written to the shared folder, for ``join_counted`` reads both of its
+    sides several times: in one plan a round would read the edges fifty times over,
+    and the driver holds and logs whole plans.  The files of a round are deleted
+    after it.  A hub of many edges is joined by broadcast (``join_counted``).  Rows
     with a null end are ignored, an empty input gives an empty result; edges that
     still change after ``max_rounds`` rounds (far more than any number of nodes
     needs) are an error.  Returns ``(node, root)``.
@@ -113,18 +130,18 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     before, n = None, e.count()
     for _ in range(max_rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n"))
-        large = join_counted(both, low, ["u"], "n", 2 * n).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        low = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n")), "cc-low")
+        large = materialise(join_counted(both, low, ["u"], "n", 2 * n).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "cc-large")
+        least = materialise(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "cc-low")
         small = (
-            join_counted(large, low, ["u"], "n", n)
+            join_counted(large, least, ["u"], "n", n)
             .select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("x"))
             .select(F.col("x.v").alias("u"), F.col("x.m").alias("v"))
             .where("u <> v")
             .distinct()
         )
         last, e = e, materialise(small, "cc")
-        discard(last)
+        discard(last, low, large, least)
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
             break

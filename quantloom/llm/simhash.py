@@ -387,7 +387,7 @@ def _class_groups(docs: DataFrame, size: int, similarity: float, far_bits: int,
     equal = materialise(classes.groupBy("fp").agg(F.min(F.struct("class", "n")).alias("c"), F.count("*").alias("rows")), "centres")
     same = join_counted(classes.select(F.col("class").alias("u"), "fp", F.col("n").alias("nu")), equal.where("rows > 1"), ["fp"], "rows", classes.count())
     same = same.select("u", F.col("fp").alias("fu"), "nu", F.col("c.class").alias("v"), F.col("fp").alias("fv"), F.col("c.n").alias("nv"))
-    near = fingerprint_links(equal.select("fp"), MAX_BITS, n_pivots).select(F.col("u").alias("fu"), F.col("v").alias("fv"))
+    near = materialise(fingerprint_links(equal.select("fp"), MAX_BITS, n_pivots).select(F.col("u").alias("fu"), F.col("v").alias("fv")), "near")
     named = lambda x: equal.select(F.col("fp").alias(f"f{x}"), F.col("c.class").alias(x), F.col("c.n").alias(f"n{x}"))
     near = near.join(named("u"), "fu").join(named("v"), "fv").select("u", "fu", "nu", "v", "fv", "nv")
     others = materialise(same.unionByName(near).where("u <> v").where(possible).select("u", "v").distinct(), "others")

@@ -1,12 +1,14 @@
 """The near-dedup stage: no link of a band is lost, whatever its place in the band."""
 
 import random
+import re
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quantloom.llm import simhash
+from quantloom.llm import _spark, simhash
 from quantloom.llm._spark import bound_batches
 
 
@@ -93,3 +95,30 @@ def test_batches_are_bounded_in_bytes(spark):
     out = spark.range(40).select(F.repeat(F.lit("x"), 300_000).alias("t")).coalesce(1).mapInArrow(sizes, "n long, size long").collect()
     assert sum(r.n for r in out) == 40 and max(r["size"] for r in out) < 3 << 20
     assert np.ceil(max(r.n for r in out)) < 40
+
+
+def test_plans_stay_short(spark, monkeypatch):
+    """The driver holds each plan and a few MB for every scan in it: no step of near-dedup or its components scans over 12 tables."""
+    scans, write = {}, _spark.materialise
+
+    def seen(df, name):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        scans[name] = max(scans.get(name, 0), len(re.findall(r"Relation \[", plan)))
+        return write(df, name)
+
+    for module in (_spark, simhash):
+        monkeypatch.setattr(module, "materialise", seen)
+    texts = families(5)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    simhash.drop_near_duplicates(docs).count()
+    assert {"cc", "others", "rest"} <= set(scans)
+    assert max(scans.values()) <= 12
+
+
+@pytest.mark.parametrize(("grown", "calls"), ((61, 1), (60, 0)))
+def test_a_grown_heap_of_the_driver_is_collected(grown, calls):
+    made = []
+    heap = SimpleNamespace(totalMemory=lambda: grown, maxMemory=lambda: 100)
+    lang = SimpleNamespace(Runtime=SimpleNamespace(getRuntime=lambda: heap), System=SimpleNamespace(gc=lambda: made.append(1)))
+    _spark.collect_driver(SimpleNamespace(sparkContext=SimpleNamespace(_jvm=SimpleNamespace(java=SimpleNamespace(lang=lang)))))
+    assert len(made) == calls
