@@ -202,7 +202,8 @@ def fingerprint_links(reps: DataFrame, max_bits: int = MAX_BITS, n_pivots: int =
     """Links (u, v) that join the same components as all pairs within ``max_bits`` bits of ``reps(fp)`` would."""
     if not 0 <= max_bits <= 3:
         raise ValueError("the block keys find links of up to 3 bits")
-    keyed = reps.mapInArrow(_keyed, "fp long, key long")
+    # Written out, for Spark takes a worker to give as few rows as it reads, and would broadcast sixteen times as many.
+    keyed = materialise(reps.mapInArrow(_keyed, "fp long, key long"), "keys")
     many = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").withColumn("parts", F.ceil(F.col("n") / slice_rows).cast("int"))
     mine = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
     rows = keyed.join(many, "key").withColumn("mine", mine)

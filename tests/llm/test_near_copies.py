@@ -115,6 +115,18 @@ def test_plans_stay_short(spark, monkeypatch):
     assert max(scans.values()) <= 12
 
 
+def test_block_keys_are_not_broadcast(spark):
+    """The fingerprints are few enough for a broadcast, their sixteen keys are not; which side is small is seen as the plan runs."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "256k")
+    try:
+        reps = spark.createDataFrame([(i * 0x9E3779B97F4A7C15 % (1 << 63),) for i in range(8_000)], "fp long")
+        plan = simhash.fingerprint_links(_spark.materialise(reps, "reps"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 @pytest.mark.parametrize(("grown", "calls"), ((61, 1), (60, 0)))
 def test_a_grown_heap_of_the_driver_is_collected(grown, calls):
     made = []
